@@ -43,15 +43,17 @@ def deltas(reports: DataFrame, slicing: Slicing | None = None) -> DataFrame:
         F.lead("nav_status").over(series).alias("nav_status_next"),
     )
     if slicing.cut:
-        rows = _across_slices(rows, reports, slicing)
+        rows = _across_slices(rows, slicing)
     return rows.withColumn("delta_t", F.col("gps_timestamp") - F.col("timestamp_prev"))
 
 
-def _across_slices(rows: DataFrame, reports: DataFrame, slicing: Slicing) -> DataFrame:
+def _across_slices(rows: DataFrame, slicing: Slicing) -> DataFrame:
     """Fill the neighbours of each slice's first and last report from the slices beside it."""
     report = F.struct(*IN_TIME, "nav_status")
-    ends = reports.groupBy(*slicing.keys).agg(
-        F.min(report).alias("first"), F.max(report).alias("last")
+    ends = (
+        rows.filter(F.col("timestamp_prev").isNull() | F.col("timestamp_next").isNull())
+        .groupBy(*slicing.keys)
+        .agg(F.min(report).alias("first"), F.max(report).alias("last"))
     )
     ship = Window.partitionBy("ship_id").orderBy(*slicing.keys[1:])
     beside = ends.select(

@@ -124,18 +124,19 @@ def voyage_points(
 def _number_across_slices(rows: DataFrame, members: DataFrame, slicing: Slicing) -> DataFrame:
     """Continue the numbering, and the voyage's limits, over the slices a voyage covers."""
     per_slice = members.groupBy(*slicing.keys, "voyage_no").agg(
-        F.max("voyage").alias("stated"),
-        F.sum((F.col("kind") == REPORT).cast("int")).alias("points"),
+        F.sum((F.col("kind") == REPORT).cast("int")).alias("points")
     )
     voyage = Window.partitionBy("ship_id", "voyage_no")
     earlier = voyage.orderBy(*slicing.keys[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    stated = members.filter(F.col("kind") == START).select(
+        "ship_id", "voyage_no", F.col("voyage").alias("stated")
+    )
     offsets = per_slice.select(
         *slicing.keys,
         "voyage_no",
-        F.max("stated").over(voyage).alias("stated"),
         F.coalesce(F.sum("points").over(earlier), F.lit(0)).alias("points_before"),
         F.sum("points").over(voyage).alias("points_in_all"),
-    )
+    ).join(stated, ["ship_id", "voyage_no"])
     return rows.join(offsets, [*slicing.keys, "voyage_no"]).withColumns(
         {
             "known": F.col("stated"),

@@ -34,12 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
     reads and writes every file, may fall back to a temporary folder.
     """
     context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
+    folder = context.getConf().get(CHECKPOINT_KEY) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="fairlead-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
