@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fairlead.functions.columns import ACTIVE_STATUS, GAP_SECONDS, flag, micros, open_end
 from fairlead.operators.keys import lookup
 from fairlead.operators.slices import Slicing, plan_slices
+from fairlead.session import stored
 
 REPORT = ["ship_id", "gps_timestamp", "position_id"]
 IN_TIME = ["gps_timestamp", "position_id"]
@@ -61,7 +62,7 @@ def _across_slices(rows: DataFrame, slicing: Slicing) -> DataFrame:
         F.lag("last").over(ship).alias("earlier"),
         F.lead("first").over(ship).alias("later"),
     )
-    rows = rows.join(beside, slicing.keys, "left")
+    rows = rows.join(stored(beside, "beside"), slicing.keys, "left")
     for side, report in (("prev", "earlier"), ("next", "later")):
         # The timestamp tells whether there is a neighbour; its status may be unknown.
         missing = F.col(f"timestamp_{side}").isNull()
@@ -125,6 +126,8 @@ def boundaries(
     else:
         fresh = F.lit(True)
 
+    if slicing.cut:
+        marked = stored(marked, "boundaries")
     series = Window.partitionBy(*slicing.keys).orderBy(*IN_TIME)
     ranked = marked.withColumn("nth", F.row_number().over(series))
     if slicing.cut:

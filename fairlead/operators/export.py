@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fairlead.functions.columns import open_end
 from fairlead.operators.detect import in_ship_range, limits_of, unsettled
 from fairlead.operators.keys import lookup
 from fairlead.operators.slices import Slicing, plan_slices
+from fairlead.session import stored
 
 POINT = [
     "gps_timestamp",
@@ -21,32 +23,67 @@ POINT = [
 # Reports per exported row; a longer voyage continues in further rows, numbered by `part`.
 MAX_POINTS = 100_000
 
-# At one instant, starts come before reports and reports before stops.
-START, REPORT, STOP = 0, 1, 2
+# At one instant, starts come before reports and reports before stops. A voyage that goes
+# on in a further slice is announced there by a row without time, before all others.
+CONTINUED, START, REPORT, STOP = -1, 0, 1, 2
 FIRST_PART, LAST_PART = -1, 2**62
+IN_ORDER = ["gps_timestamp", "kind", "position_id"]
 
 
-def _timeline(limits: DataFrame, positions: DataFrame, slicing: Slicing) -> DataFrame:
-    """Starts, reports and stops of each ship as rows of one time-ordered series."""
-    carried = [c for c in limits.columns if c != "ship_id"]
+def _timeline(limits: DataFrame, reports: DataFrame, slicing: Slicing) -> DataFrame:
+    """Starts, reports and stops of each ship as one series, with their running counts.
 
-    def bound(column: str, kind: int, part: int) -> DataFrame:
-        rows = limits.withColumn("gps_timestamp", F.col(column)).withColumn("kind", F.lit(kind))
-        if kind == START:
-            rows = rows.withColumn("voyage", F.struct(*carried))
-        rows = rows.select("ship_id", "gps_timestamp", "kind", *(["voyage"] if kind == START else []))
-        return slicing.assign(rows, F.lit(part))
+    `begun`, `done` and `told` count the ship's starts, stops and reports so far.
+    """
+    is_start = F.col("kind") == START
+    described = F.struct(*[c for c in limits.columns if c != "ship_id"])
+    bounds = (
+        limits.withColumn("kind", F.explode(F.array(F.lit(START), F.lit(STOP))))
+        .select(
+            "ship_id",
+            "kind",
+            F.when(is_start, F.col("datetime_start"))
+            .otherwise(F.col("datetime_stop"))
+            .alias("gps_timestamp"),
+            F.when(is_start, described).alias("voyage"),
+        )
+        .filter(is_start | (F.col("gps_timestamp") < open_end()))
+    )
+    part = F.when(is_start, F.lit(FIRST_PART)).otherwise(F.lit(LAST_PART))
+    bounds = slicing.assign(bounds, part)
+    events = slicing.assign(reports.withColumn("kind", F.lit(REPORT))).unionByName(
+        bounds, allowMissingColumns=True
+    )
+    so_far = (
+        Window.partitionBy(*slicing.keys)
+        .orderBy(*IN_ORDER)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    counts = {"begun": START, "done": STOP, "told": REPORT}
 
-    reports = positions.filter(F.col("ship_id").isNotNull()).select("ship_id", *POINT)
-    return (
-        slicing.assign(reports.withColumn("kind", F.lit(REPORT)))
-        .unionByName(bound("datetime_start", START, FIRST_PART), allowMissingColumns=True)
+    def counted(kind: int):
+        return (F.col("kind") == kind).cast("bigint")
+
+    rows = events.withColumns({c: F.sum(counted(k)).over(so_far) for c, k in counts.items()})
+    if not slicing.cut:
+        return rows
+    totals = (
+        bounds.select(
+            *slicing.keys, counted(START).alias("begun"), counted(STOP).alias("done"),
+            F.lit(0).alias("told"),
+        )
         .unionByName(
-            bound("datetime_stop", STOP, LAST_PART).filter(
-                F.col("gps_timestamp") < F.lit("9999-01-01").cast("timestamp_ntz")
-            ),
-            allowMissingColumns=True,
+            slicing.slices.select(
+                *slicing.keys, F.lit(0).alias("begun"), F.lit(0).alias("done"),
+                F.col("reports").alias("told"),
+            )
         )
+        .groupBy(*slicing.keys)
+        .agg(*[F.sum(c).alias(c) for c in counts])
+    )
+    before = slicing.running_before(totals, list(counts))
+    return rows.join(before, slicing.keys).withColumns(
+        {c: F.col(c) + F.col(f"{c}_before") for c in counts}
     )
 
 
@@ -61,88 +98,104 @@ def voyage_points(
     One row per voyage and report, numbered from 0 by `seq`; a voyage without reports has
     one row with NULL seq. A ship's n-th start and n-th stop in time order belong to its
     n-th voyage (stops never run backwards), so a report lies in the voyages numbered from
-    one past the stops before it up to the starts so far: two running counts over the
-    series, and no comparison of reports with voyages.
+    one past the stops before it up to the starts so far: running counts over the series,
+    and no comparison of reports with voyages.
     """
     slicing = slicing or plan_slices(positions, limit)
-    keys = slicing.keys
-    events = _timeline(limits, positions, slicing).withColumns(
-        {
-            "opened": (F.col("kind") == START).cast("int"),
-            "ended": (F.col("kind") == STOP).cast("int"),
-        }
-    )
-    order = ["gps_timestamp", "kind", "position_id"]
-    so_far = (
-        Window.partitionBy(*keys)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    counted = events.withColumns(
-        {"begun": F.sum("opened").over(so_far), "done": F.sum("ended").over(so_far)}
-    )
+    reports = positions.filter(F.col("ship_id").isNotNull()).select("ship_id", *POINT)
     if slicing.cut:
-        totals = events.groupBy(*keys).agg(
-            F.sum("opened").alias("opened"), F.sum("ended").alias("ended")
-        )
-        counted = counted.join(slicing.running_before(totals, ["opened", "ended"]), keys).withColumns(
-            {
-                "begun": F.col("begun") + F.col("opened_before"),
-                "done": F.col("done") + F.col("ended_before"),
-            }
-        )
-    is_start = F.col("kind") == START
+        limits = stored(_starts(limits, reports, slicing), "starts")
+    rows = _timeline(limits, reports, slicing)
+    is_start, is_report = F.col("kind") == START, F.col("kind") == REPORT
     first = F.when(is_start, F.col("begun")).otherwise(F.col("done") + 1)
     members = (
-        counted.filter((F.col("kind") != STOP) & (first <= F.col("begun")))
+        rows.filter((F.col("kind") != STOP) & (first <= F.col("begun")))
         .withColumn("voyage_no", F.explode(F.sequence(first, F.col("begun"))))
-        .select(*keys, "voyage_no", "kind", *POINT, "voyage")
-    )
-    in_voyage = Window.partitionBy(*keys, "voyage_no").orderBy(*order)
-    rows = members.withColumns(
-        {
-            "known": F.first("voyage").over(in_voyage),
-            "seq": F.sum((F.col("kind") == REPORT).cast("int")).over(
-                in_voyage.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            )
-            - 1,
-            "last_of_slice": F.lead("kind").over(in_voyage).isNull(),
-        }
+        .withColumn("told_before", F.when(is_start, F.col("told")))
+        .select(*slicing.keys, "voyage_no", "kind", *POINT, "voyage", "told", "told_before")
     )
     if slicing.cut:
-        rows = _number_across_slices(rows, members, slicing)
-    else:
-        rows = rows.withColumn("alone", F.col("last_of_slice"))
+        members = members.unionByName(_continued(limits, slicing), allowMissingColumns=True)
+    in_voyage = Window.partitionBy(*slicing.keys, "voyage_no").orderBy(*IN_ORDER)
+    numbered = members.select(
+        "ship_id",
+        "voyage_no",
+        "kind",
+        F.first("voyage").over(in_voyage).alias("known"),
+        *POINT,
+        (F.col("told") - F.first("told_before").over(in_voyage) - 1).alias("seq"),
+        F.lead("kind").over(in_voyage).isNull().alias("ends_here"),
+    )
     # The start row itself only stays when its voyage has no reports.
-    rows = rows.filter((F.col("kind") == REPORT) | F.col("alone"))
-    seq = F.when(F.col("kind") == REPORT, F.col("seq"))
-    return rows.select(
-        "ship_id", "voyage_no", "known.*", seq.cast("bigint").alias("seq"), *POINT
-    ).withColumn("gps_timestamp", F.when(F.col("seq").isNotNull(), F.col("gps_timestamp")))
+    empty = F.col("known.empty") if slicing.cut else F.col("ends_here")
+    described = [f"known.{c}" for c in limits.columns if c not in ("ship_id", *ADDED)]
+    return numbered.filter(is_report | (is_start & empty)).select(
+        "ship_id",
+        "voyage_no",
+        *described,
+        F.when(is_report, F.col("seq")).alias("seq"),
+        F.when(is_report, F.col("gps_timestamp")).alias("gps_timestamp"),
+        *POINT[1:],
+    )
+
 
+ADDED = ("number", "told_at_start", "empty")
 
-def _number_across_slices(rows: DataFrame, members: DataFrame, slicing: Slicing) -> DataFrame:
-    """Continue the numbering, and the voyage's limits, over the slices a voyage covers."""
-    per_slice = members.groupBy(*slicing.keys, "voyage_no").agg(
-        F.sum((F.col("kind") == REPORT).cast("int")).alias("points")
+
+def _starts(limits: DataFrame, reports: DataFrame, slicing: Slicing) -> DataFrame:
+    """The limits with the voyage's number, the reports told before it, and if it has none."""
+    bounds = _timeline(limits, reports.select("ship_id", *IN_ORDER[::2]), slicing)
+    stops = bounds.filter(F.col("kind") == STOP).select(
+        "ship_id", F.col("done").alias("number"), F.col("told").alias("told_at_stop")
     )
-    voyage = Window.partitionBy("ship_id", "voyage_no")
-    earlier = voyage.orderBy(*slicing.keys[1:]).rowsBetween(Window.unboundedPreceding, -1)
-    stated = members.filter(F.col("kind") == START).select(
-        "ship_id", "voyage_no", F.col("voyage").alias("stated")
+    ships = slicing.slices.groupBy("ship_id").agg(F.sum("reports").alias("told_in_all"))
+    starts = bounds.filter(F.col("kind") == START).select(
+        "ship_id",
+        "voyage.*",
+        F.col("begun").alias("number"),
+        F.col("told").alias("told_at_start"),
     )
-    offsets = per_slice.select(
-        *slicing.keys,
-        "voyage_no",
-        F.coalesce(F.sum("points").over(earlier), F.lit(0)).alias("points_before"),
-        F.sum("points").over(voyage).alias("points_in_all"),
-    ).join(stated, ["ship_id", "voyage_no"])
-    return rows.join(offsets, [*slicing.keys, "voyage_no"]).withColumns(
-        {
-            "known": F.col("stated"),
-            "seq": F.col("seq") + F.col("points_before"),
-            "alone": F.col("points_in_all") == 0,
-        }
+    told = F.coalesce("told_at_stop", "told_in_all", F.lit(0))
+    return (
+        starts.join(stops, ["ship_id", "number"], "left")
+        .join(ships, "ship_id", "left")
+        .select(*limits.columns, *ADDED[:2], (told == F.col("told_at_start")).alias("empty"))
+    )
+
+
+def _continued(starts: DataFrame, slicing: Slicing) -> DataFrame:
+    """For each slice, the voyages that began before it and have not stopped by then."""
+    keys = slicing.keys
+    first, last = F.lit(FIRST_PART), F.lit(LAST_PART)
+    begun = slicing.assign(
+        starts.select("ship_id", F.col("datetime_start").alias("gps_timestamp")), first
+    )
+    done = slicing.assign(
+        starts.select("ship_id", F.col("datetime_stop").alias("gps_timestamp")).filter(
+            F.col("gps_timestamp") < open_end()
+        ),
+        last,
+    )
+    one, none = F.lit(1), F.lit(0)
+    totals = (
+        begun.select(*keys, one.alias("begun"), none.alias("done"))
+        .unionByName(done.select(*keys, none.alias("begun"), one.alias("done")))
+        .unionByName(slicing.slices.select(*keys, none.alias("begun"), none.alias("done")))
+        .groupBy(*keys)
+        .agg(F.sum("begun").alias("begun"), F.sum("done").alias("done"))
+    )
+    going = slicing.running_before(totals, ["begun", "done"]).filter(
+        F.col("begun_before") > F.col("done_before")
+    )
+    cells = going.select(
+        *keys, F.explode(F.sequence(F.col("done_before") + 1, F.col("begun_before"))).alias("number")
+    )
+    return cells.join(starts, ["ship_id", "number"]).select(
+        *keys,
+        F.col("number").alias("voyage_no"),
+        F.lit(CONTINUED).alias("kind"),
+        F.struct(*[c for c in starts.columns if c != "ship_id"]).alias("voyage"),
+        F.col("told_at_start").alias("told_before"),
     )
 
 
@@ -210,5 +263,7 @@ def find_and_export(
     fresh = unsettled(positions, prior_limits, ship_range, mode)
     slicing = plan_slices(fresh, limit)
     limits = limits_of(fresh, statuses, slicing, **rules)
+    if slicing.cut:
+        limits = stored(limits, "limits")
     lines = export_trajectories(limits, fresh, ships, max_points=max_points, slicing=slicing)
     return limits, lines

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairlead.session import shared_dir
+from fairlead.session import stored
 
 # A group of rows larger than this is split; see row_limit.
 MIN_GROUP_ROWS = 4_000_000
@@ -25,14 +25,15 @@ def row_limit(total: int) -> int:
 def oversized(facts: DataFrame, keys: list[str], limit: int | None = None) -> tuple[int, list]:
     """Row limit and the groups above it, as (keys..., n) rows.
 
-    The counts are pre-aggregated before their shuffle, and the second query only runs
-    when the largest group is over the limit.
+    The counts are pre-aggregated before their shuffle. Without a given limit the table's
+    size sets it, and the groups are only listed when the largest one is above it.
     """
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
-    limit = limit or row_limit(total or 0)
-    if not total or largest <= limit:
-        return limit, []
+    if limit is None:
+        total, largest = counts.agg(F.sum("n"), F.max("n")).first()
+        limit = row_limit(total or 0)
+        if not total or largest <= limit:
+            return limit, []
     return limit, counts.filter(F.col("n") > limit).collect()
 
 
@@ -85,8 +86,8 @@ def number_rows(
     """Add `id`: start + 1, start + 2, ... in the given unique order.
 
     A checked small number of rows is numbered in one task. More are sorted over all
-    tasks; the sorted rows are checkpointed so that the positions within the partitions
-    and the partition sizes come from one and the same sort.
+    tasks; the sorted rows are stored so that the places within the partitions and the
+    partition sizes come from one and the same sort.
     """
     if count is None:
         count = rows.count()
@@ -94,13 +95,13 @@ def number_rows(
         return rows.withColumn(
             "id", F.row_number().over(Window.orderBy(*order)).cast("bigint") + start
         )
-    shared_dir(rows.sparkSession)
     placed = rows.orderBy(*order).withColumn("place", F.monotonically_increasing_id())
-    placed = (
-        placed.withColumn("part", F.shiftright("place", 33))
-        .withColumn("nth", F.col("place").bitwiseAND(F.lit(2**33 - 1)))
-        .checkpoint()
+    placed = placed.select(
+        *rows.columns,
+        F.shiftright("place", 33).alias("part"),
+        F.col("place").bitwiseAND(F.lit(2**33 - 1)).alias("nth"),
     )
+    placed = stored(placed, "numbered")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("part")
@@ -110,5 +111,5 @@ def number_rows(
     return (
         placed.join(F.broadcast(offsets), "part")
         .withColumn("id", F.col("skipped") + F.col("nth") + 1 + start)
-        .drop("place", "part", "nth", "skipped")
+        .drop("part", "nth", "skipped")
     )

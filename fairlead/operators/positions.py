@@ -62,6 +62,7 @@ def build_positions(
         "nav_status_id",
         *MEASURES,
         "load_date",
+        *[c for c in ["load_id"] if c in rows.columns],
     )
 
 

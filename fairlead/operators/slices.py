@@ -8,31 +8,38 @@ instant, which are cut by position id. Every operator then works per slice and b
 what it needs from the neighbouring slices through one summary row per slice.
 
 When no ship is over the limit nothing is cut and the plans are plain windows per ship.
+When ships are cut, the small tables a later step needs twice (slices, boundaries, voyage
+starts) are written to the shared folder, so that each pass over the reports is one scan.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairlead.functions.columns import micros
 from fairlead.operators.keys import oversized
+from fairlead.session import stored
 
-# Slice lengths in microseconds, each dividing the one before: a day, a minute, 50
-# milliseconds, 50 microseconds, one instant.
-SPANS = [86_400_000_000, 60_000_000, 50_000, 50, 1]
+# Slice lengths in microseconds, each dividing the one before: a day, ten seconds, a
+# millisecond, one instant.
+SPANS = [86_400_000_000, 10_000_000, 1_000, 1]
 # Slice start of a ship that is not cut: before any timestamp.
 WHOLE = -(2**62)
 
 
 @dataclass(frozen=True)
 class Slicing:
-    """The crowded slices found at each level; none means that ships are left whole."""
+    """The crowded slices found at each level; none means that ships are left whole.
+
+    With cut ships, `slices` holds one row per slice: its keys and number of reports.
+    """
 
     limit: int
     crowded: list[DataFrame] = field(default_factory=list)
+    slices: DataFrame | None = None
 
     @property
     def cut(self) -> bool:
@@ -109,4 +116,7 @@ def plan_slices(reports: DataFrame, limit: int | None = None) -> Slicing:
         slicing = Slicing(limit, slicing.crowded + [found])
         cut = slicing.assign(reports).filter(F.col("slice_start") != WHOLE)
         _, rows = oversized(cut, slicing.time_keys, limit)
-    return slicing
+    if not slicing.cut:
+        return slicing
+    slices = slicing.assign(reports).groupBy(*slicing.keys).agg(F.count(F.lit(1)).alias("reports"))
+    return replace(slicing, slices=stored(slices, "slices"))
