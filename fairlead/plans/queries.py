@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fairlead.operators import detect, dimensions, export, positions, quality
 from fairlead.operators.slices import Slicing, plan_slices
-from fairlead.session import scratch_path, shared_dir
+from fairlead.session import scratch_path, stored
 from fairlead.sources.csv import ingest_csv
 from fairlead.sources.events import staging_from_events
 from fairlead.schemas import CSV_COLUMNS
@@ -77,8 +77,8 @@ class Tables:
     @cached_property
     def earlier_limits(self) -> DataFrame:
         """Voyages of the first increment, stored as they would be between two runs."""
-        shared_dir(self.spark)
-        return detect.find_voyages(self.earlier_positions, self.statuses).checkpoint()
+        limits = detect.find_voyages(self.earlier_positions, self.statuses)
+        return stored(limits, "earlier-limits")
 
     @cached_property
     def closed_limits(self) -> DataFrame:

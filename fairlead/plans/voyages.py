@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fairlead.operators.detect import find_voyages, in_ship_range, last_stops
 from fairlead.operators.export import MAX_POINTS, export_trajectories
 from fairlead.operators.keys import number_rows
-from fairlead.session import shared_dir
+from fairlead.session import stored
 from fairlead.sources.tables import FINDING, Run, Warehouse
 
 MODES = (*FINDING, "export")
@@ -29,9 +29,8 @@ def run_voyages(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}, not {mode!r}")
-    shared_dir(warehouse.spark)
     runs = warehouse.runs()
-    run_id = runs[-1].run_id + 1 if runs else 1
+    run_id = warehouse.new_run_id(runs)
     last_id = runs[-1].last_id if runs else 0
     this_run = F.lit(run_id).cast("bigint").alias("run_id")
     ships, statuses = warehouse.read("ships"), warehouse.read("nav_statuses")
@@ -40,7 +39,8 @@ def run_voyages(
     if mode in FINDING:
         prior = in_ship_range(warehouse.limits(), ship_range).filter(~F.col("is_open"))
         positions = _after_first_mark(positions, prior, ships, ship_range)
-        found = find_voyages(positions, statuses, prior, mode=increment, **rules).checkpoint()
+        found = find_voyages(positions, statuses, prior, mode=increment, **rules)
+        found = stored(found, "found")
         count = found.count()
         found = number_rows(found, ["ship_id", "datetime_start"], last_id, count)
         last_id += count

@@ -7,13 +7,13 @@
     loads, updates, runs   logs: what counts as stored
 
 Parquet has no DELETE, and a job can die between two writes. So a load or run writes its
-own partitions, replacing what an earlier attempt left there, and then its log entry;
-readers take only what the logs name. Voyages that a later run found again, or exports
+own partitions and then its log entry, and readers take only what the logs name. Voyages that a later run found again, or exports
 that a later run rebuilt, are skipped by the run numbers in the log.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -177,13 +177,16 @@ class Warehouse:
             for row in rows
         ]
 
+    def new_run_id(self, runs: list[Run]) -> int:
+        """Larger than the ids of all runs, and not that of one that died unlogged."""
+        return max(time.time_ns() // 1000, runs[-1].run_id + 1 if runs else 0)
+
     def log_run(self, run: Run) -> None:
         low, high = run.ship_range or (None, None)
         self.log("runs", [(run.mode, low, high, run.last_id, run.run_id)])
 
     def _stored(self, table: str, runs: list[Run]) -> DataFrame:
-        last = runs[-1].run_id if runs else 0
-        return self.read(table).filter(F.col("run_id") <= last)
+        return self.read(table).filter(F.col("run_id").isin([run.run_id for run in runs]))
 
     @staticmethod
     def _replaced(runs: list[Run], modes: tuple[str, ...]) -> Column:
