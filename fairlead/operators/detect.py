@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairlead.functions.columns import ACTIVE_STATUS, GAP_SECONDS, flag, micros, open_end
-from fairlead.operators.keys import lookup
+from fairlead.operators.keys import Sized, lookup
 from fairlead.operators.slices import Slicing, plan_slices
 from fairlead.session import stored
 
@@ -20,7 +20,7 @@ def gap_interval(gap_seconds: int) -> Column:
     return F.lit(timedelta(seconds=gap_seconds))
 
 
-def with_status(positions: DataFrame, statuses: DataFrame) -> DataFrame:
+def with_status(positions: DataFrame, statuses: DataFrame | Sized) -> DataFrame:
     """Reports of known ships with their status text; other columns are left out."""
     named = statuses.select(F.col("id").alias("nav_status_id"), "nav_status")
     kept = [c for c in [*REPORT, "load_date", "settled_until"] if c in positions.columns]
@@ -210,7 +210,7 @@ def unsettled(
 
 def limits_of(
     positions: DataFrame,
-    statuses: DataFrame,
+    statuses: DataFrame | Sized,
     slicing: Slicing,
     gap_seconds: int = GAP_SECONDS,
     active: str = ACTIVE_STATUS,
@@ -223,7 +223,7 @@ def limits_of(
 
 def find_voyages(
     positions: DataFrame,
-    statuses: DataFrame,
+    statuses: DataFrame | Sized,
     prior_limits: DataFrame | None = None,
     gap_seconds: int = GAP_SECONDS,
     active: str = ACTIVE_STATUS,

@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairlead.operators.keys import number_rows
+from fairlead.operators.keys import Sized, number_rows
 
 
-def add_new_keys(rows: DataFrame, known: DataFrame | None, key: str) -> DataFrame:
+def add_new_keys(rows: DataFrame, known: DataFrame | None, key: str) -> Sized:
     """Keys of the rows that the known table lacks, numbered on from its largest id."""
-    keys = rows.filter(F.col(key).isNotNull()).select(key).distinct()
+    rows = rows.filter(F.col(key).isNotNull())
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     start = 0
     if known is not None:
-        keys = keys.join(known, key, "left_anti")
+        counts = counts.join(known, key, "left_anti")
         start = known.agg(F.max("id")).first()[0] or 0
-    return number_rows(keys, [key], start).select("id", key)
+    keys, fullest = counts.agg(F.count(F.lit(1)), F.max("n")).first()
+    numbered = number_rows(counts.select(key), [key], start, keys)
+    return Sized(numbered.select("id", key), keys, fullest)
 
 
 def update_dimensions(
     new_rows: DataFrame, ships: DataFrame | None = None, statuses: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[Sized, Sized]:
     """Ships and statuses to append for the new staging rows."""
     return add_new_keys(new_rows, ships, "mmsi"), add_new_keys(new_rows, statuses, "nav_status")

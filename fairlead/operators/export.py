@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fairlead.functions.columns import open_end
 from fairlead.operators.detect import in_ship_range, limits_of, unsettled
-from fairlead.operators.keys import lookup
+from fairlead.operators.keys import Sized, lookup
 from fairlead.operators.slices import Slicing, plan_slices
 from fairlead.session import stored
 
@@ -202,7 +202,7 @@ def _continued(starts: DataFrame, slicing: Slicing) -> DataFrame:
 def export_trajectories(
     limits: DataFrame,
     positions: DataFrame,
-    ships: DataFrame,
+    ships: DataFrame | Sized,
     ship_id: int | None = None,
     ship_range: tuple[int, int] | None = None,
     max_points: int = MAX_POINTS,
@@ -220,8 +220,10 @@ def export_trajectories(
     named = ships.select(F.col("id").alias("ship_id"), "mmsi")
     limits = lookup(limits, named, "ship_id", spread="datetime_start")
     points = voyage_points(limits, positions, slicing, limit)
+    coordinates = F.struct(F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
+    vectors = [c for c in POINT if c not in ("position_id", "longitude", "latitude")]
     report = F.when(
-        F.col("seq").isNotNull(), F.struct("seq", *[c for c in POINT if c != "position_id"])
+        F.col("seq").isNotNull(), F.struct("seq", coordinates.alias("coordinates"), *vectors)
     )
     described = [c for c in limits.columns if c != "ship_id"]
     part = F.coalesce(F.floor(F.col("seq") / max_points), F.lit(0))
@@ -238,9 +240,7 @@ def export_trajectories(
         "ship_id",
         *described,
         "part",
-        F.transform(
-            "reports", lambda r: F.struct(r["longitude"].alias("lon"), r["latitude"].alias("lat"))
-        ).alias("coordinates"),
+        F.col("reports.coordinates").alias("coordinates"),
         F.col("reports.gps_timestamp").alias("timestamps"),
         F.col("reports.speed_over_ground").alias("speed_over_ground"),
         F.col("reports.course_over_ground").alias("course_over_ground"),
@@ -249,8 +249,8 @@ def export_trajectories(
 
 def find_and_export(
     positions: DataFrame,
-    statuses: DataFrame,
-    ships: DataFrame,
+    statuses: DataFrame | Sized,
+    ships: DataFrame | Sized,
     prior_limits: DataFrame | None = None,
     ship_range: tuple[int, int] | None = None,
     mode: str = "carry",

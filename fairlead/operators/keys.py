@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,22 @@ BROADCAST_ROWS = 1_000_000
 ONE_TASK_KEYS = 100_000
 
 
+@dataclass(frozen=True)
+class Sized:
+    """A table of one row per key with its counted rows.
+
+    `fullest` is the number of rows of the most frequent key in the data it was made
+    from, where that is known.
+    """
+
+    rows: DataFrame
+    count: int
+    fullest: int | None = None
+
+    def select(self, *columns) -> Sized:
+        return Sized(self.rows.select(*columns), self.count, self.fullest)
+
+
 def row_limit(total: int) -> int:
     """Largest group left whole: at most MAX_GROUPS groups of a table can exceed it."""
     return max(MIN_GROUP_ROWS, -(-total // MAX_GROUPS))
@@ -39,11 +57,10 @@ def oversized(facts: DataFrame, keys: list[str], limit: int | None = None) -> tu
 
 def lookup(
     facts: DataFrame,
-    table: DataFrame,
+    table: DataFrame | Sized,
     on: str,
     how: str = "left",
     spread: str = "position_id",
-    table_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     limit: int | None = None,
 ) -> DataFrame:
@@ -53,9 +70,9 @@ def lookup(
     every oversized key of the facts is dealt over several salts by the hash of the
     `spread` column, the key's one table row being repeated once per salt.
     """
-    if table_rows is None:
-        table_rows = table.count()
-    if table_rows <= broadcast_rows:
+    count = table.count if isinstance(table, Sized) else table.count()
+    table = table.rows if isinstance(table, Sized) else table
+    if count <= broadcast_rows:
         return facts.join(F.broadcast(table), on, how)
     limit, hot = oversized(facts.filter(F.col(on).isNotNull()), [on], limit)
     if not hot:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.operators.detect import last_stops
-from fairlead.operators.keys import lookup
+from fairlead.operators.keys import Sized, lookup
 from fairlead.schemas import MEASURES
 
 
@@ -33,8 +33,8 @@ def id_range(rows: DataFrame) -> DataFrame:
 
 def build_positions(
     staging: DataFrame,
-    ships: DataFrame,
-    statuses: DataFrame,
+    ships: DataFrame | Sized,
+    statuses: DataFrame | Sized,
     ids: tuple[int, int] | None = None,
     strict: bool = False,
 ) -> DataFrame:

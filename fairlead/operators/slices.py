@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairlead.functions.columns import micros
-from fairlead.operators.keys import oversized
+from fairlead.operators.keys import MIN_GROUP_ROWS, oversized
 from fairlead.session import stored
 
 # Slice lengths in microseconds, each dividing the one before: a day, ten seconds, a
@@ -96,12 +96,17 @@ class Slicing:
         )
 
 
-def plan_slices(reports: DataFrame, limit: int | None = None) -> Slicing:
+def plan_slices(
+    reports: DataFrame, limit: int | None = None, fullest: int | None = None
+) -> Slicing:
     """Count the reports per ship and cut the crowded ships.
 
-    One pre-aggregated count when no ship is crowded, one more per level otherwise. Each
+    Nothing is counted when no ship is known to have more reports than `fullest`, and that
+    is below any limit. Otherwise one pre-aggregated count when no ship is crowded, one more per level otherwise. Each
     list of crowded slices has at most total / limit rows, which keys.row_limit bounds.
     """
+    if limit is None and fullest is not None and fullest <= MIN_GROUP_ROWS:
+        return Slicing(MIN_GROUP_ROWS)
     reports = reports.filter(F.col("ship_id").isNotNull()).select(
         "ship_id", "gps_timestamp", "position_id"
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.operators import detect, dimensions, export, positions, quality
+from fairlead.operators.keys import Sized
 from fairlead.operators.slices import Slicing, plan_slices
 from fairlead.session import scratch_path, stored
 from fairlead.sources.csv import ingest_csv
@@ -37,11 +38,11 @@ class Tables:
         return staging_from_events(self.spark, self.sf_dir)
 
     @cached_property
-    def ships(self) -> DataFrame:
+    def ships(self) -> Sized:
         return dimensions.add_new_keys(self.staging, None, "mmsi")
 
     @cached_property
-    def statuses(self) -> DataFrame:
+    def statuses(self) -> Sized:
         return dimensions.add_new_keys(self.staging, None, "nav_status")
 
     @cached_property
@@ -50,7 +51,7 @@ class Tables:
 
     @cached_property
     def slicing(self) -> Slicing:
-        return plan_slices(self.positions)
+        return plan_slices(self.positions, fullest=self.ships.fullest)
 
     @cached_property
     def rows(self) -> DataFrame:
@@ -107,8 +108,8 @@ def reject_rows(t: Tables) -> DataFrame:
 
 def _dimension(t: Tables, key: str) -> DataFrame:
     first = F.col("load_date") <= F.lit(str(FIRST_MARK)).cast("timestamp_ntz")
-    known = dimensions.add_new_keys(t.staging.filter(first), None, key)
-    return known.unionByName(dimensions.add_new_keys(t.staging.filter(~first), known, key))
+    known = dimensions.add_new_keys(t.staging.filter(first), None, key).rows
+    return known.unionByName(dimensions.add_new_keys(t.staging.filter(~first), known, key).rows)
 
 
 def dim_ships(t: Tables) -> DataFrame:
@@ -236,7 +237,7 @@ def _line_ends(lines: DataFrame) -> DataFrame:
     def last(array: str, field: str = "") -> F.Column:
         return F.max_by(F.element_at(array, -1)[field] if field else F.element_at(array, -1), "part")
 
-    nulls = F.size(F.filter("heading", lambda h: h.isNull()))
+    nulls = F.size("heading") - F.size(F.array_compact("heading"))
     return lines.groupBy("ship_id", "mmsi", "datetime_start", "datetime_stop").agg(
         F.sum(F.size("timestamps")).cast("bigint").alias("n_points"),
         F.sum(nulls).cast("bigint").alias("n_null_heading"),
@@ -251,11 +252,11 @@ def _line_ends(lines: DataFrame) -> DataFrame:
 
 def trajectory_export(t: Tables) -> DataFrame:
     """All ships, given as the range from the smallest to the largest ship id."""
-    ids = t.ships.agg(F.min("id"), F.max("id")).first()
+    ids = (1, t.ships.count)
     limits = detect.limits_of(t.positions, t.statuses, t.slicing, WIDE_GAP_SECONDS)
     return _line_ends(
         export.export_trajectories(
-            limits, t.positions, t.ships, ship_range=tuple(ids), slicing=t.slicing
+            limits, t.positions, t.ships, ship_range=ids, slicing=t.slicing
         )
     )
 
@@ -279,7 +280,7 @@ def dq_duplicate_keys(t: Tables) -> DataFrame:
 
 def dq_orphans(t: Tables) -> DataFrame:
     first = F.col("load_date") <= F.lit(str(FIRST_MARK)).cast("timestamp_ntz")
-    ships = dimensions.add_new_keys(t.staging.filter(first), None, "mmsi")
+    ships = dimensions.add_new_keys(t.staging.filter(first), None, "mmsi").rows
     sited = t.staging.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     return quality.orphans(sited, ships, "mmsi").select("position_id", "mmsi")
 

@@ -63,8 +63,8 @@ def update_warehouse(warehouse: Warehouse, strict: bool = False) -> tuple[int, i
     ships, statuses = update_dimensions(
         new, warehouse.read("ships"), warehouse.read("nav_statuses")
     )
-    warehouse.append("ships", ships)
-    warehouse.append("nav_statuses", statuses)
+    warehouse.append("ships", ships.rows)
+    warehouse.append("nav_statuses", statuses.rows)
     positions = build_positions(
         new, warehouse.read("ships"), warehouse.read("nav_statuses"), strict=strict
     )
