@@ -20,16 +20,28 @@ def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def _day_and_seconds(ts: Column) -> tuple[Column, Column]:
+    day = F.datediff(ts, F.lit("1970-01-01").cast("date")).cast("bigint")
+    return day, (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)).cast("bigint")
+
+
 def micros(ts: Column) -> Column:
     """Microseconds since 1970 of a zoneless timestamp, whatever the session time zone."""
-    days = F.datediff(ts, F.lit("1970-01-01").cast("date")).cast("bigint")
-    seconds = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
-    return (
-        days * 86_400_000_000
-        + F.hour(ts).cast("bigint") * 3_600_000_000
-        + F.minute(ts).cast("bigint") * 60_000_000
-        + seconds
-    )
+    day, second = _day_and_seconds(ts)
+    fraction = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint") % 1_000_000
+    return day * 86_400_000_000 + second * 1_000_000 + fraction
+
+
+def span_start(ts: Column, span: int) -> Column:
+    """Start of the span of so many microseconds that the time is in, as micros."""
+    day, second = _day_and_seconds(ts)
+    if span == 86_400_000_000:
+        at = day * 86_400_000_000
+    elif span % 1_000_000 == 0:
+        at = day * 86_400_000_000 + second * 1_000_000
+    else:
+        at = micros(ts)
+    return at - F.pmod(at, F.lit(span))
 
 
 def flag(condition: Column) -> Column:

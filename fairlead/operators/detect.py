@@ -44,15 +44,15 @@ def deltas(reports: DataFrame, slicing: Slicing | None = None) -> DataFrame:
         F.lead("nav_status").over(series).alias("nav_status_next"),
     )
     if slicing.cut:
-        rows = _across_slices(rows, slicing)
+        rows = _across_slices(rows, reports, slicing)
     return rows.withColumn("delta_t", F.col("gps_timestamp") - F.col("timestamp_prev"))
 
 
-def _across_slices(rows: DataFrame, slicing: Slicing) -> DataFrame:
+def _across_slices(rows: DataFrame, reports: DataFrame, slicing: Slicing) -> DataFrame:
     """Fill the neighbours of each slice's first and last report from the slices beside it."""
     report = F.struct(*IN_TIME, "nav_status")
     ends = (
-        rows.filter(F.col("timestamp_prev").isNull() | F.col("timestamp_next").isNull())
+        slicing.of_cut_ships(reports)
         .groupBy(*slicing.keys)
         .agg(F.min(report).alias("first"), F.max(report).alias("last"))
     )
@@ -230,6 +230,7 @@ def find_voyages(
     ship_range: tuple[int, int] | None = None,
     mode: str = "carry",
     limit: int | None = None,
+    fullest: int | None = None,
 ) -> DataFrame:
     """Limits of the voyages in the positions: ship_id, datetime_start, datetime_stop, is_open.
 
@@ -237,4 +238,5 @@ def find_voyages(
     open voyages among the prior limits are found again and should be dropped.
     """
     positions = unsettled(positions, prior_limits, ship_range, mode)
-    return limits_of(positions, statuses, plan_slices(positions, limit), gap_seconds, active)
+    slicing = plan_slices(positions, limit, fullest)
+    return limits_of(positions, statuses, slicing, gap_seconds, active)

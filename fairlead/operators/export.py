@@ -67,14 +67,16 @@ def _timeline(limits: DataFrame, reports: DataFrame, slicing: Slicing) -> DataFr
     rows = events.withColumns({c: F.sum(counted(k)).over(so_far) for c, k in counts.items()})
     if not slicing.cut:
         return rows
+    none = F.lit(0)
     totals = (
-        bounds.select(
+        slicing.of_cut_ships(bounds)
+        .select(
             *slicing.keys, counted(START).alias("begun"), counted(STOP).alias("done"),
-            F.lit(0).alias("told"),
+            none.alias("told"),
         )
         .unionByName(
             slicing.slices.select(
-                *slicing.keys, F.lit(0).alias("begun"), F.lit(0).alias("done"),
+                *slicing.keys, none.alias("begun"), none.alias("done"),
                 F.col("reports").alias("told"),
             )
         )
@@ -82,8 +84,8 @@ def _timeline(limits: DataFrame, reports: DataFrame, slicing: Slicing) -> DataFr
         .agg(*[F.sum(c).alias(c) for c in counts])
     )
     before = slicing.running_before(totals, list(counts))
-    return rows.join(before, slicing.keys).withColumns(
-        {c: F.col(c) + F.col(f"{c}_before") for c in counts}
+    return rows.join(before, slicing.keys, "left").withColumns(
+        {c: F.col(c) + F.coalesce(f"{c}_before", none) for c in counts}
     )
 
 
@@ -103,8 +105,10 @@ def voyage_points(
     """
     slicing = slicing or plan_slices(positions, limit)
     reports = positions.filter(F.col("ship_id").isNotNull()).select("ship_id", *POINT)
+    described = [f"known.{c}" for c in limits.columns if c != "ship_id"]
     if slicing.cut:
-        limits = stored(_starts(limits, reports, slicing), "starts")
+        starts = stored(_starts(limits, reports, slicing), "starts")
+        limits = starts.unionByName(slicing.of_whole_ships(limits), allowMissingColumns=True)
     rows = _timeline(limits, reports, slicing)
     is_start, is_report = F.col("kind") == START, F.col("kind") == REPORT
     first = F.when(is_start, F.col("begun")).otherwise(F.col("done") + 1)
@@ -115,7 +119,7 @@ def voyage_points(
         .select(*slicing.keys, "voyage_no", "kind", *POINT, "voyage", "told", "told_before")
     )
     if slicing.cut:
-        members = members.unionByName(_continued(limits, slicing), allowMissingColumns=True)
+        members = members.unionByName(_continued(starts, slicing), allowMissingColumns=True)
     in_voyage = Window.partitionBy(*slicing.keys, "voyage_no").orderBy(*IN_ORDER)
     numbered = members.select(
         "ship_id",
@@ -127,8 +131,9 @@ def voyage_points(
         F.lead("kind").over(in_voyage).isNull().alias("ends_here"),
     )
     # The start row itself only stays when its voyage has no reports.
-    empty = F.col("known.empty") if slicing.cut else F.col("ends_here")
-    described = [f"known.{c}" for c in limits.columns if c not in ("ship_id", *ADDED)]
+    empty = F.col("ends_here")
+    if slicing.cut:
+        empty = F.coalesce("known.empty", empty)
     return numbered.filter(is_report | (is_start & empty)).select(
         "ship_id",
         "voyage_no",
@@ -139,12 +144,10 @@ def voyage_points(
     )
 
 
-ADDED = ("number", "told_at_start", "empty")
-
-
 def _starts(limits: DataFrame, reports: DataFrame, slicing: Slicing) -> DataFrame:
-    """The limits with the voyage's number, the reports told before it, and if it has none."""
-    bounds = _timeline(limits, reports.select("ship_id", *IN_ORDER[::2]), slicing)
+    """The cut ships' limits, each with its number, the reports before it, and if it has none."""
+    in_time = slicing.of_cut_ships(reports.select("ship_id", "gps_timestamp", "position_id"))
+    bounds = _timeline(slicing.of_cut_ships(limits), in_time, slicing)
     stops = bounds.filter(F.col("kind") == STOP).select(
         "ship_id", F.col("done").alias("number"), F.col("told").alias("told_at_stop")
     )
@@ -159,8 +162,11 @@ def _starts(limits: DataFrame, reports: DataFrame, slicing: Slicing) -> DataFram
     return (
         starts.join(stops, ["ship_id", "number"], "left")
         .join(ships, "ship_id", "left")
-        .select(*limits.columns, *ADDED[:2], (told == F.col("told_at_start")).alias("empty"))
-    )
+        .select(
+            *limits.columns, "number", "told_at_start",
+            (told == F.col("told_at_start")).alias("empty"),
+        )
+    )
 
 
 def _continued(starts: DataFrame, slicing: Slicing) -> DataFrame:
@@ -256,12 +262,13 @@ def find_and_export(
     mode: str = "carry",
     max_points: int = MAX_POINTS,
     limit: int | None = None,
+    fullest: int | None = None,
     **rules,
 ) -> tuple[DataFrame, DataFrame]:
     """The voyages found by this run, and their export."""
     # Earlier reports cannot lie in the new voyages.
     fresh = unsettled(positions, prior_limits, ship_range, mode)
-    slicing = plan_slices(fresh, limit)
+    slicing = plan_slices(fresh, limit, fullest)
     limits = limits_of(fresh, statuses, slicing, **rules)
     if slicing.cut:
         limits = stored(limits, "limits")

@@ -8,8 +8,9 @@ instant, which are cut by position id. Every operator then works per slice and b
 what it needs from the neighbouring slices through one summary row per slice.
 
 When no ship is over the limit nothing is cut and the plans are plain windows per ship.
-When ships are cut, the small tables a later step needs twice (slices, boundaries, voyage
-starts) are written to the shared folder, so that each pass over the reports is one scan.
+When ships are cut, the extra passes read the cut ships alone, and the small tables a later
+step needs (slices, their ends, boundaries, voyage starts) are written to the shared folder,
+so that no plan computes them twice.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairlead.functions.columns import micros
+from fairlead.functions.columns import span_start
 from fairlead.operators.keys import MIN_GROUP_ROWS, oversized
 from fairlead.session import stored
 
@@ -34,7 +35,7 @@ WHOLE = -(2**62)
 class Slicing:
     """The crowded slices found at each level; none means that ships are left whole.
 
-    With cut ships, `slices` holds one row per slice: its keys and number of reports.
+    `slices` holds one row per slice of the cut ships: its keys and number of reports.
     """
 
     limit: int
@@ -63,7 +64,7 @@ class Slicing:
         if not self.cut:
             return rows
         rows = rows.withColumn("slice_start", F.lit(WHOLE).cast("bigint"))
-        at = micros(F.col("gps_timestamp"))
+        at = F.col("gps_timestamp")
         for level, crowded in enumerate(self.crowded):
             rows = rows.join(
                 F.broadcast(crowded.withColumn("crowded", F.lit(True))),
@@ -71,10 +72,8 @@ class Slicing:
                 "left",
             )
             if level < len(SPANS):
-                start = at - F.pmod(at, F.lit(SPANS[level]))
-                rows = rows.withColumn(
-                    "slice_start", F.when(F.col("crowded"), start).otherwise(F.col("slice_start"))
-                )
+                start = F.when(F.col("crowded"), span_start(at, SPANS[level]))
+                rows = rows.withColumn("slice_start", F.coalesce(start, "slice_start"))
             else:
                 by_id = F.floor(F.col("position_id") / self.limit) if part is None else part
                 rows = rows.withColumn(
@@ -83,6 +82,12 @@ class Slicing:
             rows = rows.drop("crowded")
         return rows
 
+    def of_cut_ships(self, rows: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(self.crowded[0].select("ship_id")), "ship_id", "left_semi")
+
+    def of_whole_ships(self, rows: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(self.crowded[0].select("ship_id")), "ship_id", "left_anti")
+
     def running_before(self, totals: DataFrame, columns: list[str]) -> DataFrame:
         """Per slice, the sums of the columns over the ship's earlier slices."""
         earlier = (
@@ -119,8 +124,8 @@ def plan_slices(
             "ship_id bigint, slice_start bigint",
         )
         slicing = Slicing(limit, slicing.crowded + [found])
-        cut = slicing.assign(reports).filter(F.col("slice_start") != WHOLE)
-        _, rows = oversized(cut, slicing.time_keys, limit)
+        reports = slicing.of_cut_ships(reports) if len(slicing.crowded) == 1 else reports
+        _, rows = oversized(slicing.assign(reports), slicing.time_keys, limit)
     if not slicing.cut:
         return slicing
     slices = slicing.assign(reports).groupBy(*slicing.keys).agg(F.count(F.lit(1)).alias("reports"))

@@ -78,7 +78,9 @@ class Tables:
     @cached_property
     def earlier_limits(self) -> DataFrame:
         """Voyages of the first increment, stored as they would be between two runs."""
-        limits = detect.find_voyages(self.earlier_positions, self.statuses)
+        limits = detect.find_voyages(
+            self.earlier_positions, self.statuses, fullest=self.ships.fullest
+        )
         return stored(limits, "earlier-limits")
 
     @cached_property
@@ -164,7 +166,9 @@ def voyage_limits_wide_gap(t: Tables) -> DataFrame:
 
 
 def _incremental(t: Tables, mode: str) -> DataFrame:
-    found = detect.find_voyages(t.positions, t.statuses, t.earlier_limits, mode=mode)
+    found = detect.find_voyages(
+        t.positions, t.statuses, t.earlier_limits, mode=mode, fullest=t.ships.fullest
+    )
     return t.closed_limits.unionByName(found)
 
 
@@ -265,12 +269,16 @@ def export_one_ship(t: Tables) -> DataFrame:
     """The ship with the most reports."""
     counts = t.positions.groupBy("ship_id").agg(F.count(F.lit(1)).alias("n"))
     busiest = counts.orderBy(F.col("n").desc(), "ship_id").first()["ship_id"]
-    lines = export.export_trajectories(t.limits, t.positions, t.ships, ship_id=busiest)
+    lines = export.export_trajectories(
+        t.limits, t.positions, t.ships, ship_id=busiest, slicing=t.slicing if not t.slicing.cut else None
+    )
     return _line_ends(lines)
 
 
 def find_and_export(t: Tables) -> DataFrame:
-    _, lines = export.find_and_export(t.positions, t.statuses, t.ships, t.earlier_limits)
+    _, lines = export.find_and_export(
+        t.positions, t.statuses, t.ships, t.earlier_limits, fullest=t.ships.fullest
+    )
     return _line_ends(lines)
 
 
