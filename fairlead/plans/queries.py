@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from fairlead.operators import detect, dimensions, export, positions, quality
 from fairlead.operators.keys import Sized
 from fairlead.operators.slices import Slicing, plan_slices
+from fairlead.plans.voyages import run_voyages
+from fairlead.plans.warehouse import store_load, update_warehouse
+from fairlead.schemas import CSV_COLUMNS
 from fairlead.session import scratch_path, stored
 from fairlead.sources.csv import ingest_csv
 from fairlead.sources.events import staging_from_events
-from fairlead.schemas import CSV_COLUMNS
+from fairlead.sources.tables import Warehouse
 
 # The loads up to FIRST_MARK hold most, but not all, ships; MARK splits the loads in two.
 FIRST_MARK = datetime(2024, 1, 2)
@@ -339,6 +342,30 @@ def ingest_rejects(t: Tables) -> DataFrame:
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _warehouse(t: Tables, mode: str | None = None) -> Warehouse:
+    """The jobs over new tables: two loads, each brought in and searched for voyages."""
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    for load_id, rows in (("1", t.loaded), ("2", t.newer)):
+        store_load(warehouse, load_id, MARK, rows, None)
+        update_warehouse(warehouse)
+        if mode:
+            run_voyages(warehouse, mode)
+    return warehouse
+
+
+def warehouse_positions(t: Tables) -> DataFrame:
+    return _short(_warehouse(t).positions().drop("load_id", "gps_date"))
+
+
+def warehouse_limits(t: Tables) -> DataFrame:
+    found = _warehouse(t, "find").limits()
+    return found.select("ship_id", "datetime_start", "datetime_stop", "is_open")
+
+
+def warehouse_exports(t: Tables) -> DataFrame:
+    return _vectors(_warehouse(t, "find_export").exports())
+
+
 QUERIES = {
     "staging_count": staging_count,
     "ingest_strict": ingest_strict,
@@ -364,6 +391,9 @@ QUERIES = {
     "voyage_incremental": voyage_incremental,
     "voyage_incremental_carry": voyage_incremental_carry,
     "late_positions": late_positions,
+    "warehouse_positions": warehouse_positions,
+    "warehouse_limits": warehouse_limits,
+    "warehouse_exports": warehouse_exports,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_orphans": dq_orphans,
 }

@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     reads and writes every file, may fall back to a temporary folder.
     """
     context = spark.sparkContext
-    folder = context.getConf().get(CHECKPOINT_KEY) or context.getCheckpointDir()
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")

@@ -153,6 +153,17 @@ SPOILT = """spoilt AS (
 INGESTED = """gps_timestamp, mmsi, latitude, longitude, nav_status,
        speed_over_ground AS sog, heading, course_over_ground AS cog"""
 
+# In the warehouse, ships new in the second load get the ids after those of the first.
+STORED_DIMENSIONS = f"""ships AS (
+  SELECT CAST(row_number() OVER (ORDER BY load, mmsi) AS BIGINT) AS id, mmsi
+  FROM (SELECT mmsi, CASE WHEN min(load_date) <= {MARK} THEN 1 ELSE 2 END AS load
+        FROM staging GROUP BY mmsi) k),
+statuses AS (
+  SELECT CAST(row_number() OVER (ORDER BY load, nav_status) AS BIGINT) AS id, nav_status
+  FROM (SELECT nav_status, CASE WHEN min(load_date) <= {MARK} THEN 1 ELSE 2 END AS load
+        FROM staging GROUP BY nav_status) k)"""
+STORED = ",\n".join([STAGING, STORED_DIMENSIONS, POSITIONS])
+
 ORACLES = {
     "staging_count": with_(STAGING, select="SELECT count(*) AS n FROM staging"),
     "ingest_strict": with_(STAGING, select=f"SELECT {INGESTED} FROM staging"),
@@ -270,6 +281,15 @@ UNION ALL SELECT {LIMIT_COLUMNS} FROM two_limits""",
 FROM arrived a JOIN stored s ON a.ship_id = s.ship_id
 WHERE a.load_date > {MARK} AND a.gps_timestamp <= s.last_stop""",
     ),
+    "warehouse_positions": with_(STORED, select="SELECT * FROM positions"),
+    "warehouse_exports": with_(
+        STORED,
+        ALL,
+        points("v_limits", "pts"),
+        select="""SELECT pts.ship_id, ships.mmsi, datetime_start, datetime_stop, seq, gps_timestamp,
+  longitude, latitude, sog, cog, heading FROM pts LEFT JOIN ships ON pts.ship_id = ships.id""",
+    ),
+    "warehouse_limits": with_(STORED, ALL, select=f"SELECT {LIMIT_COLUMNS} FROM v_limits"),
     "dq_duplicate_keys": with_(
         STAGING, select="SELECT mmsi, count(*) AS n FROM staging GROUP BY mmsi HAVING count(*) > 1"
     ),
