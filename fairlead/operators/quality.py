@@ -23,7 +23,9 @@ def reject_reason() -> Column:
 
 
 def reject_rows(staging: DataFrame) -> DataFrame:
-    return staging.select("position_id", reject_reason().alias("reason")).filter(
+    """Staging rows that cannot become positions, with the reason."""
+    kept = [c for c in ["position_id", "load_id"] if c in staging.columns]
+    return staging.select(*kept, reject_reason().alias("reason")).filter(
         F.col("reason").isNotNull()
     )
 

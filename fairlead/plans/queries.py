@@ -298,10 +298,7 @@ def dq_orphans(t: Tables) -> DataFrame:
 
 def _as_csv(t: Tables, spoil: bool) -> str:
     """The staging rows and the events' props as CSV files in the shared folder."""
-    rows = t.spark.read.parquet(f"{t.sf_dir}/events.parquet").select(
-        (F.col("event_id") + 1).alias("position_id"), "props"
-    )
-    rows = t.staging.join(rows, "position_id").drop("load_date")
+    rows = staging_from_events(t.spark, t.sf_dir, "props").drop("load_date")
     if spoil:
         nth = F.col("position_id")
         rows = rows.withColumns(
@@ -315,7 +312,7 @@ def _as_csv(t: Tables, spoil: bool) -> str:
         )
     path = scratch_path(t.spark, "csv")
     headers = {name: header for header, name in CSV_COLUMNS.items()}
-    # The id travels in a column the reader must ignore; speed carries it back out.
+    # The JSON in props has quotes and commas, in a column the reader must pass over.
     rows.select(
         "props",
         *[F.col(name).alias(header) for name, header in sorted(headers.items())],

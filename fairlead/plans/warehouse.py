@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fairlead.operators.dimensions import update_dimensions
 from fairlead.operators.positions import build_positions, id_range
+from fairlead.operators.quality import reject_reason, reject_rows
 from fairlead.sources.csv import ingest_csv
 from fairlead.sources.tables import Warehouse
 
@@ -51,23 +52,26 @@ def store_load(
 def update_warehouse(warehouse: Warehouse, strict: bool = False) -> tuple[int, int] | None:
     """Bring the loads not yet normalised into ships, statuses and positions.
 
+    Rows that break a rule of the tables are set aside as refused; strict mode fails on them.
     Returns the smallest and largest staging id of those loads, or None without new rows.
     """
     pending = warehouse.pending_loads()
     if not any(load["rows"] for load in pending):
         return None
     new = warehouse.staging([load["load_id"] for load in pending])
-    if strict and (missing := new.filter(F.col("mmsi").isNull()).count()):
-        raise ValueError(f"{missing} rows have no mmsi")
+    refused = reject_rows(new)
+    if strict and (first := refused.orderBy("position_id").first()):
+        raise ValueError(f"position {first['position_id']}: {first['reason']}")
+    warehouse.replace_partitions("refused", refused, ["load_id"])
     ids = id_range(new).first()
     ships, statuses = update_dimensions(
         new, warehouse.read("ships"), warehouse.read("nav_statuses")
     )
     warehouse.append("ships", ships.rows)
     warehouse.append("nav_statuses", statuses.rows)
-    positions = build_positions(
-        new, warehouse.read("ships"), warehouse.read("nav_statuses"), strict=strict
+    fit = new.filter(reject_reason().isNull())
+    warehouse.write_positions(
+        build_positions(fit, warehouse.read("ships"), warehouse.read("nav_statuses"))
     )
-    warehouse.write_positions(positions)
     warehouse.log("updates", [(row["load_date"], row["load_id"]) for row in pending])
     return ids["min_id"], ids["max_id"]

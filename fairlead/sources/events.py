@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def staging_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staging_from_events(spark: SparkSession, sf_dir: str, *further: str) -> DataFrame:
+    """Staging rows, and further columns of the events as they are."""
     event, user = F.col("event_id"), F.col("user_id")
     midnight = F.col("ts").cast("date").cast("timestamp_ntz")
     return spark.read.parquet(f"{sf_dir}/events.parquet").select(
@@ -26,4 +27,5 @@ def staging_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 17 != 0, (event % 360).cast("double")).alias("heading"),
         ((event * 7) % 360).cast("double").alias("course_over_ground"),
         (midnight + F.expr("INTERVAL '1' DAY")).alias("load_date"),
+        *further,
     )

@@ -1,6 +1,7 @@
 """The warehouse as Parquet folders.
 
-    staging, rejects   one partition per load
+    staging, rejects   one partition per load: typed rows, and lines that do not convert
+    refused            one partition per load: staging rows that cannot become positions
     ships, nav_statuses
     positions          partitions per load and day, sorted by ship and time
     limits, exports    one partition per run, closed and open voyages apart
@@ -34,6 +35,10 @@ SCHEMAS = {
     "rejects": T.StructType(
         [T.StructField("reason", T.StringType()), T.StructField("line", T.StringType())] + _LOAD
     ),
+    "refused": T.StructType(
+        [T.StructField("position_id", T.LongType()), T.StructField("reason", T.StringType())]
+        + _LOAD
+    ),
     "ships": SHIPS,
     "nav_statuses": NAV_STATUSES,
     "positions": T.StructType(

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from fairlead.__main__ import main, parser
 from fairlead.operators.detect import find_voyages
+from fairlead.operators.positions import build_positions
+from fairlead.plans.queries import Tables
 from fairlead.plans.voyages import run_voyages
 from fairlead.plans.warehouse import load_csv, store_load, update_warehouse
 from fairlead.sources.events import staging_from_events
@@ -145,6 +147,7 @@ def test_command_line(spark, tmp_path):
     main(["-w", root, "update"], spark)
     main(["-w", root, "update"], spark)
     assert warehouse.positions().count() == 15
+    assert warehouse.read("refused").count() == 0
     main(["-w", root, "voyages", "--export"], spark)
     main(["-w", root, "voyages", "--skip_finding"], spark)
     main(["-w", root, "voyages", "--skip_finding", "--export"], spark)
@@ -158,11 +161,20 @@ def test_strict_update_fails_on_a_row_without_a_point(spark, tmp_path):
     write(tmp_path, "in/a.csv", SHUFFLED, line(lat=""))
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     assert load_csv(warehouse, str(tmp_path / "in")) == 1
-    with pytest.raises(Exception, match="no point"):
+    with pytest.raises(ValueError, match="position 1: latitude is missing"):
         update_warehouse(warehouse, strict=True)
     assert warehouse.positions().count() == 0
     update_warehouse(warehouse)
     assert warehouse.positions().count() == 0 and warehouse.read("ships").count() == 1
+    (refused,) = warehouse.read("refused").collect()
+    assert (refused["position_id"], refused["reason"]) == (1, "latitude is missing")
+
+
+def test_building_positions_strictly_fails_on_a_missing_point(spark, sf_dir):
+    tables = Tables(spark, sf_dir)
+    built = build_positions(tables.staging, tables.ships, tables.statuses, strict=True)
+    with pytest.raises(Exception, match="no point"):
+        built.collect()
 
 
 def test_streamed_files_are_loaded_once(spark, tmp_path):
