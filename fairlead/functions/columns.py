@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-OPEN_END_TEXT = "9999-12-31 00:00:00"
+OPEN_END = datetime(9999, 12, 31)
 ACTIVE_STATUS = "Engine"
 GAP_SECONDS = 15 * 60
 
 
 def open_end() -> Column:
     """Stop time of a voyage that has not ended yet."""
-    return F.lit(OPEN_END_TEXT).cast("timestamp_ntz")
+    return ntz(OPEN_END)
+
+
+def ntz(at: datetime) -> Column:
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def ntz(text: str) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
+def utc_now() -> datetime:
+    """The time of a load, without a zone like all times here."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
 def _day_and_seconds(ts: Column) -> tuple[Column, Column]:

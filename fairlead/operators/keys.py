@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fairlead.session import stored
 
 # A group of rows larger than this is split; see row_limit.
-MIN_GROUP_ROWS = 4_000_000
+MIN_GROUP_ROWS = 1_000_000
 # No list of oversized groups is longer than this, so it may be collected and broadcast.
 MAX_GROUPS = 10_000
 # Lookup tables up to this many rows are broadcast (20-character key and a long each).

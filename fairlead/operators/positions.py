@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fairlead.functions.columns import ntz
 from fairlead.operators.detect import last_stops
 from fairlead.operators.keys import Sized, lookup
 from fairlead.schemas import MEASURES
@@ -21,7 +22,7 @@ def new_rows(staging: DataFrame, mark: datetime | None) -> DataFrame:
     """Staging rows of loads after the mark; all of them without a mark."""
     if mark is None:
         return staging
-    return staging.filter(F.col("load_date") > F.lit(str(mark)).cast("timestamp_ntz"))
+    return staging.filter(F.col("load_date") > ntz(mark))
 
 
 def id_range(rows: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairlead.operators.keys import lookup
+from fairlead.operators.keys import Sized, lookup
 from fairlead.schemas import MMSI_LENGTH
 
 
@@ -35,8 +37,47 @@ def duplicate_keys(table: DataFrame, key: str) -> DataFrame:
     return table.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def orphans(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Rows whose key, where they have one, is not among the parents."""
-    return lookup(
-        rows.filter(F.col(key).isNotNull()), parents.select(key).distinct(), key, how="left_anti"
+def orphans(
+    rows: DataFrame, parents: DataFrame | Sized, key: str, spread: str = "position_id"
+) -> DataFrame:
+    """Rows whose key, where they have one, is not among the parents' unique keys."""
+    kept = rows.filter(F.col(key).isNotNull())
+    return lookup(kept, parents.select(key), key, how="left_anti", spread=spread)
+
+
+def constraint_report(
+    staging: DataFrame,
+    ships: DataFrame | Sized,
+    statuses: DataFrame | Sized,
+    positions: DataFrame,
+    limits: DataFrame,
+) -> DataFrame:
+    """Per rule of the tables, the number of rows (or keys) that break it."""
+
+    def plain(table: DataFrame | Sized) -> DataFrame:
+        return table.rows if isinstance(table, Sized) else table
+
+    ship_ids = ships.select(F.col("id").alias("ship_id"))
+    status_ids = statuses.select(F.col("id").alias("nav_status_id"))
+    unplaced = F.col("longitude").isNull() | F.col("latitude").isNull()
+    no_times = F.col("datetime_start").isNull() | F.col("datetime_stop").isNull()
+    broken = {
+        "ship listed twice": duplicate_keys(plain(ships), "mmsi"),
+        "status listed twice": duplicate_keys(plain(statuses), "nav_status"),
+        "position without point": positions.filter(unplaced),
+        "position of unknown ship": orphans(positions, ship_ids, "ship_id"),
+        "position of unknown status": orphans(positions, status_ids, "nav_status_id"),
+        "voyage without limits": limits.filter(no_times),
+        "voyage of unknown ship": orphans(limits, ship_ids, "ship_id", spread="datetime_start"),
+    }
+    counts = [
+        rows.agg(F.lit(rule).alias("rule"), F.count(F.lit(1)).alias("broken"))
+        for rule, rows in broken.items()
+    ]
+    refused = (
+        reject_rows(staging)
+        .groupBy("reason")
+        .agg(F.count(F.lit(1)).alias("broken"))
+        .select(F.concat(F.lit("staging: "), "reason").alias("rule"), "broken")
     )
+    return reduce(DataFrame.unionByName, counts, refused)

@@ -10,8 +10,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fairlead.functions.columns import ntz
 from fairlead.operators import detect, dimensions, export, positions, quality
-from fairlead.operators.keys import Sized
+from fairlead.operators.keys import Sized, lookup
 from fairlead.operators.slices import Slicing, plan_slices
 from fairlead.plans.voyages import run_voyages
 from fairlead.plans.warehouse import store_load, update_warehouse
@@ -72,11 +73,11 @@ class Tables:
     @cached_property
     def loaded(self) -> DataFrame:
         """Staging rows of the loads up to MARK."""
-        return self.staging.filter(F.col("load_date") <= F.lit(str(MARK)).cast("timestamp_ntz"))
+        return self.staging.filter(F.col("load_date") <= ntz(MARK))
 
     @cached_property
     def earlier_positions(self) -> DataFrame:
-        return self.positions.filter(F.col("load_date") <= F.lit(str(MARK)).cast("timestamp_ntz"))
+        return self.positions.filter(F.col("load_date") <= ntz(MARK))
 
     @cached_property
     def earlier_limits(self) -> DataFrame:
@@ -112,7 +113,7 @@ def reject_rows(t: Tables) -> DataFrame:
 
 
 def _dimension(t: Tables, key: str) -> DataFrame:
-    first = F.col("load_date") <= F.lit(str(FIRST_MARK)).cast("timestamp_ntz")
+    first = F.col("load_date") <= ntz(FIRST_MARK)
     known = dimensions.add_new_keys(t.staging.filter(first), None, key).rows
     return known.unionByName(dimensions.add_new_keys(t.staging.filter(~first), known, key).rows)
 
@@ -185,7 +186,7 @@ def voyage_incremental_carry(t: Tables) -> DataFrame:
 
 def late_positions(t: Tables) -> DataFrame:
     """Some reports arrive 20 days late; which of them will no increment read?"""
-    is_late = (F.col("load_date") > F.lit(str(MARK)).cast("timestamp_ntz")) & (
+    is_late = (F.col("load_date") > ntz(MARK)) & (
         F.col("position_id") % 50 == 0
     )
     moved = F.col("gps_timestamp") - F.expr("INTERVAL '20' DAY")
@@ -290,12 +291,20 @@ def dq_duplicate_keys(t: Tables) -> DataFrame:
 
 
 def dq_orphans(t: Tables) -> DataFrame:
-    first = F.col("load_date") <= F.lit(str(FIRST_MARK)).cast("timestamp_ntz")
-    ships = dimensions.add_new_keys(t.staging.filter(first), None, "mmsi").rows
+    first = F.col("load_date") <= ntz(FIRST_MARK)
+    ships = dimensions.add_new_keys(t.staging.filter(first), None, "mmsi")
     sited = t.staging.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     return quality.orphans(sited, ships, "mmsi").select("position_id", "mmsi")
 
 
+def dq_constraints(t: Tables) -> DataFrame:
+    """The rules over the tables, with the ships of the loads up to FIRST_MARK alone."""
+    first = F.col("load_date") <= ntz(FIRST_MARK)
+    ships = dimensions.add_new_keys(t.staging.filter(first), None, "mmsi")
+    known = lookup(t.ships.rows, ships.select("mmsi"), "mmsi", "left_semi", spread="id")
+    return quality.constraint_report(t.staging, known, t.statuses, t.positions, t.limits)
+
+
 def _as_csv(t: Tables, spoil: bool) -> str:
     """The staging rows and the events' props as CSV files in the shared folder."""
     rows = staging_from_events(t.spark, t.sf_dir, "props").drop("load_date")
@@ -393,6 +402,7 @@ QUERIES = {
     "warehouse_exports": warehouse_exports,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_orphans": dq_orphans,
+    "dq_constraints": dq_constraints,
 }
 
 

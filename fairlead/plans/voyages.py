@@ -43,6 +43,7 @@ def run_voyages(
         found = stored(found, "found")
         count = found.count()
         found = number_rows(found, ["ship_id", "datetime_start"], last_id, count)
+        found = found.sortWithinPartitions("ship_id", "datetime_start")
         last_id += count
         warehouse.replace_partitions("limits", found.select("*", this_run), ["run_id", "is_open"])
         limits = warehouse.read("limits").filter(F.col("run_id") == run_id)

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fairlead.functions.columns import utc_now
 from fairlead.operators.dimensions import update_dimensions
 from fairlead.operators.positions import build_positions, id_range
 from fairlead.operators.quality import reject_reason, reject_rows
@@ -22,7 +23,7 @@ def load_csv(
     **options,
 ) -> int:
     """Load a CSV file or folder as one load; returns the number of rows stored."""
-    load_date = load_date or datetime.now()
+    load_date = load_date or utc_now()
     staging, rejects = ingest_csv(
         warehouse.spark, path, mode, load_date, warehouse.next_position_id(), **options
     )

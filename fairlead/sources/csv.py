@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fairlead.functions.columns import ntz, utc_now
 from fairlead.schemas import CSV_COLUMNS, MMSI_LENGTH, STAGING
 
 RAW_LINE = "raw_line"
@@ -157,7 +158,7 @@ def ingest_csv(
         raise ValueError(f"mode must be strict or lenient, not {mode!r}")
     rows = typed(read_raw(spark, path, mixed_headers), timestamp_format)
     rows = rows.withColumn("position_id", F.monotonically_increasing_id() + first_id)
-    return split_rejects(rows, mode, load_date or datetime.now())
+    return split_rejects(rows, mode, load_date or utc_now())
 
 
 def split_rejects(
@@ -174,6 +175,5 @@ def split_rejects(
             "reason", F.coalesce(reason, F.when(F.col("mmsi").isNull(), F.lit("mmsi is missing")))
         )
         rows = rows.filter(reason.isNull() & F.col("mmsi").isNotNull())
-    stamp = F.lit(load_date.isoformat(sep=" ")).cast("timestamp_ntz")
-    staging = rows.withColumn("load_date", stamp).select(*STAGING.fieldNames())
+    staging = rows.withColumn("load_date", ntz(load_date)).select(*STAGING.fieldNames())
     return staging, rejects.filter(F.col("reason").isNotNull()).select("reason", "line")

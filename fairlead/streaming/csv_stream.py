@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fairlead.functions.columns import utc_now
 from fairlead.plans.warehouse import store_load
 from fairlead.schemas import CSV_COLUMNS
 from fairlead.sources.csv import RAW_LINE, configure, header_columns, split_rejects, typed
@@ -40,7 +39,7 @@ def stream_csv(
         load_id = f"batch-{number:012d}"
         if any(load["load_id"] == load_id for load in warehouse.loads()):
             return
-        load_date = datetime.now()
+        load_date = utc_now()
         first_id = warehouse.next_position_id()
         numbered = batch.withColumn("position_id", F.monotonically_increasing_id() + first_id)
         staging, rejects = split_rejects(numbered, mode, load_date)

@@ -299,4 +299,27 @@ WHERE a.load_date > {MARK} AND a.gps_timestamp <= s.last_stop""",
 WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND mmsi NOT IN (
   SELECT mmsi FROM staging WHERE load_date <= {FIRST_MARK})""",
     ),
+    "dq_constraints": with_(
+        BASE,
+        ALL,
+        f"""known AS (
+  SELECT * FROM ships
+  WHERE mmsi IN (SELECT mmsi FROM staging WHERE load_date <= {FIRST_MARK}))""",
+        select="""SELECT 'ship listed twice' AS rule, count(*) AS broken
+  FROM (SELECT mmsi FROM known GROUP BY mmsi HAVING count(*) > 1) d
+UNION ALL SELECT 'status listed twice', count(*)
+  FROM (SELECT nav_status FROM statuses GROUP BY nav_status HAVING count(*) > 1) d
+UNION ALL SELECT 'position without point', count(*)
+  FROM positions WHERE longitude IS NULL OR latitude IS NULL
+UNION ALL SELECT 'position of unknown ship', count(*)
+  FROM positions WHERE ship_id NOT IN (SELECT id FROM known)
+UNION ALL SELECT 'position of unknown status', count(*)
+  FROM positions WHERE nav_status_id NOT IN (SELECT id FROM statuses)
+UNION ALL SELECT 'voyage without limits', count(*)
+  FROM v_limits WHERE datetime_start IS NULL OR datetime_stop IS NULL
+UNION ALL SELECT 'voyage of unknown ship', count(*)
+  FROM v_limits WHERE ship_id NOT IN (SELECT id FROM known)
+UNION ALL SELECT 'staging: latitude is missing', count(*)
+  FROM staging WHERE latitude IS NULL HAVING count(*) > 0""",
+    ),
 }
