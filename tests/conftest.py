@@ -1,4 +1,3 @@
-import os
 import sys
 from pathlib import Path
 
@@ -25,4 +24,4 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    return "/root/testdata/sf0.001"

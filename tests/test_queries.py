@@ -1,6 +1,7 @@
 """Every query against its SQL on the same parquet tables."""
 
 import math
+import os
 from datetime import datetime
 from pathlib import Path
 
@@ -10,6 +11,11 @@ import pytest
 import __spark_entry__ as entry_points
 
 
+@pytest.fixture(scope="module")
+def sf_dir():
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
 @pytest.fixture(scope="module")
 def db(sf_dir):
     connection = duckdb.connect()
