@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fairlead.functions.columns import ACTIVE_STATUS, GAP_SECONDS, flag, micros, open_end
 from fairlead.operators.keys import Sized, lookup
 from fairlead.operators.slices import Slicing, plan_slices
+from fairlead.schemas import LIMITS
 from fairlead.session import stored
 
 REPORT = ["ship_id", "gps_timestamp", "position_id"]
@@ -23,7 +24,7 @@ def gap_interval(gap_seconds: int) -> Column:
 def with_status(positions: DataFrame, statuses: DataFrame | Sized) -> DataFrame:
     """Reports of known ships with their status text; other columns are left out."""
     named = statuses.select(F.col("id").alias("nav_status_id"), "nav_status")
-    kept = [c for c in [*REPORT, "load_date", "settled_until"] if c in positions.columns]
+    kept = [c for c in [*REPORT, "load_date", "settled_until", "fresh"] if c in positions.columns]
     return lookup(
         positions.filter(F.col("ship_id").isNotNull()).select(*kept, "nav_status_id"),
         named,
@@ -96,36 +97,40 @@ def transitions(
     )
 
 
-def boundaries(
-    rows: DataFrame,
-    slicing: Slicing,
-    gap_seconds: int = GAP_SECONDS,
-    active: str = ACTIVE_STATUS,
+def _ranked(
+    rows: DataFrame, slicing: Slicing, gap_seconds: int, active: str
 ) -> DataFrame:
-    """Reports that start or stop a voyage, without a stop that comes first for its ship.
+    """Reports that start or stop a voyage; `first_stop` marks a ship's first when it stops.
 
-    With a settled_until column (the ship's last stop already stored), boundaries at that
-    instant are known and left out, and the first-stop rule is for ships without one.
+    With a settled_until column, boundaries up to that time are known and left out for all
+    but the fresh ships. Ships are fresh that have no earlier boundary: by the fresh column,
+    or else those without settled_until.
     """
     ends_before_gap = flag(
         (F.col("timestamp_next") - F.col("gps_timestamp") > gap_interval(gap_seconds))
         & (F.col("nav_status") == active)
         & (F.col("nav_status_next") == active)
     )
-    marked = rows.select(
-        *slicing.keys,
-        *IN_TIME,
-        *[c for c in ["settled_until"] if c in rows.columns],
-        F.greatest("start_engine", "start_after_gap").alias("start_trajectory"),
-        F.greatest("stop_engine", ends_before_gap).alias("stop_trajectory"),
-    ).filter((F.col("start_trajectory") == 1) | (F.col("stop_trajectory") == 1))
-
-    if "settled_until" in rows.columns:
+    fresh = F.lit(True)
+    if "fresh" in rows.columns:
+        fresh = F.col("fresh")
+    elif "settled_until" in rows.columns:
         fresh = F.col("settled_until").isNull()
-        marked = marked.filter(fresh | (F.col("gps_timestamp") > F.col("settled_until")))
-    else:
-        fresh = F.lit(True)
-
+    known = F.lit(False)
+    if "settled_until" in rows.columns:
+        known = ~fresh & (F.col("gps_timestamp") <= F.col("settled_until"))
+    marked = (
+        rows.filter(~known)
+        .select(
+            *slicing.keys,
+            *IN_TIME,
+            "timestamp_prev",
+            fresh.alias("fresh"),
+            F.greatest("start_engine", "start_after_gap").alias("start_trajectory"),
+            F.greatest("stop_engine", ends_before_gap).alias("stop_trajectory"),
+        )
+        .filter((F.col("start_trajectory") == 1) | (F.col("stop_trajectory") == 1))
+    )
     if slicing.cut:
         marked = stored(marked, "boundaries")
     series = Window.partitionBy(*slicing.keys).orderBy(*IN_TIME)
@@ -135,20 +140,40 @@ def boundaries(
         ranked = ranked.join(slicing.running_before(sizes, ["n"]), slicing.keys).withColumn(
             "nth", F.col("nth") + F.col("n_before")
         )
-    first_stop = fresh & (F.col("stop_trajectory") == 1) & (F.col("nth") == 1)
-    return ranked.filter(~first_stop).drop("nth", "n_before", "settled_until")
+    first_stop = F.col("fresh") & (F.col("stop_trajectory") == 1) & (F.col("nth") == 1)
+    return ranked.withColumn("first_stop", first_stop).drop("nth", "n_before", "fresh")
+
+
+def boundaries(
+    rows: DataFrame,
+    slicing: Slicing,
+    gap_seconds: int = GAP_SECONDS,
+    active: str = ACTIVE_STATUS,
+) -> DataFrame:
+    """Reports that start or stop a voyage, without a stop that comes first for its ship."""
+    ranked = _ranked(rows, slicing, gap_seconds, active)
+    return ranked.filter(~F.col("first_stop")).drop("first_stop", "timestamp_prev")
+
 
+def _paired(ranked: DataFrame, slicing: Slicing) -> DataFrame:
+    """Give each start the ship's nearest stop at or after it, or leave the voyage open.
 
-def pair_limits(marked: DataFrame, slicing: Slicing) -> DataFrame:
-    """Give each start the ship's nearest stop at or after it, or leave the voyage open."""
+    `report_before` is the time of the report before the start, where that is earlier. A
+    row without start time tells that the ship's first boundary was a stop.
+    """
     keys = slicing.time_keys
-    instants = marked.groupBy(*keys, "gps_timestamp").agg(
-        F.max("start_trajectory").alias("starts"), F.max("stop_trajectory").alias("stops")
+    counts = ~F.col("first_stop")
+    instants = ranked.groupBy(*keys, "gps_timestamp").agg(
+        F.max(F.when(counts, F.col("start_trajectory"))).alias("starts"),
+        F.max(F.when(counts, F.col("stop_trajectory"))).alias("stops"),
+        F.max("first_stop").alias("first_stop"),
+        F.min("timestamp_prev").alias("before"),
     )
-    stop_at = F.when(F.col("stops") == 1, F.col("gps_timestamp"))
+    at = F.col("gps_timestamp")
+    stop_at = F.when(F.col("stops") == 1, at)
     onward = (
         Window.partitionBy(*keys)
-        .orderBy(F.col("gps_timestamp").desc())
+        .orderBy(at.desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     paired = instants.withColumn("stop", F.last(stop_at, ignorenulls=True).over(onward))
@@ -160,15 +185,17 @@ def pair_limits(marked: DataFrame, slicing: Slicing) -> DataFrame:
         )
         following = (
             instants.groupBy(*keys)
-            .agg(F.min(stop_at).alias("first_stop"))
-            .select(*keys, F.last("first_stop", ignorenulls=True).over(later).alias("later_stop"))
+            .agg(F.min(stop_at).alias("first_stop_at"))
+            .select(*keys, F.last("first_stop_at", ignorenulls=True).over(later).alias("later"))
         )
-        paired = paired.join(following, keys).withColumn("stop", F.coalesce("stop", "later_stop"))
-    return paired.filter(F.col("starts") == 1).select(
+        paired = paired.join(following, keys).withColumn("stop", F.coalesce("stop", "later"))
+    starts = F.coalesce(F.col("starts") == 1, F.lit(False))
+    return paired.filter(starts | F.col("first_stop")).select(
         "ship_id",
-        F.col("gps_timestamp").alias("datetime_start"),
+        F.when(starts, at).alias("datetime_start"),
         F.coalesce("stop", open_end()).alias("datetime_stop"),
-        F.col("stop").isNull().alias("is_open"),
+        (starts & F.col("stop").isNull()).alias("is_open"),
+        F.when(F.col("before") < at, F.col("before")).alias("report_before"),
     )
 
 
@@ -208,17 +235,32 @@ def unsettled(
     return rows.filter(mark.isNull() | (at >= mark))
 
 
-def limits_of(
+def search(
     positions: DataFrame,
     statuses: DataFrame | Sized,
     slicing: Slicing,
     gap_seconds: int = GAP_SECONDS,
     active: str = ACTIVE_STATUS,
 ) -> DataFrame:
-    """Voyage limits from the given positions alone."""
+    """Voyage limits from the given positions alone, with what a later increment needs."""
     rows = deltas(with_status(positions, statuses), slicing)
     flagged = transitions(rows, gap_seconds, active)
-    return pair_limits(boundaries(flagged, slicing, gap_seconds, active), slicing)
+    return _paired(_ranked(flagged, slicing, gap_seconds, active), slicing)
+
+
+def voyages_among(found: DataFrame) -> DataFrame:
+    return found.filter(F.col("datetime_start").isNotNull()).select(*LIMITS.fieldNames())
+
+
+def limits_of(
+    positions: DataFrame,
+    statuses: DataFrame | Sized,
+    slicing: Slicing,
+    gap_seconds: int = GAP_SECONDS,
+    active: str = ACTIVE_STATUS,
+) -> DataFrame:
+    """Voyage limits from the given positions alone."""
+    return voyages_among(search(positions, statuses, slicing, gap_seconds, active))
 
 
 def find_voyages(

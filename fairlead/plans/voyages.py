@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairlead.operators.detect import find_voyages, in_ship_range, last_stops
+from fairlead.functions.columns import ACTIVE_STATUS, GAP_SECONDS
+from fairlead.operators.detect import in_ship_range, search, unsettled, voyages_among
 from fairlead.operators.export import MAX_POINTS, export_trajectories
-from fairlead.operators.keys import number_rows
+from fairlead.operators.increment import next_states, plan_reading
+from fairlead.operators.keys import lookup, number_rows
+from fairlead.operators.slices import plan_slices
 from fairlead.session import stored
-from fairlead.sources.tables import FINDING, Run, Warehouse
+from fairlead.sources.tables import FINDING, Run, Warehouse, new_id
 
 MODES = (*FINDING, "export")
 
@@ -20,7 +23,8 @@ def run_voyages(
     ship_range: tuple[int, int] | None = None,
     increment: str = "carry",
     max_points: int = MAX_POINTS,
-    **rules,
+    gap_seconds: int = GAP_SECONDS,
+    active: str = ACTIVE_STATUS,
 ) -> Run:
     """One run over all ships or a range of ship ids.
 
@@ -30,55 +34,85 @@ def run_voyages(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}, not {mode!r}")
     runs = warehouse.runs()
-    run_id = warehouse.new_run_id(runs)
+    run_id = new_id(runs[-1].run_id if runs else 0)
     last_id = runs[-1].last_id if runs else 0
-    this_run = F.lit(run_id).cast("bigint").alias("run_id")
-    ships, statuses = warehouse.read("ships"), warehouse.read("nav_statuses")
-    positions = in_ship_range(warehouse.positions(), ship_range)
+    update_id = warehouse.last_update()
+    rules = f"{increment}, {gap_seconds} s, {active}"
+    number = F.lit(run_id).cast("bigint").alias("run_id")
 
-    if mode in FINDING:
-        prior = in_ship_range(warehouse.limits(), ship_range).filter(~F.col("is_open"))
-        positions = _after_first_mark(positions, prior, ships, ship_range)
-        found = find_voyages(positions, statuses, prior, mode=increment, **rules)
-        found = stored(found, "found")
-        count = found.count()
-        found = number_rows(found, ["ship_id", "datetime_start"], last_id, count)
-        found = found.sortWithinPartitions("ship_id", "datetime_start")
+    if mode == "export":
+        limits = in_ship_range(warehouse.limits(), ship_range)
+        positions = in_ship_range(warehouse.positions(), ship_range)
+    else:
+        statuses = warehouse.read("nav_statuses")
+        stored_limits = in_ship_range(warehouse.limits(), ship_range)
+        closed = stored_limits.filter(~F.col("is_open"))
+        if ship_range is None and increment == "carry":
+            last = _resumable(runs, mode, rules)
+            states = None
+            if last:
+                states = warehouse.read("states").filter(F.col("run_id") == last.run_id)
+                states = states.drop("run_id")
+            news = warehouse.positions(after=last.update_id if last else 0)
+            plan = stored(plan_reading(news, closed, states), "reading")
+            positions = _to_read(warehouse.positions(), plan)
+        else:
+            plan = None
+            positions = unsettled(warehouse.positions(), closed, ship_range, increment)
+        slicing = plan_slices(positions)
+        found = stored(search(positions, statuses, slicing, gap_seconds, active), "found")
+        limits = voyages_among(found)
+        count = limits.count()
+        limits = number_rows(limits, ["ship_id", "datetime_start"], last_id, count)
         last_id += count
-        warehouse.replace_partitions("limits", found.select("*", this_run), ["run_id", "is_open"])
+        if plan is not None:
+            # Open voyages of ships that were not read stay as they are.
+            others = stored_limits.filter("is_open").drop("run_id")
+            others = others.join(plan.select("ship_id"), "ship_id", "left_anti")
+            limits = limits.unionByName(others)
+            after = next_states(plan, found, states)
+            warehouse.replace_partitions("states", after.select("*", number), ["run_id"])
+        limits = limits.sortWithinPartitions("ship_id", "datetime_start")
+        warehouse.replace_partitions("limits", limits.select("*", number), ["run_id", "is_open"])
         limits = warehouse.read("limits").filter(F.col("run_id") == run_id)
-    else:
-        limits = in_ship_range(warehouse.limits(), ship_range)
+        if plan is not None:
+            read = plan.select("ship_id")
+            limits = lookup(limits, read, "ship_id", "left_semi", spread="datetime_start")
 
     if mode != "find":
         lines = export_trajectories(
             limits.drop("run_id").withColumnRenamed("id", "trajectory_id"),
             positions,
-            ships,
+            warehouse.read("ships"),
             max_points=max_points,
         )
-        warehouse.replace_partitions("exports", lines.select("*", this_run), ["run_id", "is_open"])
+        warehouse.replace_partitions("exports", lines.select("*", number), ["run_id", "is_open"])
 
-    run = Run(run_id, mode, ship_range, last_id)
+    run = Run(run_id, mode, ship_range, rules, update_id, last_id)
     warehouse.log_run(run)
     return run
 
 
-def _after_first_mark(
-    positions: DataFrame,
-    prior: DataFrame,
-    ships: DataFrame,
-    ship_range: tuple[int, int] | None,
-) -> DataFrame:
-    """Skip the days before every ship's last stored stop, by date so that files are pruned.
+def _resumable(runs: list[Run], mode: str, rules: str) -> Run | None:
+    """The last finding run, if its states serve: all ships, same rules, lines as wanted now."""
+    finding = [run for run in runs if run.mode in FINDING]
+    if not finding:
+        return None
+    last = finding[-1]
+    serves = last.ship_range is None and last.rules == rules and mode in ("find", last.mode)
+    return last if serves else None
 
-    Only when all ships have one: a ship without a closed voyage is read from its start.
-    """
-    marks = last_stops(prior).agg(
-        F.count(F.lit(1)).alias("ships"), F.min("settled_until").alias("earliest")
+
+def _to_read(positions: DataFrame, plan: DataFrame) -> DataFrame:
+    """The reports the plan asks for; whole days, and with them files, are left out first."""
+    bounds = plan.agg(
+        F.min("read_from").alias("earliest"),
+        F.max(F.col("read_from").isNull()).alias("unknown"),
+    ).first()
+    if bounds["earliest"] is not None and not bounds["unknown"]:
+        positions = positions.filter(F.col("gps_date") >= F.lit(bounds["earliest"].date()))
+    positions = lookup(
+        positions, plan.select("ship_id", "settled_until", "fresh"), "ship_id", "inner"
     )
-    known = marks.first()
-    ids = ships.select(F.col("id").alias("ship_id"))
-    if known["earliest"] is None or in_ship_range(ids, ship_range).count() > known["ships"]:
-        return positions
-    return positions.filter(F.col("gps_date") >= F.lit(known["earliest"].date()))
+    mark = F.col("settled_until")
+    return positions.filter(mark.isNull() | (F.col("gps_timestamp") >= mark))

@@ -74,5 +74,5 @@ def update_warehouse(warehouse: Warehouse, strict: bool = False) -> tuple[int, i
     warehouse.write_positions(
         build_positions(fit, warehouse.read("ships"), warehouse.read("nav_statuses"))
     )
-    warehouse.log("updates", [(row["load_date"], row["load_id"]) for row in pending])
+    warehouse.log_update(pending)
     return ids["min_id"], ids["max_id"]

@@ -5,6 +5,7 @@
     ships, nav_statuses
     positions          partitions per load and day, sorted by ship and time
     limits, exports    one partition per run, closed and open voyages apart
+    states             one partition per run: from where the next run reads each ship
     loads, updates, runs   logs: what counts as stored
 
 Parquet has no DELETE, and a job can die between two writes. So a load or run writes its
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fairlead.operators.keys import lookup
 from fairlead.schemas import LIMITS, NAV_STATUSES, POSITIONS, SHIPS, STAGING
 
 _LOAD = [T.StructField("load_id", T.StringType())]
@@ -70,10 +72,27 @@ SCHEMAS = {
         ]
         + _LOAD
     ),
-    "updates": T.StructType([T.StructField("load_date", T.TimestampNTZType())] + _LOAD),
+    "updates": T.StructType(
+        [
+            T.StructField("load_date", T.TimestampNTZType()),
+            T.StructField("update_id", T.LongType()),
+        ]
+        + _LOAD
+    ),
+    "states": T.StructType(
+        [
+            T.StructField("ship_id", T.LongType()),
+            T.StructField("resume_from", T.TimestampNTZType()),
+            T.StructField("seen_until", T.TimestampNTZType()),
+            T.StructField("bounded", T.BooleanType()),
+        ]
+        + _RUN
+    ),
     "runs": T.StructType(
         [
             T.StructField("mode", T.StringType()),
+            T.StructField("rules", T.StringType()),
+            T.StructField("update_id", T.LongType()),
             T.StructField("ship_min", T.LongType()),
             T.StructField("ship_max", T.LongType()),
             T.StructField("last_id", T.LongType()),
@@ -85,11 +104,23 @@ SCHEMAS = {
 FINDING = ("find", "find_export")
 
 
+def new_id(last: int) -> int:
+    """Larger than the last id in the log, and not that of a job that died unlogged."""
+    return max(time.time_ns() // 1000, last + 1)
+
+
 @dataclass(frozen=True)
 class Run:
+    """A run's id, mode and ships, the rules it found voyages by, and how far it got.
+
+    It has seen the updates up to update_id and given voyages the ids up to last_id.
+    """
+
     run_id: int
     mode: str
     ship_range: tuple[int, int] | None
+    rules: str
+    update_id: int
     last_id: int
 
     def replaces(self) -> Column:
@@ -154,9 +185,17 @@ class Warehouse:
 
     # Positions
 
-    def positions(self) -> DataFrame:
-        done = [row["load_id"] for row in self.read("updates").collect()]
-        return self.read("positions").filter(F.col("load_id").isin(done))
+    def positions(self, after: int = 0) -> DataFrame:
+        """Positions of the logged updates, or of those after the given one."""
+        done = self.read("updates").filter(F.col("update_id") > after).collect()
+        return self.read("positions").filter(F.col("load_id").isin([row["load_id"] for row in done]))
+
+    def last_update(self) -> int:
+        return self.read("updates").agg(F.max("update_id")).first()[0] or 0
+
+    def log_update(self, loads: list) -> None:
+        number = new_id(self.last_update())
+        self.log("updates", [(load["load_date"], number, load["load_id"]) for load in loads])
 
     def write_positions(self, rows: DataFrame) -> None:
         """Partitioned by load and day; each file sorted by ship and time.
@@ -177,18 +216,16 @@ class Warehouse:
                 row["run_id"],
                 row["mode"],
                 None if row["ship_min"] is None else (row["ship_min"], row["ship_max"]),
+                row["rules"],
+                row["update_id"],
                 row["last_id"],
             )
             for row in rows
         ]
 
-    def new_run_id(self, runs: list[Run]) -> int:
-        """Larger than the ids of all runs, and not that of one that died unlogged."""
-        return max(time.time_ns() // 1000, runs[-1].run_id + 1 if runs else 0)
-
     def log_run(self, run: Run) -> None:
         low, high = run.ship_range or (None, None)
-        self.log("runs", [(run.mode, low, high, run.last_id, run.run_id)])
+        self.log("runs", [(run.mode, run.rules, run.update_id, low, high, run.last_id, run.run_id)])
 
     def _stored(self, table: str, runs: list[Run]) -> DataFrame:
         return self.read(table).filter(F.col("run_id").isin([run.run_id for run in runs]))
@@ -210,8 +247,16 @@ class Warehouse:
         return self._stored("limits", runs).filter(~found_again)
 
     def exports(self) -> DataFrame:
-        """Exported voyages, without open ones found again and lines exported again."""
+        """Exported lines of the stored voyages, without those exported again later.
+
+        An open voyage that a later run found again is no longer stored, and so its line
+        does not count either.
+        """
         runs = self.runs()
-        found_again = F.col("is_open") & self._replaced(runs, FINDING)
-        rebuilt = self._replaced(runs, ("export",))
-        return self._stored("exports", runs).filter(~found_again & ~rebuilt)
+        lines = self._stored("exports", runs).filter(~self._replaced(runs, ("export",)))
+        still_open = self.limits().filter("is_open").select(F.col("id").alias("trajectory_id"))
+        return lines.filter(~F.col("is_open")).unionByName(
+            lookup(
+                lines.filter("is_open"), still_open, "trajectory_id", "left_semi", "datetime_start"
+            ).select(*lines.columns)
+        )

@@ -1,5 +1,6 @@
 """The jobs over stored tables, run in increments."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -11,6 +12,7 @@ from fairlead.operators.positions import build_positions
 from fairlead.plans.queries import Tables
 from fairlead.plans.voyages import run_voyages
 from fairlead.plans.warehouse import load_csv, store_load, update_warehouse
+from fairlead.schemas import LIMITS, STAGING
 from fairlead.sources.events import staging_from_events
 from fairlead.sources.tables import Warehouse
 from fairlead.streaming.csv_stream import stream_csv
@@ -198,3 +200,52 @@ def test_streamed_files_are_loaded_once(spark, tmp_path):
     low, high = update_warehouse(warehouse)
     assert low < high and warehouse.positions().count() == 5
     assert warehouse.load_mark() <= datetime.now() + timedelta(days=1)
+
+
+def random_reports(seed, late, ships=12):
+    """Six loads of reports of ships with different habits: (load, staging row) pairs."""
+    pick = random.Random(seed)
+    out = []
+    for ship in range(ships):
+        # A ship that never moves, one that never stops, and others in between.
+        change = {0: 0.0, 1: 0.0, 2: 0.9}.get(ship, 0.25)
+        status = "Engine" if ship in (1, 5, 6) else "Moored"
+        time = datetime(2024, 1, 1) + timedelta(minutes=pick.randrange(60))
+        while time < datetime(2024, 1, 1, 12):
+            if pick.random() < change:
+                status = pick.choice(["Engine", "Engine", "Moored", "At anchor"])
+            load = int((time - datetime(2024, 1, 1)).total_seconds() // 7200)
+            if late and pick.random() < 0.05:
+                load = min(load + pick.randrange(1, 3), 5)
+            out.append((load, time, f"ship{ship:02}", status))
+            time += timedelta(minutes=pick.choice([0, 5, 10, 15, 16, 40, 90]))
+    out.sort(key=lambda r: r[0])
+    rows = [
+        (n, time, mmsi, 1.0, 2.0, status, None, None, None, datetime(2024, 1, 2 + load))
+        for n, (load, time, mmsi, status) in enumerate(out)
+    ]
+    return [[r for r in rows if r[-1].day == 2 + load] for load in range(6)]
+
+
+@pytest.mark.parametrize("seed, late", [(1, False), (2, True)])
+def test_resumed_runs_equal_runs_from_the_last_stop(spark, tmp_path, seed, late):
+    warehouse = Warehouse(spark, str(tmp_path))
+    stored = spark.createDataFrame([], LIMITS)
+    for load, reports in enumerate(random_reports(seed, late)):
+        staging = spark.createDataFrame(reports, STAGING)
+        store_load(warehouse, str(load), datetime(2024, 1, 2 + load), staging, None)
+        update_warehouse(warehouse)
+        run_voyages(warehouse)
+        positions, statuses = warehouse.positions(), warehouse.read("nav_statuses")
+        found = find_voyages(positions, statuses, stored)
+        kept = stored.filter(~F.col("is_open")).unionByName(found).collect()
+        stored = spark.createDataFrame(kept, LIMITS)
+        assert rows(warehouse.limits()) == rows(stored), load
+    full = rows(find_voyages(warehouse.positions(), statuses))
+    assert (rows(stored) == full) != late
+    assert len(full) > 20
+    # The ship that lay moored throughout was not read from its first report again.
+    states = warehouse.read("states").collect()
+    last = max(s["run_id"] for s in states)
+    idle = [s for s in states if s["run_id"] == last and not s["bounded"]]
+    assert any(s["resume_from"] == s["seen_until"] for s in idle)
