@@ -19,12 +19,13 @@ import time
 from dataclasses import dataclass
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fairlead.operators.keys import lookup
+from fairlead.operators.keys import Sized, lookup
 from fairlead.schemas import LIMITS, NAV_STATUSES, POSITIONS, SHIPS, STAGING
 
 _LOAD = [T.StructField("load_id", T.StringType())]
@@ -147,8 +148,10 @@ class Warehouse:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        rows.select(*SCHEMAS[table].fieldNames()).write.mode("append").parquet(self.path(table))
+    def append(self, table: str, rows: Sized) -> None:
+        if rows.count:
+            rows = rows.select(*SCHEMAS[table].fieldNames()).rows
+            rows.write.mode("append").parquet(self.path(table))
 
     def replace_partitions(self, table: str, rows: DataFrame, by: list[str]) -> None:
         """Write partitions in place of those of the same names; others stay."""
@@ -158,13 +161,15 @@ class Warehouse:
 
     def log(self, table: str, entries: list[tuple]) -> None:
         schema = SCHEMAS[table]
-        rows = self.spark.createDataFrame(entries, schema).coalesce(1)
+        columns = {field: list(values) for field, values in zip(schema.fieldNames(), zip(*entries))}
+        rows = self.spark.createDataFrame(pa.table(columns), schema).coalesce(1)
         self.replace_partitions(table, rows, [schema.fieldNames()[-1]])
 
     # Loads
 
     def loads(self) -> list:
-        return self.read("loads").orderBy("load_date", "load_id").collect()
+        rows = self.read("loads").collect()
+        return sorted(rows, key=lambda row: (row["load_date"], row["load_id"]))
 
     def next_position_id(self) -> int:
         return max((load["max_id"] for load in self.loads()), default=0) + 1
@@ -210,7 +215,7 @@ class Warehouse:
     # Runs
 
     def runs(self) -> list[Run]:
-        rows = self.read("runs").orderBy("run_id").collect()
+        rows = sorted(self.read("runs").collect(), key=lambda row: row["run_id"])
         return [
             Run(
                 row["run_id"],
