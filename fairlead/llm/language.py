@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.llm.common import arrow_rows, fold_of, portions, uniform
+from fairlead.session import stored
 
 FOLDS = 3
 # A language's dictionary: excerpts of so many characters from at most about so many
 # documents, up to so many bytes.
-EXCERPT, DOCUMENTS, DICTIONARY = 1_000, 200, 112 << 10
-LEVEL = 3
+EXCERPT, DOCUMENTS, DICTIONARY = 1_000, 80, 60_000
+LEVEL = 9
 MARGIN = 0.02
 UNKNOWN = "und"
 
@@ -26,12 +27,12 @@ def learn_dictionaries(docs: DataFrame) -> dict[str, bytes]:
 
     The documents are drawn by a hash of id and text at a rate per language that meets the
     bound; languages are counted over all documents. Later content is cheaper to refer to, so
-    the order is that of the draw.
+    the order is that of the draw. The most frequent language comes first.
     """
     known = docs.filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of("doc_id", FOLDS) != 1) & F.col("text").rlike(r"\p{L}")
     )
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     rates = counts.select(F.col("lang").alias("_lang"), (F.lit(float(DOCUMENTS)) / F.col("n")).alias("rate"))
     draw = uniform("doc_id", F.xxhash64("text"), seed=6)
     drawn = known.select("lang", "text", draw.alias("draw")).join(F.broadcast(rates), F.col("lang") == F.col("_lang"))
@@ -39,15 +40,25 @@ def learn_dictionaries(docs: DataFrame) -> dict[str, bytes]:
     rows = drawn.select("lang", "draw", F.substring("text", 1, EXCERPT).alias("text")).collect()
     out: dict[str, bytes] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["draw"], r["text"])):
-        out[row["lang"]] = (out.get(row["lang"], b"") + row["text"].encode() + b"\n")[-DICTIONARY:]
-    return out
+        out[row["lang"]] = (out.get(row["lang"], b"") + plain(row["text"]) + b"\n")[-DICTIONARY:]
+    frequent = counts.orderBy(F.col("n").desc(), "lang").collect()
+    return {r["lang"]: out[r["lang"]] for r in frequent if r["lang"] in out}
+
+
+# Bytes that count: letters, and all beyond ASCII; others part words.
+LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 0x20 for c in range(256))
+
+
+def plain(text: str) -> bytes:
+    """The whole text in lower case with single spaces for whatever is no letter."""
+    return b" ".join(text.lower().encode().translate(LETTERS).split())
 
 
 class Compressors:
     """One compressor per language, each with its digested dictionary."""
 
     def __init__(self, contents: dict[str, bytes]):
-        self.names = sorted(contents)
+        self.names = list(contents)
         self.each = []
         for name in self.names:
             held = zstandard.ZstdCompressionDict(contents[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -65,8 +76,8 @@ class Compressors:
 def identify(docs: DataFrame, contents: dict[str, bytes] | None = None) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score, reliable.
 
-    Every whole text is compressed once per language; the smallest result wins, and of equal
-    ones the first language by name. `score` is 1 minus the smallest size over the second
+    Every whole text, in lower case and without what is no letter, is compressed once per
+    language; the smallest result wins, and of equal ones the most frequent language. `score` is 1 minus the smallest size over the second
     smallest, stretched to [0, 1] as d / (d + MARGIN). `reliable` is false where the margin is
     narrow (below MARGIN): such an answer is to be rejected. "und" with score 0 is the answer
     for null texts and texts without a letter, and for all if nothing could be learnt. With a
@@ -90,7 +101,7 @@ def identify(docs: DataFrame, contents: dict[str, bytes] | None = None) -> DataF
                         scores.append(0.0)
                         sure.append(False)
                         continue
-                    sizes = tools.sizes(text.as_buffer().to_pybytes())
+                    sizes = tools.sizes(plain(text.as_py()))
                     best = int(sizes.argmin())
                     rest = np.delete(sizes, best)
                     gap = 1 - sizes[best] / rest.min() if len(rest) else 1.0

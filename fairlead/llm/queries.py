@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import chat, decontaminate, language, mixture, neardup, quality, tokens, weighted
+from fairlead.llm import chat, decontaminate, language, mixture, neardup, quality, recompress, tokens, weighted
 from fairlead.llm.common import ship, table
 
 
@@ -37,6 +37,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_drop_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = recompress.drop_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_token_files,
         op2_decontaminate,
+        op3_drop_repeats,
         op4_quality,
         op5_mix_sources,
         op6_language,
