@@ -129,10 +129,16 @@ class Parse:
                 grade += 1
             if k + 1 >= LOW_ROUNDS and len(level.name) == before:
                 break
+        none = [np.zeros(0, np.int64)]
         starts = [np.concatenate(s) for s, _ in grades]
         which = np.repeat(np.arange(len(starts)), [len(x) for x in starts])
-        none = [np.zeros(0, np.int64)]
-        return low, Long(np.concatenate(starts + none), np.concatenate([np.concatenate(e) for _, e in grades] + none), which)
+        start, end = np.concatenate(starts + none), np.concatenate([np.concatenate(e) for _, e in grades] + none)
+        # A symbol that passes several lengths at once counts once, in the highest grade.
+        order = np.lexsort((-which, end, start))
+        kept = np.ones(len(order), bool)
+        kept[1:] = (np.diff(start[order]) != 0) | (np.diff(end[order]) != 0)
+        order = order[kept]
+        return low, Long(start[order], end[order], which[order])
 
 
 @dataclass

@@ -1,6 +1,8 @@
 import random
 
+import pytest
 from fairlead.llm import recompress
+from fairlead.llm.common import table
 from fairlead.llm.queries import QUERIES
 from pyspark.sql import functions as F
 from tests.llm.helpers import documents, sha, without_repeats
@@ -26,8 +28,11 @@ def tangle(draw, n):
     return docs
 
 
-def test_whole_table(llm_spark, sf_dir, real):
-    got = sorted(map(tuple, QUERIES["op3_drop_repeats"](llm_spark, sf_dir).collect()))
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_whole_table(llm_spark, sf):
+    folder = f"/root/testdata/{sf}"
+    real = [tuple(r) for r in table(llm_spark, folder, "documents").select("doc_id", "text").collect()]
+    got = sorted(map(tuple, QUERIES["op3_drop_repeats"](llm_spark, folder).collect()))
     assert got == sorted(without_repeats(real))
     assert any(r[2] for r in got)
 
