@@ -78,26 +78,43 @@ def pack_documents(docs: DataFrame) -> Packs:
 
 
 class Keys:
-    """The distinct keys among some items' keys (one or two 64-bit halves), dealt to buckets."""
+    """The distinct keys among some items' keys (one or two 64-bit halves), dealt to buckets.
 
-    def __init__(self, ask: int, buckets: int, first: np.ndarray, second: np.ndarray | None = None):
-        self.ask = ask
+    `width` bytes of a key travel. Two halves cut to 12 bytes still tell 10**13 keys apart; one
+    half cut to 6 is for keys where a rare false "shared" does no harm. Buckets go by `deal`
+    where it is given, a value per item that equal keys have in common.
+    """
+
+    def __init__(
+        self,
+        ask: int,
+        buckets: int,
+        width: int,
+        first: np.ndarray,
+        second: np.ndarray | None = None,
+        deal: np.ndarray | None = None,
+    ):
+        self.ask, self.width = ask, width
         order = np.argsort(first, kind="stable") if second is None else np.lexsort((second, first))
-        one = first[order]
-        fresh = np.ones(len(one), bool)
-        fresh[1:] = one[1:] != one[:-1]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = np.diff(first[order]) != 0
         if second is not None:
-            two = second[order]
-            fresh[1:] |= two[1:] != two[:-1]
+            fresh[1:] |= np.diff(second[order]) != 0
         group = np.cumsum(fresh) - 1
-        self.item = np.empty(len(one), np.int64)
+        self.item = np.empty(len(order), np.int64)
         self.item[order] = group
         self.count = np.bincount(group, minlength=0)
-        distinct = one[fresh] if second is None else np.stack([one[fresh], two[fresh]], axis=1)
-        bucket = ((one[fresh] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-        self.order = np.argsort(bucket, kind="stable")
-        self.cuts = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
-        self.keys = distinct[self.order]
+        source = order[fresh]
+        dealt = ((first if deal is None else deal)[source] >> np.uint64(32)) % np.uint64(buckets)
+        self.order = np.argsort(dealt, kind="stable")
+        self.cuts = np.searchsorted(dealt[self.order], np.arange(buckets + 1))
+        self.source = source[self.order]
+        self.first, self.second = first, second
+
+    def payload(self, source: np.ndarray) -> bytes:
+        halves = [self.first[source]] + ([] if self.second is None else [self.second[source]])
+        whole = np.stack(halves, axis=1).astype("<u8").view(np.uint8).reshape(len(source), -1)
+        return np.ascontiguousarray(whole[:, : self.width]).tobytes()
 
     def requests(self, pack: int) -> pa.RecordBatch:
         full = np.flatnonzero(np.diff(self.cuts))
@@ -106,7 +123,7 @@ class Keys:
             ask=np.full(len(full), self.ask, np.int32),
             bucket=full.astype(np.int32),
             pack=np.full(len(full), pack, np.int64),
-            keys=[self.keys[self.cuts[b] : self.cuts[b + 1]].tobytes() for b in full],
+            keys=[self.payload(self.source[self.cuts[b] : self.cuts[b + 1]]) for b in full],
         )
 
     def shared(self, answers: Answers) -> np.ndarray:
@@ -125,9 +142,22 @@ class Keys:
             if ask == self.ask:
                 part = self.order[self.cuts[b] : self.cuts[b + 1]]
                 flags[part] = unpacked(bits[-(-len(part) // 8) :], len(part))
+        return flags[self.item] & self.leads()
+
+    def leads(self) -> np.ndarray:
+        """Per item, whether it is the first one of its key here."""
         first = np.zeros(len(self.item), bool)
         first[np.unique(self.item, return_index=True)[1]] = True
-        return flags[self.item] & first
+        return first
+
+
+def widened(keys: pa.Buffer, width: int) -> np.ndarray:
+    """Keys of some bytes as one or two 64-bit numbers each."""
+    raw = np.frombuffer(keys, np.uint8).reshape(-1, width)
+    wide = np.zeros((len(raw), 8 if width <= 8 else 16), np.uint8)
+    wide[:, :width] = raw
+    halves = wide.view("<u8")
+    return halves[:, 0] if width <= 8 else halves
 
 
 def unpacked(bits: bytes, n: int) -> np.ndarray:
@@ -155,15 +185,14 @@ def found_elsewhere(keys: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.n
 
 
 def answer_keys(width: dict[int, int], owners: set[int] = frozenset()) -> Callable[[pa.Table], pa.Table]:
-    """The task of one bucket: bits per request, for asks of one or two halves per key.
+    """The task of one bucket: bits per request; `width` has the bytes per key of each ask.
 
     For the asks in owners, the bits that name one owner per key follow those that say shared.
     """
 
     def run(asked: pa.Table) -> pa.Table:
         ask = asked["ask"][0].as_py()
-        shape = -1 if width[ask] == 1 else (-1, 2)
-        keys = [np.frombuffer(k.as_buffer(), "<u8").reshape(shape) for k in asked["keys"]]
+        keys = [widened(k.as_buffer(), width[ask]) for k in asked["keys"]]
         shared, first = found_elsewhere(keys)
         bits = [np.packbits(f).tobytes() for f in shared]
         if ask in owners:

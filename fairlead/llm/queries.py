@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import chat, decontaminate, language, mixture, neardup, quality, recompress, tokens, weighted
+from fairlead.llm import byterepeats, chat, decontaminate, language, mixture, neardup, quality, recompress, tokens, weighted
 from fairlead.llm.common import ship, table
 
 
@@ -67,6 +67,11 @@ def op8_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = byterepeats.drop_byte_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.compare_with_edits(table(spark, sf_dir, "documents"))
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Query] = {
         op6_language,
         op7_near_duplicates,
         op8_format_chats,
+        op9_suffix_repeats,
         op10_weighted_fingerprints,
     )
 }

@@ -22,6 +22,7 @@ WINDOW = 35
 LOW_ROUNDS = 4
 MOST_ROUNDS = 40
 NAMES, LONG, WINDOWS = 1, 2, 3
+WIDTH = {NAMES: 6, LONG: 16, WINDOWS: 12}
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -166,8 +167,8 @@ def first_keys(parse: Parse, buckets: int) -> tuple[Level, Long, Keys, Keys]:
     inner = np.flatnonzero(~low.fixed)
     low = Level(*(getattr(low, f)[inner] for f in ("name", "start", "end", "low", "high", "fixed")))
     one, two = parse.rolls
-    keys = Keys(LONG, buckets, one.of(long.start, long.end), two.of(long.start, long.end))
-    return low, long, Keys(NAMES, buckets, low.name), keys
+    keys = Keys(LONG, buckets, WIDTH[LONG], one.of(long.start, long.end), two.of(long.start, long.end))
+    return low, long, Keys(NAMES, buckets, WIDTH[NAMES], low.name), keys
 
 
 def second_keys(parse: Parse, buckets: int, answers: Answers) -> tuple[np.ndarray, np.ndarray, Keys]:
@@ -194,7 +195,7 @@ def second_keys(parse: Parse, buckets: int, answers: Answers) -> tuple[np.ndarra
         decided |= around
     at = np.flatnonzero(parse.whole & ~left_out)
     one, two = parse.rolls
-    return covered, at, Keys(WINDOWS, buckets, one.of(at, at + window), two.of(at, at + window))
+    return covered, at, Keys(WINDOWS, buckets, WIDTH[WINDOWS], one.of(at, at + window), two.of(at, at + window))
 
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string())])
@@ -235,7 +236,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             texts.append(b" ".join(held if not removed[-1] else compress(held, ~part)).decode())
         return arrow_rows(RESULT, doc_id=batch.column(0), n_words=parse.count.astype(np.int64), n_removed=removed, text=texts)
 
-    reply = answer_keys({NAMES: 1, LONG: 2, WINDOWS: 2}, owners={LONG})
+    reply = answer_keys(WIDTH, owners={LONG})
     told = ask(packs, None, first, reply, "symbols")
     told = ask(packs, told, second, reply, "windows")
     return conclude(packs, told, last, "doc_id long, n_words long, n_removed long, text string")

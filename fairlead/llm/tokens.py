@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,8 +22,8 @@ from fairlead.session import scratch_path, stored
 
 END_ID = 2
 # Words whose ids a worker remembers; beyond, it starts anew.
-MEMORY = 600_000
-PORTION = 8 << 20
+MEMORY = 400_000
+PORTION = 4 << 20
 SEAM = r"([a-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{17F}])([,.!|*%$&#?;:])"
 TOKENS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 BLOCKS = pa.schema(
@@ -54,7 +55,7 @@ class WordCoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def plain(self, word: str) -> str | None:
         """The word as the merge model takes it, or None if the whole tokenizer has to."""
@@ -75,9 +76,9 @@ class WordCoder:
             if shown is None:
                 hard.append(word)
             else:
-                self.known[word] = np.array([t.id for t in self.model.tokenize(shown)], np.uint32)
+                self.known[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         for word, coded in zip(hard, self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)):
-            self.known[word] = np.array(coded.ids, np.uint32)
+            self.known[word] = array("I", coded.ids).tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of each text (null: none)."""
@@ -95,9 +96,9 @@ class WordCoder:
                 fresh = vocabulary
             self.learn(fresh)
         entries = [self.known[w] for w in vocabulary]
-        sizes = np.array([len(e) for e in entries], np.int64)
+        sizes = np.array([len(e) // 4 for e in entries], np.int64)
         begins = np.cumsum(sizes) - sizes
-        flat = np.concatenate([*entries, np.zeros(0, np.uint32)])
+        flat = np.frombuffer(b"".join(entries), np.uint32)
         which = coded.indices.to_numpy(zero_copy_only=False)
         each = sizes[which]
         after = np.cumsum(each)
@@ -111,8 +112,14 @@ def coder(path: str) -> WordCoder:
     return WordCoder(path)
 
 
+def id_width(path: str) -> str:
+    """How ids are held between the stages: 16 bits where the vocabulary allows it, else 32."""
+    return "<u2" if coder(path).tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """Per document: doc_id, n_tokens and ids (unsigned 32-bit, little-endian), end id included."""
+    """Per document: doc_id, n_tokens and ids (of id_width, little-endian), end id included."""
+    kind = np.dtype(id_width(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = coder(path)
@@ -121,28 +128,28 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                 ids, sizes = words.encode(batch.column(1))
                 ends = np.cumsum(sizes)
                 # The end id goes after the last id of each text.
-                ids = np.insert(ids, ends, end_id).astype("<u4")
+                ids = np.insert(ids, ends, end_id).astype(kind)
                 at = np.concatenate([[0], ends + np.arange(1, len(sizes) + 1)])
                 data = ids.tobytes()
                 yield arrow_rows(
                     TOKENS,
                     doc_id=batch.column(0),
                     n_tokens=sizes + 1,
-                    ids=[data[4 * a : 4 * b] for a, b in zip(at[:-1], at[1:])],
+                    ids=[data[a:b] for a, b in zip(at[:-1] * kind.itemsize, at[1:] * kind.itemsize)],
                 )
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return slim.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
-def token_counts(tokens: DataFrame) -> np.ndarray:
+def token_counts(tokens: DataFrame, kind: str) -> np.ndarray:
     """How often each id occurs; the table is as long as the vocabulary, whatever the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for ids in batch.column(0):
-                counts = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
+                counts = np.bincount(np.frombuffer(ids.as_buffer(), kind))
                 if len(counts) > len(total):
                     counts[: len(total)] += total
                     total = counts
@@ -168,12 +175,14 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = END_ID)
     writers commit the files, so a lost executor or a repeated task leaves no half block.
     """
     spark = docs.sparkSession
+    kind = id_width(path)
     tokens = stored(tokenize(docs, path, end_id), "tokens")
-    table = rans.Frequencies.of_counts(token_counts(tokens))
+    table = rans.Frequencies.of_counts(token_counts(tokens, kind))
     spark.createDataFrame(
         pa.table({"id": np.arange(len(table.scaled)), "frequency": table.scaled.astype(np.int64)})
     ).coalesce(1).write.parquet(f"{folder}/frequencies")
     shared = spark.sparkContext.broadcast(table.scaled)
+    width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = rans.Frequencies.of_scaled(shared.value)
@@ -182,8 +191,8 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = END_ID)
         size = 0
 
         def flush(part: int) -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(d for _, d in held), "<u4")
-            lengths = np.array([len(d) // 4 for _, d in held], np.int64)
+            ids = np.frombuffer(b"".join(d for _, d in held), kind)
+            lengths = np.array([len(d) // width for _, d in held], np.int64)
             payload = rans.write_block([i for i, _ in held], lengths, ids, table)
             row = arrow_rows(
                 BLOCKS, part=[part], block=[state["block"]], first=[state["first"]], n_tokens=[len(ids)], payload=[payload]
@@ -199,7 +208,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = END_ID)
                 part = batch.column(0)[row].as_py()
                 data = batch.column(2)[row].as_py()
                 held.append((batch.column(1)[row].as_py(), data))
-                size += len(data) // 4
+                size += len(data) // width
                 if size >= rans.BLOCK_IDS:
                     yield flush(part)
                     size = 0
