@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from fairlead.llm.common import arrow_rows, partitions, portions
 from fairlead.session import stored
 
-PACK = 2 << 20
+PACK = 1 << 20
 # Text per bucket; its keys are a small part of that.
 BUCKET_TEXT = 32 << 20
 # Answers of at most so many bytes in all are broadcast to the packs, others joined by a shuffle.
