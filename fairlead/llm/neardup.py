@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,8 +19,8 @@ PERCENT = 80
 # At 80 % a pair shares none of the bands with a chance of (1 - 0.8**5)**40, about 1e-7.
 BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
-# Centers per bucket in each round after the first; in the last every member is one.
-CENTERS = (4, 64, None)
+# Centers per bucket in the second round.
+CENTERS = 4
 PORTION = 4 << 20
 
 
@@ -167,10 +167,12 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
     Documents with the same set are one class, found by a digest of the set, and only the
     smallest id of a class goes on. In every bucket that several classes share, a star links its
-    members to a center; first each member only to the center it shares most buckets with. Links
-    are confirmed on full sets and joined to components. Only buckets that still hold more than
-    one component go on, with more centers in each round and in the last with all, so that every
-    pair of a bucket has been compared or is connected already.
+    members to a center, the member with most company in all its buckets: of a family of edited
+    copies that is the text most like all. First each member is compared with the center that
+    most of its buckets have, then, where a bucket still holds more than one component, with the
+    first few centers. Links are confirmed on full sets and joined to components. What is left
+    in open buckets is compared pair by pair, unless the shingles that no other open document
+    has make 80 % impossible. So every pair of a bucket is compared, connected or ruled out.
 
     Documents without words are linked with nothing. A null doc_id is linked with nothing, its
     component is null; rows that repeat an id are one document to the links.
@@ -186,26 +188,25 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     )
     links = stored(member.filter("a < doc_id").select("a", F.col("doc_id").alias("b")), "class-links")
 
-    keys = classes.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(_rank("bucket")).alias("center"))
-    shared = shared.filter("n > 1").select(F.col("bucket").alias("_bucket"), "center.doc_id")
-    shared = shared.withColumnRenamed("doc_id", "center")
-    buckets = stored(keys.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "doc_id", "center"), "buckets")
-    chosen = buckets.select("doc_id").distinct()
+    buckets = stored(_buckets(classes), "buckets")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    wanted = texts.join(chosen, F.col("id") == F.col("doc_id")).select("doc_id", "text")
+    wanted = texts.join(buckets.select("doc_id").distinct(), F.col("id") == F.col("doc_id")).select("doc_id", "text")
     sets = stored(full_sets(wanted, size).dropDuplicates(["doc_id"]), "sets")
 
-    votes = buckets.filter("doc_id <> center").groupBy("doc_id", "center").agg(F.count(F.lit(1)).alias("n"))
+    center = F.max(F.struct("company", (-F.col("doc_id")).alias("c"))).alias("center")
+    centers = buckets.groupBy("bucket").agg(center)
+    centers = centers.select(F.col("bucket").alias("_bucket"), (-F.col("center.c")).alias("center"))
+    votes = buckets.join(centers, F.col("bucket") == F.col("_bucket")).filter("doc_id <> center")
+    votes = votes.groupBy("doc_id", "center").agg(F.count(F.lit(1)).alias("n"))
     best = votes.groupBy("doc_id").agg(F.max(F.struct("n", (-F.col("center")).alias("c"))).alias("best"))
     center = -F.col("best.c")
     pairs = best.select(F.least(center, "doc_id").alias("a"), F.greatest(center, "doc_id").alias("b")).distinct()
     tried = stored(pairs, "tried")
     links = links.unionByName(stored(confirmed(tried, sets, percent), "close"))
     parts = stored(components(links), "components")
-    for centers in CENTERS:
+    for compare in (_stars, lambda rows: _rest(rows, sets, percent)):
         buckets = _open_buckets(buckets, parts)
-        pairs = stored(_stars(buckets, centers).join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = stored(compare(buckets).join(tried, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue
         close = stored(confirmed(pairs, sets, percent), "close")
@@ -217,30 +218,76 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _rank(bucket: str) -> Column:
-    """Orders the members of a bucket; another order in each bucket, so centers differ."""
-    return F.struct(F.xxhash64(F.col("doc_id"), F.col(bucket)).alias("rank"), F.col("doc_id"))
+def _buckets(classes: DataFrame) -> DataFrame:
+    """bucket, doc_id and company of the members of shared buckets.
+
+    A member's company is the sum of the sizes of its buckets.
+    """
+    keys = classes.select("doc_id", F.explode("bands").alias("bucket"))
+    shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    rows = keys.join(shared.withColumnRenamed("bucket", "_bucket"), F.col("bucket") == F.col("_bucket"))
+    rows = stored(rows.select("bucket", "doc_id", "size"), "bucket-sizes")
+    company = rows.groupBy("doc_id").agg(F.sum("size").alias("company")).withColumnRenamed("doc_id", "_id")
+    return rows.join(company, F.col("doc_id") == F.col("_id")).select("bucket", "doc_id", "company")
 
 
 def _open_buckets(buckets: DataFrame, parts: DataFrame) -> DataFrame:
     """The rows of buckets that hold several components, with their component."""
-    slim = buckets.select("bucket", "doc_id")
+    slim = buckets.select("bucket", "doc_id", "company")
     labelled = slim.join(parts, F.col("doc_id") == F.col("id"), "left")
-    labelled = labelled.select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    labelled = labelled.select("bucket", "doc_id", "company", F.coalesce("component", "doc_id").alias("component"))
     labelled = stored(labelled, "labelled")
     spread = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     spread = spread.filter("lo < hi").select(F.col("bucket").alias("_bucket"))
     return stored(labelled.join(spread, F.col("bucket") == F.col("_bucket"), "left_semi"), "open")
 
 
-def _stars(buckets: DataFrame, centers: int | None) -> DataFrame:
+def _stars(buckets: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of a center and a member of its bucket in another component."""
-    middle = buckets
-    if centers is not None:
-        nth = F.row_number().over(W.partitionBy("bucket").orderBy(_rank("bucket")))
-        middle = buckets.withColumn("nth", nth).filter(F.col("nth") <= centers).drop("nth")
+    nth = F.row_number().over(W.partitionBy("bucket").orderBy(F.col("company").desc(), "doc_id"))
+    middle = buckets.withColumn("nth", nth).filter(F.col("nth") <= CENTERS)
     middle = middle.select(
         F.col("bucket").alias("_bucket"), F.col("doc_id").alias("center"), F.col("component").alias("other")
     )
     met = buckets.join(middle, (F.col("bucket") == F.col("_bucket")) & (F.col("component") != F.col("other")))
     return met.select(F.least("doc_id", "center").alias("a"), F.greatest("doc_id", "center").alias("b")).distinct()
+
+
+def _rest(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a < b) of a bucket, in different components, that may still be close.
+
+    Of n shingles only the `most` that another open document has too can be common, and sizes n
+    and m need a common part of percent * (n + m) / (100 + percent). Documents to which even the
+    smallest member of the bucket leaves no hope are dropped before members meet.
+    """
+    open_ids = buckets.select(F.col("doc_id").alias("_id")).distinct()
+    opened = sets.join(open_ids, F.col("doc_id") == F.col("_id")).select("doc_id", "hashes")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64())])
+        for batch in batches:
+            for doc_id, hashes in zip(batch.column(0), batch.column(1)):
+                values = np.frombuffer(hashes.as_buffer(), "<i8")
+                yield arrow_rows(schema, doc_id=np.full(len(values), doc_id.as_py()), hash=values)
+
+    rows = opened.mapInArrow(each, "doc_id long, hash long")
+    alone = rows.groupBy("hash").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")).filter("n = 1")
+    alone = alone.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("alone"))
+    sizes = opened.select("doc_id", (F.length("hashes") / 8).cast("long").alias("n")).join(
+        alone, F.col("doc_id") == F.col("_id"), "left"
+    )
+    sizes = sizes.select(F.col("doc_id").alias("_id"), "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"))
+    sized = stored(buckets.join(sizes, F.col("doc_id") == F.col("_id")).drop("_id", "company"), "sized")
+    least = sized.groupBy(F.col("bucket").alias("_bucket")).agg(F.min("n").alias("least"))
+    hopeful = sized.join(least, F.col("bucket") == F.col("_bucket"))
+    hopeful = hopeful.filter((100 + percent) * F.col("most") >= percent * (F.col("n") + F.col("least")))
+    hopeful = hopeful.select("bucket", "doc_id", "component", "n", "most")
+    other = hopeful.select(*[F.col(c).alias(f"_{c}") for c in hopeful.columns])
+    met = hopeful.join(
+        other,
+        (F.col("bucket") == F.col("_bucket"))
+        & (F.col("doc_id") < F.col("_doc_id"))
+        & (F.col("component") != F.col("_component"))
+        & ((100 + percent) * F.least("most", "_most") >= percent * (F.col("n") + F.col("_n"))),
+    )
+    return met.select(F.col("doc_id").alias("a"), F.col("_doc_id").alias("b")).distinct()
