@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fairlead.llm.common import Rolling, arrow_rows, mix, text_bytes
+from fairlead.llm.common import BASES, Rolling, arrow_rows, mix, text_bytes
 from fairlead.llm.packs import ANSWERED, Answers, Keys, answer_keys, ask, conclude, pack_documents
 from fairlead.llm.suffixes import longest_shared
 
@@ -42,7 +42,7 @@ class Cuts:
         n = len(self.data)
         self.size = n
         letters = mix(np.arange(256, dtype=np.uint64), 71)
-        self.rolls = Rolling(letters[self.data], 72), Rolling(mix(letters, 73)[self.data], 74)
+        self.rolls = Rolling(letters[self.data], 72), Rolling(mix(letters, 73)[self.data], 74, BASES[1])
         self.anchors = np.zeros(0, np.int64)
         self.coarse = np.zeros(0, bool)
         if n >= GRAM:

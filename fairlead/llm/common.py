@@ -108,11 +108,14 @@ def powers(base: int, n: int) -> np.ndarray:
     return held[:n]
 
 
+# Two odd bases; only their powers are held by a worker, whatever hashes it takes.
+BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+
+
 class Rolling:
     """Hashes of any stretch of a sequence, by prefix sums of symbol * base**position."""
 
-    def __init__(self, symbols: np.ndarray, seed: int):
-        base = (int(mix(np.array([seed], np.uint64))[0]) | 1) & (2**64 - 1)
+    def __init__(self, symbols: np.ndarray, seed: int, base: int = BASES[0]):
         n = len(symbols)
         self.seed = seed
         self.back = powers(pow(base, -1, 2**64), n + 1)

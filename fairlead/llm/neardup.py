@@ -21,7 +21,7 @@ BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
 # Centers per bucket in the second round.
 CENTERS = 4
-PORTION = 4 << 20
+PORTION = 2 << 20
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:

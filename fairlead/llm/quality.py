@@ -18,7 +18,7 @@ FOLDS = 5
 # whole; the draw is by a hash of doc_id.
 SAMPLE = 6_000
 THRESHOLD = 0.3
-PORTION = 4 << 20
+PORTION = 2 << 20
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fairlead.llm.common import Rolling, arrow_rows, mix, stretch_hashes, text_bytes, words
+from fairlead.llm.common import BASES, Rolling, arrow_rows, mix, stretch_hashes, text_bytes, words
 from fairlead.llm.packs import Answers, Keys, answer_keys, ask, conclude, pack_documents
 
 WINDOW = 35
@@ -96,7 +96,7 @@ class Parse:
         one[self.place] = stretch_hashes(data, start, end, 51)
         two[self.place] = stretch_hashes(data, start, end, 52)
         self.words = one
-        self.rolls = Rolling(one, 53), Rolling(two, 54)
+        self.rolls = Rolling(one, 53), Rolling(two, 54, BASES[1])
         edge = np.cumsum(self.fixed)
         # Where a whole window of one document begins.
         self.whole = np.zeros(total, bool)

@@ -18,7 +18,7 @@ from fairlead.session import stored
 SAMPLES = 128
 TERM_BITS = 16
 PIECE = 16  # bytes; a longer word is several terms, so that text without spaces has terms too
-PORTION = 2 << 20
+PORTION = 1 << 20
 BLOCK = 4096
 
 
