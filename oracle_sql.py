@@ -1,8 +1,7 @@
 """The queries of fairlead.plans.queries as SQL over the same parquet tables.
 
-Voyages are written here as the joins their definition names (each start with all later
-stops, each voyage with all reports in its range), independently of the windows the
-engine uses.
+Voyages are read off islands of reports under way, cut into legs at gaps, and their stops are
+found by an as-of join: another method than the engine's, so that each checks the other.
 """
 
 STAGING = """staging AS (
@@ -49,42 +48,59 @@ NEWER = f"""newer AS (
 
 
 def series(source: str, name: str, gap: str = "15 minutes") -> str:
-    """CTEs from reports to boundaries, each with the given prefix."""
-    return f"""{name}_deltas AS (
+    """CTEs from reports to voyage limits, each with the given prefix.
+
+    A ship's reports fall into islands of one kind, under way or not, and an island under way
+    into legs wherever more than the gap lies between two reports. Voyages are read off the
+    legs: a leg opens one unless the ship's reports begin with it; a leg that another one of its
+    island follows closes with its last report, the last leg with the island after it.
+    """
+    ship = "PARTITION BY ship_id ORDER BY gps_timestamp, position_id"
+    return f"""{name}_reports AS (
   SELECT p.ship_id, p.gps_timestamp, p.position_id, n.nav_status,
-         lag(n.nav_status) OVER w AS nav_status_prev,
-         lag(p.gps_timestamp) OVER w AS timestamp_prev
-  FROM {source} p LEFT JOIN statuses n ON p.nav_status_id = n.id
-  WINDOW w AS (PARTITION BY p.ship_id ORDER BY p.gps_timestamp, p.position_id)),
-{name}_transitions AS (
-  SELECT *,
-    CASE WHEN nav_status_prev <> 'Engine' AND nav_status = 'Engine' THEN 1 ELSE 0 END
-      AS start_engine,
-    CASE WHEN nav_status_prev = 'Engine' AND nav_status <> 'Engine' THEN 1 ELSE 0 END
-      AS stop_engine,
-    CASE WHEN gps_timestamp - timestamp_prev > INTERVAL '{gap}' AND nav_status_prev = 'Engine'
-          AND nav_status = 'Engine' THEN 1 ELSE 0 END AS start_after_gap
-  FROM {name}_deltas),
-{name}_marked AS (
-  SELECT ship_id, gps_timestamp, position_id,
-         greatest(start_engine, start_after_gap) AS start_trajectory,
-         greatest(stop_engine, coalesce(lead(start_after_gap) OVER (
-           PARTITION BY ship_id ORDER BY gps_timestamp, position_id), 0)) AS stop_trajectory
-  FROM {name}_transitions),
-{name}_ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY ship_id ORDER BY gps_timestamp, position_id) AS nth
-  FROM {name}_marked WHERE start_trajectory = 1 OR stop_trajectory = 1),
+         n.nav_status IS NOT DISTINCT FROM 'Engine' AS active,
+         row_number() OVER ({ship}) AS nth
+  FROM {source} p LEFT JOIN statuses n ON p.nav_status_id = n.id),
+{name}_islands AS (
+  SELECT *, nth - row_number() OVER (PARTITION BY ship_id, active ORDER BY nth) AS island
+  FROM {name}_reports),
+{name}_legs AS (
+  SELECT ship_id, gps_timestamp, position_id, nth, active, island,
+         count(*) FILTER (active AND pause > INTERVAL '{gap}')
+           OVER (PARTITION BY ship_id, active, island ORDER BY nth) AS leg
+  FROM (SELECT *, gps_timestamp - lag(gps_timestamp)
+                    OVER (PARTITION BY ship_id, active, island ORDER BY nth) AS pause
+        FROM {name}_islands) i),
+{name}_spans AS (
+  SELECT ship_id, active, island, leg, min(nth) AS head, max(nth) AS tail,
+         leg < max(leg) OVER (PARTITION BY ship_id, active, island) AS goes_on
+  FROM {name}_legs GROUP BY ship_id, active, island, leg),
+{name}_opening AS (
+  SELECT ship_id, head AS nth, leg > 0 AS after_gap FROM {name}_spans
+  WHERE active AND (leg > 0 OR head > 1)),
+{name}_closing AS (
+  SELECT ship_id, head AS nth, false AS before_gap FROM {name}_spans WHERE NOT active AND head > 1
+  UNION ALL
+  SELECT ship_id, tail, true FROM {name}_spans WHERE active AND goes_on),
 {name}_boundaries AS (
-  SELECT ship_id, gps_timestamp, position_id, start_trajectory, stop_trajectory
-  FROM {name}_ranked WHERE NOT (stop_trajectory = 1 AND nth = 1)),
+  SELECT r.ship_id, r.gps_timestamp, r.position_id,
+         CASE WHEN o.after_gap IS NULL THEN 0 ELSE 1 END AS start_trajectory,
+         CASE WHEN c.before_gap IS NULL THEN 0 ELSE 1 END AS stop_trajectory
+  FROM {name}_reports r
+  LEFT JOIN {name}_opening o USING (ship_id, nth)
+  LEFT JOIN {name}_closing c USING (ship_id, nth)
+  LEFT JOIN (SELECT ship_id, min(nth) AS first_start FROM {name}_opening GROUP BY ship_id) f USING (ship_id)
+  LEFT JOIN (SELECT ship_id, min(nth) AS first_stop FROM {name}_closing GROUP BY ship_id) g USING (ship_id)
+  WHERE (o.after_gap IS NOT NULL OR c.before_gap IS NOT NULL)
+    AND NOT (c.before_gap IS NOT NULL AND r.nth = least(f.first_start, g.first_stop))),
 {name}_limits AS (
   SELECT a.ship_id, a.gps_timestamp AS datetime_start,
-         coalesce(min(b.gps_timestamp), {OPEN_END}) AS datetime_stop,
-         min(b.gps_timestamp) IS NULL AS is_open
-  FROM (SELECT * FROM {name}_boundaries WHERE start_trajectory = 1) a
-  LEFT JOIN (SELECT * FROM {name}_boundaries WHERE stop_trajectory = 1) b
-    ON a.ship_id = b.ship_id AND a.gps_timestamp <= b.gps_timestamp
-  GROUP BY a.ship_id, a.gps_timestamp)"""
+         coalesce(b.gps_timestamp, {OPEN_END}) AS datetime_stop,
+         b.gps_timestamp IS NULL AS is_open
+  FROM (SELECT DISTINCT ship_id, gps_timestamp FROM {name}_boundaries WHERE start_trajectory = 1) a
+  ASOF LEFT JOIN (SELECT DISTINCT ship_id, gps_timestamp FROM {name}_boundaries
+                  WHERE stop_trajectory = 1) b
+    ON a.ship_id = b.ship_id AND a.gps_timestamp <= b.gps_timestamp)"""
 
 
 def points(limits: str, name: str) -> str:
@@ -207,15 +223,24 @@ WHERE p.position_id BETWEEN (SELECT min(position_id) FROM newer)
     ),
     "deltas": with_(
         BASE,
-        ALL,
-        select="""SELECT ship_id, gps_timestamp, position_id, nav_status, nav_status_prev,
-  CAST(epoch_us(gps_timestamp) - epoch_us(timestamp_prev) AS DOUBLE) / 1e6 AS delta_seconds
-FROM v_deltas""",
+        """numbered AS (
+  SELECT p.ship_id, p.gps_timestamp, p.position_id, n.nav_status,
+         row_number() OVER (PARTITION BY p.ship_id ORDER BY p.gps_timestamp, p.position_id) AS nth
+  FROM positions p LEFT JOIN statuses n ON p.nav_status_id = n.id)""",
+        select="""SELECT b.ship_id, b.gps_timestamp, b.position_id, b.nav_status,
+  a.nav_status AS nav_status_prev,
+  CAST(epoch_us(b.gps_timestamp) - epoch_us(a.gps_timestamp) AS DOUBLE) / 1e6 AS delta_seconds
+FROM numbered b LEFT JOIN numbered a ON a.ship_id = b.ship_id AND a.nth + 1 = b.nth""",
     ),
     "transitions": with_(
         BASE,
         ALL,
-        select=f"SELECT {REPORT}, start_engine, stop_engine, start_after_gap FROM v_transitions",
+        select="""SELECT r.ship_id, r.gps_timestamp, r.position_id,
+  CASE WHEN NOT o.after_gap THEN 1 ELSE 0 END AS start_engine,
+  CASE WHEN NOT c.before_gap THEN 1 ELSE 0 END AS stop_engine,
+  CASE WHEN o.after_gap THEN 1 ELSE 0 END AS start_after_gap
+FROM v_reports r
+LEFT JOIN v_opening o USING (ship_id, nth) LEFT JOIN v_closing c USING (ship_id, nth)""",
     ),
     "boundaries": with_(
         BASE,
