@@ -21,6 +21,8 @@ BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
 # Centers per bucket in the second round.
 CENTERS = 4
+# How often hopeless documents are dropped before the last round.
+PRUNINGS = 2
 PORTION = 2 << 20
 
 
@@ -256,34 +258,20 @@ def _stars(buckets: DataFrame) -> DataFrame:
 def _rest(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a < b) of a bucket, in different components, that may still be close.
 
-    Of n shingles only the `most` that another open document has too can be common, and sizes n
-    and m need a common part of percent * (n + m) / (100 + percent). Documents to which even the
-    smallest member of the bucket leaves no hope are dropped before members meet.
+    Of a document's n shingles only the `most` that an open document of another component has
+    too can be common, and sizes n and m need a common part of percent * (n + m) / (100 +
+    percent). Documents to which even the smallest member of the bucket leaves no hope are
+    dropped before members meet; then the shingles are counted again over those left.
     """
-    open_ids = buckets.select(F.col("doc_id").alias("_id")).distinct()
-    opened = sets.join(open_ids, F.col("doc_id") == F.col("_id")).select("doc_id", "hashes")
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64())])
-        for batch in batches:
-            for doc_id, hashes in zip(batch.column(0), batch.column(1)):
-                values = np.frombuffer(hashes.as_buffer(), "<i8")
-                yield arrow_rows(schema, doc_id=np.full(len(values), doc_id.as_py()), hash=values)
-
-    rows = opened.mapInArrow(each, "doc_id long, hash long")
-    alone = rows.groupBy("hash").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")).filter("n = 1")
-    alone = alone.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("alone"))
-    sizes = opened.select("doc_id", (F.length("hashes") / 8).cast("long").alias("n")).join(
-        alone, F.col("doc_id") == F.col("_id"), "left"
-    )
-    sizes = sizes.select(F.col("doc_id").alias("_id"), "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"))
-    sized = stored(buckets.join(sizes, F.col("doc_id") == F.col("_id")).drop("_id", "company"), "sized")
-    least = sized.groupBy(F.col("bucket").alias("_bucket")).agg(F.min("n").alias("least"))
-    hopeful = sized.join(least, F.col("bucket") == F.col("_bucket"))
-    hopeful = hopeful.filter((100 + percent) * F.col("most") >= percent * (F.col("n") + F.col("least")))
-    hopeful = hopeful.select("bucket", "doc_id", "component", "n", "most")
-    other = hopeful.select(*[F.col(c).alias(f"_{c}") for c in hopeful.columns])
-    met = hopeful.join(
+    rows = buckets.select("bucket", "doc_id", "component")
+    for _ in range(PRUNINGS):
+        sized = stored(_sized(rows, sets), "sized")
+        least = sized.groupBy(F.col("bucket").alias("_bucket")).agg(F.min("n").alias("least"))
+        hopeful = sized.join(least, F.col("bucket") == F.col("_bucket"))
+        hopeful = hopeful.filter((100 + percent) * F.col("most") >= percent * (F.col("n") + F.col("least")))
+        rows = stored(hopeful.select("bucket", "doc_id", "component", "n", "most"), "hopeful")
+    other = rows.select(*[F.col(c).alias(f"_{c}") for c in rows.columns])
+    met = rows.join(
         other,
         (F.col("bucket") == F.col("_bucket"))
         & (F.col("doc_id") < F.col("_doc_id"))
@@ -291,3 +279,29 @@ def _rest(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         & ((100 + percent) * F.least("most", "_most") >= percent * (F.col("n") + F.col("_n"))),
     )
     return met.select(F.col("doc_id").alias("a"), F.col("_doc_id").alias("b")).distinct()
+
+
+def _sized(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows (bucket, doc_id, component) with n and most of each document."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("component", pa.int64()), ("hash", pa.int64())])
+        for batch in batches:
+            for doc_id, component, hashes in zip(*batch.columns):
+                values = np.frombuffer(hashes.as_buffer(), "<i8")
+                ids = np.full(len(values), doc_id.as_py())
+                yield arrow_rows(schema, doc_id=ids, component=np.full(len(values), component.as_py()), hash=values)
+
+    slim = rows.select("bucket", "doc_id", "component")
+    members = slim.select(F.col("doc_id").alias("_id"), "component").distinct()
+    opened = sets.join(members, F.col("doc_id") == F.col("_id")).select("doc_id", "component", "hashes")
+    shingles = opened.mapInArrow(each, "doc_id long, component long, hash long")
+    shingles = stored(shingles, "open-shingles")
+    spread = shingles.groupBy("hash").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    spread = spread.filter("lo < hi").select(F.col("hash").alias("_hash"))
+    common = shingles.join(spread, F.col("hash") == F.col("_hash"), "left_semi")
+    common = common.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("most"))
+    sizes = shingles.groupBy(F.col("doc_id").alias("_doc")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.join(common, F.col("_doc") == F.col("_id"), "left")
+    sizes = sizes.select("_doc", "n", F.coalesce("most", F.lit(0)).alias("most"))
+    return slim.join(sizes, F.col("doc_id") == F.col("_doc")).drop("_doc")
