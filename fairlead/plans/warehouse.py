@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,7 @@ from fairlead.operators.dimensions import update_dimensions
 from fairlead.operators.positions import build_positions, id_range
 from fairlead.operators.quality import reject_reason, reject_rows
 from fairlead.sources.csv import ingest_csv
-from fairlead.sources.tables import Warehouse
+from fairlead.sources.tables import SCHEMAS, Warehouse
 
 
 def load_csv(
@@ -20,14 +21,19 @@ def load_csv(
     path: str | list[str],
     mode: str = "strict",
     load_date: datetime | None = None,
+    load_id: str | None = None,
     **options,
 ) -> int:
-    """Load a CSV file or folder as one load; returns the number of rows stored."""
+    """Load a CSV file or folder as one load; returns the number of rows stored.
+
+    Every call is a load of its own, also with a load_date that was used before. A given
+    load_id repeats that load, as long as it is not among the positions yet.
+    """
     load_date = load_date or utc_now()
     staging, rejects = ingest_csv(
         warehouse.spark, path, mode, load_date, warehouse.next_position_id(), **options
     )
-    load_id = load_date.strftime("%Y%m%dT%H%M%S.%f")
+    load_id = load_id or f"{load_date:%Y%m%dT%H%M%S.%f}-{uuid.uuid4().hex[:12]}"
     return store_load(warehouse, load_id, load_date, staging, rejects if mode == "lenient" else None)
 
 
@@ -38,11 +44,16 @@ def store_load(
     staging: DataFrame,
     rejects: DataFrame | None,
 ) -> int:
-    """Write a load's partitions, then log it. Repeating it replaces the same load."""
-    named = F.lit(load_id).alias("load_id")
-    warehouse.replace_partitions("staging", staging.select("*", named), ["load_id"])
-    if rejects is not None:
-        warehouse.replace_partitions("rejects", rejects.select("*", named), ["load_id"])
+    """Write a load's partitions, then log it. Repeating it replaces the same load.
+
+    A load that is among the positions already is not replaced: that fails.
+    """
+    if warehouse.is_normalised(load_id):
+        raise ValueError(f"load {load_id} is among the positions already; load under another id")
+    warehouse.replace_load("staging", load_id, staging)
+    if rejects is None:
+        rejects = warehouse.spark.createDataFrame([], SCHEMAS["rejects"]).drop("load_id")
+    warehouse.replace_load("rejects", load_id, rejects)
     stored = warehouse.staging([load_id]).agg(
         F.count(F.lit(1)).alias("rows"), F.max("position_id").alias("max_id")
     ).first()

@@ -5,6 +5,7 @@ Columns are found by header name, so their order and any further columns do not
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,13 +28,20 @@ NUMERIC = [c for c in CSV_COLUMNS.values() if c not in ("gps_timestamp", "mmsi",
 
 def header_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Column names in the header of the first file."""
-    return _options(spark.read, path).option("header", True).csv(path).columns
+    return _options(spark, spark.read, path).option("header", True).csv(path).columns
 
 
-def _options(reader, path: str | list[str]):
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether the file system has a folder of that name; names alone do not tell."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return files.exists(place) and files.getFileStatus(place).isDirectory()
+
+
+def _options(spark: SparkSession, reader, path: str | list[str]):
     """Quotes are doubled inside quoted fields; a folder is searched at any depth."""
     reader = reader.option("quote", '"').option("escape", '"')
-    if isinstance(path, str) and not path.lower().endswith(".csv"):
+    if isinstance(path, str) and is_folder(spark, path):
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", CSV_GLOB)
     return reader
 
@@ -45,14 +53,14 @@ def _all_text(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, RAW_LINE]])
 
 
-def configure(reader, path: str | list[str], columns: list[str]):
+def configure(spark: SparkSession, reader, path: str | list[str], columns: list[str]):
     """A batch or stream reader that keeps every field as text and ragged lines as raw_line.
 
     Files are checked against the given header; one with another header fails the read
     instead of landing in the wrong columns.
     """
     return (
-        _options(reader, path)
+        _options(spark, reader, path)
         .schema(_all_text(columns))
         .option("header", True)
         .option("enforceSchema", False)
@@ -73,7 +81,7 @@ def read_raw(spark: SparkSession, path: str | list[str], mixed_headers: bool = F
     frames = []
     for group in groups:
         columns = header_columns(spark, group)
-        rows = configure(spark.read, group, columns).csv(group)
+        rows = configure(spark, spark.read, group, columns).csv(group)
         frames.append(rows.select(*CSV_COLUMNS, RAW_LINE).withColumnsRenamed(CSV_COLUMNS))
     rows = frames[0]
     for more in frames[1:]:
@@ -87,7 +95,7 @@ def header_groups(spark: SparkSession, path: str | list[str]) -> list[list[str]]
     is_header = F.lit(True)
     for name in CSV_COLUMNS:
         is_header = is_header & line.contains(name)
-    reader = _options(spark.read, path)
+    reader = _options(spark, spark.read, path)
     headers = (
         reader.text(path)
         .filter(is_header)
@@ -105,9 +113,22 @@ def _text(name: str) -> Column:
     return F.when(F.trim(field) != "", field)
 
 
+def zoneless(text: Column, pattern: str) -> Column:
+    """The time that a text states, whatever the session's zone; NULL if it does not fit.
+
+    The text is read as UTC and turned back without a zone, so no hour is skipped or repeated
+    by daylight saving. A pattern with a zone of its own gives the time in UTC.
+    """
+    if not re.search("[XxZzOV]", re.sub("'[^']*'", "", pattern)):
+        text, pattern = F.concat(text, F.lit(" +00:00")), f"{pattern} XXX"
+    micros = F.unix_micros(F.try_to_timestamp(text, F.lit(pattern)))
+    seconds = (micros.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return ntz(datetime(1970, 1, 1)) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
 def _timestamp(name: str, pattern: str | None) -> Column:
     if pattern:
-        return F.try_to_timestamp(_text(name), F.lit(pattern)).cast("timestamp_ntz")
+        return zoneless(_text(name), pattern)
     return F.when(F.col(name).rlike(DAY_FIRST), F.trim(F.col(name)).try_cast("timestamp_ntz"))
 
 

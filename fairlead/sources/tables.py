@@ -15,6 +15,7 @@ that a later run rebuilt, are skipped by the run numbers in the log.
 
 from __future__ import annotations
 
+import re
 import time
 from dataclasses import dataclass
 from datetime import datetime
@@ -159,6 +160,13 @@ class Warehouse:
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*by).parquet(self.path(table))
 
+    def replace_load(self, table: str, load_id: str, rows: DataFrame) -> None:
+        """Write the one partition of a load in place of what it had, also when rows are none."""
+        if not re.fullmatch(r"[\w.+-]+", load_id):
+            raise ValueError(f"a load id has letters, digits and . + - _ only, not {load_id!r}")
+        kept = [c for c in SCHEMAS[table].fieldNames() if c != "load_id"]
+        rows.select(*kept).write.mode("overwrite").parquet(f"{self.path(table)}/load_id={load_id}")
+
     def log(self, table: str, entries: list[tuple]) -> None:
         schema = SCHEMAS[table]
         columns = {field: list(values) for field, values in zip(schema.fieldNames(), zip(*entries))}
@@ -185,6 +193,9 @@ class Warehouse:
         done = {row["load_id"] for row in self.read("updates").collect()}
         return [load for load in self.loads() if load["load_id"] not in done]
 
+    def is_normalised(self, load_id: str) -> bool:
+        return not self.read("updates").filter(F.col("load_id") == load_id).isEmpty()
+
     def load_mark(self) -> datetime | None:
         return self.read("updates").agg(F.max("load_date")).first()[0]
 

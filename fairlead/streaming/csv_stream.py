@@ -24,19 +24,23 @@ def stream_csv(
 ) -> StreamingQuery:
     """Load all files of the folder that the checkpoint has not seen, then stop.
 
-    Each micro-batch is one load, named after its batch number, so that a batch repeated
-    after a failure replaces its own rows, or is skipped when it was stored completely.
+    Each micro-batch is one load, named after the stream (the id that its checkpoint keeps)
+    and its batch number, so that a batch repeated after a failure replaces its own rows, or
+    is skipped when it was stored completely, and no two streams share a name.
     """
     spark = warehouse.spark
     columns = columns or header_columns(spark, folder)
     reader = spark.readStream.option("maxFilesPerTrigger", max_files)
-    lines = configure(reader, folder, columns).csv(folder)
+    lines = configure(spark, reader, folder, columns).csv(folder)
     rows = typed(
         lines.select(*CSV_COLUMNS, RAW_LINE).withColumnsRenamed(CSV_COLUMNS), timestamp_format
     )
 
     def store(batch: DataFrame, number: int) -> None:
-        load_id = f"batch-{number:012d}"
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise RuntimeError("the stream's id is unknown")
+        load_id = f"{stream}-batch-{number:012d}"
         if any(load["load_id"] == load_id for load in warehouse.loads()):
             return
         load_date = utc_now()
