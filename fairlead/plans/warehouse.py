@@ -27,7 +27,7 @@ def load_csv(
     """Load a CSV file or folder as one load; returns the number of rows stored.
 
     Every call is a load of its own, also with a load_date that was used before. A given
-    load_id repeats that load, as long as it is not among the positions yet.
+    load_id repeats that load in place of what it had.
     """
     load_date = load_date or utc_now()
     staging, rejects = ingest_csv(
@@ -46,10 +46,10 @@ def store_load(
 ) -> int:
     """Write a load's partitions, then log it. Repeating it replaces the same load.
 
-    A load that is among the positions already is not replaced: that fails.
+    A load that is among the positions already is taken out of them first, so that the next
+    update brings it in anew.
     """
-    if warehouse.is_normalised(load_id):
-        raise ValueError(f"load {load_id} is among the positions already; load under another id")
+    warehouse.forget_update(load_id)
     warehouse.replace_load("staging", load_id, staging)
     if rejects is None:
         rejects = warehouse.spark.createDataFrame([], SCHEMAS["rejects"]).drop("load_id")

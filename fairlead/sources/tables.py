@@ -160,10 +160,14 @@ class Warehouse:
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*by).parquet(self.path(table))
 
+    @staticmethod
+    def check_load_id(load_id: str) -> None:
+        if not re.fullmatch(r"[\w+-][\w.+-]*", load_id):
+            raise ValueError(f"a load id has letters, digits and . + - _ only, not {load_id!r}")
+
     def replace_load(self, table: str, load_id: str, rows: DataFrame) -> None:
         """Write the one partition of a load in place of what it had, also when rows are none."""
-        if not re.fullmatch(r"[\w.+-]+", load_id):
-            raise ValueError(f"a load id has letters, digits and . + - _ only, not {load_id!r}")
+        self.check_load_id(load_id)
         kept = [c for c in SCHEMAS[table].fieldNames() if c != "load_id"]
         rows.select(*kept).write.mode("overwrite").parquet(f"{self.path(table)}/load_id={load_id}")
 
@@ -193,8 +197,13 @@ class Warehouse:
         done = {row["load_id"] for row in self.read("updates").collect()}
         return [load for load in self.loads() if load["load_id"] not in done]
 
-    def is_normalised(self, load_id: str) -> bool:
-        return not self.read("updates").filter(F.col("load_id") == load_id).isEmpty()
+    def forget_update(self, load_id: str) -> None:
+        """Take a load's update out of the log, and then its rows, so that it is pending again."""
+        self.check_load_id(load_id)
+        for table in ("updates", "positions", "refused"):
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/load_id={load_id}")
+            conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+            place.getFileSystem(conf).delete(place, True)
 
     def load_mark(self) -> datetime | None:
         return self.read("updates").agg(F.max("load_date")).first()[0]
