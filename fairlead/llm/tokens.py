@@ -22,8 +22,8 @@ from fairlead.session import scratch_path, stored
 
 END_ID = 2
 # Words whose ids a worker remembers; beyond, it starts anew.
-MEMORY = 300_000
-PORTION = 2 << 20
+MEMORY = 500_000
+PORTION = 4 << 20
 SEAM = r"([a-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{17F}])([,.!|*%$&#?;:])"
 TOKENS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 BLOCKS = pa.schema(
