@@ -258,7 +258,7 @@ def _stars(buckets: DataFrame) -> DataFrame:
 def _rest(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a < b) of a bucket, in different components, that may still be close.
 
-    Of a document's n shingles only the `most` that an open document of another component has
+    Each document is in a bucket once and in at most BANDS of them. Of a document's n shingles only the `most` that an open document of another component has
     too can be common, and sizes n and m need a common part of percent * (n + m) / (100 +
     percent). Documents to which even the smallest member of the bucket leaves no hope are
     dropped before members meet; then the shingles are counted again over those left.
@@ -270,15 +270,19 @@ def _rest(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         hopeful = sized.join(least, F.col("bucket") == F.col("_bucket"))
         hopeful = hopeful.filter((100 + percent) * F.col("most") >= percent * (F.col("n") + F.col("least")))
         rows = stored(hopeful.select("bucket", "doc_id", "component", "n", "most"), "hopeful")
+    # A pair may share many buckets; it is emitted in the first one only.
+    shared = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("bucket").alias("open_in"))
+    rows = rows.join(shared, F.col("doc_id") == F.col("_id")).drop("_id")
     other = rows.select(*[F.col(c).alias(f"_{c}") for c in rows.columns])
     met = rows.join(
         other,
         (F.col("bucket") == F.col("_bucket"))
         & (F.col("doc_id") < F.col("_doc_id"))
         & (F.col("component") != F.col("_component"))
-        & ((100 + percent) * F.least("most", "_most") >= percent * (F.col("n") + F.col("_n"))),
+        & ((100 + percent) * F.least("most", "_most") >= percent * (F.col("n") + F.col("_n")))
+        & (F.array_min(F.array_intersect("open_in", "_open_in")) == F.col("bucket")),
     )
-    return met.select(F.col("doc_id").alias("a"), F.col("_doc_id").alias("b")).distinct()
+    return met.select(F.col("doc_id").alias("a"), F.col("_doc_id").alias("b"))
 
 
 def _sized(rows: DataFrame, sets: DataFrame) -> DataFrame:
