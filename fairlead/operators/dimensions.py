@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairlead.operators.keys import Sized, number_rows
+from fairlead.operators.keys import ONE_TASK_KEYS, Sized, number_rows
 
 
-def add_new_keys(rows: DataFrame, known: DataFrame | None, key: str) -> Sized:
+def add_new_keys(
+    rows: DataFrame, known: DataFrame | None, key: str, one_task: int = ONE_TASK_KEYS
+) -> Sized:
     """Keys of the rows that the known table lacks, numbered on from its largest id."""
     rows = rows.filter(F.col(key).isNotNull())
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -17,8 +19,9 @@ def add_new_keys(rows: DataFrame, known: DataFrame | None, key: str) -> Sized:
         counts = counts.join(known, key, "left_anti")
         start = known.agg(F.max("id")).first()[0] or 0
     keys, fullest = counts.agg(F.count(F.lit(1)), F.max("n")).first()
-    numbered = number_rows(counts.select(key), [key], start, keys)
-    return Sized(numbered.select("id", key), keys, fullest)
+    numbered = number_rows(counts.select(key), [key], start, keys, one_task)
+    # Rows of keys known before are not counted, so then the fullest key is unknown.
+    return Sized(numbered.select("id", key), keys, fullest if known is None else None)
 
 
 def update_dimensions(

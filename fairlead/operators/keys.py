@@ -15,6 +15,8 @@ MIN_GROUP_ROWS = 1_000_000
 MAX_GROUPS = 10_000
 # Lookup tables up to this many rows are broadcast (20-character key and a long each).
 BROADCAST_ROWS = 1_000_000
+# Facts without a key are dealt over this many salts when they are joined by a shuffle.
+NULL_SALTS = 4096
 # Up to this many keys are numbered by one sort in one task.
 ONE_TASK_KEYS = 100_000
 
@@ -68,21 +70,22 @@ def lookup(
 
     A table of a checked size is broadcast. A larger one is joined by a shuffle in which
     every oversized key of the facts is dealt over several salts by the hash of the
-    `spread` column, the key's one table row being repeated once per salt.
+    `spread` column, the key's one table row being repeated once per salt. Facts without a
+    key match nothing and are dealt likewise.
     """
     count = table.count if isinstance(table, Sized) else table.count()
     table = table.rows if isinstance(table, Sized) else table
     if count <= broadcast_rows:
         return facts.join(F.broadcast(table), on, how)
     limit, hot = oversized(facts.filter(F.col(on).isNotNull()), [on], limit)
-    if not hot:
-        return facts.join(table, on, how)
     salts = facts.sparkSession.createDataFrame(
         [(row[on], -(-row["n"] // limit)) for row in hot],
         f"{on} {facts.schema[on].dataType.simpleString()}, salts bigint",
     )
     dealt = facts.join(F.broadcast(salts), on, "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("salts")), F.lit(0))
+        "salt",
+        F.when(F.col(on).isNull(), F.pmod(F.xxhash64(spread), F.lit(NULL_SALTS)))
+        .otherwise(F.coalesce(F.pmod(F.xxhash64(spread), F.col("salts")), F.lit(0))),
     )
     repeated = (
         table.join(F.broadcast(salts), on, "left")

@@ -38,10 +38,12 @@ def build_positions(
     statuses: DataFrame | Sized,
     ids: tuple[int, int] | None = None,
     strict: bool = False,
+    **joining,
 ) -> DataFrame:
     """Normalise staging rows, optionally those with ids in an inclusive range.
 
     A row without both coordinates has no point and is left out; strict mode fails on it.
+    `joining` sets the sizes of keys.lookup, broadcast_rows and limit.
     """
     rows = staging if ids is None else staging.filter(F.col("position_id").between(*ids))
     no_point = F.col("longitude").isNull() | F.col("latitude").isNull()
@@ -50,10 +52,9 @@ def build_positions(
         rows = rows.filter(F.when(no_point, refused.cast("boolean")).otherwise(F.lit(True)))
     else:
         rows = rows.filter(~no_point)
-    rows = lookup(rows, ships.select(F.col("id").alias("ship_id"), "mmsi"), "mmsi")
-    rows = lookup(
-        rows, statuses.select(F.col("id").alias("nav_status_id"), "nav_status"), "nav_status"
-    )
+    rows = lookup(rows, ships.select(F.col("id").alias("ship_id"), "mmsi"), "mmsi", **joining)
+    named = statuses.select(F.col("id").alias("nav_status_id"), "nav_status")
+    rows = lookup(rows, named, "nav_status", **joining)
     return rows.select(
         "position_id",
         "longitude",

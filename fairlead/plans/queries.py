@@ -26,6 +26,9 @@ from fairlead.sources.tables import Warehouse
 FIRST_MARK = datetime(2024, 1, 2)
 MARK = datetime(2024, 1, 16)
 WIDE_GAP_SECONDS = 12 * 3600
+# What the queries of the paths for large tables take instead of the limits in use.
+CUT_GROUPS = 500
+FEW_POINTS = 3
 
 OUTPUT_NAMES = {"speed_over_ground": "sog", "course_over_ground": "cog"}
 
@@ -57,6 +60,11 @@ class Tables:
     def slicing(self) -> Slicing:
         return plan_slices(self.positions, fullest=self.ships.fullest)
 
+    @cached_property
+    def low_limit(self) -> int:
+        """A limit that many groups exceed, and no more than CUT_GROUPS."""
+        return max(1, -(-self.staging.count() // CUT_GROUPS))
+
     @cached_property
     def rows(self) -> DataFrame:
         reports = detect.with_status(self.positions, self.statuses)
@@ -122,6 +130,11 @@ def dim_ships(t: Tables) -> DataFrame:
     return _dimension(t, "mmsi")
 
 
+def dim_ships_spread(t: Tables) -> DataFrame:
+    """Ship ids from a sort over all tasks."""
+    return dimensions.add_new_keys(t.staging, None, "mmsi", one_task=0).rows
+
+
 def dim_nav_statuses(t: Tables) -> DataFrame:
     return _dimension(t, "nav_status")
 
@@ -134,6 +147,17 @@ def all_positions(t: Tables) -> DataFrame:
     return _short(t.positions)
 
 
+def positions_salted(t: Tables) -> DataFrame:
+    """Lookups by a shuffle, oversized keys and rows without a ship dealt over salts."""
+    named = F.col("position_id") % 13 != 0
+    rows = t.staging.withColumn("mmsi", F.when(named, F.col("mmsi")))
+    return _short(
+        positions.build_positions(
+            rows, t.ships, t.statuses, broadcast_rows=0, limit=t.low_limit
+        )
+    )
+
+
 def dwh_update(t: Tables) -> DataFrame:
     ids = positions.id_range(t.newer).first()
     added = positions.build_positions(t.staging, t.ships, t.statuses, (ids["min_id"], ids["max_id"]))
@@ -165,6 +189,11 @@ def voyage_limits(t: Tables) -> DataFrame:
     return t.limits
 
 
+def voyage_limits_cut(t: Tables) -> DataFrame:
+    """The same voyages, with the crowded ships cut into slices."""
+    return detect.find_voyages(t.positions, t.statuses, limit=t.low_limit)
+
+
 def voyage_limits_wide_gap(t: Tables) -> DataFrame:
     return detect.limits_of(t.positions, t.statuses, t.slicing, WIDE_GAP_SECONDS)
 
@@ -236,6 +265,28 @@ def trajectory_vectors(t: Tables) -> DataFrame:
     return _vectors(export.export_trajectories(t.limits, t.positions, t.ships, slicing=t.slicing))
 
 
+def trajectory_vectors_cut(t: Tables) -> DataFrame:
+    """The same lines, with the crowded ships cut into slices."""
+    lines = export.export_trajectories(t.limits, t.positions, t.ships, limit=t.low_limit)
+    return _vectors(lines)
+
+
+def trajectory_parts(t: Tables) -> DataFrame:
+    """Voyages of more than FEW_POINTS reports continue in further rows."""
+    limits = detect.limits_of(t.positions, t.statuses, t.slicing, WIDE_GAP_SECONDS)
+    lines = export.export_trajectories(
+        limits, t.positions, t.ships, max_points=FEW_POINTS, slicing=t.slicing
+    )
+    return lines.select(
+        "ship_id",
+        "mmsi",
+        "datetime_start",
+        F.col("part").cast("bigint").alias("part"),
+        F.size("timestamps").cast("bigint").alias("n_points"),
+        F.element_at("timestamps", -1).alias("last_report"),
+    )
+
+
 def _line_ends(lines: DataFrame) -> DataFrame:
     """Per voyage, size and ends as read back out of the arrays of its parts."""
 
@@ -269,6 +320,14 @@ def trajectory_export(t: Tables) -> DataFrame:
     )
 
 
+def trajectory_range(t: Tables) -> DataFrame:
+    """The first half of the ships, by a range of ids."""
+    lines = export.export_trajectories(
+        t.limits, t.positions, t.ships, ship_range=(1, t.ships.count // 2)
+    )
+    return _line_ends(lines)
+
+
 def export_one_ship(t: Tables) -> DataFrame:
     """The ship with the most reports."""
     counts = t.positions.groupBy("ship_id").agg(F.count(F.lit(1)).alias("n"))
@@ -381,16 +440,22 @@ QUERIES = {
     "new_row_range": new_row_range,
     "reject_rows": reject_rows,
     "dim_ships": dim_ships,
+    "dim_ships_spread": dim_ships_spread,
     "dim_nav_statuses": dim_nav_statuses,
     "positions": all_positions,
+    "positions_salted": positions_salted,
     "dwh_update": dwh_update,
     "deltas": deltas,
     "transitions": transitions,
     "boundaries": boundaries,
     "voyage_limits": voyage_limits,
+    "voyage_limits_cut": voyage_limits_cut,
     "voyage_limits_wide_gap": voyage_limits_wide_gap,
     "voyage_points": voyage_points,
     "trajectory_vectors": trajectory_vectors,
+    "trajectory_vectors_cut": trajectory_vectors_cut,
+    "trajectory_parts": trajectory_parts,
+    "trajectory_range": trajectory_range,
     "trajectory_export": trajectory_export,
     "export_one_ship": export_one_ship,
     "find_and_export": find_and_export,

@@ -40,6 +40,7 @@ def run_voyages(
     rules = f"{increment}, {gap_seconds} s, {active}"
     number = F.lit(run_id).cast("bigint").alias("run_id")
 
+    slicing = None
     if mode == "export":
         limits = in_ship_range(warehouse.limits(), ship_range)
         positions = in_ship_range(warehouse.positions(), ship_range)
@@ -72,7 +73,7 @@ def run_voyages(
             limits = limits.unionByName(others)
             after = next_states(plan, found, states)
             warehouse.replace_partitions("states", after.select("*", number), ["run_id"])
-        limits = limits.sortWithinPartitions("ship_id", "datetime_start")
+        limits = limits.sortWithinPartitions("is_open", "ship_id", "datetime_start")
         warehouse.replace_partitions("limits", limits.select("*", number), ["run_id", "is_open"])
         limits = warehouse.read("limits").filter(F.col("run_id") == run_id)
         if plan is not None:
@@ -85,7 +86,8 @@ def run_voyages(
             positions,
             warehouse.read("ships"),
             max_points=max_points,
-        )
+            slicing=slicing,
+        ).sortWithinPartitions("is_open", "ship_id", "datetime_start", "part")
         warehouse.replace_partitions("exports", lines.select("*", number), ["run_id", "is_open"])
 
     run = Run(run_id, mode, ship_range, rules, update_id, last_id)

@@ -180,6 +180,9 @@ statuses AS (
         FROM staging GROUP BY nav_status) k)"""
 STORED = ",\n".join([STAGING, STORED_DIMENSIONS, POSITIONS])
 
+LINES = """SELECT pts.ship_id, ships.mmsi, datetime_start, datetime_stop, seq, gps_timestamp,
+  longitude, latitude, sog, cog, heading FROM pts LEFT JOIN ships ON pts.ship_id = ships.id"""
+
 ORACLES = {
     "staging_count": with_(STAGING, select="SELECT count(*) AS n FROM staging"),
     "ingest_strict": with_(STAGING, select=f"SELECT {INGESTED} FROM staging"),
@@ -212,8 +215,14 @@ ORACLES = {
 WHERE reason IS NOT NULL""",
     ),
     "dim_ships": dimension("mmsi"),
+    "dim_ships_spread": with_(STAGING, DIMENSIONS, select="SELECT id, mmsi FROM ships"),
     "dim_nav_statuses": dimension("nav_status"),
     "positions": with_(BASE, select="SELECT * FROM positions"),
+    "positions_salted": with_(
+        BASE,
+        select="""SELECT * REPLACE (CASE WHEN position_id % 13 <> 0 THEN ship_id END AS ship_id)
+FROM positions""",
+    ),
     "dwh_update": with_(
         BASE,
         NEWER,
@@ -248,6 +257,7 @@ LEFT JOIN v_opening o USING (ship_id, nth) LEFT JOIN v_closing c USING (ship_id,
         select=f"SELECT {REPORT}, start_trajectory, stop_trajectory FROM v_boundaries",
     ),
     "voyage_limits": with_(BASE, ALL, select=f"SELECT {LIMIT_COLUMNS} FROM v_limits"),
+    "voyage_limits_cut": with_(BASE, ALL, select=f"SELECT {LIMIT_COLUMNS} FROM v_limits"),
     "voyage_limits_wide_gap": with_(BASE, WIDE, select=f"SELECT {LIMIT_COLUMNS} FROM v_limits"),
     "voyage_points": with_(
         BASE,
@@ -260,8 +270,25 @@ LEFT JOIN v_opening o USING (ship_id, nth) LEFT JOIN v_closing c USING (ship_id,
         BASE,
         ALL,
         points("v_limits", "pts"),
-        select="""SELECT pts.ship_id, ships.mmsi, datetime_start, datetime_stop, seq, gps_timestamp,
-  longitude, latitude, sog, cog, heading FROM pts LEFT JOIN ships ON pts.ship_id = ships.id""",
+        select=LINES,
+    ),
+    "trajectory_vectors_cut": with_(BASE, ALL, points("v_limits", "pts"), select=LINES),
+    "trajectory_parts": with_(
+        BASE,
+        WIDE,
+        points("v_limits", "pts"),
+        select="""SELECT pts.ship_id, ships.mmsi, datetime_start, CAST(seq // 3 AS BIGINT) AS part,
+  count(*) AS n_points, max(gps_timestamp) AS last_report
+FROM pts LEFT JOIN ships ON pts.ship_id = ships.id
+GROUP BY pts.ship_id, ships.mmsi, datetime_start, seq // 3""",
+    ),
+    "trajectory_range": with_(
+        BASE,
+        ALL,
+        points(
+            "(SELECT * FROM v_limits WHERE ship_id <= (SELECT count(*) // 2 FROM ships))", "pts"
+        ),
+        select=line_ends("pts"),
     ),
     "trajectory_export": with_(BASE, WIDE, points("v_limits", "pts"), select=line_ends("pts")),
     "export_one_ship": with_(
@@ -311,8 +338,7 @@ WHERE a.load_date > {MARK} AND a.gps_timestamp <= s.last_stop""",
         STORED,
         ALL,
         points("v_limits", "pts"),
-        select="""SELECT pts.ship_id, ships.mmsi, datetime_start, datetime_stop, seq, gps_timestamp,
-  longitude, latitude, sog, cog, heading FROM pts LEFT JOIN ships ON pts.ship_id = ships.id""",
+        select=LINES,
     ),
     "warehouse_limits": with_(STORED, ALL, select=f"SELECT {LIMIT_COLUMNS} FROM v_limits"),
     "dq_duplicate_keys": with_(
