@@ -91,14 +91,20 @@ def _margins(rows: list[np.ndarray], weight: np.ndarray, square: np.ndarray, bia
     return np.array([weight[x].sum() / max(float(np.sqrt(square[x].sum())), 1e-9) + bias for x in rows])
 
 
-def calibrate(margins: np.ndarray, good: np.ndarray, steps: int = 200) -> tuple[float, float]:
-    """Slope and offset of a logistic curve through held-out margins, by Newton steps."""
+def calibrate(
+    margins: np.ndarray, good: np.ndarray, count: np.ndarray | None = None, steps: int = 200
+) -> tuple[float, float]:
+    """Slope and offset of a logistic curve through held-out margins, by Newton steps.
+
+    Each row stands for `count` rows, so that the curve has the shares of what was drawn from.
+    """
     slope, offset = 1.0, 0.0
+    count = np.ones(len(good)) if count is None else count / count.mean()
     n1, n0 = int(good.sum()), int((~good).sum())
     aim = np.where(good, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(slope * margins + offset, -30, 30)))
-        g, h = p - aim, p * (1 - p) + 1e-9
+        g, h = count * (p - aim), count * p * (1 - p) + 1e-9
         a, b, d = (h * margins**2).sum() + 1e-6, (h * margins).sum(), h.sum() + 1e-6
         ga, gb = (g * margins).sum(), g.sum()
         det = a * d - b * b
@@ -110,11 +116,14 @@ def calibrate(margins: np.ndarray, good: np.ndarray, steps: int = 200) -> tuple[
     return max(float(slope), 1e-3), float(offset)
 
 
-def fit(rows: list[np.ndarray], good: np.ndarray, bits: int = BITS, c: float = 1.0) -> Model:
-    """The model of a list of feature arrays and their labels.
+def fit(
+    rows: list[np.ndarray], good: np.ndarray, bits: int = BITS, c: float = 1.0, count: np.ndarray | None = None
+) -> Model:
+    """The model of a list of feature arrays, their labels, and for how many rows each stands.
 
-    Each half is scored by a fit on the other to calibrate the scores. With one label alone
-    all scores are that label; without rows they are 1.
+    Each half is scored by a fit on the other to calibrate the scores. The fits give both labels
+    the same cost whatever their shares; the calibration alone knows the shares, from `count`.
+    With one label alone all scores are that label; without rows they are 1.
     """
     size = 1 << bits
     if good.all() or not good.any():
@@ -128,25 +137,33 @@ def fit(rows: list[np.ndarray], good: np.ndarray, bits: int = BITS, c: float = 1
             continue
         fitted = _fit_once([rows[i] for i in inside], good[inside], size, c)
         margins[outside] = _margins([rows[i] for i in outside], *fitted)
-    slope, offset = calibrate(margins, good)
+    slope, offset = calibrate(margins, good, count)
     weight, square, bias = _fit_once(rows, good, size, c)
     return Model(weight, square, bias, slope, offset)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[np.ndarray], np.ndarray]:
-    """Features and labels of about `sample` labelled documents outside the held-out fold.
+def training_rows(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Features, labels and counts of about `sample` labelled documents outside the held-out fold.
 
     Labels are drawn by a hash of doc_id at a rate that meets the bound, class by class, so that
-    a rare label is not lost: at most half of the sample each. Labels other than 0 and 1 are
-    left out; of several labels of an id the smallest counts.
+    a rare label is not lost: at most half of the sample each. A row's count is how many labels
+    of its class there are for each one drawn. Labels other than 0 and 1 are left out; of
+    several labels of an id the smallest counts.
     """
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (fold_of("doc_id", FOLDS) != 0))
     usable = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    counts = {r["quality"]: r["n"] for r in usable.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def by_label(rows: DataFrame) -> dict[int, int]:
+        return {r["quality"]: r["n"] for r in rows.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    counts = by_label(usable)
     rate = F.when(F.col("quality") == 1, sample / 2 / max(1, counts.get(1, 0))).otherwise(
         sample / 2 / max(1, counts.get(0, 0))
     )
     drawn = usable.filter(uniform("doc_id", seed=4) < rate)
+    taken = by_label(drawn) if max(counts.values(), default=0) > sample / 2 else counts
     drawn = drawn.withColumnRenamed("doc_id", "_labelled")
     texts = docs.select("doc_id", F.col("text").cast("string")).join(
         F.broadcast(drawn), F.col("doc_id") == F.col("_labelled")
@@ -165,19 +182,21 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
     gathered = texts.mapInArrow(run, "doc_id long, quality int, features binary").collect()
     gathered.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
     rows = [np.frombuffer(r["features"], "<i4") for r in gathered]
-    return rows, np.array([r["quality"] == 1 for r in gathered], bool)
+    count = np.array([counts[r["quality"]] / taken[r["quality"]] for r in gathered], float)
+    return rows, np.array([r["quality"] == 1 for r in gathered], bool), count
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """Per document: doc_id, held_out, score (0 to 1) and predicted (1 if score >= threshold).
 
     The fit sees a bounded sample of labelled documents outside the held-out fold
-    (crc32(doc_id) mod 5 = 0); every whole text is scored by its words alone. Null and empty
+    (crc32(doc_id) mod 5 = 0), and the scores have the shares of all labels there, whatever the
+    sample's; every whole text is scored by its words alone. Null and empty
     texts get the score of a text without features. Rows that repeat an id are scored each by
     its own text; a null id is in the fold of the empty text.
     """
-    rows, good = training_rows(docs, labels, sample)
-    model = fit(rows, good)
+    rows, good, count = training_rows(docs, labels, sample)
+    model = fit(rows, good, count=count)
     shared = docs.sparkSession.sparkContext.broadcast(
         (model.weight.astype(np.float32), model.square.astype(np.float32), model.bias, model.slope, model.offset)
     )

@@ -36,6 +36,22 @@ def test_quality_of_odd_texts(llm_spark, odd):
     assert quality.keep_good(docs, scored).columns == docs.columns
 
 
+def test_quality_has_the_shares_of_all_labels(llm_spark):
+    """One word tells nothing, so the score is the share of label 1: 0.9, also of a small sample."""
+    draw = np.random.default_rng(5)
+    docs = documents(llm_spark, [(i, " ".join(f"w{x}" for x in draw.integers(0, 50, 12))) for i in range(6000)])
+    labels = llm_spark.createDataFrame([(i, int(draw.random() < 0.9)) for i in range(6000)], "doc_id long, quality int")
+    for sample in (600, 6_000, 60_000):
+        rows = quality.score_quality(docs, labels, sample=sample).select("score").collect()
+        assert abs(np.mean([r["score"] for r in rows]) - 0.9) < 0.03, sample
+    rows, good, count = quality.training_rows(docs, labels, 600)
+    usable = labels.filter("crc32(cast(cast(doc_id as string) as binary)) % 5 != 0").groupBy("quality").count().collect()
+    assert 450 < len(rows) < 750 and {r["quality"]: r["count"] for r in usable} == {
+        1: round(count[good].sum()),
+        0: round(count[~good].sum()),
+    }
+
+
 def test_descent_separates():
     order = np.random.default_rng(2)
     good = np.arange(400) % 5 > 0
