@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,33 +15,30 @@ from fairlead.llm.common import arrow_rows, mix, partitions, portions, stretch_h
 from fairlead.session import stored
 
 SAMPLES = 128
-TERM_BITS = 16
 PIECE = 16  # bytes; a longer word is several terms, so that text without spaces has terms too
 PORTION = 1 << 20
 BLOCK = 4096
+# One odd factor per sample and draw.
+FACTORS = mix(np.arange(3 * SAMPLES, dtype=np.uint64), 21).reshape(3, SAMPLES) | np.uint64(1)
 
 
-@lru_cache(maxsize=1)
-def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per term bucket and sample: r, beta, and ln c - r + r * beta, r and c gamma(2, 1).
+def draws(terms: np.ndarray, nth: int) -> np.ndarray:
+    """64 pseudo-random bits per term hash and sample; every worker has the same."""
+    with np.errstate(over="ignore"):
+        x = terms[:, None] * FACTORS[nth]
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+    return x
 
-    The numbers are drawn from hashes of bucket and sample, so every worker has the same.
-    """
-    places = np.arange((1 << TERM_BITS) * SAMPLES, dtype=np.uint64)
-
-    def draw(seed: int) -> np.ndarray:
-        return ((mix(places, seed) >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
-    r = -np.log(draw(21) * draw(22))
-    c = -np.log(draw(23) * draw(24))
-    beta = draw(25)
-    shape = (1 << TERM_BITS, SAMPLES)
-    level = np.log(c) - r + r * beta
-    return tuple(x.astype(np.float32).reshape(shape) for x in (r, beta, level))
+def exponential(bits: np.ndarray) -> np.ndarray:
+    """Exponential numbers of mean 1, rising with the bits; small ones keep their precision."""
+    return -np.log1p(-(bits.astype(np.float64) + 0.5) / float(1 << 64) * (1 - 2**-53))
 
 
 def weighted_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, term bucket and weight (how often) of the distinct terms of each text, by row."""
+    """Row, 64-bit hash and weight (how often) of the distinct terms of each text, by row."""
     data, at = text_bytes(texts)
     start, end, row = words(data, at)
     if (end - start > PIECE).any():
@@ -51,10 +47,18 @@ def weighted_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         nth = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
         start, row, limit = start[which] + nth * PIECE, row[which], end[which]
         end = np.minimum(start + PIECE, limit)
-    hashed = stretch_hashes(data, start, end, 31) >> np.uint64(64 - TERM_BITS)
-    keys, weight = np.unique((row.astype(np.uint64) << np.uint64(TERM_BITS)) | hashed, return_counts=True)
-    term = (keys & np.uint64((1 << TERM_BITS) - 1)).astype(np.int64)
-    return (keys >> np.uint64(TERM_BITS)).astype(np.int64), term, weight
+    term = stretch_hashes(data, start, end, 31)
+    order = np.lexsort((term, row))
+    row, term = row[order], term[order]
+    fresh = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (term[1:] != term[:-1])][: len(row)])
+    return row[fresh], term[fresh], np.diff(np.r_[fresh, len(row)])
+
+
+def _least(best: np.ndarray, rows: np.ndarray, value: np.ndarray) -> None:
+    """Lower each row of `best` to the least of its values; equal rows stand together."""
+    begins = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    least = np.minimum.reduceat(value, begins, axis=0)
+    best[rows[begins]] = np.minimum(best[rows[begins]], least)
 
 
 def fingerprints(texts: pa.Array) -> np.ndarray:
@@ -63,27 +67,40 @@ def fingerprints(texts: pa.Array) -> np.ndarray:
     For each sample a term of weight w gets t = floor(ln w / r + beta), y = exp(r (t - beta))
     and a = c / (y exp r); the term of the smallest a, with its t, is the sample. Here ln a is
     compared, and the code is a hash of the smallest ln a, which term and t determine.
+
+    r and c, gamma(2, 1), and beta come from three exponential numbers e, f and g of the term's
+    hash: c = e + f, and with v = ln(c / e), which is exponential and independent of c, r = v + g
+    and beta = g / r. So ln a = ln e - r t. A term that occurs once has t = 0, and of those the
+    least bits of e decide; the numbers of others are drawn once per block of equal terms.
     """
-    r, beta, level = tables()
     row, term, weight = weighted_terms(texts)
-    best = np.full((len(texts), SAMPLES), np.inf, np.float32)
-    log = np.log(weight).astype(np.float32)
-    for first in range(0, len(row), BLOCK):
-        part = slice(first, first + BLOCK)
-        ids, rows = term[part], row[part]
-        value = level[ids]
-        heavy = np.flatnonzero(log[part] > 0)
-        if len(heavy):
-            scale = r[ids[heavy]]
-            steps = np.floor(log[part][heavy, None] / scale + beta[ids[heavy]])
-            value[heavy] -= scale * steps
-        begins = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-        least = np.minimum.reduceat(value, begins, axis=0)
-        best[rows[begins]] = np.minimum(best[rows[begins]], least)
+    n = len(texts)
+    has = np.bincount(row, minlength=n) > 0
+    bits = np.full((n, SAMPLES), 2**64 - 1, np.uint64)
+    light = np.flatnonzero(weight == 1)
+    for first in range(0, len(light), BLOCK):
+        part = light[first : first + BLOCK]
+        _least(bits, row[part], draws(term[part], 0))
+    best = np.log(exponential(bits)).astype(np.float32)
+    best[np.bincount(row[light], minlength=n) == 0] = np.inf
+    heavy = np.flatnonzero(weight > 1)
+    heavy = heavy[np.argsort(term[heavy], kind="stable")]
+    for first in range(0, len(heavy), BLOCK):
+        part = heavy[first : first + BLOCK]
+        distinct, which = np.unique(term[part], return_inverse=True)
+        e, f, g = (exponential(draws(distinct, nth)) for nth in range(3))
+        level = np.log(e).astype(np.float32)
+        r = (np.log1p(f / e) + g).astype(np.float32)
+        beta = (g / r).astype(np.float32)
+        by_row = np.argsort(row[part], kind="stable")
+        which, part = which[by_row], part[by_row]
+        scale = r[which]
+        steps = np.floor(np.log(weight[part]).astype(np.float32)[:, None] / scale + beta[which])
+        _least(best, row[part], level[which] - scale * steps)
     codes = mix(best.view(np.uint32).astype(np.uint64).ravel(), 26) >> np.uint64(48)
     codes = codes.astype("<u2").reshape(best.shape)
-    codes[np.isinf(best[:, 0])] = 0
-    return codes, ~np.isinf(best[:, 0])
+    codes[~has] = 0
+    return codes, has
 
 
 def likeness(a: np.ndarray, has_a: np.ndarray, b: np.ndarray, has_b: np.ndarray) -> np.ndarray:

@@ -83,6 +83,28 @@ def test_fingerprints(llm_spark, sf_dir, real):
     assert all(prints.setdefault(t, by_id[d]["fingerprint"]) == by_id[d]["fingerprint"] for d, t in real)
 
 
+def test_fingerprints_of_very_long_texts(llm_spark):
+    """Unrelated texts of 100,000 distinct words have nothing in common, whatever their number."""
+    a, b = (" ".join(f"{x}{n}" for n in range(100_000)) for x in "ab")
+    half = a[: len(a) // 2] + b[len(b) // 2 :]
+    docs = documents(llm_spark, [(3, a), (2, b), (1, half)])
+    rows = {r["doc_id"]: r for r in weighted.compare_with_edits(docs).collect()}
+    assert rows[3]["near_next"] < 0.03
+    assert abs(rows[2]["near_next"] - 1 / 3) < 0.15 and abs(rows[1]["near_next"] - 1 / 3) < 0.15
+
+
+def test_fingerprints_agree_as_the_weighted_jaccard():
+    draw = random.Random(6)
+    errors = []
+    for _ in range(40):
+        a, b = ([f"w{int(draw.paretovariate(0.7)) % 60}" for _ in range(draw.choice([20, 200, 900]))] for _ in "ab")
+        b += draw.sample(a, len(a) // 2)
+        codes, has = weighted.fingerprints(weighted.pa.array([" ".join(a), " ".join(b)]))
+        assert has.all()
+        errors.append((codes[0] == codes[1]).mean() - jaccard(" ".join(a), " ".join(b)))
+    assert abs(sum(errors)) / len(errors) < 0.02 and max(map(abs, errors)) < 0.2
+
+
 def test_fingerprints_of_odd_texts(llm_spark):
     docs = documents(llm_spark, [(1, ""), (2, None), (3, "x"), (4, "日本" * 900), (None, "no id")]).withColumn("part", F.lit(1))
     rows = {r["doc_id"]: r for r in weighted.compare_with_edits(docs).collect()}
