@@ -15,7 +15,9 @@ from fairlead.llm.common import arrow_rows, mix, partitions, portions, stretch_h
 from fairlead.session import stored
 
 SAMPLES = 128
-PIECE = 16  # bytes; a longer word is several terms, so that text without spaces has terms too
+# Bytes; a longer word is several terms, so that text without spaces has terms too. REACH is how
+# far a cut looks to both sides, which makes pieces of about PIECE bytes; LONGEST bounds them.
+PIECE, REACH, LONGEST = 16, 8, 64
 PORTION = 1 << 20
 BLOCK = 4096
 # One odd factor per sample and draw.
@@ -37,16 +39,46 @@ def exponential(bits: np.ndarray) -> np.ndarray:
     return -np.log1p(-(bits.astype(np.float64) + 0.5) / float(1 << 64) * (1 - 2**-53))
 
 
+def cut_words(
+    data: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of the words, those over PIECE bytes in pieces that begin at characters.
+
+    A cut is where the hash of the REACH bytes before it is below that of every other place
+    within REACH bytes, so an edit changes the pieces around it alone. Where a stretch has no
+    such place for LONGEST bytes, as in a run of one character, pieces are of LONGEST bytes
+    counted from the last cut.
+    """
+    long = np.flatnonzero(end - start > PIECE)
+    if not len(long):
+        return start, end, row
+    size = end[long] - start[long] - REACH
+    place = np.arange(size.sum()) + np.repeat(start[long] + REACH - (np.cumsum(size) - size), size)
+    place = place[(data[place] & 0xC0) != 0x80]
+    value = stretch_hashes(data, place - REACH, place, 32)
+    lowest = np.ones(len(place), bool)
+    for k in range(1, REACH + 1):
+        near = place[k:] - place[:-k] <= REACH
+        lowest[:-k] &= ~near | (value[:-k] < value[k:])
+        lowest[k:] &= ~near | (value[k:] < value[:-k])
+    begins = np.sort(np.concatenate([start, place[lowest]]))
+    owner = np.searchsorted(start, begins, side="right") - 1
+    limit = np.minimum(np.r_[begins[1:], len(data)], end[owner])
+    count = -(-(limit - begins) // LONGEST)
+    which = np.repeat(np.arange(len(begins)), count)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    first = begins[which] + nth * LONGEST
+    for _ in range(3):
+        first -= (data[first] & 0xC0) == 0x80
+    last = np.r_[first[1:], len(data)]
+    return first, np.minimum(last, limit[which]), row[owner[which]]
+
+
 def weighted_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, 64-bit hash and weight (how often) of the distinct terms of each text, by row."""
     data, at = text_bytes(texts)
     start, end, row = words(data, at)
-    if (end - start > PIECE).any():
-        count = -(-(end - start) // PIECE)
-        which = np.repeat(np.arange(len(start)), count)
-        nth = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-        start, row, limit = start[which] + nth * PIECE, row[which], end[which]
-        end = np.minimum(start + PIECE, limit)
+    start, end, row = cut_words(data, start, end, row)
     term = stretch_hashes(data, start, end, 31)
     order = np.lexsort((term, row))
     row, term = row[order], term[order]

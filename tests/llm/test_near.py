@@ -105,6 +105,23 @@ def test_fingerprints_agree_as_the_weighted_jaccard():
     assert abs(sum(errors)) / len(errors) < 0.02 and max(map(abs, errors)) < 0.2
 
 
+def test_fingerprints_of_edited_texts_without_spaces():
+    """A character more or less changes the terms around it alone; all terms are whole characters."""
+    draw = random.Random(7)
+    for letters in ("abcdefghijklmnopqrstuvwxyz0123456789", [chr(0x4E00 + i) for i in range(900)], "añ日😀b"):
+        text = "".join(draw.choice(letters) for _ in range(4000))
+        other = "".join(draw.choice(letters) for _ in range(4000))
+        made = weighted.pa.array([text, letters[0] + text, text[:9] + text[10:], text[:2000] + "x" + text[2000:], other, "see " + text])
+        codes, _ = weighted.fingerprints(made)
+        shares = (codes[0] == codes).mean(axis=1)
+        assert min(shares[1], shares[2], shares[3], shares[5]) > 0.9 and shares[4] < 0.1
+        data, at = weighted.text_bytes(made)
+        begins, ends, row = weighted.cut_words(data, *weighted.words(data, at))
+        pieces = [bytes(data[a:b]) for a, b in zip(begins, ends)]
+        assert b"".join(pieces).decode() == "".join(made.to_pylist()).replace(" ", "")
+        assert all(p.decode() and len(p) <= weighted.LONGEST + 3 for p in pieces)
+
+
 def test_fingerprints_of_odd_texts(llm_spark):
     docs = documents(llm_spark, [(1, ""), (2, None), (3, "x"), (4, "日本" * 900), (None, "no id")]).withColumn("part", F.lit(1))
     rows = {r["doc_id"]: r for r in weighted.compare_with_edits(docs).collect()}
