@@ -7,44 +7,78 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.llm.common import arrow_rows, fold_of, portions, uniform
 from fairlead.session import stored
 
 FOLDS = 3
-# A language's dictionary: excerpts of so many characters from at most about so many
-# documents, up to so many bytes.
-EXCERPT, DOCUMENTS, DICTIONARY = 1_000, 80, 60_000
+# A language's dictionary: excerpts of at most so many distinct texts, up to so many bytes; of
+# a text that is too long, so many places.
+DOCUMENTS, DICTIONARY, PLACES = 80, 60_000, 3
+# The draw takes more, so that the bound is met from above.
+SPARE = 1.5
 LEVEL = 9
 MARGIN = 0.02
 UNKNOWN = "und"
 
 
+def excerpts(text: str, room: Column) -> Column:
+    """The whole text if it has at most `room` bytes, else PLACES excerpts that fill the room.
+
+    The text is cut into as many equal parts, and the place of an excerpt in its part is drawn
+    by a hash of the text.
+    """
+    n = F.length(text)
+    size = F.floor(room / PLACES / F.octet_length(text) * n)
+    slack = n / PLACES - size
+
+    def piece(k: int) -> Column:
+        first = F.floor(n * k / PLACES + uniform(F.xxhash64(text), seed=60 + k) * slack)
+        return F.substring(F.col(text), (first + 1).cast("int"), size.cast("int"))
+
+    return F.when(F.octet_length(text) <= room, F.array(text)).otherwise(F.array(*map(piece, range(PLACES))))
+
+
 def learn_dictionaries(docs: DataFrame) -> dict[str, bytes]:
     """Raw dictionary content per language, from the documents outside the held-out fold.
 
-    The documents are drawn by a hash of id and text at a rate per language that meets the
-    bound; languages are counted over all documents. Later content is cheaper to refer to, so
-    the order is that of the draw. The most frequent language comes first.
+    Of each language at most DOCUMENTS distinct texts are drawn by a hash of the text, however
+    many copies they have, and each gets the same room; a text that does not fit is excerpted
+    from drawn places all over it. Languages are counted over all documents. Later content is
+    cheaper to refer to, so the order is that of the draw. The most frequent language comes
+    first.
     """
     known = docs.filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of("doc_id", FOLDS) != 1) & F.col("text").rlike(r"\p{L}")
+    ).select("lang", "text", F.xxhash64("text").alias("hash"))
+    each = known.groupBy("lang", "hash").agg(F.count(F.lit(1)).alias("n"))
+    counts = each.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
+    counts = stored(counts, "languages")
+    rates = counts.select(
+        F.col("lang").alias("_lang"),
+        (F.lit(SPARE * DOCUMENTS) / F.col("texts")).alias("rate"),
+        F.floor(F.lit(DICTIONARY) / F.least("texts", F.lit(DOCUMENTS))).alias("room"),
     )
-    counts = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
-    rates = counts.select(F.col("lang").alias("_lang"), (F.lit(float(DOCUMENTS)) / F.col("n")).alias("rate"))
-    draw = uniform("doc_id", F.xxhash64("text"), seed=6)
-    drawn = known.select("lang", "text", draw.alias("draw")).join(F.broadcast(rates), F.col("lang") == F.col("_lang"))
-    drawn = drawn.filter(F.col("draw") < F.col("rate"))
-    rows = drawn.select("lang", "draw", F.substring("text", 1, EXCERPT).alias("text")).collect()
-    out: dict[str, bytes] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["draw"], r["text"])):
-        out[row["lang"]] = (out.get(row["lang"], b"") + plain(row["text"]) + b"\n")[-DICTIONARY:]
+    drawn = known.withColumn("draw", uniform("hash", seed=6))
+    drawn = drawn.join(F.broadcast(rates), F.col("lang") == F.col("_lang")).filter(F.col("draw") < F.col("rate"))
+    drawn = drawn.select("lang", "hash", "draw", "room", excerpts("text", F.col("room")).alias("pieces"))
+    rows = drawn.groupBy("lang", "hash").agg(F.min(F.struct("draw", "room", "pieces")).alias("of")).select("lang", "of.*")
+    found: dict[str, list] = {}
+    for row in sorted(rows.collect(), key=lambda r: (r["lang"], r["draw"], r["pieces"])):
+        found.setdefault(row["lang"], []).append(row)
+    out = {lang: b"".join(content(r["pieces"], r["room"]) for r in of[:DOCUMENTS]) for lang, of in found.items()}
     frequent = counts.orderBy(F.col("n").desc(), "lang").collect()
     return {r["lang"]: out[r["lang"]] for r in frequent if r["lang"] in out}
 
 
+def content(pieces: list[str], room: int) -> bytes:
+    """The pieces as lines of a dictionary, each within its share of the room."""
+    share = room // len(pieces) - 1
+    return b"".join(plain(p)[:share].decode(errors="ignore").encode() + b"\n" for p in pieces)
+
+
 # Bytes that count: letters, and all beyond ASCII; others part words.
 LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 0x20 for c in range(256))
 

@@ -77,6 +77,26 @@ def test_language_on_held_out_rows(llm_spark):
     assert all(r["held_out"] == held(r["doc_id"], 3, 1) and 0 <= r["score"] <= 1 for r in rows)
 
 
+def test_language_is_learnt_from_whole_texts(llm_spark):
+    """A shared foreign head of 1,500 characters, and thousands of copies of one text, hide nothing."""
+    draw = np.random.default_rng(8)
+    head = " ".join(f"licence{n}" for n in range(150))
+    vocabulary = {"aa": [f"ka{x}o" for x in "bcdfghjklmnp"], "bb": [f"ш{x}ы" for x in "бвгджзклмнпр"]}
+    body = lambda lang, n: " ".join(draw.choice(vocabulary[lang], n))
+    rows = [(i, f"{head} {body(lang, 900)}", lang, "s") for i, lang in enumerate(["aa", "bb"] * 100)]
+    rows += [(1000 + i, head, "aa", "s") for i in range(3000)]
+    docs = documents(llm_spark, rows)
+    contents = language.learn_dictionaries(docs)
+    assert list(contents) == ["aa", "bb"]
+    for lang, held in contents.items():
+        assert 50_000 < len(held) <= language.DICTIONARY
+        found = held.decode().split()
+        assert np.mean([w in vocabulary[lang] for w in found]) > 0.6
+    odd = documents(llm_spark, [(i, body(lang, 40), lang, "s") for i, lang in enumerate(["aa", "bb"] * 20)])
+    got = language.identify(odd, contents).collect()
+    assert all(r["lang_pred"] == ["aa", "bb"][r["doc_id"] % 2] for r in got)
+
+
 def test_language_of_odd_texts(llm_spark, odd):
     docs = documents(llm_spark, [*[(d, t, "en" if d % 2 else "de", "s") for d, t in odd], (None, "no id", None, None)])
     rows = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs).collect()}
