@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairlead.llm.common import matched, ship, table
+from fairlead.llm.common import ship, table
 from fairlead.llm.decontaminate import decontaminate, keep_clean
 from fairlead.llm.mixture import mix_documents
-from fairlead.llm.neardup import near_duplicates
+from fairlead.llm.neardup import judged_duplicates, keep_one
 from fairlead.llm.quality import keep_good, score_quality
 from fairlead.llm.queries import tokenizer_path
 from fairlead.llm.tokens import token_files
@@ -26,10 +26,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies (rows that repeat it stay)."""
+    """One document of each group of near copies, that of the smallest id; of rows that repeat it, one."""
     ship(spark)
-    groups = near_duplicates(docs).filter("not doc_id <=> component_id")
-    return matched(docs, groups, "left_anti", by_text=False)
+    return keep_one(docs, stored(judged_duplicates(docs), "near-copies"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fairlead.llm.common import LOWER, arrow_rows, mix, portions, stretch_hashes, text_bytes, words
+from fairlead.llm.common import LOWER, arrow_rows, free_name, matched, mix, portions, stretch_hashes, text_bytes, words
 from fairlead.llm.components import components
 from fairlead.session import stored
 
@@ -91,9 +91,12 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """Per document: doc_id, n_shingles, a 128-bit digest of its set (s1, s2), and band keys."""
+    """Per document: doc_id, n_shingles, a 128-bit digest of its set (s1, s2), and band keys.
+
+    given_id and text_hash are passed on.
+    """
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bands", pa.list_(pa.int64()))]
+        [("doc_id", pa.int64()), ("given_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bands", pa.list_(pa.int64()))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,6 +115,8 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 yield arrow_rows(
                     schema,
                     doc_id=batch.column(0),
+                    given_id=batch.column(2),
+                    text_hash=batch.column(3),
                     n_shingles=counts.astype(np.int64),
                     s1=digests[0],
                     s2=digests[1],
@@ -120,8 +125,8 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                     ),
                 )
 
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return slim.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>")
+    slim = docs.select("doc_id", "text", "given_id", "text_hash")
+    return slim.mapInArrow(run, "doc_id long, given_id long, text_hash long, n_shingles long, s1 long, s2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -165,7 +170,28 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (smallest doc_id linked, itself included).
+    """Per document: doc_id, n_shingles, component_id (smallest doc_id linked, itself included)."""
+    return judged_duplicates(docs, size, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """text, given_id, text_hash and a key called doc_id per row; and whether keys differ from ids.
+
+    The key is the id unless an id has rows of several texts: then all keys are hashes of id and
+    text, so that each text is judged on its own set. A null id's key is null.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("given_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    spread = rows.filter("given_id is not null").groupBy("given_id").agg(
+        F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi")
+    )
+    several = not spread.filter("lo < hi").isEmpty()
+    key = F.when(F.col("given_id").isNotNull(), F.xxhash64("given_id", "text_hash")) if several else F.col("given_id")
+    return rows.withColumn("doc_id", key), several
+
+
+def judged_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Per document: doc_id, text_hash, n_shingles, component_id and kept.
 
     Documents with the same set are one class, found by a digest of the set, and only the
     smallest id of a class goes on. In every bucket that several classes share, a star links its
@@ -177,8 +203,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     has make 80 % impossible. So every pair of a bucket is compared, connected or ruled out.
 
     Documents without words are linked with nothing. A null doc_id is linked with nothing, its
-    component is null; rows that repeat an id are one document to the links.
+    component is null. Rows that repeat an id and the text are one document; rows that repeat an
+    id with other texts are documents of their own, each linked by its own text. `kept` is true
+    for one document of each component, that of the smallest id and then text_hash.
     """
+    docs, several = keyed(docs)
     sketched = stored(sketches(docs, size), "sketches")
     usable = sketched.filter("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("n_shingles", "s1", "s2").agg(
@@ -191,7 +220,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     links = stored(member.filter("a < doc_id").select("a", F.col("doc_id").alias("b")), "class-links")
 
     buckets = stored(_buckets(classes), "buckets")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
     wanted = texts.join(buckets.select("doc_id").distinct(), F.col("id") == F.col("doc_id")).select("doc_id", "text")
     sets = stored(full_sets(wanted, size).dropDuplicates(["doc_id"]), "sets")
 
@@ -217,7 +246,31 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
             links = links.unionByName(close)
             parts = stored(components(links), "components")
     out = sketched.join(parts, F.col("doc_id") == F.col("id"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    component, kept = F.coalesce("component", "doc_id"), F.col("given_id").eqNullSafe(F.col("component_id"))
+    if several:
+        out = stored(out.select("given_id", "text_hash", "n_shingles", "component"), "keyed-components")
+        least = out.filter("component is not null").groupBy(F.col("component").alias("_component"))
+        least = least.agg(F.min(F.struct("given_id", "text_hash")).alias("least"))
+        out = out.join(least, F.col("component") == F.col("_component"), "left")
+        component = F.coalesce("least.given_id", "given_id")
+        kept = F.col("least").isNull() | F.col("least").eqNullSafe(F.struct("given_id", "text_hash"))
+        out = out.withColumn("component_id", component).withColumn("kept", kept)
+    else:
+        out = out.withColumn("component_id", component).withColumn("kept", kept)
+    return out.select(F.col("given_id").alias("doc_id"), "text_hash", "n_shingles", "component_id", "kept")
+
+
+def keep_one(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """One document of each component, with its own columns; of rows that repeat it, one."""
+    kept = matched(docs, judged.filter("not kept"), "left_anti")
+    twice = judged.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    twice = stored(twice.select("doc_id", "text_hash"), "repeated-rows")
+    if twice.isEmpty():
+        return kept
+    id_name, hash_name = free_name(docs, "repeated_id"), free_name(docs, "repeated_hash")
+    repeated = matched(kept, twice, "left_semi").withColumns({id_name: F.col("doc_id"), hash_name: F.xxhash64("text")})
+    once = repeated.dropDuplicates([id_name, hash_name]).select(*docs.columns)
+    return matched(kept, twice, "left_anti").unionByName(once)
 
 
 def _buckets(classes: DataFrame) -> DataFrame:

@@ -40,6 +40,27 @@ def test_no_rows_and_null_ids(llm_spark):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id(llm_spark):
+    """Each text of an id is linked by its own words, and one row of each group is kept."""
+    base = " ".join(f"b{n}" for n in range(60))
+    other = " ".join(f"o{n}" for n in range(60))
+    rows = [(1, base), (5, base + " more"), (5, other), (5, other), (6, other + " more"), (8, "alone in the world now"), (8, None)]
+    rows += [(9, "two texts " + base[::-1]), (9, "two texts " + base[::-1] + " x"), (None, other), (3, base)]
+    docs = documents(llm_spark, rows)
+    for _ in range(2):
+        got = neardup.judged_duplicates(docs.repartition(5), size=4).collect()
+        assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got) == [
+            (0, 0), (1, 1), (3, 1), (5, 1), (5, 5), (5, 5), (6, 5), (8, 8), (8, 8), (9, 9), (9, 9),
+        ]
+    kept = [(r["doc_id"], r["text"]) for r in neardup.keep_one(docs, neardup.judged_duplicates(docs, size=4)).collect()]
+    nine = [k for k in kept if k[0] == 9]
+    assert len(nine) == 1
+    assert sorted(set(kept) - set(nine), key=str) == sorted(
+        [(1, base), (5, other), (8, "alone in the world now"), (8, None), (None, other)], key=str
+    )
+    assert len(kept) == 6
+
+
 def test_components(llm_spark):
     draw = random.Random(4)
     links = [(i, i + 1) for i in range(300) if i % 50] + [(1000, 1000 + i) for i in range(1, 400)]
