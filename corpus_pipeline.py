@@ -55,8 +55,8 @@ STAGES = [
     ("token_output", token_output),
 ]
 
-# Learned scores, near-duplicate search and tokenizing are no SQL; tests/llm holds the pipeline
-# against brute force.
+# Learned scores, near-duplicate search and tokenizing are no SQL; tests/llm/test_pipeline.py
+# holds the pipeline and each stage against plain Python, but for the learned scores.
 ORACLE_SQL = None
 
 
