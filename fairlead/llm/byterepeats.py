@@ -4,7 +4,8 @@ Texts are cut at anchors, places where a hash of the next GRAM bytes is small: a
 those bytes alone, so equal strings have the same ones. The chunks from anchor to anchor are the
 symbols of the suffix arrays. Suffixes that begin with the same chunk meet in one bucket, are
 sorted there by linear grouping (see `suffixes`), and the neighbour in the order tells how far a
-suffix is repeated. What begins or ends between two anchors is settled by windows of bytes.
+string is repeated; a string ends about a window after its second anchor. What the order does
+not mark is decided by windows of bytes alone.
 """
 
 from __future__ import annotations

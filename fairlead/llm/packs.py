@@ -4,7 +4,8 @@ Documents are written once into packs of a few megabytes. A pass over the packs
 pack's distinct keys, as one array per bucket of keys, to the task of that bucket; the answer is
 one bit per key: whether another pack has it too. Keys travel as arrays of hashes, answers as
 bits, so a pass over many keys costs few rows. A key that many documents share arrives once per
-pack at most, and buckets divide the keys by their hash, so none is hot.
+pack at most, and buckets divide the keys by their hash, so none is hot; but the strings of
+`byterepeats`, dealt by their first chunk, may crowd into one.
 """
 
 from __future__ import annotations
