@@ -111,9 +111,79 @@ SELECT kept.conv_id, n AS n_turns, n_logged, string_agg(line, '' ORDER BY place)
 FROM kept JOIN placed ON placed.conv_id = kept.conv_id GROUP BY kept.conv_id, n, n_logged
 """
 
+# crc32 is worked out bit by bit over the id's ASCII characters.
+OP11 = """
+WITH placed AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+           sha256(sha256(coalesce(role, '')) || sha256(coalesce(text, ''))) AS turn_id,
+           CAST(strlen(coalesce(text, '')) AS BIGINT) AS size
+    FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS base,
+           xor(list_reduce(
+               list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+               lambda c, x: list_reduce(
+                   [xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))
+           ), 4294967295) % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM placed)
+), rebuilt AS (
+    SELECT conv.conv_id, place, turn_id, size
+    FROM conv JOIN placed ON placed.conv_id = base AND place <= h
+    UNION ALL
+    SELECT conv.conv_id, place - h + least(h, (SELECT count(*) FROM placed AS o WHERE o.conv_id = base)), turn_id, size
+    FROM conv JOIN placed ON placed.conv_id = conv.conv_id AND place > h
+), prefix AS (
+    SELECT conv_id, place AS depth, size, string_agg(turn_id, '') OVER (PARTITION BY conv_id ORDER BY place) AS p FROM rebuilt
+), member AS (
+    SELECT conv_id, depth, size, sha256(p) AS node, lag(sha256(p)) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+           depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+    FROM prefix
+    UNION ALL
+    SELECT conv_id, 0, 0, '', NULL, conv_id NOT IN (SELECT conv_id FROM rebuilt) FROM conv
+), linked AS (
+    SELECT * REPLACE (CASE WHEN depth = 1 THEN '' ELSE parent END AS parent) FROM member
+), node AS (
+    SELECT node, depth, min(conv_id) AS conv_id, any_value(parent) AS parent, count(*) AS n_convs,
+           (count(*) - 1) * any_value(size) AS saved,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM linked GROUP BY node, depth
+), kids AS (
+    SELECT parent, count(*) AS n_children FROM node WHERE parent IS NOT NULL GROUP BY parent
+), below AS (
+    SELECT up.node, sum(down.saved) AS saved_tokens, count(*) FILTER (WHERE kids.parent IS NULL) AS n_leaves
+    FROM node AS down
+    JOIN member AS up ON up.conv_id = down.conv_id AND up.depth <= down.depth
+    LEFT JOIN kids ON kids.parent = down.node
+    GROUP BY up.node
+)
+SELECT node.conv_id, node.depth, above.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node JOIN below USING (node) LEFT JOIN node AS above ON above.node = node.parent LEFT JOIN kids ON kids.parent = node.node
+"""
+
+OP13 = f"""
+WITH line AS (
+    SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM line
+), common AS (
+    SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+    SELECT doc_id, i, line, last IS NOT NULL AND last <> doc_id AS gone FROM keyed LEFT JOIN common USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 ORACLES = {
     "op2_decontaminate": OP2,
     "op3_drop_repeats": OP3,
     "op5_mix_sources": OP5,
     "op8_format_chats": OP8,
+    "op11_conversation_trie": OP11,
+    "op13_drop_lines": OP13,
 }

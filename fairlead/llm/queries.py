@@ -8,17 +8,31 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import byterepeats, chat, decontaminate, language, mixture, neardup, quality, recompress, tokens, weighted
+from fairlead.llm import (
+    alignment,
+    byterepeats,
+    chat,
+    decontaminate,
+    language,
+    lines,
+    mixture,
+    neardup,
+    quality,
+    recompress,
+    tokens,
+    trie,
+    weighted,
+)
 from fairlead.llm.common import ship, table
 
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +90,20 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align_tokenizers(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_drop_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.drop_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,5 +126,8 @@ QUERIES: dict[str, Query] = {
         op8_format_chats,
         op9_suffix_repeats,
         op10_weighted_fingerprints,
+        op11_conversation_trie,
+        op12_align_tokenizers,
+        op13_drop_lines,
     )
 }
