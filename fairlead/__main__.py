@@ -39,7 +39,10 @@ def parser() -> argparse.ArgumentParser:
     voyages.add_argument("--ships", type=int, nargs=2, metavar=("MIN", "MAX"))
     voyages.add_argument("--gap_seconds", type=int, default=GAP_SECONDS)
     voyages.add_argument("--active", default=ACTIVE_STATUS, help="status of a ship under way")
-    voyages.add_argument("--increment", choices=["carry", "parity"], default="carry")
+    voyages.add_argument("--increment", choices=["carry", "parity", "full"], default="carry")
+
+    compact = commands.add_parser("compact", help="positions of all updates into one folder, day by day")
+    compact.add_argument("--remove", action="store_true", help="delete the folders it replaces; no reader may be on them")
     return top
 
 
@@ -63,6 +66,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             log.warning("no new rows in staging")
         else:
             log.info("rows %d to %d brought into the warehouse", *ids)
+    elif args.command == "compact":
+        number = warehouse.compact()
+        removed = warehouse.remove_replaced() if args.remove else 0
+        log.info("compaction %s, %d folders removed", number, removed)
     elif args.skip_finding and not args.export:
         log.warning("nothing to do: finding is skipped and no export asked for")
     else:
@@ -72,7 +79,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         if mode != "export":
             rules = {"gap_seconds": args.gap_seconds, "active": args.active}
         run = run_voyages(warehouse, mode, ships, args.increment, **rules)
-        log.info("run %d: %s", run.run_id, mode)
+        log.info("run %d: %s, %d late reports, %d voyages taken back", run.run_id, mode, run.late, run.taken_back)
 
 
 if __name__ == "__main__":

@@ -21,10 +21,10 @@ def gap_interval(gap_seconds: int) -> Column:
     return F.lit(timedelta(seconds=gap_seconds))
 
 
-def with_status(positions: DataFrame, statuses: DataFrame | Sized) -> DataFrame:
-    """Reports of known ships with their status text; other columns are left out."""
+def with_status(positions: DataFrame, statuses: DataFrame | Sized, measures: tuple[str, ...] = ()) -> DataFrame:
+    """Reports of known ships with their status text; columns but the named ones are left out."""
     named = statuses.select(F.col("id").alias("nav_status_id"), "nav_status")
-    kept = [c for c in [*REPORT, "load_date", "settled_until", "fresh"] if c in positions.columns]
+    kept = [c for c in [*REPORT, "load_date", "settled_until", "fresh", "opens", *measures] if c in positions.columns]
     return lookup(
         positions.filter(F.col("ship_id").isNotNull()).select(*kept, "nav_status_id"),
         named,
@@ -97,14 +97,13 @@ def transitions(
     )
 
 
-def _ranked(
-    rows: DataFrame, slicing: Slicing, gap_seconds: int, active: str
-) -> DataFrame:
-    """Reports that start or stop a voyage; `first_stop` marks a ship's first when it stops.
+def boundary_flags(rows: DataFrame, gap_seconds: int, active: str) -> tuple[Column, Column, Column, Column]:
+    """Of each report whether its ship is fresh, the boundary is known, and if it starts or stops a voyage.
 
-    With a settled_until column, boundaries up to that time are known and left out for all
-    but the fresh ships. Ships are fresh that have no earlier boundary: by the fresh column,
-    or else those without settled_until.
+    A column `opens` is 1 for reports that are known to start one from before.
+    With a settled_until column, boundaries up to that time are known for all but the fresh
+    ships. Ships are fresh that have no earlier boundary: by the fresh column, or else those
+    without settled_until.
     """
     ends_before_gap = flag(
         (F.col("timestamp_next") - F.col("gps_timestamp") > gap_interval(gap_seconds))
@@ -118,7 +117,21 @@ def _ranked(
         fresh = F.col("settled_until").isNull()
     known = F.lit(False)
     if "settled_until" in rows.columns:
-        known = ~fresh & (F.col("gps_timestamp") <= F.col("settled_until"))
+        # A ship without settled_until that is not fresh goes on from its last report: none is known.
+        known = F.coalesce(~fresh & (F.col("gps_timestamp") <= F.col("settled_until")), F.lit(False))
+    starts = F.greatest("start_engine", "start_after_gap", *[c for c in ["opens"] if c in rows.columns])
+    return fresh, known, starts, F.greatest("stop_engine", ends_before_gap)
+
+
+def _ranked(
+    rows: DataFrame, slicing: Slicing, gap_seconds: int, active: str, openings: DataFrame | None = None
+) -> DataFrame:
+    """Reports that start or stop a voyage; `first_stop` marks a ship's first when it stops.
+
+    Known boundaries are left out (see boundary_flags). `openings` (ship_id, gps_timestamp,
+    position_id, fresh) are reports not among the rows that start one.
+    """
+    fresh, known, starts, stops = boundary_flags(rows, gap_seconds, active)
     marked = (
         rows.filter(~known)
         .select(
@@ -126,11 +139,16 @@ def _ranked(
             *IN_TIME,
             "timestamp_prev",
             fresh.alias("fresh"),
-            F.greatest("start_engine", "start_after_gap").alias("start_trajectory"),
-            F.greatest("stop_engine", ends_before_gap).alias("stop_trajectory"),
+            starts.alias("start_trajectory"),
+            stops.alias("stop_trajectory"),
         )
         .filter((F.col("start_trajectory") == 1) | (F.col("stop_trajectory") == 1))
     )
+    if openings is not None:
+        begun = slicing.assign(openings).withColumns(
+            {"timestamp_prev": F.lit(None).cast("timestamp_ntz"), "start_trajectory": F.lit(1), "stop_trajectory": F.lit(0)}
+        )
+        marked = marked.unionByName(begun.select(*marked.columns))
     if slicing.cut:
         marked = stored(marked, "boundaries")
     series = Window.partitionBy(*slicing.keys).orderBy(*IN_TIME)
@@ -158,8 +176,8 @@ def boundaries(
 def _paired(ranked: DataFrame, slicing: Slicing) -> DataFrame:
     """Give each start the ship's nearest stop at or after it, or leave the voyage open.
 
-    `report_before` is the time of the report before the start, where that is earlier. A
-    row without start time tells that the ship's first boundary was a stop.
+    `start_id` is the position id of the first report that starts it. A row without start time
+    tells that the ship's first boundary was a stop.
     """
     keys = slicing.time_keys
     counts = ~F.col("first_stop")
@@ -167,7 +185,7 @@ def _paired(ranked: DataFrame, slicing: Slicing) -> DataFrame:
         F.max(F.when(counts, F.col("start_trajectory"))).alias("starts"),
         F.max(F.when(counts, F.col("stop_trajectory"))).alias("stops"),
         F.max("first_stop").alias("first_stop"),
-        F.min("timestamp_prev").alias("before"),
+        F.min(F.when(counts & (F.col("start_trajectory") == 1), F.col("position_id"))).alias("start_id"),
     )
     at = F.col("gps_timestamp")
     stop_at = F.when(F.col("stops") == 1, at)
@@ -195,7 +213,7 @@ def _paired(ranked: DataFrame, slicing: Slicing) -> DataFrame:
         F.when(starts, at).alias("datetime_start"),
         F.coalesce("stop", open_end()).alias("datetime_stop"),
         (starts & F.col("stop").isNull()).alias("is_open"),
-        F.when(F.col("before") < at, F.col("before")).alias("report_before"),
+        "start_id",
     )
 
 
@@ -209,7 +227,11 @@ def last_stops(limits: DataFrame) -> DataFrame:
 
 
 def in_ship_range(rows: DataFrame, ship_range: tuple[int, int] | None) -> DataFrame:
-    return rows if ship_range is None else rows.filter(F.col("ship_id").between(*ship_range))
+    if ship_range is None:
+        return rows
+    low, high = ship_range
+    # Bloom filters answer an equation, not a range.
+    return rows.filter(F.col("ship_id") == low if low == high else F.col("ship_id").between(low, high))
 
 
 def unsettled(
@@ -241,11 +263,12 @@ def search(
     slicing: Slicing,
     gap_seconds: int = GAP_SECONDS,
     active: str = ACTIVE_STATUS,
+    openings: DataFrame | None = None,
 ) -> DataFrame:
-    """Voyage limits from the given positions alone, with what a later increment needs."""
+    """Voyage limits from the given positions, and known starts, with what a later increment needs."""
     rows = deltas(with_status(positions, statuses), slicing)
     flagged = transitions(rows, gap_seconds, active)
-    return _paired(_ranked(flagged, slicing, gap_seconds, active), slicing)
+    return _paired(_ranked(flagged, slicing, gap_seconds, active, openings), slicing)
 
 
 def voyages_among(found: DataFrame) -> DataFrame:

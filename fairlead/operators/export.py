@@ -5,9 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairlead.functions.columns import open_end
-from fairlead.operators.detect import in_ship_range, limits_of, unsettled
-from fairlead.operators.keys import Sized, lookup
+from fairlead.functions.columns import ACTIVE_STATUS, GAP_SECONDS, line_wkt, open_end
+from fairlead.operators.detect import (
+    IN_TIME,
+    boundary_flags,
+    deltas,
+    in_ship_range,
+    limits_of,
+    transitions,
+    unsettled,
+    with_status,
+)
+from fairlead.operators.keys import MIN_GROUP_ROWS, Sized, lookup
 from fairlead.operators.slices import Slicing, plan_slices
 from fairlead.session import stored
 
@@ -226,18 +235,23 @@ def export_trajectories(
     named = ships.select(F.col("id").alias("ship_id"), "mmsi")
     limits = lookup(limits, named, "ship_id", spread="datetime_start")
     points = voyage_points(limits, positions, slicing, limit)
+    described = [c for c in limits.columns if c != "ship_id"]
+    return _lines(points, "voyage_no", described, max_points)
+
+
+def _lines(points: DataFrame, voyage: str, described: list[str], max_points: int) -> DataFrame:
+    """One row per voyage and part from one row per voyage and report."""
     coordinates = F.struct(F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
     vectors = [c for c in POINT if c not in ("position_id", "longitude", "latitude")]
     report = F.when(
         F.col("seq").isNotNull(), F.struct("seq", coordinates.alias("coordinates"), *vectors)
     )
-    described = [c for c in limits.columns if c != "ship_id"]
     part = F.coalesce(F.floor(F.col("seq") / max_points), F.lit(0))
     parts = (
         points.withColumn("part", part)
-        .groupBy("ship_id", "voyage_no", "part")
+        .groupBy("ship_id", voyage, "part")
         .agg(
-            *[F.first(c).alias(c) for c in described],
+            *[F.first(c).alias(c) for c in described if c != voyage],
             # Structs, since a list of plain values would lose its NULLs.
             F.sort_array(F.collect_list(report)).alias("reports"),
         )
@@ -253,6 +267,62 @@ def export_trajectories(
         F.col("reports.heading").alias("heading"),
     )
 
+
+def line_texts(lines: DataFrame) -> DataFrame:
+    """Exported rows with their line as well-known text and the number of parts of their voyage."""
+    voyage = Window.partitionBy("ship_id", "datetime_start")
+    return lines.withColumns({"line": line_wkt(F.col("coordinates")), "n_parts": F.count(F.lit(1)).over(voyage)})
+
+
+def _voyage_reports(
+    positions: DataFrame, statuses: DataFrame | Sized, gap_seconds: int = GAP_SECONDS, active: str = ACTIVE_STATUS
+) -> DataFrame:
+    """The voyages among the positions with their reports, as voyage_points gives them, in one shuffle.
+
+    The reports are dealt by ship once, measures along, and every step is a window over that.
+    A report lies in the voyages that start at or before it and do not stop between. Going
+    back from it, starts and stops take turns, so these are the last voyage that starts
+    before its instant, unless that has stopped before, and the one that starts at its instant,
+    if any; two at most, and two only where the former stops there. Reports of one instant
+    are judged alike, whatever their order.
+    """
+    measures = tuple(c for c in POINT if c not in IN_TIME)
+    reports = with_status(positions, statuses, measures)
+    rows = transitions(deltas(reports, Slicing(MIN_GROUP_ROWS)), gap_seconds, active)
+    fresh, known, starts, stops = boundary_flags(rows, gap_seconds, active)
+    at = F.col("gps_timestamp")
+    in_time = Window.partitionBy("ship_id").orderBy(*IN_TIME)
+    rows = rows.select(
+        "ship_id", *POINT, fresh.alias("fresh"), (~known & (starts == 1)).alias("starts"), (~known & (stops == 1)).alias("stops")
+    )
+    nth = F.sum((F.col("starts") | F.col("stops")).cast("int")).over(in_time)
+    # A ship's first boundary does not count if it is a stop, also where it is a start, too.
+    counts = ~(F.col("fresh") & F.col("stops") & (nth == 1))
+    rows = rows.select(
+        "ship_id", *POINT, F.when(F.col("starts") & counts, at).alias("start_at"), F.when(F.col("stops") & counts, at).alias("stop_at")
+    )
+    earlier = in_time.rowsBetween(Window.unboundedPreceding, -1)
+    instant = Window.partitionBy("ship_id", "gps_timestamp")
+    rows = rows.withColumns({"begun": F.max("start_at").over(earlier), "done": F.max("stop_at").over(earlier)})
+    # What was before the first report of an instant was before the instant.
+    first = instant.orderBy("position_id")
+    rows = rows.withColumns(
+        {"begun": F.first("begun").over(first), "done": F.first("done").over(first), "starts_here": F.max("start_at").over(instant)}
+    )
+    going = F.when(F.col("done").isNull() | (F.col("done") < F.col("begun")), F.col("begun"))
+    rows = rows.withColumn("datetime_start", F.explode(F.array_compact(F.array(going, "starts_here"))))
+    voyage = Window.partitionBy("ship_id", "datetime_start")
+    stop = F.max("stop_at").over(voyage)
+    return rows.select(
+        "ship_id",
+        "datetime_start",
+        F.coalesce(stop, open_end()).alias("datetime_stop"),
+        stop.isNull().alias("is_open"),
+        (F.row_number().over(voyage.orderBy(*IN_TIME)) - 1).alias("seq"),
+        *POINT,
+    )
+
+
 def find_and_export(
     positions: DataFrame,
     statuses: DataFrame | Sized,
@@ -265,12 +335,22 @@ def find_and_export(
     fullest: int | None = None,
     **rules,
 ) -> tuple[DataFrame, DataFrame]:
-    """The voyages found by this run, and their export."""
+    """The voyages found by this run, and their export.
+
+    Both come from one shuffle of the reports, unless a ship is crowded and cut into slices:
+    then the voyages are found first and meet the reports in a second one.
+    """
     # Earlier reports cannot lie in the new voyages.
     fresh = unsettled(positions, prior_limits, ship_range, mode)
     slicing = plan_slices(fresh, limit, fullest)
     limits = limits_of(fresh, statuses, slicing, **rules)
     if slicing.cut:
         limits = stored(limits, "limits")
-    lines = export_trajectories(limits, fresh, ships, max_points=max_points, slicing=slicing)
-    return limits, lines
+        lines = export_trajectories(limits, fresh, ships, max_points=max_points, slicing=slicing)
+        return limits, lines
+    points = _voyage_reports(fresh, statuses, **rules)
+    lines = _lines(points, "datetime_start", ["datetime_start", "datetime_stop", "is_open"], max_points)
+    named = ships.select(F.col("id").alias("ship_id"), "mmsi")
+    lines = lookup(lines, named, "ship_id", spread="datetime_start")
+    described = ["ship_id", "datetime_start", "datetime_stop", "is_open", "mmsi"]
+    return limits, lines.select(*described, *[c for c in lines.columns if c not in described])

@@ -45,14 +45,35 @@ def orphans(
     return lookup(kept, parents.select(key), key, how="left_anti", spread=spread)
 
 
+def _broken(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Per rule the number of rows that break it, all counted in one pass over the rows."""
+    counts = rows.agg(*[F.count(F.when(broken, 1)).alias(f"r{n}") for n, broken in enumerate(rules.values())])
+    pairs = [F.struct(F.lit(rule).alias("rule"), F.col(f"r{n}").alias("broken")) for n, rule in enumerate(rules)]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
+def _marked(rows: DataFrame, parents: DataFrame | Sized, key: str, mark: str, spread: str) -> DataFrame:
+    """The rows, with true in `mark` where their key is among the parents' unique keys."""
+    return lookup(rows, parents.select(key, F.lit(True).alias(mark)), key, spread=spread)
+
+
+def _lost(key: str, mark: str) -> Column:
+    return F.col(key).isNotNull() & F.col(mark).isNull()
+
+
 def constraint_report(
     staging: DataFrame,
     ships: DataFrame | Sized,
     statuses: DataFrame | Sized,
     positions: DataFrame,
     limits: DataFrame,
+    exports: DataFrame | None = None,
 ) -> DataFrame:
-    """Per rule of the tables, the number of rows (or keys) that break it."""
+    """Per rule of the tables, the number of rows (or keys) that break it; each table is read once.
+
+    Rules of staging rows are listed only where rows break them. Exported lines, if given, are
+    of a stored voyage by trajectory_id.
+    """
 
     def plain(table: DataFrame | Sized) -> DataFrame:
         return table.rows if isinstance(table, Sized) else table
@@ -61,23 +82,32 @@ def constraint_report(
     status_ids = statuses.select(F.col("id").alias("nav_status_id"))
     unplaced = F.col("longitude").isNull() | F.col("latitude").isNull()
     no_times = F.col("datetime_start").isNull() | F.col("datetime_stop").isNull()
-    broken = {
-        "ship listed twice": duplicate_keys(plain(ships), "mmsi"),
-        "status listed twice": duplicate_keys(plain(statuses), "nav_status"),
-        "position without point": positions.filter(unplaced),
-        "position of unknown ship": orphans(positions, ship_ids, "ship_id"),
-        "position of unknown status": orphans(positions, status_ids, "nav_status_id"),
-        "voyage without limits": limits.filter(no_times),
-        "voyage of unknown ship": orphans(limits, ship_ids, "ship_id", spread="datetime_start"),
-    }
-    counts = [
-        rows.agg(F.lit(rule).alias("rule"), F.count(F.lit(1)).alias("broken"))
-        for rule, rows in broken.items()
+    reports = positions.select("position_id", "longitude", "latitude", "ship_id", "nav_status_id")
+    reports = _marked(reports, ship_ids, "ship_id", "of_ship", "position_id")
+    reports = _marked(reports, status_ids, "nav_status_id", "of_status", "position_id")
+    voyages = _marked(limits, ship_ids, "ship_id", "of_ship", "datetime_start")
+    parts = [
+        _broken(duplicate_keys(plain(ships), "mmsi"), {"ship listed twice": F.lit(True)}),
+        _broken(duplicate_keys(plain(statuses), "nav_status"), {"status listed twice": F.lit(True)}),
+        _broken(
+            reports,
+            {
+                "position without point": unplaced,
+                "position of unknown ship": _lost("ship_id", "of_ship"),
+                "position of unknown status": _lost("nav_status_id", "of_status"),
+            },
+        ),
+        _broken(voyages, {"voyage without limits": no_times, "voyage of unknown ship": _lost("ship_id", "of_ship")}),
     ]
+    if exports is not None:
+        lines = exports.select("trajectory_id", "datetime_start")
+        ids = limits.select(F.col("id").alias("trajectory_id"))
+        lines = _marked(lines, ids, "trajectory_id", "of_voyage", "datetime_start")
+        parts.append(_broken(lines, {"line of unknown voyage": _lost("trajectory_id", "of_voyage")}))
     refused = (
         reject_rows(staging)
         .groupBy("reason")
         .agg(F.count(F.lit(1)).alias("broken"))
         .select(F.concat(F.lit("staging: "), "reason").alias("rule"), "broken")
     )
-    return reduce(DataFrame.unionByName, counts, refused)
+    return reduce(DataFrame.unionByName, parts, refused)

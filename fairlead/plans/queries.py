@@ -418,6 +418,94 @@ def _warehouse(t: Tables, mode: str | None = None) -> Warehouse:
     return warehouse
 
 
+def ingest_mixed_headers(t: Tables) -> DataFrame:
+    """Two folders of files whose columns differ in order and number, with the ids and stamp of the load."""
+    rows = staging_from_events(t.spark, t.sf_dir, "props").drop("load_date")
+    path = scratch_path(t.spark, "mixed-csv")
+    headers = {name: header for header, name in CSV_COLUMNS.items()}
+    ordered = [F.col(name).alias(header) for name, header in sorted(headers.items())]
+    kinds = (["props", *ordered], [*reversed(ordered[:4]), F.lit("a,b").alias("Note"), *ordered[4:], "props"])
+    for n, columns in enumerate(kinds):
+        some = rows.filter(F.col("position_id") % 2 == n).select(*columns)
+        some.write.option("header", True).option("escape", '"').option(
+            "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"
+        ).csv(f"{path}/{n}")
+    got = ingest_csv(t.spark, path, load_date=MARK, mixed_headers=True)[0]
+    ids = got.groupBy("position_id").agg(F.count(F.lit(1)).alias("rows_of_id"))
+    return _short(got.join(ids, "position_id").drop("position_id"))
+
+
+def trajectory_lines(t: Tables) -> DataFrame:
+    """The lines as well-known text, a voyage in parts of FEW_POINTS reports."""
+    limits = detect.limits_of(t.positions, t.statuses, t.slicing, WIDE_GAP_SECONDS)
+    lines = export.export_trajectories(limits, t.positions, t.ships, max_points=FEW_POINTS, slicing=t.slicing)
+    return export.line_texts(lines).select(
+        "ship_id", "mmsi", "datetime_start", F.col("part").cast("bigint").alias("part"), "n_parts", "line"
+    )
+
+
+def dq_all_rules(t: Tables) -> DataFrame:
+    """Every rule with rows that break it: spoilt staging rows, few ships, and few of the voyages."""
+    nth = F.col("position_id")
+    staging = t.staging.withColumns(
+        {
+            "mmsi": F.when(nth % 211 == 0, F.rpad("mmsi", 21, "0")).when(nth % 97 != 0, F.col("mmsi")),
+            "nav_status": F.when(nth % 89 != 0, F.col("nav_status")),
+            "gps_timestamp": F.when(nth % 83 != 0, F.col("gps_timestamp")),
+            "longitude": F.when(nth % 79 != 0, F.col("longitude")),
+        }
+    )
+    ships = t.ships.rows.filter("id % 5 > 0")
+    ships = ships.unionByName(ships.filter("id % 7 = 0").withColumn("id", F.col("id") + 1_000_000))
+    statuses = t.statuses.rows.filter("id > 1")
+    statuses = statuses.unionByName(statuses.filter("id = 2").withColumn("id", F.lit(100).cast("bigint")))
+    sited = t.positions.withColumn("latitude", F.when(nth % 73 != 0, F.col("latitude")))
+    limits = t.limits.withColumns(
+        {
+            "id": F.xxhash64("ship_id", "datetime_start"),
+            "datetime_stop": F.when(F.col("ship_id") % 11 != 0, F.col("datetime_stop")),
+        }
+    )
+    lines = limits.select(F.col("id").alias("trajectory_id"), "datetime_start", "ship_id")
+    return quality.constraint_report(staging, ships, statuses, sited, limits.filter("ship_id % 13 > 0"), lines)
+
+
+def warehouse_full_recompute(t: Tables) -> DataFrame:
+    """Late reports and a repeated load, taken in: every fiftieth early report comes last, and the
+    second load again without every seventh report."""
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    late = F.col("position_id") % 50 == 0
+    loads = (
+        ("1", t.loaded.filter(~late)),
+        ("2", t.newer),
+        ("3", t.loaded.filter(late)),
+        ("2", t.newer.filter(F.col("position_id") % 7 != 0)),
+    )
+    for load_id, rows in loads:
+        store_load(warehouse, load_id, MARK, rows, None)
+        update_warehouse(warehouse)
+        run_voyages(warehouse, increment="full")
+    ships = warehouse.read("ships").withColumnRenamed("id", "ship_id")
+    found = lookup(warehouse.limits(), ships, "ship_id", spread="datetime_start")
+    return found.select("mmsi", "datetime_start", "datetime_stop", "is_open")
+
+
+def warehouse_repeat(t: Tables) -> DataFrame:
+    """The positions after a load was repeated without every seventh report, and all were compacted."""
+    warehouse = _warehouse(t)
+    store_load(warehouse, "2", MARK, t.newer.filter(F.col("position_id") % 7 != 0), None)
+    update_warehouse(warehouse)
+    warehouse.compact()
+    warehouse.remove_replaced()
+    return _short(warehouse.positions().drop("load_id", "gps_date"))
+
+
+def warehouse_voyage_ids(t: Tables) -> DataFrame:
+    """The stored voyages with the ids that two runs gave them."""
+    found = _warehouse(t, "find").limits()
+    return found.select("id", "ship_id", "datetime_start", "is_open")
+
+
 def warehouse_positions(t: Tables) -> DataFrame:
     return _short(_warehouse(t).positions().drop("load_id", "gps_date"))
 
@@ -468,6 +556,12 @@ QUERIES = {
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_orphans": dq_orphans,
     "dq_constraints": dq_constraints,
+    "dq_all_rules": dq_all_rules,
+    "ingest_mixed_headers": ingest_mixed_headers,
+    "trajectory_lines": trajectory_lines,
+    "warehouse_full_recompute": warehouse_full_recompute,
+    "warehouse_repeat": warehouse_repeat,
+    "warehouse_voyage_ids": warehouse_voyage_ids,
 }
 
 

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.functions.columns import ACTIVE_STATUS, GAP_SECONDS
-from fairlead.operators.detect import in_ship_range, search, unsettled, voyages_among
+from fairlead.operators.detect import in_ship_range, last_stops, search, unsettled, voyages_among
 from fairlead.operators.export import MAX_POINTS, export_trajectories
-from fairlead.operators.increment import next_states, plan_reading
-from fairlead.operators.keys import lookup, number_rows
+from fairlead.operators.increment import (
+    SLIM,
+    next_states,
+    openings,
+    plan_reading,
+    reports_since,
+    seeds,
+    taken_back,
+)
+from fairlead.operators.keys import Sized, lookup, number_rows
 from fairlead.operators.slices import plan_slices
 from fairlead.session import stored
 from fairlead.sources.tables import FINDING, Run, Warehouse, new_id
 
 MODES = (*FINDING, "export")
+INCREMENTS = ("carry", "parity", "full")
 
 
 def run_voyages(
@@ -30,17 +41,39 @@ def run_voyages(
 
     "find" stores the limits of new voyages, "find_export" their lines too, and "export"
     exports all stored voyages again in place of what was exported before.
+
+    `increment` says what becomes of reports at or before their ship's last stored stop:
+    "carry" and "parity" leave them out for good, "full" takes back the voyages from the first
+    such report on and finds them anew, also where a repeated load took reports away. The run
+    tells how many there were (late) and how many stored voyages it took back.
     """
+    with warehouse.snapshot():
+        return _run(warehouse, mode, ship_range, increment, max_points, gap_seconds, active)
+
+
+def _run(
+    warehouse: Warehouse,
+    mode: str,
+    ship_range: tuple[int, int] | None,
+    increment: str,
+    max_points: int,
+    gap_seconds: int,
+    active: str,
+) -> Run:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}, not {mode!r}")
-    runs = warehouse.runs()
-    run_id = new_id(runs[-1].run_id if runs else 0)
-    last_id = runs[-1].last_id if runs else 0
+    if increment not in INCREMENTS:
+        raise ValueError(f"increment must be one of {', '.join(INCREMENTS)}, not {increment!r}")
+    if increment == "full" and ship_range is not None:
+        raise ValueError("a full increment is over all ships")
+    before = warehouse.last_run()
+    run_id = new_id(before.run_id if before else 0)
+    last_id = before.last_id if before else 0
     update_id = warehouse.last_update()
     rules = f"{increment}, {gap_seconds} s, {active}"
     number = F.lit(run_id).cast("bigint").alias("run_id")
 
-    slicing = None
+    slicing, late, n_back = None, 0, 0
     if mode == "export":
         limits = in_ship_range(warehouse.limits(), ship_range)
         positions = in_ship_range(warehouse.positions(), ship_range)
@@ -48,20 +81,32 @@ def run_voyages(
         statuses = warehouse.read("nav_statuses")
         stored_limits = in_ship_range(warehouse.limits(), ship_range)
         closed = stored_limits.filter(~F.col("is_open"))
-        if ship_range is None and increment == "carry":
-            last = _resumable(runs, mode, rules)
-            states = None
+        found_before = warehouse.last_run(finding=True)
+        plan, going, positions, states = None, None, None, None
+        if ship_range is None and increment != "parity":
+            last = found_before if _resumable(found_before, mode, rules) else None
             if last:
                 states = warehouse.read("states").filter(F.col("run_id") == last.run_id)
-                states = states.drop("run_id")
             news = warehouse.positions(after=last.update_id if last else 0)
-            plan = stored(plan_reading(news, closed, states), "reading")
-            positions = _to_read(warehouse.positions(), plan)
+            gone = warehouse.withdrawn(last.run_id) if last and increment == "full" else None
+            plan = stored(plan_reading(news, closed, states, increment == "full", gone), "reading")
+            n_ships, n_late = plan.agg(F.count(F.lit(1)), F.count(F.when(~F.col("resumed"), 1))).first()
+            stops = Sized(plan.select("ship_id", F.col("last_stop").alias("settled_until")), n_ships)
+            if increment == "full":
+                back = stored(taken_back(plan, closed), "taken-back")
+                n_back = back.count()
+                warehouse.replace_partitions("retracted", back.select("id", number), ["run_id"])
+            again = _read_again(warehouse, plan, n_late, news if last else None)
+            reports = _to_search(plan, n_ships, n_late, news, again)
+            going = openings(plan)
         else:
-            plan = None
             positions = unsettled(warehouse.positions(), closed, ship_range, increment)
-        slicing = plan_slices(positions)
-        found = stored(search(positions, statuses, slicing, gap_seconds, active), "found")
+            reports = positions
+            stops = last_stops(closed)
+        if found_before:
+            late = _late(warehouse.positions(after=found_before.update_id), stops, ship_range)
+        slicing = plan_slices(reports)
+        found = stored(search(reports, statuses, slicing, gap_seconds, active, going), "found")
         limits = voyages_among(found)
         count = limits.count()
         limits = number_rows(limits, ["ship_id", "datetime_start"], last_id, count)
@@ -71,14 +116,18 @@ def run_voyages(
             others = stored_limits.filter("is_open").drop("run_id")
             others = others.join(plan.select("ship_id"), "ship_id", "left_anti")
             limits = limits.unionByName(others)
-            after = next_states(plan, found, states)
+            after = next_states(plan, found, states, again if n_late else None)
             warehouse.replace_partitions("states", after.select("*", number), ["run_id"])
         limits = limits.sortWithinPartitions("is_open", "ship_id", "datetime_start")
         warehouse.replace_partitions("limits", limits.select("*", number), ["run_id", "is_open"])
         limits = warehouse.read("limits").filter(F.col("run_id") == run_id)
-        if plan is not None:
-            read = plan.select("ship_id")
+        if plan is not None and mode != "find":
+            read = Sized(plan.select("ship_id"), n_ships)
             limits = lookup(limits, read, "ship_id", "left_semi", spread="datetime_start")
+            if states is not None:
+                positions, slicing = _to_export(warehouse, limits, plan), None
+            else:
+                positions = again
 
     if mode != "find":
         lines = export_trajectories(
@@ -90,31 +139,49 @@ def run_voyages(
         ).sortWithinPartitions("is_open", "ship_id", "datetime_start", "part")
         warehouse.replace_partitions("exports", lines.select("*", number), ["run_id", "is_open"])
 
-    run = Run(run_id, mode, ship_range, rules, update_id, last_id)
+    run = Run(run_id, mode, ship_range, rules, update_id, last_id, late, n_back)
     warehouse.log_run(run)
     return run
 
 
-def _resumable(runs: list[Run], mode: str, rules: str) -> Run | None:
-    """The last finding run, if its states serve: all ships, same rules, lines as wanted now."""
-    finding = [run for run in runs if run.mode in FINDING]
-    if not finding:
-        return None
-    last = finding[-1]
-    serves = last.ship_range is None and last.rules == rules and mode in ("find", last.mode)
-    return last if serves else None
-
-
-def _to_read(positions: DataFrame, plan: DataFrame) -> DataFrame:
-    """The reports the plan asks for; whole days, and with them files, are left out first."""
-    bounds = plan.agg(
-        F.min("read_from").alias("earliest"),
-        F.max(F.col("read_from").isNull()).alias("unknown"),
-    ).first()
-    if bounds["earliest"] is not None and not bounds["unknown"]:
-        positions = positions.filter(F.col("gps_date") >= F.lit(bounds["earliest"].date()))
-    positions = lookup(
-        positions, plan.select("ship_id", "settled_until", "fresh"), "ship_id", "inner"
-    )
-    mark = F.col("settled_until")
-    return positions.filter(mark.isNull() | (F.col("gps_timestamp") >= mark))
+def _resumable(last: Run | None, mode: str, rules: str) -> bool:
+    """Whether the last finding run's states serve: all ships, same rules, lines as wanted now."""
+    return last is not None and last.ship_range is None and last.rules == rules and mode in ("find", last.mode)
+
+
+def _first_day(news: DataFrame) -> date | None:
+    """The day before which few ships, if any, are to be read: that of the first new reports."""
+    return news.agg(F.min("gps_date")).first()[0]
+
+
+def _read_again(warehouse: Warehouse, plan: DataFrame, count: int, news: DataFrame | None) -> DataFrame:
+    """All reports, old and new, of the ships that cannot be resumed, from where each is read."""
+    if not count:
+        return warehouse.positions(after=warehouse.last_update())
+    ships = plan.filter(~F.col("resumed")).select("ship_id", F.col("read_from").alias("need_from"))
+    day = _first_day(news) if news is not None else None
+    return reports_since(warehouse.positions(), Sized(ships, count), day)
+
+
+def _to_search(plan: DataFrame, n_ships: int, n_late: int, news: DataFrame, again: DataFrame) -> DataFrame:
+    """What detection reads: reports read again, and the new ones of resumed ships after their last."""
+    marks = ["ship_id", "settled_until", "fresh", F.lit(0).alias("opens")]
+    rows = lookup(again, Sized(plan.filter("not resumed").select(*marks), n_late), "ship_id", "inner").select(*SLIM)
+    if n_late == n_ships:
+        return rows
+    fresh = lookup(news, Sized(plan.filter("resumed").select(*marks), n_ships - n_late), "ship_id", "inner")
+    return rows.unionByName(fresh.select(*SLIM)).unionByName(seeds(plan).select(*SLIM))
+
+
+def _to_export(warehouse: Warehouse, limits: DataFrame, plan: DataFrame) -> DataFrame:
+    """The reports of the found voyages' ships, each from its first start on."""
+    needs = stored(limits.groupBy("ship_id").agg(F.min("datetime_start").alias("need_from")), "lines-from")
+    day = plan.agg(F.min("first_new").cast("date")).first()[0]
+    return reports_since(warehouse.positions(), Sized(needs, needs.count()), day)
+
+
+def _late(news: DataFrame, stops: DataFrame | Sized, ship_range: tuple[int, int] | None) -> int:
+    """How many of the reports came at or before their ship's last stored stop."""
+    rows = in_ship_range(news, ship_range).select("ship_id", "position_id", "gps_timestamp")
+    rows = lookup(rows, stops, "ship_id", "inner")
+    return rows.filter(F.col("gps_timestamp") <= F.col("settled_until")).count()

@@ -5,19 +5,26 @@ Columns are found by header name, so their order and any further columns do not
 
 from __future__ import annotations
 
+import csv
 import re
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fairlead.functions.columns import ntz, utc_now
+from fairlead.operators.keys import lookup
 from fairlead.schemas import CSV_COLUMNS, MMSI_LENGTH, STAGING
+from fairlead.session import stored
 
 RAW_LINE = "raw_line"
 # Any case of .csv, at any depth.
 CSV_GLOB = "*.[cC][sS][vV]"
+# Files may have so many different headers.
+MOST_HEADERS = 200
 
 # What the target types accept as text.
 NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|nan|inf|infinity)\s*$"
@@ -74,37 +81,92 @@ def configure(spark: SparkSession, reader, path: str | list[str], columns: list[
 def read_raw(spark: SparkSession, path: str | list[str], mixed_headers: bool = False) -> DataFrame:
     """All lines of the file or folder as text columns under their staging names.
 
-    With mixed_headers the files are first scanned for their header lines and read in one
-    group per distinct header.
+    With mixed_headers each file's own header says where its columns are.
     """
-    groups = header_groups(spark, path) if mixed_headers else [path]
-    frames = []
-    for group in groups:
-        columns = header_columns(spark, group)
-        rows = configure(spark, spark.read, group, columns).csv(group)
-        frames.append(rows.select(*CSV_COLUMNS, RAW_LINE).withColumnsRenamed(CSV_COLUMNS))
-    rows = frames[0]
-    for more in frames[1:]:
-        rows = rows.unionByName(more)
-    return rows
-
-
-def header_groups(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
-    """Files grouped by header: one group per distinct header line."""
-    line = F.col("value")
-    is_header = F.lit(True)
-    for name in CSV_COLUMNS:
-        is_header = is_header & line.contains(name)
-    reader = _options(spark, spark.read, path)
-    headers = (
-        reader.text(path)
-        .filter(is_header)
-        .select(F.trim(line).alias("header"), F.col("_metadata.file_path").alias("file"))
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_set("file")).alias("files"))
+    if mixed_headers:
+        lines = text_lines(_options(spark, spark.read, path).text(path))
+        return parse_lines(lines, file_headers(lines))
+    rows = configure(spark, spark.read, path, header_columns(spark, path)).csv(path)
+    return rows.select(*CSV_COLUMNS, RAW_LINE).withColumnsRenamed(CSV_COLUMNS)
+
+
+def text_lines(lines: DataFrame) -> DataFrame:
+    """The lines of a text source, each with its file and where the block it was read in begins.
+
+    `alone` is true for the blocks of a file but its last: a task has such a block to itself.
+    """
+    meta = "_metadata.file_"
+    return lines.select(
+        "value",
+        F.col(f"{meta}path").alias("file"),
+        F.col(f"{meta}block_start").alias("block"),
+        (F.col(f"{meta}block_start") + F.col(f"{meta}block_length") < F.col(f"{meta}size")).alias("alone"),
     )
-    # One row per distinct header, with the file names the driver lists for a read anyway.
-    return [row["files"] for row in headers.orderBy("header").collect()]
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """file and header, the first line of each file.
+
+    A task passes on the first line of every file whose beginning it has. Where a block of a
+    large file is all that a task has, it takes one batch of lines and stops.
+    """
+    schema = pa.schema([("file", pa.string()), ("header", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            coded = batch.column(1).dictionary_encode()
+            order = coded.indices.to_pylist()
+            for at in [0, *(i for i in range(1, len(order)) if order[i] != order[i - 1])] if order else []:
+                name = batch.column(1)[at].as_py()
+                if name != last and batch.column(2)[at].as_py() == 0:
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([batch.column(0)[at].as_py()], pa.string())], schema=schema)
+                last = name
+            if order and batch.column(3)[0].as_py():
+                return
+
+    return lines.select("value", "file", "block", "alone").mapInArrow(run, "file string, header string")
+
+
+def parse_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
+    """Text columns under their staging names, from lines and the headers of their files.
+
+    Every distinct header is a schema of its own; a line is parsed by that of its file. A header
+    that lacks a column fails the read. Lines without anything but blanks are no records.
+    """
+    headers = stored(headers, "file-headers")
+    kinds = [row["header"] for row in headers.select("header").distinct().orderBy("header").limit(MOST_HEADERS + 1).collect()]
+    if len(kinds) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different headers")
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW_LINE, "columnPruning": "false"}
+    fields = [*CSV_COLUMNS, RAW_LINE]
+    rows = lines.filter(F.trim("value") != "")
+    files = headers.select("file", F.col("header").alias("of_header"))
+    rows = lookup(rows, files, "file", "inner", spread="value")
+    # The header line itself begins the file's first block.
+    rows = rows.filter(~((F.col("block") == 0) & (F.col("value") == F.col("of_header"))))
+    record = F.lit(None)
+    for kind in kinds:
+        names = next(csv.reader([kind]))
+        schema = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in _unique([*names, RAW_LINE]))
+        _all_text(names)
+        parsed = F.from_csv(F.col("value"), schema, options)
+        named = F.struct(*[parsed[c].alias(CSV_COLUMNS.get(c, c)) for c in fields])
+        record = F.when(F.col("of_header") == kind, named).otherwise(record)
+    if not kinds:
+        empty = ", ".join(f"{CSV_COLUMNS.get(c, c)} STRING" for c in fields)
+        return lines.sparkSession.createDataFrame([], empty)
+    return rows.select(record.alias("record")).select("record.*")
+
+
+def _unique(names: list[str]) -> list[str]:
+    """The names, with the place added to those that are empty or were there before, like Spark's reader."""
+    out, seen = [], set()
+    for at, name in enumerate(names):
+        name = name if name and name.lower() not in seen else f"{name or '_c'}{at}"
+        seen.add(name.lower())
+        out.append(name)
+    return out
 
 
 def _text(name: str) -> Column:
@@ -161,6 +223,13 @@ def typed(rows: DataFrame, timestamp_format: str | None = None) -> DataFrame:
     )
 
 
+def read_typed(
+    spark: SparkSession, path: str | list[str], timestamp_format: str | None = None, mixed_headers: bool = False
+) -> DataFrame:
+    """All lines of a CSV file, or of all CSV files in a folder, in staging types (see typed)."""
+    return typed(read_raw(spark, path, mixed_headers), timestamp_format)
+
+
 def ingest_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -175,26 +244,26 @@ def ingest_csv(
     Strict mode fails on the first bad line. Lenient mode sets bad lines, and lines
     without mmsi, aside with a reason.
     """
-    if mode not in ("strict", "lenient"):
-        raise ValueError(f"mode must be strict or lenient, not {mode!r}")
-    rows = typed(read_raw(spark, path, mixed_headers), timestamp_format)
-    rows = rows.withColumn("position_id", F.monotonically_increasing_id() + first_id)
-    return split_rejects(rows, mode, load_date or utc_now())
+    rows = read_typed(spark, path, timestamp_format, mixed_headers)
+    rows = judged(rows.withColumn("position_id", F.monotonically_increasing_id() + first_id), mode, load_date or utc_now())
+    return split_rejects(rows)
 
 
-def split_rejects(
-    rows: DataFrame, mode: str, load_date: datetime
-) -> tuple[DataFrame, DataFrame]:
-    """Good rows, stamped with the load time, and (reason, line) of the others."""
+def judged(rows: DataFrame, mode: str, load_date: datetime) -> DataFrame:
+    """The rows stamped with the load time; a reason is left where a row is to be set aside."""
+    if mode not in ("strict", "lenient"):
+        raise ValueError(f"mode must be strict or lenient, not {mode!r}")
     reason = F.col("reason")
-    rejects = rows
     if mode == "strict":
         fail = F.raise_error(F.concat(reason, F.lit(": "), F.col("line"))).cast("boolean")
         rows = rows.filter(F.when(reason.isNotNull(), fail).otherwise(F.lit(True)))
     else:
-        rejects = rows.withColumn(
-            "reason", F.coalesce(reason, F.when(F.col("mmsi").isNull(), F.lit("mmsi is missing")))
-        )
-        rows = rows.filter(reason.isNull() & F.col("mmsi").isNotNull())
-    staging = rows.withColumn("load_date", ntz(load_date)).select(*STAGING.fieldNames())
-    return staging, rejects.filter(F.col("reason").isNotNull()).select("reason", "line")
+        reason = F.coalesce(reason, F.when(F.col("mmsi").isNull(), F.lit("mmsi is missing")))
+        rows = rows.withColumn("reason", reason)
+    return rows.withColumn("load_date", ntz(load_date))
+
+
+def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and (reason, line) of the others."""
+    aside = F.col("reason").isNotNull()
+    return rows.filter(~aside).select(*STAGING.fieldNames()), rows.filter(aside).select("reason", "line")

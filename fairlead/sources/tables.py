@@ -1,28 +1,38 @@
 """The warehouse as Parquet folders.
 
-    staging, rejects   one partition per load: typed rows, and lines that do not convert
-    refused            one partition per load: staging rows that cannot become positions
+    staging, rejects   one partition per attempt at a load: typed rows, and lines that do not convert
+    refused            one partition per attempt: staging rows that cannot become positions
     ships, nav_statuses
-    positions          partitions per load and day, sorted by ship and time
+    positions          partitions per update and day, sorted by ship and time
     limits, exports    one partition per run, closed and open voyages apart
-    states             one partition per run: from where the next run reads each ship
-    loads, updates, runs   logs: what counts as stored
-
-Parquet has no DELETE, and a job can die between two writes. So a load or run writes its
-own partitions and then its log entry, and readers take only what the logs name. Voyages that a later run found again, or exports
-that a later run rebuilt, are skipped by the run numbers in the log.
+    retracted          one partition per run: ids of closed voyages that are no longer stored
+    states             one partition per run: what the next run has to know of each ship
+    loads, updates, runs, compactions   logs, appended to only: what counts as stored
+
+Parquet has no DELETE, and a job can die between two writes. So a load, update or run writes
+partitions that no one else writes, and then its log entry, and readers take only what the logs
+name. A load that is repeated is a new attempt with partitions of its own: until its entry is
+logged the rows of the attempt before count, from then on its own; what it replaced is deleted
+after that. Voyages that a later run found again, or exports that a later run rebuilt, are
+skipped by the run numbers in the log, and closed voyages that a run took back by their ids.
+
+Updates add a folder per day each. `compact` writes all of them into one, day by day.
 """
 
 from __future__ import annotations
 
 import re
 import time
+import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,7 +56,9 @@ SCHEMAS = {
     "ships": SHIPS,
     "nav_statuses": NAV_STATUSES,
     "positions": T.StructType(
-        POSITIONS.fields + _LOAD + [T.StructField("gps_date", T.DateType())]
+        POSITIONS.fields
+        + _LOAD
+        + [T.StructField("update_id", T.LongType()), T.StructField("gps_date", T.DateType())]
     ),
     "limits": T.StructType([T.StructField("id", T.LongType())] + LIMITS.fields + _RUN),
     "exports": T.StructType(
@@ -71,6 +83,8 @@ SCHEMAS = {
             T.StructField("load_date", T.TimestampNTZType()),
             T.StructField("rows", T.LongType()),
             T.StructField("max_id", T.LongType()),
+            T.StructField("attempt", T.StringType()),
+            T.StructField("entry", T.LongType()),
         ]
         + _LOAD
     ),
@@ -78,14 +92,23 @@ SCHEMAS = {
         [
             T.StructField("load_date", T.TimestampNTZType()),
             T.StructField("update_id", T.LongType()),
+            T.StructField("attempt", T.StringType()),
         ]
         + _LOAD
     ),
+    "compactions": T.StructType(
+        [T.StructField("update_id", T.LongType()), T.StructField("upto", T.LongType())]
+    ),
+    "retracted": T.StructType([T.StructField("id", T.LongType())] + _RUN),
     "states": T.StructType(
         [
             T.StructField("ship_id", T.LongType()),
-            T.StructField("resume_from", T.TimestampNTZType()),
-            T.StructField("seen_until", T.TimestampNTZType()),
+            T.StructField("last_time", T.TimestampNTZType()),
+            T.StructField("last_position_id", T.LongType()),
+            T.StructField("last_status_id", T.LongType()),
+            T.StructField("open_start", T.TimestampNTZType()),
+            T.StructField("open_position_id", T.LongType()),
+            T.StructField("last_stop", T.TimestampNTZType()),
             T.StructField("bounded", T.BooleanType()),
         ]
         + _RUN
@@ -98,12 +121,26 @@ SCHEMAS = {
             T.StructField("ship_min", T.LongType()),
             T.StructField("ship_max", T.LongType()),
             T.StructField("last_id", T.LongType()),
+            T.StructField("late", T.LongType()),
+            T.StructField("taken_back", T.LongType()),
         ]
         + _RUN
     ),
 }
 
 FINDING = ("find", "find_export")
+# The tables that one write of a load fills, each a partition by verdict.
+VERDICTS = ("staging", "rejects")
+# Spark numbers the rows of each task from a multiple of TASK_IDS; ids are reserved in blocks of
+# so many tasks.
+TASK_IDS = 1 << 33
+BLOCK = 32 * TASK_IDS
+# Parts a load's id from the name of a repeated attempt; no load id has it.
+ATTEMPT = "~"
+# Up to so many names from the logs are listed in a filter; more are joined.
+NAMED = 1000
+# For how many ships a file's Bloom filter is sized.
+SHIPS_A_FILE = 100_000
 
 
 def new_id(last: int) -> int:
@@ -115,7 +152,9 @@ def new_id(last: int) -> int:
 class Run:
     """A run's id, mode and ships, the rules it found voyages by, and how far it got.
 
-    It has seen the updates up to update_id and given voyages the ids up to last_id.
+    It has seen the updates up to update_id and given voyages the ids up to last_id. `late` of
+    the reports new to it came at or before their ship's last stored stop; it took back as many
+    stored voyages as `taken_back`.
     """
 
     run_id: int
@@ -124,6 +163,8 @@ class Run:
     rules: str
     update_id: int
     last_id: int
+    late: int = 0
+    taken_back: int = 0
 
     def replaces(self) -> Column:
         """Rows of earlier runs within this run's ships."""
@@ -135,9 +176,40 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._held: dict | None = None
+
+    @contextmanager
+    def snapshot(self):
+        """Within it, what the logs say is read once and stays as it was at its first reading."""
+        outer, self._held = self._held, {} if self._held is None else self._held
+        try:
+            yield self
+        finally:
+            self._held = outer
+
+    def _once(self, key: tuple, make: Callable):
+        if self._held is None:
+            return make()
+        if key not in self._held:
+            self._held[key] = make()
+        return self._held[key]
+
+    def _among(self, rows: DataFrame, column: str, key: tuple, names: DataFrame) -> DataFrame:
+        """The rows whose column is one of the names (one column): by a list, or a join if they are many."""
+
+        def listed() -> list | None:
+            few = [row[0] for row in names.distinct().limit(NAMED + 1).collect()]
+            return few if len(few) <= NAMED else None
+
+        few = self._once(key, listed)
+        if few is not None:
+            return rows.filter(F.col(column).isin(few))
+        named = names.distinct().toDF("_name")
+        return rows.join(named, F.col(column) == F.col("_name"), "left_semi")
 
     def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+        """Staging rows and rejected lines lie side by side, so that one write brings both."""
+        return f"{self.root}/lines/verdict={table}" if table in VERDICTS else f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
         """All stored rows; none when the table was never written."""
@@ -165,77 +237,242 @@ class Warehouse:
         if not re.fullmatch(r"[\w+-][\w.+-]*", load_id):
             raise ValueError(f"a load id has letters, digits and . + - _ only, not {load_id!r}")
 
-    def replace_load(self, table: str, load_id: str, rows: DataFrame) -> None:
-        """Write the one partition of a load in place of what it had, also when rows are none."""
-        self.check_load_id(load_id)
+    def replace_load(self, table: str, attempt: str, rows: DataFrame) -> None:
+        """Write the one partition of an attempt at a load, also when rows are none."""
+        self.check_load_id(attempt.split(ATTEMPT)[0])
         kept = [c for c in SCHEMAS[table].fieldNames() if c != "load_id"]
-        rows.select(*kept).write.mode("overwrite").parquet(f"{self.path(table)}/load_id={load_id}")
+        rows.select(*kept).write.mode("overwrite").parquet(f"{self.path(table)}/load_id={attempt}")
+
+    def write_lines(self, attempt: str, rows: DataFrame) -> tuple[int, int]:
+        """Write an attempt's staging rows and rejected lines (with a reason) in one pass.
+
+        Returns the number of staging rows and their largest id, as counted while writing.
+        """
+        self.check_load_id(attempt.split(ATTEMPT)[0])
+        for table in VERDICTS:
+            # What a dead attempt of that name may have left was never logged.
+            self.remove(table, [f"load_id={attempt}"])
+        good = F.col("reason").isNull()
+        seen = Observation()
+        written = rows.observe(
+            seen, F.count(F.when(good, 1)).alias("rows"), F.max(F.when(good, F.col("position_id"))).alias("max_id")
+        )
+        staged = [c for c in SCHEMAS["staging"].fieldNames() if c != "load_id"]
+        verdict = F.when(good, VERDICTS[0]).otherwise(VERDICTS[1]).alias("verdict")
+        # What belongs to the other table only is left empty.
+        columns = [F.when(good, F.col(c)).alias(c) for c in staged] + [F.when(~good, F.col(c)).alias(c) for c in ("reason", "line")]
+        written = written.select(*columns, verdict, F.lit(attempt).alias("load_id"))
+        written.write.mode("append").partitionBy("verdict", "load_id").parquet(f"{self.root}/lines")
+        return seen.get["rows"] or 0, seen.get["max_id"] or 0
+
+    def reserve_ids(self, tasks: int) -> Column:
+        """The position ids of the rows of a frame that so many tasks read, its own for good.
+
+        Ids come in blocks, and a block is taken by creating a file of its number, which the
+        file system lets one creator do only; whoever finds it taken goes on to the next. So
+        loads that run at the same time never share an id, and none has to wait.
+        """
+        files, path = self._files()
+        number = (self.next_position_id() - 1 + BLOCK - 1) // BLOCK
+        blocks = []
+        while len(blocks) < -(-max(tasks, 1) * TASK_IDS // BLOCK):
+            try:
+                files.create(path(f"{self.root}/ids/{number:012d}"), False).close()
+                blocks.append(number * BLOCK + 1)
+            except Py4JJavaError as error:
+                if "AlreadyExists" not in str(error.java_exception):
+                    raise
+            number += 1
+        nth = F.monotonically_increasing_id()
+        starts = F.array(*[F.lit(b).cast("bigint") for b in blocks])
+        return F.element_at(starts, (F.floor(nth / BLOCK) + 1).cast("int")) + nth % BLOCK
 
     def log(self, table: str, entries: list[tuple]) -> None:
+        """Append the entries as one file; nothing that was logged before is touched."""
+        self._held = {} if self._held else self._held
         schema = SCHEMAS[table]
         columns = {field: list(values) for field, values in zip(schema.fieldNames(), zip(*entries))}
         rows = self.spark.createDataFrame(pa.table(columns), schema).coalesce(1)
-        self.replace_partitions(table, rows, [schema.fieldNames()[-1]])
+        rows.write.mode("append").parquet(self.path(table))
+
+    def _files(self):
+        """The tables' file system and the class of its paths."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return path(self.root).getFileSystem(conf), path
+
+    def remove(self, table: str, partitions: list[str]) -> None:
+        files, path = self._files()
+        for partition in partitions:
+            files.delete(path(f"{self.path(table)}/{partition}"), True)
 
     # Loads
 
+    def _current_loads(self) -> DataFrame:
+        """The latest entry of each load in the log."""
+        columns = [c for c in SCHEMAS["loads"].fieldNames() if c != "load_id"]
+        latest = F.max_by(F.struct(*columns), "entry").alias("latest")
+        return self.read("loads").groupBy("load_id").agg(latest).select("load_id", "latest.*")
+
     def loads(self) -> list:
-        rows = self.read("loads").collect()
-        return sorted(rows, key=lambda row: (row["load_date"], row["load_id"]))
+        return self._current_loads().orderBy("load_date", "load_id").collect()
+
+    def load(self, load_id: str):
+        """The latest entry of a load, or None."""
+        return self._current_loads().filter(F.col("load_id") == load_id).first()
+
+    def new_attempt(self, load_id: str) -> str:
+        """The name of the partitions of a load: its id, or one of their own for a repeat."""
+        self.check_load_id(load_id)
+        return load_id if self.load(load_id) is None else f"{load_id}{ATTEMPT}{uuid.uuid4().hex[:12]}"
+
+    def log_load(self, load_date: datetime, rows: int, max_id: int, attempt: str, load_id: str) -> None:
+        last = self.read("loads").agg(F.max("entry")).first()[0]
+        self.log("loads", [(load_date, rows, max_id, attempt, new_id(last or 0), load_id)])
 
     def next_position_id(self) -> int:
-        return max((load["max_id"] for load in self.loads()), default=0) + 1
+        return (self.read("loads").agg(F.max("max_id")).first()[0] or 0) + 1
+
+    def attempts(self, names: DataFrame, table: str = "staging") -> DataFrame:
+        """Rows of a table in the named attempts (a column `attempt`)."""
+        names = names.select(F.col("attempt").alias("_name")).distinct()
+        rows = self.read(table).join(names, F.col("load_id") == F.col("_name"), "left_semi")
+        return rows.select(*SCHEMAS[table].fieldNames())
 
     def staging(self, load_ids: list[str] | None = None) -> DataFrame:
         """Staging rows of the logged loads, or of some of them."""
-        if load_ids is None:
-            load_ids = [load["load_id"] for load in self.loads()]
-        return self.read("staging").filter(F.col("load_id").isin(load_ids))
+        current = self._current_loads()
+        if load_ids is not None:
+            current = current.filter(F.col("load_id").isin(load_ids))
+        return self.attempts(current).withColumn("load_id", F.substring_index("load_id", ATTEMPT, 1))
 
     def pending_loads(self) -> list:
-        """Logged loads that are not among the positions yet."""
-        done = {row["load_id"] for row in self.read("updates").collect()}
-        return [load for load in self.loads() if load["load_id"] not in done]
-
-    def forget_update(self, load_id: str) -> None:
-        """Take a load's update out of the log, and then its rows, so that it is pending again."""
-        self.check_load_id(load_id)
-        for table in ("updates", "positions", "refused"):
-            place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/load_id={load_id}")
-            conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-            place.getFileSystem(conf).delete(place, True)
+        """Logged loads whose latest attempt is not among the positions yet."""
+        done = self.read("updates").select("attempt").distinct()
+        return self._current_loads().join(done, "attempt", "left_anti").orderBy("load_date", "load_id").collect()
 
     def load_mark(self) -> datetime | None:
         return self.read("updates").agg(F.max("load_date")).first()[0]
 
     # Positions
 
+    def _updates(self, after: int = 0) -> DataFrame:
+        """Logged updates of attempts that are still the latest of their loads."""
+        latest = self._current_loads().select("attempt")
+        return self.read("updates").filter(F.col("update_id") > after).join(latest, "attempt", "left_semi")
+
+    def _compaction(self) -> tuple[int, int]:
+        """The folder of the last compaction and the update up to which it holds all rows."""
+
+        def last() -> tuple[int, int]:
+            row = self.read("compactions").orderBy(F.col("update_id").desc()).first()
+            return (row["update_id"], row["upto"]) if row else (0, 0)
+
+        return self._once(("compaction",), last)
+
+    def _folders(self, after: int) -> list[str]:
+        return self._once(("folders", after), lambda: self._find_folders(after))
+
+    def _find_folders(self, after: int) -> list[str]:
+        """The folders that hold the rows of updates after the given one; those the file system has.
+
+        One per update since the last compaction, whatever the number of reports.
+        """
+        compact, upto = self._compaction()
+        logged = self.read("updates").filter(F.col("update_id") > max(after, upto))
+        names = [row[0] for row in logged.select("update_id").distinct().collect()]
+        if after < upto:
+            names.append(compact)
+        files, path = self._files()
+        found = [f"{self.path('positions')}/update_id={name}" for name in sorted(names)]
+        return [folder for folder in found if files.exists(path(folder))]
+
+    def _positions(self, after: int = 0) -> DataFrame:
+        """All rows in the folders of the updates after the given one, latest attempts or not."""
+        folders = self._folders(after)
+        if not folders:
+            return self.spark.createDataFrame([], SCHEMAS["positions"])
+        reader = self.spark.read.schema(SCHEMAS["positions"]).option("basePath", self.path("positions"))
+        return reader.parquet(*folders)
+
     def positions(self, after: int = 0) -> DataFrame:
         """Positions of the logged updates, or of those after the given one."""
-        done = self.read("updates").filter(F.col("update_id") > after).collect()
-        return self.read("positions").filter(F.col("load_id").isin([row["load_id"] for row in done]))
+        rows = self._among(self._positions(after), "load_id", ("attempts", after), self._updates(after).select("attempt"))
+        kept = [c for c in SCHEMAS["positions"].fieldNames() if c not in ("update_id", "load_id")]
+        return rows.select(*kept, F.substring_index("load_id", ATTEMPT, 1).alias("load_id"))
+
+    def withdrawn(self, since: int) -> DataFrame:
+        """Positions that a run with that id may have read and that no longer count.
+
+        They are those of attempts which a repeat logged since then has replaced.
+        """
+        replaced = self.read("loads").groupBy("load_id").agg(F.max("entry").alias("last"))
+        replaced = replaced.filter(F.col("last") > since).select("load_id")
+        gone = self.read("updates").join(replaced, "load_id", "left_semi")
+        gone = gone.join(self._current_loads().select("attempt"), "attempt", "left_anti")
+        gone = gone.select(F.col("attempt").alias("load_id")).distinct()
+        if gone.isEmpty():
+            return self.spark.createDataFrame([], SCHEMAS["positions"])
+        return self._positions().join(gone, "load_id", "left_semi")
 
     def last_update(self) -> int:
-        return self.read("updates").agg(F.max("update_id")).first()[0] or 0
+        return self._once(("last_update",), lambda: self.read("updates").agg(F.max("update_id")).first()[0] or 0)
 
-    def log_update(self, loads: list) -> None:
-        number = new_id(self.last_update())
-        self.log("updates", [(load["load_date"], number, load["load_id"]) for load in loads])
+    def next_update(self) -> int:
+        return new_id(max(self.last_update(), self._compaction()[0]))
 
-    def write_positions(self, rows: DataFrame) -> None:
-        """Partitioned by load and day; each file sorted by ship and time.
+    def log_update(self, loads: list, number: int) -> None:
+        self.log("updates", [(load["load_date"], number, load["attempt"], load["load_id"]) for load in loads])
 
-        Rebalancing gives a large day several files instead of one task.
+    def write_positions(self, rows: DataFrame, number: int) -> None:
+        """A folder of the update's own, with one per day; each file sorted by ship and time.
+
+        Rebalancing gives a large day several files instead of one task. Bloom filters tell a
+        reader of one ship, or of a few, which row groups to skip.
         """
-        rows = rows.withColumn("gps_date", F.col("gps_timestamp").cast("date"))
-        rows = rows.hint("rebalance", "load_id", "gps_date")
-        rows = rows.sortWithinPartitions("load_id", "gps_date", "ship_id", "gps_timestamp")
-        self.replace_partitions("positions", rows, ["load_id", "gps_date"])
+        rows = rows.withColumns(
+            {"gps_date": F.col("gps_timestamp").cast("date"), "update_id": F.lit(number).cast("bigint")}
+        )
+        rows = rows.hint("rebalance", "gps_date")
+        rows = rows.sortWithinPartitions("gps_date", "ship_id", "gps_timestamp")
+        rows.select(*SCHEMAS["positions"].fieldNames()).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).option("parquet.bloom.filter.enabled#ship_id", "true").option(
+            "parquet.bloom.filter.expected.ndv#ship_id", str(SHIPS_A_FILE)
+        ).partitionBy("update_id", "gps_date").parquet(self.path("positions"))
+
+    def compact(self) -> int | None:
+        """Write the positions of all updates into one folder, day by day; its number.
+
+        Rows of replaced attempts stay out, but for those a run has still to hear of. Readers
+        go on with the old folders until the compaction is logged; remove_replaced deletes them.
+        """
+        upto = self.last_update()
+        if not upto:
+            return None
+        finding = self.read("runs").filter(F.col("mode").isin(*FINDING)).agg(F.max("run_id")).first()[0]
+        named = self._updates().select(F.col("attempt").alias("load_id")).distinct()
+        rows = self._positions()
+        kept = rows.join(named, "load_id", "left_semi").unionByName(self.withdrawn(finding or 0))
+        number = self.next_update()
+        self.write_positions(kept.drop("update_id", "gps_date"), number)
+        self.log("compactions", [(number, upto)])
+        return number
+
+    def remove_replaced(self) -> int:
+        """Delete the folders of positions that no reader starts from any more; how many."""
+        compact, upto = self._compaction()
+        files, path = self._files()
+        listed = files.globStatus(path(f"{self.path('positions')}/update_id=*")) or []
+        names = [str(status.getPath().getName()) for status in listed]
+        gone = [name for name in names if int(name.split("=")[1]) <= upto and name != f"update_id={compact}"]
+        self.remove("positions", gone)
+        return len(gone)
 
     # Runs
 
-    def runs(self) -> list[Run]:
-        rows = sorted(self.read("runs").collect(), key=lambda row: row["run_id"])
+    def _runs(self, logged: DataFrame) -> list[Run]:
+        rows = sorted(logged.collect(), key=lambda row: row["run_id"])
         return [
             Run(
                 row["run_id"],
@@ -244,32 +481,53 @@ class Warehouse:
                 row["rules"],
                 row["update_id"],
                 row["last_id"],
+                row["late"] or 0,
+                row["taken_back"] or 0,
             )
             for row in rows
         ]
 
-    def log_run(self, run: Run) -> None:
-        low, high = run.ship_range or (None, None)
-        self.log("runs", [(run.mode, run.rules, run.update_id, low, high, run.last_id, run.run_id)])
+    def runs(self) -> list[Run]:
+        return self._runs(self.read("runs"))
 
-    def _stored(self, table: str, runs: list[Run]) -> DataFrame:
-        return self.read(table).filter(F.col("run_id").isin([run.run_id for run in runs]))
+    def last_run(self, finding: bool = False) -> Run | None:
+        logged = self.read("runs")
+        if finding:
+            logged = logged.filter(F.col("mode").isin(*FINDING))
+        found = self._runs(logged.orderBy(F.col("run_id").desc()).limit(1))
+        return found[0] if found else None
 
-    @staticmethod
-    def _replaced(runs: list[Run], modes: tuple[str, ...]) -> Column:
+    def log_run(self, run: Run) -> None:
+        low, high = run.ship_range or (None, None)
+        entry = (run.mode, run.rules, run.update_id, low, high, run.last_id, run.late, run.taken_back, run.run_id)
+        self.log("runs", [entry])
+
+    def _stored(self, table: str) -> DataFrame:
+        """Rows of the logged runs; their numbers are the partitions' names, so others are not read."""
+        rows = self._among(self.read(table), "run_id", ("runs",), self.read("runs").select("run_id"))
+        return rows.select(*SCHEMAS[table].fieldNames())
+
+    def _replaced(self, modes: tuple[str, ...]) -> Column:
+        """What the last run of these modes over all ships, and those over some since, replaced."""
+        logged = self.read("runs").filter(F.col("mode").isin(*modes))
+        whole = logged.filter(F.col("ship_min").isNull()).agg(F.max("run_id")).first()[0] or 0
         gone = F.lit(False)
-        for run in reversed(runs):
-            if run.mode in modes:
-                gone = gone | run.replaces()
-                if run.ship_range is None:
-                    break
+        for run in self._runs(logged.filter(F.col("run_id") >= whole)):
+            gone = gone | run.replaces()
         return gone
 
+    def _kept(self, rows: DataFrame, key: str) -> DataFrame:
+        """The rows of voyages that no run took back."""
+        taken_back = self.read("runs").agg(F.sum("taken_back")).first()[0]
+        if not taken_back:
+            return rows
+        gone = self._stored("retracted").select(F.col("id").alias(key))
+        return lookup(rows, Sized(gone, taken_back), key, "left_anti", "datetime_start").select(*rows.columns)
+
     def limits(self) -> DataFrame:
-        """Closed voyages of all runs, and the open ones no later run looked at again."""
-        runs = self.runs()
-        found_again = F.col("is_open") & self._replaced(runs, FINDING)
-        return self._stored("limits", runs).filter(~found_again)
+        """Closed voyages of all runs but those taken back, and the open ones no later run looked at again."""
+        found_again = F.col("is_open") & self._replaced(FINDING)
+        return self._kept(self._stored("limits").filter(~found_again), "id")
 
     def exports(self) -> DataFrame:
         """Exported lines of the stored voyages, without those exported again later.
@@ -277,10 +535,9 @@ class Warehouse:
         An open voyage that a later run found again is no longer stored, and so its line
         does not count either.
         """
-        runs = self.runs()
-        lines = self._stored("exports", runs).filter(~self._replaced(runs, ("export",)))
+        lines = self._stored("exports").filter(~self._replaced(("export",)))
         still_open = self.limits().filter("is_open").select(F.col("id").alias("trajectory_id"))
-        return lines.filter(~F.col("is_open")).unionByName(
+        return self._kept(lines.filter(~F.col("is_open")), "trajectory_id").unionByName(
             lookup(
                 lines.filter("is_open"), still_open, "trajectory_id", "left_semi", "datetime_start"
             ).select(*lines.columns)

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fairlead.functions.columns import utc_now
-from fairlead.plans.warehouse import store_load
+from fairlead.plans.warehouse import store_lines
 from fairlead.schemas import CSV_COLUMNS
-from fairlead.sources.csv import RAW_LINE, configure, header_columns, split_rejects, typed
+from fairlead.sources.csv import RAW_LINE, _options, configure, file_headers, parse_lines, text_lines, typed
 from fairlead.sources.tables import Warehouse
 
 
@@ -24,33 +23,32 @@ def stream_csv(
 ) -> StreamingQuery:
     """Load all files of the folder that the checkpoint has not seen, then stop.
 
-    Each micro-batch is one load, named after the stream (the id that its checkpoint keeps)
-    and its batch number, so that a batch repeated after a failure replaces its own rows, or
-    is skipped when it was stored completely, and no two streams share a name.
+    Every file's own header says where its columns are; with `columns`, the header of all files,
+    the files are checked against it instead. Each micro-batch is one load, named after the
+    stream (the id that its checkpoint keeps) and its batch number, so that a batch repeated
+    after a failure replaces its own rows, or is skipped when it was stored completely, and no
+    two streams share a name.
     """
     spark = warehouse.spark
-    columns = columns or header_columns(spark, folder)
     reader = spark.readStream.option("maxFilesPerTrigger", max_files)
-    lines = configure(spark, reader, folder, columns).csv(folder)
-    rows = typed(
-        lines.select(*CSV_COLUMNS, RAW_LINE).withColumnsRenamed(CSV_COLUMNS), timestamp_format
-    )
+    if columns:
+        lines = configure(spark, reader, folder, columns).csv(folder)
+        lines = lines.select(*CSV_COLUMNS, RAW_LINE).withColumnsRenamed(CSV_COLUMNS)
+    else:
+        lines = text_lines(_options(spark, reader, folder).text(folder))
 
     def store(batch: DataFrame, number: int) -> None:
         stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not stream:
             raise RuntimeError("the stream's id is unknown")
         load_id = f"{stream}-batch-{number:012d}"
-        if any(load["load_id"] == load_id for load in warehouse.loads()):
+        if warehouse.load(load_id) is not None:
             return
-        load_date = utc_now()
-        first_id = warehouse.next_position_id()
-        numbered = batch.withColumn("position_id", F.monotonically_increasing_id() + first_id)
-        staging, rejects = split_rejects(numbered, mode, load_date)
-        store_load(warehouse, load_id, load_date, staging, rejects if mode == "lenient" else None)
+        rows = batch if columns else parse_lines(batch, file_headers(batch))
+        store_lines(warehouse, load_id, utc_now(), typed(rows, timestamp_format), mode)
 
     return (
-        rows.writeStream.foreachBatch(store)
+        lines.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -341,6 +341,78 @@ WHERE a.load_date > {MARK} AND a.gps_timestamp <= s.last_stop""",
         select=LINES,
     ),
     "warehouse_limits": with_(STORED, ALL, select=f"SELECT {LIMIT_COLUMNS} FROM v_limits"),
+    "ingest_mixed_headers": with_(
+        STAGING,
+        select=f"SELECT {INGESTED}, {MARK} AS load_date, CAST(1 AS BIGINT) AS rows_of_id FROM staging",
+    ),
+    "trajectory_lines": with_(
+        BASE,
+        WIDE,
+        points("v_limits", "pts"),
+        select="""SELECT pts.ship_id, ships.mmsi, datetime_start, CAST(seq // 3 AS BIGINT) AS part,
+  count(*) OVER (PARTITION BY pts.ship_id, datetime_start) AS n_parts,
+  'LINESTRING (' || string_agg(longitude || ' ' || latitude, ', ' ORDER BY seq) || ')' AS line
+FROM pts LEFT JOIN ships ON pts.ship_id = ships.id
+GROUP BY pts.ship_id, ships.mmsi, datetime_start, seq // 3""",
+    ),
+    "warehouse_full_recompute": with_(
+        BASE,
+        f"kept AS (SELECT * FROM positions WHERE load_date <= {MARK} OR position_id % 7 <> 0)",
+        series("kept", "v"),
+        select="""SELECT mmsi, datetime_start, datetime_stop, is_open
+FROM v_limits JOIN ships ON ships.id = v_limits.ship_id""",
+    ),
+    "warehouse_repeat": with_(
+        STORED, select=f"SELECT * FROM positions WHERE load_date <= {MARK} OR position_id % 7 <> 0"
+    ),
+    "warehouse_voyage_ids": with_(
+        STORED,
+        ALL,
+        EARLIER_LIMITS,
+        f"""one AS (
+  SELECT *, row_number() OVER (ORDER BY ship_id, datetime_start) AS id FROM one_limits),
+stay AS (
+  SELECT * FROM one WHERE NOT is_open
+     OR ship_id NOT IN (SELECT ship_id FROM positions WHERE load_date > {MARK}))""",
+        select="""SELECT id, ship_id, datetime_start, is_open FROM stay
+UNION ALL
+SELECT (SELECT count(*) FROM one) + row_number() OVER (ORDER BY ship_id, datetime_start),
+       ship_id, datetime_start, is_open
+FROM v_limits ANTI JOIN stay USING (ship_id, datetime_start)""",
+    ),
+    "dq_all_rules": with_(
+        BASE,
+        ALL,
+        """spoilt AS (
+  SELECT position_id, latitude,
+         CASE WHEN position_id % 211 = 0 THEN rpad(mmsi, 21, '0')
+              WHEN position_id % 97 <> 0 THEN mmsi END AS mmsi,
+         CASE WHEN position_id % 89 <> 0 THEN nav_status END AS nav_status,
+         CASE WHEN position_id % 83 <> 0 THEN gps_timestamp END AS gps_timestamp,
+         CASE WHEN position_id % 79 <> 0 THEN longitude END AS longitude
+  FROM staging),
+known AS (SELECT id, mmsi FROM ships WHERE id % 5 > 0),
+kept AS (SELECT * FROM v_limits WHERE ship_id % 13 > 0)""",
+        select="""SELECT 'ship listed twice' AS rule, count(*) AS broken FROM known WHERE id % 7 = 0
+UNION ALL SELECT 'status listed twice', count(*) FROM statuses WHERE id = 2
+UNION ALL SELECT 'position without point', count(*) FROM positions WHERE position_id % 73 = 0
+UNION ALL SELECT 'position of unknown ship', count(*) FROM positions
+  WHERE ship_id NOT IN (SELECT id FROM known)
+UNION ALL SELECT 'position of unknown status', count(*) FROM positions WHERE nav_status_id = 1
+UNION ALL SELECT 'voyage without limits', count(*) FROM kept WHERE ship_id % 11 = 0
+UNION ALL SELECT 'voyage of unknown ship', count(*) FROM kept
+  WHERE ship_id NOT IN (SELECT id FROM known)
+UNION ALL SELECT 'line of unknown voyage', count(*) FROM v_limits WHERE ship_id % 13 = 0
+UNION ALL SELECT 'staging: ' || reason, count(*) FROM (
+  SELECT CASE
+    WHEN gps_timestamp IS NULL THEN 'gps_timestamp is missing'
+    WHEN nav_status IS NULL THEN 'nav_status is missing'
+    WHEN mmsi IS NULL THEN 'mmsi is missing'
+    WHEN length(mmsi) > 20 THEN 'mmsi is too long'
+    WHEN latitude IS NULL THEN 'latitude is missing'
+    WHEN longitude IS NULL THEN 'longitude is missing' END AS reason FROM spoilt) r
+WHERE reason IS NOT NULL GROUP BY reason""",
+    ),
     "dq_duplicate_keys": with_(
         STAGING, select="SELECT mmsi, count(*) AS n FROM staging GROUP BY mmsi HAVING count(*) > 1"
     ),
