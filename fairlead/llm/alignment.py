@@ -37,34 +37,34 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         ]
     )
 
-    def row_of(parts: list) -> tuple:
-        shown = ";".join([e.shown for e in parts])
-        sha = hashlib.sha256(shown.encode()).hexdigest() if parts else ""
-        return sum(e.n_a for e in parts), sum(e.n_b for e in parts), sum(e.n_groups for e in parts), sha
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(a_path, b_path)
-        width = tool.kind.itemsize
         for whole in batches:
             for batch in portions(whole, "text", PORTION):
                 entries, which, counts = tool.align(batch.column(1))
-                bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
-                rows, packed, times = [], [], []
+                ends = np.cumsum(counts)
+                bounds = np.concatenate([[0], ends]).tolist()
+                n_each = np.array([(e.n_a, e.n_b, e.n_groups) if e else (0, 0, 0) for e in entries], np.int64).reshape(-1, 3)
+                summed = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(n_each[which], axis=0)])
+                sizes = summed[ends] - summed[ends - counts]
                 listed = which.tolist()
+                n_links, sha, packed, times = [], [], [], []
                 for k in range(batch.num_rows):
                     parts = [entries[i] for i in listed[bounds[k] : bounds[k + 1]]]
                     if None in parts:
                         entry = tool.whole(batch.column(1)[k].as_py())
                         parts = [entry] if entry else []
+                        sizes[k] = (entry.n_a, entry.n_b, entry.n_groups) if entry else 0
                     links = np.frombuffer(b"".join([e.links for e in parts]), tool.kind)
                     pairs, n = np.unique(links, return_counts=True)
                     packed.append(np.diff(pairs, prepend=pairs.dtype.type(0)).tobytes())
                     times.append(n.astype("<u4").tobytes())
-                    rows.append((*row_of(parts), len(links)))
-                n_a, n_b, n_groups, sha, n_links = zip(*rows)
+                    n_links.append(len(links))
+                    shown = ";".join([e.shown for e in parts])
+                    sha.append(hashlib.sha256(shown.encode()).hexdigest() if parts else "")
                 yield arrow_rows(
-                    schema, doc_id=batch.column(0), n_a=n_a, n_b=n_b, n_groups=n_groups, n_links=n_links,
-                    groups_sha256=sha, pairs=packed, times=times,
+                    schema, doc_id=batch.column(0), n_a=sizes[:, 0], n_b=sizes[:, 1], n_groups=sizes[:, 2],
+                    n_links=n_links, groups_sha256=sha, pairs=packed, times=times,
                 )
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

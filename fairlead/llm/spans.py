@@ -17,8 +17,8 @@ import pyarrow as pa
 from fairlead.llm.common import text_bytes
 from fairlead.llm.tokens import byte_letters
 
-# Bytes of aligned pieces that a worker remembers; beyond, it starts anew.
-MEMORY = 96 << 20
+# Bytes of aligned pieces in each of the two generations that a worker remembers.
+MEMORY = 112 << 20
 # Pieces are encoded together in runs of about so many characters.
 RUN = 1 << 16
 SPACE = 0x20
@@ -142,7 +142,9 @@ class Aligner:
 
     def __init__(self, a_path: str, b_path: str):
         self.pair = Pair(a_path, b_path)
+        # Pieces met since the last turn, and those of the turn before that were not met again.
         self.known: dict[str, Aligned | None] = {}
+        self.older: dict[str, Aligned | None] = {}
         self.held = 0
         widest = max(len(self.pair.a_bytes), len(self.pair.b_bytes))
         self.shift = 16 if widest <= 1 << 16 else 32
@@ -238,9 +240,15 @@ class Aligner:
         coded = made.dictionary_encode()
         vocabulary = coded.dictionary.to_pylist()
         if self.held > MEMORY:
-            self.known.clear()
-            self.held = 0
-        self.learn([piece for piece in vocabulary if piece not in self.known])
+            self.older, self.known, self.held = self.known, {}, 0
+        fresh = []
+        for piece in vocabulary:
+            if piece not in self.known:
+                if piece in self.older:
+                    self.keep(piece, self.older.pop(piece))
+                else:
+                    fresh.append(piece)
+        self.learn(fresh)
         return [self.known[piece] for piece in vocabulary], coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts
 
     def whole(self, text: str) -> Aligned | None:

@@ -116,5 +116,10 @@ def test_spans_are_refined_by_bytes():
     texts = pa.array([f"some words {n} and {n * n} more" for n in range(300)])
     before = [e.shown for e in tool.align(texts)[0]]
     held = tool.held
+    for _ in range(3):
+        tool.held = spans.MEMORY + 1
+        assert [e.shown for e in tool.align(texts)[0]] == before and tool.held == held
+        assert not tool.older
     tool.held = spans.MEMORY + 1
-    assert [e.shown for e in tool.align(texts)[0]] == before and tool.held == held
+    tool.align(pa.array(["something else"]))
+    assert len(tool.known) < 5 and len(tool.older) > 300
