@@ -21,8 +21,8 @@ BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
 # Centers per bucket in the second round.
 CENTERS = 4
-# How often hopeless documents are dropped before the last round.
-PRUNINGS = 2
+# How often hopeless documents are dropped before the last round; the differences do the rest.
+PRUNINGS = 1
 PORTION = 2 << 20
 
 
@@ -199,10 +199,12 @@ def judged_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     copies that is the text most like all. First each member is compared with the center that
     most of its buckets have, then, where a bucket still holds more than one component, with the
     first few centers. Links are confirmed on full sets and joined to components. What is left
-    in open buckets is compared pair by pair, unless the shingles that no other open document
-    has make 80 % impossible. So every pair of a bucket is compared, connected or ruled out.
+    in open buckets is compared where two sets share rare differences from their center (see
+    `_rest`). So every pair of a bucket is compared, connected or ruled out.
 
-    Documents without words are linked with nothing. A null doc_id is linked with nothing, its
+    Documents without words are linked with nothing; an empty table gives an empty one; columns
+    other than doc_id and text are ignored. A set is as long as its text, and only pairs that
+    are compared bring two whole sets into a task. A null doc_id is linked with nothing, its
     component is null. Rows that repeat an id and the text are one document; rows that repeat an
     id with other texts are documents of their own, each linked by its own text. `kept` is true
     for one document of each component, that of the smallest id and then text_hash.
@@ -309,37 +311,103 @@ def _stars(buckets: DataFrame) -> DataFrame:
 
 
 def _rest(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a < b) of a bucket, in different components, that may still be close.
+    """Distinct pairs (a < b) in different components of a bucket that may still be close.
 
-    Each document is in a bucket once and in at most BANDS of them. Of a document's n shingles only the `most` that an open document of another component has
+    First documents are dropped to which even the smallest member of the bucket leaves no hope:
+    of a document's n shingles only the `most` that an open document of another component has
     too can be common, and sizes n and m need a common part of percent * (n + m) / (100 +
-    percent). Documents to which even the smallest member of the bucket leaves no hope are
-    dropped before members meet; then the shingles are counted again over those left.
+    percent).
+
+    The members of a bucket meet by what sets them apart from its center. If d and e shingles
+    tell two sets from the center's, at most (n + m) * (100 - percent) / (100 + percent) may
+    tell them from each other, so they need at least half of what d + e is more than that in
+    common among those. Where that is nothing, the pair is close, and so are both to the member
+    that is best in this respect: a star links them. Else the pair shares one of the rarest
+    differences of each, so many that fewer than the needed ones are left: only such pairs are
+    compared. What a family has in common is no difference and brings no pairs together.
     """
-    rows = buckets.select("bucket", "doc_id", "component")
+    rows = buckets
     for _ in range(PRUNINGS):
         sized = stored(_sized(rows, sets), "sized")
         least = sized.groupBy(F.col("bucket").alias("_bucket")).agg(F.min("n").alias("least"))
         hopeful = sized.join(least, F.col("bucket") == F.col("_bucket"))
         hopeful = hopeful.filter((100 + percent) * F.col("most") >= percent * (F.col("n") + F.col("least")))
-        rows = stored(hopeful.select("bucket", "doc_id", "component", "n", "most"), "hopeful")
-    # A pair may share many buckets; it is emitted in the first one only.
-    shared = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("bucket").alias("open_in"))
-    rows = rows.join(shared, F.col("doc_id") == F.col("_id")).drop("_id")
-    other = rows.select(*[F.col(c).alias(f"_{c}") for c in rows.columns])
-    met = rows.join(
+        rows = stored(hopeful.select("bucket", "doc_id", "company", "component"), "hopeful")
+    centers = rows.groupBy(F.col("bucket").alias("_bucket")).agg(
+        F.max(F.struct("company", (-F.col("doc_id")).alias("c"))).alias("center")
+    )
+    groups = rows.join(centers, F.col("bucket") == F.col("_bucket"))
+    groups = groups.select((-F.col("center.c")).alias("center"), "doc_id", "component").distinct()
+    apart = stored(_differences(groups, sets), "differences")
+
+    far = (100 + percent) * F.col("d") - (100 - percent) * F.col("n")
+    members = apart.select("center", "doc_id", "component", "n", "d", far.alias("far"))
+    ends = members.groupBy(F.col("center").alias("_center")).agg(
+        F.min(F.struct("far", "doc_id")).alias("best"), F.min(F.when(F.col("d") > 0, F.col("far"))).alias("low")
+    )
+    ranged = members.join(ends, F.col("center") == F.col("_center")).drop("_center")
+    star = ranged.filter((F.col("far") + F.col("best.far") <= 0) & (F.col("doc_id") != F.col("best.doc_id")))
+    star = star.select(F.least("doc_id", "best.doc_id").alias("a"), F.greatest("doc_id", "best.doc_id").alias("b"))
+
+    # So many differences have to be common at least, with any other member.
+    half = F.lit(2 * (100 + percent))
+    needed = F.greatest(F.ceil((F.col("far") + F.col("low")) / half), F.lit(1))
+    ranged = ranged.select("center", "doc_id", "component", "d", "far", needed.alias("needed"))
+    each = apart.select(F.col("center").alias("_center"), F.col("doc_id").alias("_id"), F.col("component").alias("_part"), F.explode("hashes").alias("hash"))
+    spread = each.groupBy(F.col("_center").alias("_c"), F.col("hash").alias("_hash")).agg(
+        F.count(F.lit(1)).alias("held"), F.min("_part").alias("lo"), F.max("_part").alias("hi")
+    )
+    each = each.join(spread, (F.col("_center") == F.col("_c")) & (F.col("hash") == F.col("_hash")))
+    rarest = W.partitionBy("_center", "_id").orderBy("held", "hash")
+    each = each.withColumn("nth", F.row_number().over(rarest)).filter("lo < hi").select("_center", "_id", "hash", "nth")
+    early = each.join(ranged, (F.col("_center") == F.col("center")) & (F.col("_id") == F.col("doc_id")))
+    early = early.filter(F.col("nth") <= F.col("d") - F.col("needed") + 1)
+    early = stored(early.select("center", "doc_id", "component", "d", "far", "hash", "nth"), "rare-differences")
+    other = early.select(*[F.col(c).alias(f"_{c}") for c in early.columns])
+    common = F.greatest(F.ceil((F.col("far") + F.col("_far")) / half), F.lit(1))
+    met = early.join(
         other,
-        (F.col("bucket") == F.col("_bucket"))
+        (F.col("center") == F.col("_center"))
+        & (F.col("hash") == F.col("_hash"))
         & (F.col("doc_id") < F.col("_doc_id"))
         & (F.col("component") != F.col("_component"))
-        & ((100 + percent) * F.least("most", "_most") >= percent * (F.col("n") + F.col("_n")))
-        & (F.array_min(F.array_intersect("open_in", "_open_in")) == F.col("bucket")),
+        & (F.col("nth") <= F.col("d") - common + 1)
+        & (F.col("_nth") <= F.col("_d") - common + 1),
     )
-    return met.select(F.col("doc_id").alias("a"), F.col("_doc_id").alias("b"))
+    met = met.select(F.col("doc_id").alias("a"), F.col("_doc_id").alias("b"))
+    return star.unionByName(met).distinct()
+
+
+def _differences(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per row (center, doc_id, component): the set's size n and the d hashes in one of both sets only."""
+    schema = pa.schema(
+        [
+            ("center", pa.int64()), ("doc_id", pa.int64()), ("component", pa.int64()),
+            ("n", pa.int64()), ("d", pa.int64()), ("hashes", pa.list_(pa.int64())),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, apart = [], []
+            for own, of_center in zip(batch.column(3), batch.column(4)):
+                x, y = np.frombuffer(own.as_buffer(), "<i8"), np.frombuffer(of_center.as_buffer(), "<i8")
+                sizes.append(len(x))
+                apart.append(np.setxor1d(x, y, assume_unique=True))
+            yield arrow_rows(
+                schema, center=batch.column(0), doc_id=batch.column(1), component=batch.column(2),
+                n=sizes, d=[len(x) for x in apart], hashes=apart,
+            )
+
+    own = sets.select(F.col("doc_id").alias("_id"), F.col("hashes").alias("own"))
+    of_center = sets.select(F.col("doc_id").alias("_center"), F.col("hashes").alias("of_center"))
+    rows = groups.join(own, F.col("doc_id") == F.col("_id")).join(of_center, F.col("center") == F.col("_center"))
+    rows = rows.select("center", "doc_id", "component", "own", "of_center")
+    return rows.mapInArrow(run, "center long, doc_id long, component long, n long, d long, hashes array<long>")
 
 
 def _sized(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """The rows (bucket, doc_id, component) with n and most of each document."""
+    """The rows (bucket, doc_id, company, component) with n and most of each document."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("component", pa.int64()), ("hash", pa.int64())])
@@ -349,7 +417,7 @@ def _sized(rows: DataFrame, sets: DataFrame) -> DataFrame:
                 ids = np.full(len(values), doc_id.as_py())
                 yield arrow_rows(schema, doc_id=ids, component=np.full(len(values), component.as_py()), hash=values)
 
-    slim = rows.select("bucket", "doc_id", "component")
+    slim = rows.select("bucket", "doc_id", "company", "component")
     members = slim.select(F.col("doc_id").alias("_id"), "component").distinct()
     opened = sets.join(members, F.col("doc_id") == F.col("_id")).select("doc_id", "component", "hashes")
     shingles = opened.mapInArrow(each, "doc_id long, component long, hash long")

@@ -33,6 +33,39 @@ def test_families(llm_spark, odd):
     assert sorted(map(tuple, got)) == sorted(near_groups(docs))
 
 
+def test_long_texts_and_clashing_columns(llm_spark):
+    draw = random.Random(12)
+    words = [f"w{draw.randrange(10**6)}" for _ in range(40_000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[:38_000])), (3, " ".join(words[:20_000])), (4, " ".join(reversed(words))), (5, "a b")]
+    wide = documents(llm_spark, docs).withColumns({c: F.lit(1) for c in ("bucket", "component", "n", "hashes", "given_id", "text_hash", "bands")})
+    assert sorted(map(tuple, neardup.near_duplicates(wide, size=4).collect())) == sorted(near_groups(docs))
+
+
+def test_members_that_no_center_is_close_to(llm_spark):
+    """Copies that are near each other by shared edits, but to no common center, and many that are near none."""
+    draw = random.Random(13)
+    base = [f"b{n}" for n in range(120)]
+    docs, at = [], 0
+    for kind in range(6):
+        edits = draw.sample(range(2, 118), 6)
+        for _ in range(12):
+            copy = list(base)
+            for e in edits[: draw.choice([4, 5, 6])]:
+                copy[e] = f"k{kind}e{e}"
+            copy[draw.randrange(120)] = f"own{at}"
+            docs.append((at, " ".join(copy)))
+            at += 1
+    for _ in range(40):
+        copy = list(base)
+        for e in draw.sample(range(120), draw.choice([3, 5, 7])):
+            copy[e] = f"u{draw.randrange(10**9)}"
+        docs.append((at, " ".join(copy)))
+        at += 1
+    want = sorted(near_groups(docs))
+    assert 5 < len({r[2] for r in want}) < 110
+    assert sorted(map(tuple, neardup.near_duplicates(documents(llm_spark, docs), size=4).collect())) == want
+
+
 def test_no_rows_and_null_ids(llm_spark):
     docs = documents(llm_spark, [(None, "a b c d e"), (None, "a b c d e"), (3, "a b c d e"), (4, None)])
     got = neardup.near_duplicates(docs).collect()
