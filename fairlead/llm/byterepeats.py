@@ -2,8 +2,8 @@
 
 Texts are cut at anchors, places where a hash of the next GRAM bytes is small: anchors depend on
 those bytes alone, so equal strings have the same ones. The chunks from anchor to anchor are the
-symbols of the suffix arrays. Suffixes that begin with the same chunk meet in one bucket, are
-sorted there by linear grouping (see `suffixes`), and the neighbour in the order tells how far a
+symbols of the suffix arrays. Suffixes that begin with the same chunk (or, where very many packs
+have it, with the same chunks up to a rarer one) meet in one bucket, are sorted there by linear grouping (see `suffixes`), and the neighbour in the order tells how far a
 string is repeated; a string ends about a window after its second anchor. What the order does
 not mark is decided by windows of bytes alone.
 """
@@ -26,6 +26,8 @@ FINE, COARSE = 24, 72
 NAMES, SUFFIXES, WINDOWS = 1, 2, 3
 WIDTH = {NAMES: 6, WINDOWS: 12}
 MOST_SYMBOLS = 250
+# Chunks in so many packs or more are crowded.
+CROWD = 32
 
 
 def _union(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -82,7 +84,7 @@ class Suffixes(Keys):
     begin[i], length[i] of them.
     """
 
-    def __init__(self, cuts: Cuts, alone: np.ndarray, buckets: int):
+    def __init__(self, cuts: Cuts, alone: np.ndarray, buckets: int, crowded: np.ndarray):
         lonely = np.zeros(len(cuts.anchors) + 1, np.int64)
         lonely[cuts.chunk[alone] + 1] = 1
         lonely = np.cumsum(lonely)
@@ -107,7 +109,18 @@ class Suffixes(Keys):
         last = np.minimum(np.minimum(limit, enough), np.arange(len(where)) + MOST_SYMBOLS)[begin]
         self.place, self.symbol, self.begin, self.length = place, symbol, begin, last - begin
         one, two = (r.of(place[begin], place[last] + GRAM) for r in cuts.rolls)
-        super().__init__(SUFFIXES, buckets, 0, one, two, deal=symbol[begin])
+        # A symbol is crowded if all its chunks are: strings are dealt by what they begin with up
+        # to the first symbol that is not, so that a passage of very many packs is no one bucket.
+        spare = np.ones(len(cuts.anchors) + 1, np.int64)
+        spare[0] = 0
+        spare[cuts.chunk[crowded] + 1] = 0
+        spare = np.cumsum(spare)
+        free = np.ones(len(where), bool)
+        if len(where) > 1:
+            free[:-1] = spare[where[1:]] > spare[where[:-1]]
+        plain = np.append(np.flatnonzero(free), len(where))
+        until = np.minimum(plain[np.searchsorted(plain, begin)] + 1, last)
+        super().__init__(SUFFIXES, buckets, 0, one, two, deal=cuts.rolls[0].of(place[begin], place[until] + GRAM))
 
     def payload(self, source: np.ndarray) -> bytes:
         """Number of strings, their lengths, and their symbols one after the other."""
@@ -121,11 +134,8 @@ class Suffixes(Keys):
     def told(self, answers: Answers) -> tuple[np.ndarray, np.ndarray]:
         """Per string, the bytes of it that are repeated, and those that another string asks about."""
         known, owned = np.zeros(len(self.count), np.int64), np.zeros(len(self.count), np.int64)
-        for (number, b), sizes in answers.items():
-            if number == self.ask:
-                part = self.order[self.cuts[b] : self.cuts[b + 1]]
-                both = np.frombuffer(sizes, np.uint8).reshape(2, -1)
-                known[part], owned[part] = both
+        for part, sizes in self.replies(answers):
+            known[part], owned[part] = np.frombuffer(sizes, np.uint8).reshape(2, -1)
         shared, left = known[self.item], owned[self.item]
         shared = np.where(self.count[self.item] > 1, self.length, shared)
         left = np.where(self.leads(), left, self.length)
@@ -175,8 +185,9 @@ def window_keys(cuts: Cuts, answers: Answers, buckets: int) -> tuple[np.ndarray,
     A window belongs to the last coarse anchor at or before its start. If the string from there
     leaves it to a string earlier in the suffix array, that one or one before it asks.
     """
-    alone = ~cuts.names(buckets).shared(answers)
-    strings = Suffixes(cuts, alone, buckets)
+    names = cuts.names(buckets)
+    alone = ~names.shared(answers)
+    strings = Suffixes(cuts, alone, buckets, names.crowded(answers))
     shared, left = strings.told(answers)
     begin = strings.place[strings.begin]
     long = shared >= cuts.window
@@ -202,8 +213,9 @@ def drop_byte_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     A byte of the UTF-8 text goes if a string of `window` bytes around it also starts anywhere
     else, in the same document or another; all are judged on the input. Null texts are empty.
-    Null ids and repeated rows are documents like any other. An empty table gives no rows. The
-    kept bytes need not be valid UTF-8, as a string may begin or end within a character.
+    Null ids and repeated rows are documents like any other. An empty table gives no rows;
+    columns other than doc_id and text are ignored. A text longer than a pack is a pack of its
+    own. The kept bytes need not be valid UTF-8, as a string may begin or end within a character.
     """
     if window <= 4 * GRAM:
         raise ValueError(f"a window needs more than {4 * GRAM} bytes")
@@ -215,7 +227,8 @@ def drop_byte_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def suffixes(batch: pa.RecordBatch, told: Answers) -> list[Keys]:
         cuts = Cuts(batch.column(1), window)
-        return [Suffixes(cuts, ~cuts.names(buckets).shared(told), buckets)]
+        names = cuts.names(buckets)
+        return [Suffixes(cuts, ~names.shared(told), buckets, names.crowded(told))]
 
     def windows(batch: pa.RecordBatch, told: Answers) -> list[Keys]:
         return [window_keys(Cuts(batch.column(1), window), told, buckets)[2]]
@@ -235,7 +248,7 @@ def drop_byte_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             RESULT, doc_id=batch.column(0), n_bytes=np.diff(cuts.at), n_removed=removed, n_spans=spans, kept=kept
         )
 
-    told = ask(packs, None, name, answer_keys(WIDTH), "chunks")
+    told = ask(packs, None, name, answer_keys(WIDTH, many={NAMES: CROWD}), "chunks")
     told = ask(packs, told, suffixes, answer_suffixes, "suffixes")
     told = ask(packs, told, windows, answer_keys(WIDTH), "byte-windows")
     return conclude(packs, told, last, DDL)

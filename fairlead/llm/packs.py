@@ -4,8 +4,7 @@ Documents are written once into packs of a few megabytes. A pass over the packs
 pack's distinct keys, as one array per bucket of keys, to the task of that bucket; the answer is
 one bit per key: whether another pack has it too. Keys travel as arrays of hashes, answers as
 bits, so a pass over many keys costs few rows. A key that many documents share arrives once per
-pack at most, and buckets divide the keys by their hash, so none is hot; but the strings of
-`byterepeats`, dealt by their first chunk, may crowd into one.
+pack at most, and buckets divide the keys by their hash, so none is hot.
 """
 
 from __future__ import annotations
@@ -108,7 +107,9 @@ class Keys:
         source = order[fresh]
         dealt = ((first if deal is None else deal)[source] >> np.uint64(32)) % np.uint64(buckets)
         self.order = np.argsort(dealt, kind="stable")
-        self.cuts = np.searchsorted(dealt[self.order], np.arange(buckets + 1))
+        # Only the buckets that this pack has keys for, however many there are.
+        self.full, start = np.unique(dealt[self.order], return_index=True)
+        self.ends = dict(zip(self.full.tolist(), zip(start.tolist(), [*start[1:].tolist(), len(dealt)])))
         self.source = source[self.order]
         self.first, self.second = first, second
 
@@ -118,31 +119,39 @@ class Keys:
         return np.ascontiguousarray(whole[:, : self.width]).tobytes()
 
     def requests(self, pack: int) -> pa.RecordBatch:
-        full = np.flatnonzero(np.diff(self.cuts))
         return arrow_rows(
             ASKED,
-            ask=np.full(len(full), self.ask, np.int32),
-            bucket=full.astype(np.int32),
-            pack=np.full(len(full), pack, np.int64),
-            keys=[self.payload(self.source[self.cuts[b] : self.cuts[b + 1]]) for b in full],
+            ask=np.full(len(self.full), self.ask, np.int32),
+            bucket=self.full.astype(np.int32),
+            pack=np.full(len(self.full), pack, np.int64),
+            keys=[self.payload(self.source[a:b]) for a, b in self.ends.values()],
         )
 
+    def replies(self, answers: Answers) -> Iterator[tuple[np.ndarray, bytes]]:
+        """The keys of each bucket that has answered, with its answer."""
+        for (ask, b), bits in answers.items():
+            if ask == self.ask:
+                yield self.order[slice(*self.ends[b])], bits
+
     def shared(self, answers: Answers) -> np.ndarray:
         """Per item, whether its key occurs more than once, here or elsewhere."""
         flags = self.count > 1
-        for (ask, b), bits in answers.items():
-            if ask == self.ask:
-                part = self.order[self.cuts[b] : self.cuts[b + 1]]
-                flags[part] |= unpacked(bits[: -(-len(part) // 8)], len(part))
+        for part, bits in self.replies(answers):
+            flags[part] |= unpacked(bits[: -(-len(part) // 8)], len(part))
+        return flags[self.item]
+
+    def crowded(self, answers: Answers) -> np.ndarray:
+        """Per item, whether its key occurs in very many packs (for asks that are told)."""
+        flags = np.zeros(len(self.count), bool)
+        for part, bits in self.replies(answers):
+            flags[part] = unpacked(bits[-(-len(part) // 8) :], len(part))
         return flags[self.item]
 
     def owned(self, answers: Answers) -> np.ndarray:
         """Per item, whether it is the one occurrence of its key that counts as the owner."""
         flags = np.zeros(len(self.count), bool)
-        for (ask, b), bits in answers.items():
-            if ask == self.ask:
-                part = self.order[self.cuts[b] : self.cuts[b + 1]]
-                flags[part] = unpacked(bits[-(-len(part) // 8) :], len(part))
+        for part, bits in self.replies(answers):
+            flags[part] = unpacked(bits[-(-len(part) // 8) :], len(part))
         return flags[self.item] & self.leads()
 
     def leads(self) -> np.ndarray:
@@ -165,8 +174,11 @@ def unpacked(bits: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
 
 
-def found_elsewhere(keys: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For arrays of distinct keys, whether each key is in another array too, and in none before."""
+def found_elsewhere(keys: list[np.ndarray], many: int = 0) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For arrays of distinct keys, whether each key is in another array too, and in none before.
+
+    With `many`, the second is whether the key is in at least so many arrays.
+    """
     joined = np.concatenate(keys)
     if joined.ndim == 1:
         order = np.argsort(joined, kind="stable")
@@ -181,22 +193,29 @@ def found_elsewhere(keys: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.n
     flags[order[:-1]] |= same
     owners = np.ones(len(joined), bool)
     owners[order[1:]] = ~same
+    if many:
+        run = np.cumsum(np.concatenate([[0], ~same]))
+        owners[order] = np.bincount(run)[run] >= many
     cuts = np.cumsum([len(k) for k in keys])[:-1]
     return np.split(flags, cuts), np.split(owners, cuts)
 
 
-def answer_keys(width: dict[int, int], owners: set[int] = frozenset()) -> Callable[[pa.Table], pa.Table]:
+def answer_keys(
+    width: dict[int, int], owners: set[int] = frozenset(), many: dict[int, int] | None = None
+) -> Callable[[pa.Table], pa.Table]:
     """The task of one bucket: bits per request; `width` has the bytes per key of each ask.
 
-    For the asks in owners, the bits that name one owner per key follow those that say shared.
+    For the asks in owners, the bits that name one owner per key follow those that say shared;
+    for those in many, bits that tell keys of at least so many packs.
     """
+    many = many or {}
 
     def run(asked: pa.Table) -> pa.Table:
         ask = asked["ask"][0].as_py()
         keys = [widened(k.as_buffer(), width[ask]) for k in asked["keys"]]
-        shared, first = found_elsewhere(keys)
+        shared, first = found_elsewhere(keys, many.get(ask, 0))
         bits = [np.packbits(f).tobytes() for f in shared]
-        if ask in owners:
+        if ask in owners or ask in many:
             bits = [b + np.packbits(f).tobytes() for b, f in zip(bits, first)]
         return pa.table([asked["ask"], asked["bucket"], asked["pack"], pa.array(bits, pa.binary())], schema=ANSWERED)
 

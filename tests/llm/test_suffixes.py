@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from fairlead.llm import byterepeats
 from fairlead.llm.queries import QUERIES
 from fairlead.llm.suffixes import longest_shared, suffix_array
@@ -54,6 +55,31 @@ def test_tangled_texts_over_many_packs(llm_spark, odd):
         assert digest(byterepeats.drop_byte_repeats(frame)) == sorted(without_byte_repeats(docs))
 
 
+def test_one_passage_in_a_third_of_many_documents(llm_spark, monkeypatch):
+    """Strings that go on differently after a crowded passage are no one bucket; the rows are the same."""
+    draw = random.Random(9)
+    passage = "".join(draw.choice("abcdefghij ") for _ in range(1500))
+    tails = ["".join(draw.choice("klmnopqrst ") for _ in range(700)) for _ in range(60)]
+    docs = [(n, f"{n} {passage}{tails[n % 60]} {n}" if n % 3 else f"{tails[n % 60]}{n * 7919}") for n in range(240)]
+    long = "".join(draw.choice("uvwxyz ") for _ in range(90_000))
+    docs += [(1000, long), (1001, long[30_000:])]
+    monkeypatch.setattr("fairlead.llm.packs.PACK", 20_000)
+    monkeypatch.setattr(byterepeats, "MOST_SYMBOLS", 4)
+    frame = documents(llm_spark, docs).repartition(4)
+    want = sorted(without_byte_repeats(docs))
+    for crowd in (10**6, 4):
+        monkeypatch.setattr(byterepeats, "CROWD", crowd)
+        assert digest(byterepeats.drop_byte_repeats(frame)) == want
+    cuts = byterepeats.Cuts(pa.array([t for _, t in docs]), byterepeats.WINDOW)
+    names = cuts.names(1)
+    often = names.count[names.item] >= 30
+    none = np.zeros(len(often), bool)
+    largest = [
+        max(b - a for a, b in byterepeats.Suffixes(cuts, none, 10**6, crowded).ends.values()) for crowded in (none, often)
+    ]
+    assert largest[1] < 0.2 * largest[0]
+
+
 def test_no_rows_and_null_ids(llm_spark):
     docs = documents(llm_spark, [(None, "a" * 240), (None, None)])
     assert digest(byterepeats.drop_byte_repeats(docs)) == [(0, 0, 0, 0, sha("")), (0, 240, 240, 1, sha(""))]
