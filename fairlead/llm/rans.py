@@ -26,7 +26,7 @@ import numpy as np
 
 SCALE = 20
 LANES = 256
-EVERY = 512  # rows between checkpoints
+EVERY = 128  # rows between checkpoints: a block has several
 BLOCK_IDS = 1 << 17
 HEADER = struct.Struct("<4sIIIQQI")
 MAGIC, VERSION = b"RNS1", 1
@@ -109,14 +109,21 @@ def decode_ids(
     first: int = 0,
     last: int | None = None,
 ) -> np.ndarray:
-    """The ids from checkpoint `first` up to checkpoint `last` (None: to the end)."""
+    """The ids from checkpoint `first` up to checkpoint `last` (None: to the end).
+
+    What lies between two checkpoints is decoded in step with all other such ranges; the ids
+    after the last checkpoint follow, row by row.
+    """
     if not marks:
         return np.zeros(0, np.uint32)
-    row, at, states = marks[first]
-    end = marks[last][0] * LANES if last is not None else n
-    out = np.empty(end - row * LANES, np.uint32)
-    states, mask = states.copy(), np.uint64((1 << SCALE) - 1)
+    whole = marks[first : len(marks) if last is None else last + 1]
     wide = words.astype(np.uint64)
+    ranges = _in_step(whole, wide, table, slots)
+    if last is not None:
+        return ranges
+    row, at, states = whole[-1]
+    out = np.empty(n - row * LANES, np.uint32)
+    states, mask = states.copy(), np.uint64((1 << SCALE) - 1)
     for begin in range(0, len(out), LANES):
         x = states[: min(LANES, len(out) - begin)]
         slot = x & mask
@@ -128,7 +135,28 @@ def decode_ids(
             x[short] = (x[short] << LOW) | wide[at : at + len(short)]
             at += len(short)
         states[: len(x)] = x
-    return out
+    return np.concatenate([ranges, out])
+
+
+def _in_step(marks: list[tuple[int, int, np.ndarray]], wide: np.ndarray, table: Frequencies, slots: np.ndarray) -> np.ndarray:
+    """The ids between the first and the last of the checkpoints, one row of every range at a time."""
+    if len(marks) < 2:
+        return np.zeros(0, np.uint32)
+    x = np.stack([states for _, _, states in marks[:-1]])
+    at = np.array([word for _, word, _ in marks[:-1]], np.int64)
+    out = np.empty((len(x), EVERY, LANES), np.uint32)
+    mask = np.uint64((1 << SCALE) - 1)
+    for row in range(EVERY):
+        slot = x & mask
+        ids = slots[slot]
+        out[:, row] = ids
+        x = table.scaled[ids] * (x >> np.uint64(SCALE)) + slot - table.before[ids]
+        short = x < np.uint64(1 << 32)
+        taken = np.cumsum(short, axis=1)
+        place = (at[:, None] + taken - 1)[short]
+        x[short] = (x[short] << LOW) | wide[place]
+        at += taken[:, -1]
+    return out.reshape(-1)
 
 
 def write_block(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, table: Frequencies) -> bytes:
@@ -147,25 +175,44 @@ def write_block(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray,
     return body + struct.pack("<I", zlib.crc32(body))
 
 
+class Block:
+    """A block's documents and checkpoints, and its ids on demand; a damaged one raises ValueError."""
+
+    def __init__(self, block: bytes):
+        if len(block) < HEADER.size + 4 or zlib.crc32(block[:-4]) != struct.unpack("<I", block[-4:])[0]:
+            raise ValueError("the block's checksum is wrong")
+        magic, version, lanes, n_docs, n_ids, n_words, n_marks = HEADER.unpack_from(block)
+        if (magic, version, lanes) != (MAGIC, VERSION, LANES):
+            raise ValueError("not a block of this format")
+        at = HEADER.size
+        doc_ids = np.frombuffer(block, "<i8", n_docs, at)
+        at += 8 * n_docs
+        null = np.frombuffer(block, np.uint8, n_docs, at)
+        at += n_docs
+        self.lengths = np.frombuffer(block, "<i8", n_docs, at)
+        at += 8 * n_docs
+        self.marks = []
+        for _ in range(n_marks):
+            row, word = struct.unpack_from("<QQ", block, at)
+            self.marks.append((row, word, np.frombuffer(block, "<u8", LANES, at + 16).astype(np.uint64)))
+            at += 16 + 8 * LANES
+        self.words = np.frombuffer(block, "<u4", n_words, at)
+        self.size = n_ids
+        self.doc_ids = [None if z else int(d) for d, z in zip(doc_ids, null)]
+
+    def ids(self, table: Frequencies, slots: np.ndarray, begin: int = 0, end: int | None = None) -> np.ndarray:
+        """The ids from begin to end, decoded from the checkpoint before to the one after them."""
+        end = self.size if end is None else end
+        if begin >= end:
+            return np.zeros(0, np.uint32)
+        rows = [row * LANES for row, _, _ in self.marks]
+        first = max(k for k, row in enumerate(rows) if row <= begin)
+        last = next((k for k, row in enumerate(rows) if row >= end), None)
+        ids = decode_ids(self.marks, self.words, self.size, table, slots, first, last)
+        return ids[begin - rows[first] : end - rows[first]]
+
+
 def read_block(block: bytes, table: Frequencies, slots: np.ndarray) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """Document ids, numbers of ids, and all ids of a block; a damaged block raises ValueError."""
-    if len(block) < HEADER.size + 4 or zlib.crc32(block[:-4]) != struct.unpack("<I", block[-4:])[0]:
-        raise ValueError("the block's checksum is wrong")
-    magic, version, lanes, n_docs, n_ids, n_words, n_marks = HEADER.unpack_from(block)
-    if (magic, version, lanes) != (MAGIC, VERSION, LANES):
-        raise ValueError("not a block of this format")
-    at = HEADER.size
-    doc_ids = np.frombuffer(block, "<i8", n_docs, at)
-    at += 8 * n_docs
-    null = np.frombuffer(block, np.uint8, n_docs, at)
-    at += n_docs
-    lengths = np.frombuffer(block, "<i8", n_docs, at)
-    at += 8 * n_docs
-    marks = []
-    for _ in range(n_marks):
-        row, word = struct.unpack_from("<QQ", block, at)
-        marks.append((row, word, np.frombuffer(block, "<u8", LANES, at + 16).astype(np.uint64)))
-        at += 16 + 8 * LANES
-    words = np.frombuffer(block, "<u4", n_words, at)
-    ids = decode_ids(marks, words, n_ids, table, slots)
-    return [None if z else int(d) for d, z in zip(doc_ids, null)], lengths, ids
+    """Document ids, numbers of ids, and all ids of a block."""
+    opened = Block(block)
+    return opened.doc_ids, opened.lengths, opened.ids(table, slots)

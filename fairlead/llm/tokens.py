@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import zlib
@@ -21,14 +22,30 @@ from fairlead.llm.common import arrow_rows, partitions, portions
 from fairlead.session import scratch_path, stored
 
 END_ID = 2
-# Words whose ids a worker remembers; beyond, it starts anew.
-MEMORY = 500_000
+# Bytes of words and ids that a worker remembers; beyond, it starts anew. An entry takes about
+# OVERHEAD bytes besides.
+MEMORY = 96 << 20
+OVERHEAD = 180
 PORTION = 4 << 20
-SEAM = r"([a-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{17F}])([,.!|*%$&#?;:])"
+# Without U+0130, which lower-cases to i and a mark that belongs to the punctuation after it.
+SEAM = r"([a-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}])([,.!|*%$&#?;:])"
+# The normalizer and splitting that WordCoder's short cuts hold for.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 TOKENS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 BLOCKS = pa.schema(
-    [("part", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())]
-)
+    [
+        ("part", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64()),
+        ("low", pa.int64()), ("high", pa.int64()), ("payload", pa.binary()),
+    ]
+)
 
 
 def byte_letters() -> list[str]:
@@ -45,7 +62,8 @@ class WordCoder:
     and the ASCII punctuation after it, so a text's ids are those of its words one after the
     other, and each distinct word is encoded once. Words of plain lower-case letters go to the
     merge model directly, all others through the whole tokenizer. A portion with a special
-    token's opening "<|" is encoded text by text.
+    token's opening "<|" is encoded text by text, and so is everything by a tokenizer with
+    another normalizer or splitting than the one these short cuts hold for.
     """
 
     def __init__(self, path: str):
@@ -56,6 +74,21 @@ class WordCoder:
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
+        self.held = 0
+        made = json.loads(self.tokenizer.to_str())
+        steps = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.by_words = (
+            made["normalizer"] == NORMALIZER
+            and [s.get("type") for s in steps] == ["Split", "ByteLevel"]
+            and (steps[0]["pattern"], steps[0]["behavior"], steps[0]["invert"]) == ({"Regex": SPLIT}, "Removed", True)
+            and not (steps[1]["add_prefix_space"] or steps[1]["use_regex"])
+            and made["post_processor"] is None
+            and all(t["content"].startswith("<|") for t in made["added_tokens"])
+        )
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.held = 0
 
     def plain(self, word: str) -> str | None:
         """The word as the merge model takes it, or None if the whole tokenizer has to."""
@@ -68,8 +101,6 @@ class WordCoder:
         return "".join(self.letters[b] for b in word.lower().encode())
 
     def learn(self, fresh: list[str]) -> None:
-        if len(self.known) + len(fresh) > MEMORY:
-            self.known.clear()
         hard = []
         for word in fresh:
             shown = self.plain(word)
@@ -79,21 +110,22 @@ class WordCoder:
                 self.known[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         for word, coded in zip(hard, self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)):
             self.known[word] = array("I", coded.ids).tobytes()
+        self.held += sum(len(word) + len(self.known[word]) + OVERHEAD for word in fresh)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of each text (null: none)."""
         texts = texts.fill_null("")
-        if pc.any(pc.match_substring(texts, "<|")).as_py():
+        if not self.by_words or pc.any(pc.match_substring(texts, "<|")).as_py():
             coded = [np.array(c.ids, np.uint32) for c in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
             return np.concatenate([*coded, np.zeros(0, np.uint32)]), np.array([len(c) for c in coded], np.int64)
         seamed = pc.replace_substring_regex(pc.ascii_lower(texts), SEAM, r"\1 \2")
         lists = pc.ascii_split_whitespace(seamed)
         coded = lists.flatten().dictionary_encode()
         vocabulary = coded.dictionary.to_pylist()
+        if self.held > MEMORY:
+            self.forget()
         fresh = [w for w in vocabulary if w not in self.known]
         if fresh:
-            if len(self.known) + len(fresh) > MEMORY:
-                fresh = vocabulary
             self.learn(fresh)
         entries = [self.known[w] for w in vocabulary]
         sizes = np.array([len(e) // 4 for e in entries], np.int64)
@@ -137,6 +169,8 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                     n_tokens=sizes + 1,
                     ids=[data[a:b] for a, b in zip(at[:-1] * kind.itemsize, at[1:] * kind.itemsize)],
                 )
+        # The worker serves other tasks after this one.
+        words.forget()
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return slim.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
@@ -169,10 +203,13 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = END_ID)
     """Write the ids of all documents, in ascending doc_id order, as blocks under the folder.
 
     `folder`/blocks holds one row per block: part and block (their order is the order of the
-    documents), first (ids before it in its part), n_tokens and payload, in the format of
-    `rans`. `folder`/frequencies holds the shared table. Null texts count as empty, a null
-    doc_id comes first, rows that repeat an id follow each other by their ids' bytes. Spark's
-    writers commit the files, so a lost executor or a repeated task leaves no half block.
+    documents), first (ids before it in its part), n_tokens, the smallest and largest doc_id
+    (low, high) and payload, in the format of `rans`. `folder`/frequencies holds the shared
+    table. Null texts count as empty, a null doc_id comes first, rows that repeat an id follow
+    each other by their ids' bytes. An empty table gives no blocks; columns other than doc_id
+    and text are ignored. A block holds whole documents: a very long text is a block of its
+    own size. Spark's writers commit the files, so a lost executor or a repeated task leaves
+    no half block.
     """
     spark = docs.sparkSession
     kind = id_width(path)
@@ -194,9 +231,11 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = END_ID)
             ids = np.frombuffer(b"".join(d for _, d in held), kind)
             lengths = np.array([len(d) // width for _, d in held], np.int64)
             payload = rans.write_block([i for i, _ in held], lengths, ids, table)
+            named = [i for i, _ in held if i is not None]
             row = arrow_rows(
-                BLOCKS, part=[part], block=[state["block"]], first=[state["first"]], n_tokens=[len(ids)], payload=[payload]
-            )
+                BLOCKS, part=[part], block=[state["block"]], first=[state["first"]], n_tokens=[len(ids)],
+                low=[min(named, default=None)], high=[max(named, default=None)], payload=[payload],
+            )
             state["block"] += 1
             state["first"] += len(ids)
             held.clear()
@@ -219,7 +258,9 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = END_ID)
     ordered = ordered.sortWithinPartitions("doc_id", "ids").select(
         F.spark_partition_id().alias("part"), "doc_id", "ids"
     )
-    blocks = ordered.mapInArrow(run, "part int, block long, first long, n_tokens long, payload binary")
+    blocks = ordered.mapInArrow(
+        run, "part int, block long, first long, n_tokens long, low long, high long, payload binary"
+    )
     blocks.write.option("compression", "none").parquet(f"{folder}/blocks")
     return table
 
@@ -260,6 +301,34 @@ def read_tokens(spark, folder: str) -> DataFrame:
     return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def read_documents(spark, folder: str, doc_ids: list[int]) -> DataFrame:
+    """doc_id and ids of the named documents (a list for the driver), end id included.
+
+    Only the blocks whose range of ids has one of them are read, and of those only the rows
+    from the checkpoint before a document to its end are decoded.
+    """
+    wanted = sorted(set(doc_ids))
+    near = F.exists(F.array(*map(F.lit, wanted)), lambda i: i.between(F.col("low"), F.col("high")))
+    blocks = spark.read.parquet(f"{folder}/blocks").filter(near if wanted else F.lit(False))
+    scaled = spark.read.parquet(f"{folder}/frequencies").orderBy("id").toPandas()["frequency"]
+    shared = spark.sparkContext.broadcast(scaled.to_numpy().astype(np.uint64))
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, named = rans.Frequencies.of_scaled(shared.value), set(wanted)
+        slots = table.slots()
+        for batch in batches:
+            for payload in batch.column(0):
+                block = rans.Block(payload.as_py())
+                at = np.concatenate([[0], np.cumsum(block.lengths)]).tolist()
+                for k, doc_id in enumerate(block.doc_ids):
+                    if doc_id in named:
+                        ids = block.ids(table, slots, at[k], at[k + 1])
+                        yield arrow_rows(schema, doc_id=[doc_id], ids=[ids.astype(np.int64)])
+
+    return blocks.select("payload").mapInArrow(run, "doc_id long, ids array<long>")
+
+
 def token_files(docs: DataFrame, path: str, folder: str | None = None) -> DataFrame:
     """Write the documents' ids under the folder (default: a new shared one) and read them back."""
     folder = folder or scratch_path(docs.sparkSession, "token-files")

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -66,6 +67,57 @@ def test_checkpoints_decode_on_their_own():
     assert len(words) * 4 < len(ids) * 2
 
 
+def test_letters_before_marks():
+    """A seam after any letter that has one leaves the ids as the whole text's."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_path())
+    marks = ",.!|*%$&#?;:"
+    texts = [f"{a}{chr(n)}{m}{b} {m}{chr(n)}" for n in range(0xC0, 0x180) for m in marks for a, b in (("", ""), ("a", "b1"))]
+    texts += ["Adana, SİVAS. ve İ, AVCI(BÖRKÜVARLIĞİ).", "İ$", "i̇$ i̇.", "ſ. ŉ! Ǆ, ß?"]
+    ids, sizes = tokens.WordCoder(tokenizer_path()).encode(pa.array(texts))
+    want = [c.ids for c in whole.encode_batch(texts, add_special_tokens=False)]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_another_tokenizer_encodes_whole_texts(odd):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    coder = tokens.WordCoder(path)
+    assert not coder.by_words and tokens.WordCoder(tokenizer_path()).by_words
+    texts = [t for _, t in odd]
+    want = [c.ids for c in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    ids, sizes = coder.encode(pa.array(texts))
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_any_stretch_of_a_block():
+    """Ids are read from the checkpoint before them, wherever they begin."""
+    ids = np.random.default_rng(2).zipf(1.4, rans.BLOCK_IDS + 5000) % 40_000
+    table = rans.Frequencies.of_counts(np.bincount(ids))
+    block = rans.Block(rans.write_block([1], np.array([len(ids)]), ids, table))
+    assert len(block.marks) >= 4
+    step = rans.EVERY * rans.LANES
+    for begin, end in [(0, 5), (step - 1, step + 1), (step, 2 * step), (3 * step + 7, len(ids)), (len(ids) - 1, len(ids)), (9, 9)]:
+        assert (block.ids(table, table.slots(), begin, end) == ids[begin:end]).all()
+
+
+def test_reading_single_documents(llm_spark, tmp_path):
+    """Also of blocks with many documents, and of one text longer than a block."""
+    from tokenizers import Tokenizer
+
+    long = " ".join(f"word{n % 977} and {n}" for n in range(60_000))
+    docs = [(n, f"document {n} " * (n % 90)) for n in range(3000)] + [(5000, long), (None, "no id"), (7, "again")]
+    folder = str(tmp_path / "files")
+    tokens.write_tokens(documents(llm_spark, docs).coalesce(2), tokenizer_path(), folder)
+    coder = Tokenizer.from_file(tokenizer_path())
+    asked = [7, 1500, 2999, 5000, 4000]
+    got = sorted((r["doc_id"], list(r["ids"])) for r in tokens.read_documents(llm_spark, folder, asked).collect())
+    assert got == sorted((d, [*coder.encode(t, add_special_tokens=False).ids, 2]) for d, t in docs if d in asked)
+    assert tokens.read_documents(llm_spark, folder, []).count() == 0
+
+
 def test_damage_is_found():
     ids = np.arange(1000) % 7
     table = rans.Frequencies.of_counts(np.bincount(ids))
