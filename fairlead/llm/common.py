@@ -95,6 +95,8 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 _POWERS: dict[int, np.ndarray] = {}
+# So many powers of a base are held at most; longer sequences make their own.
+HELD_POWERS = 1 << 20
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -104,7 +106,9 @@ def powers(base: int, n: int) -> np.ndarray:
         steps = np.full(max(n, 4096), base, dtype=np.uint64)
         steps[0] = 1
         with np.errstate(over="ignore"):
-            held = _POWERS[base] = np.cumprod(steps, dtype=np.uint64)
+            held = np.cumprod(steps, dtype=np.uint64)
+        if n <= HELD_POWERS:
+            _POWERS[base] = held
     return held[:n]
 
 

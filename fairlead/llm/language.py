@@ -24,29 +24,31 @@ MARGIN = 0.02
 UNKNOWN = "und"
 
 
-def excerpts(text: str, room: Column) -> Column:
-    """The whole text if it has at most `room` bytes, else PLACES excerpts that fill the room.
+def excerpts(text: str, room: Column, places: int = PLACES) -> Column:
+    """The whole text if it has at most `room` bytes, else `places` excerpts that fill the room.
 
     The text is cut into as many equal parts, and the place of an excerpt in its part is drawn
     by a hash of the text.
     """
     n = F.length(text)
-    size = F.floor(room / PLACES / F.octet_length(text) * n)
-    slack = n / PLACES - size
+    size = F.floor(room / places / F.octet_length(text) * n)
+    slack = n / places - size
 
     def piece(k: int) -> Column:
-        first = F.floor(n * k / PLACES + uniform(F.xxhash64(text), seed=60 + k) * slack)
+        first = F.floor(n * k / places + uniform(F.xxhash64(text), seed=60 + k) * slack)
         return F.substring(F.col(text), (first + 1).cast("int"), size.cast("int"))
 
-    return F.when(F.octet_length(text) <= room, F.array(text)).otherwise(F.array(*map(piece, range(PLACES))))
+    return F.when(F.octet_length(text) <= room, F.array(text)).otherwise(F.array(*map(piece, range(places))))
 
 
-def learn_dictionaries(docs: DataFrame) -> dict[str, bytes]:
+def learn_dictionaries(
+    docs: DataFrame, documents: int = DOCUMENTS, dictionary: int = DICTIONARY, places: int = PLACES
+) -> dict[str, bytes]:
     """Raw dictionary content per language, from the documents outside the held-out fold.
 
-    Of each language at most DOCUMENTS distinct texts are drawn by a hash of the text, however
-    many copies they have, and each gets the same room; a text that does not fit is excerpted
-    from drawn places all over it. Languages are counted over all documents. Later content is
+    Of each language at most `documents` distinct texts are drawn by a hash of the text, however
+    many copies they have, and each gets the same room of the `dictionary` bytes; a text that
+    does not fit is excerpted from as many drawn `places` all over it. Languages are counted over all documents. Later content is
     cheaper to refer to, so the order is that of the draw. The most frequent language comes
     first.
     """
@@ -58,17 +60,17 @@ def learn_dictionaries(docs: DataFrame) -> dict[str, bytes]:
     counts = stored(counts, "languages")
     rates = counts.select(
         F.col("lang").alias("_lang"),
-        (F.lit(SPARE * DOCUMENTS) / F.col("texts")).alias("rate"),
-        F.floor(F.lit(DICTIONARY) / F.least("texts", F.lit(DOCUMENTS))).alias("room"),
+        (F.lit(SPARE * documents) / F.col("texts")).alias("rate"),
+        F.floor(F.lit(dictionary) / F.least("texts", F.lit(documents))).alias("room"),
     )
     drawn = known.withColumn("draw", uniform("hash", seed=6))
     drawn = drawn.join(F.broadcast(rates), F.col("lang") == F.col("_lang")).filter(F.col("draw") < F.col("rate"))
-    drawn = drawn.select("lang", "hash", "draw", "room", excerpts("text", F.col("room")).alias("pieces"))
+    drawn = drawn.select("lang", "hash", "draw", "room", excerpts("text", F.col("room"), places).alias("pieces"))
     rows = drawn.groupBy("lang", "hash").agg(F.min(F.struct("draw", "room", "pieces")).alias("of")).select("lang", "of.*")
     found: dict[str, list] = {}
     for row in sorted(rows.collect(), key=lambda r: (r["lang"], r["draw"], r["pieces"])):
         found.setdefault(row["lang"], []).append(row)
-    out = {lang: b"".join(content(r["pieces"], r["room"]) for r in of[:DOCUMENTS]) for lang, of in found.items()}
+    out = {lang: b"".join(content(r["pieces"], r["room"]) for r in of[:documents]) for lang, of in found.items()}
     frequent = counts.orderBy(F.col("n").desc(), "lang").collect()
     return {r["lang"]: out[r["lang"]] for r in frequent if r["lang"] in out}
 
@@ -107,7 +109,13 @@ class Compressors:
         return np.array([len(c.compress(text)) for c in self.each])
 
 
-def identify(docs: DataFrame, contents: dict[str, bytes] | None = None) -> DataFrame:
+def identify(
+    docs: DataFrame,
+    contents: dict[str, bytes] | None = None,
+    documents: int = DOCUMENTS,
+    dictionary: int = DICTIONARY,
+    places: int = PLACES,
+) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score, reliable.
 
     Every whole text, in lower case and without what is no letter, is compressed once per
@@ -116,9 +124,13 @@ def identify(docs: DataFrame, contents: dict[str, bytes] | None = None) -> DataF
     narrow (below MARGIN): such an answer is to be rejected. "und" with score 0 is the answer
     for null texts and texts without a letter, and for all if nothing could be learnt. With a
     single language every text is of it, with score 1. Rows that repeat an id are judged each
-    by its own text.
+    by its own text. An empty table gives one. A text of any length is compressed whole.
+    Columns other than doc_id, text and lang are ignored.
+
+    Without `contents`, dictionaries are learnt from a bounded sample: at most `documents` texts
+    and `dictionary` bytes a language, `places` excerpts of a text that does not fit.
     """
-    contents = learn_dictionaries(docs) if contents is None else contents
+    contents = learn_dictionaries(docs, documents, dictionary, places) if contents is None else contents
     shared = docs.sparkSession.sparkContext.broadcast(contents)
     schema = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("reliable", pa.bool_())]

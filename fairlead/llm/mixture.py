@@ -84,7 +84,8 @@ def mix_rates(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int =
     `rate` is target over source size (0 for a source without words). A document is taken
     floor(rate) times, and once more with probability rate - floor(rate), drawn from a hash of
     its id, so that reruns agree. Null text has size 0; a null source is a source of its own,
-    ranked last; rows that repeat an id each count, and draw alike. An empty table gives one.
+    ranked last; rows that repeat an id each count, and draw alike, each by its own source's
+    rate. An empty table gives one; other columns are ignored.
     """
     sized = stored(docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")
     sources = source_sizes(sized)
@@ -102,10 +103,19 @@ def mix_rates(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int =
 
 
 def mix_documents(docs: DataFrame, rates: DataFrame | None = None) -> DataFrame:
-    """The documents of the mix, with their own columns; a document taken n times is n rows."""
+    """The documents of the mix, with their own columns; a document taken n times is n rows.
+
+    A row is taken as often as its id and source are: rows that repeat both are taken alike,
+    an id in two sources by the rate of each. Columns of any name are passed on; texts are not
+    read, however long. An empty table gives one.
+    """
     rates = mix_rates(docs) if rates is None else rates
-    id_name, copies, copy = (free_name(docs, c) for c in ("taken_id", "taken_copies", "taken_copy"))
-    taken = rates.filter("copies > 0").groupBy(F.col("doc_id").alias(id_name)).agg(F.max("copies").alias(copies))
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(id_name)))
+    id_name, from_name = free_name(docs, "taken_id"), free_name(docs, "taken_source")
+    copies, copy = free_name(docs, "taken_copies"), free_name(docs, "taken_copy")
+    taken = rates.filter("copies > 0").select(
+        F.col("doc_id").alias(id_name), F.col("source").alias(from_name), F.col("copies").alias(copies)
+    )
+    same = F.col("doc_id").eqNullSafe(F.col(id_name)) & F.col("source").eqNullSafe(F.col(from_name))
+    rows = docs.join(taken.distinct(), same)
     repeated = rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
     return repeated.select(*docs.columns)

@@ -14,11 +14,11 @@ from fairlead.llm.common import arrow_rows, fold_of, matched, portions, uniform
 from fairlead.llm.features import BITS, ngram_features
 
 FOLDS = 5
-# At most about so many labelled documents are fitted, so many characters of each counted
-# whole; the draw is by a hash of doc_id.
+# At most about so many labelled documents are fitted, each with all of its distinct features;
+# the draw is by a hash of doc_id.
 SAMPLE = 6_000
 THRESHOLD = 0.3
-PORTION = 2 << 20
+PORTION = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -193,7 +193,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     (crc32(doc_id) mod 5 = 0), and the scores have the shares of all labels there, whatever the
     sample's; every whole text is scored by its words alone. Null and empty
     texts get the score of a text without features. Rows that repeat an id are scored each by
-    its own text; a null id is in the fold of the empty text.
+    its own text; a null id is in the fold of the empty text. An empty table gives one; without
+    usable labels all scores are of label 1. A text of any length is scored whole, as a portion
+    of its own. Columns other than doc_id and text, and doc_id and quality of the labels, are
+    ignored.
     """
     rows, good, count = training_rows(docs, labels, sample)
     model = fit(rows, good, count=count)

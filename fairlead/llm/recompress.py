@@ -207,7 +207,8 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A word goes if a run of `window` words around it also starts anywhere else, in the same
     document or another; all are judged on the input. Null texts have no words and become
     empty. Null ids and repeated rows are documents like any other, so a row that repeats a
-    long text loses all of it, like its twin. An empty table gives no rows.
+    long text loses all of it, like its twin. An empty table gives no rows; columns other than
+    doc_id and text are ignored. A text longer than a pack is a pack of its own.
 
     Three passes over packs of documents: one asks which low symbols and which symbols of a
     window's length or more occur twice; the second asks, by two 64-bit hashes of their words,

@@ -375,8 +375,13 @@ def conversation_trie(turns: DataFrame, limit: int = BURST) -> DataFrame:
     every = nodes[0]
     for more in nodes[1:]:
         every = every.unionByName(more)
-    least = convs.agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"))
-    root = least.crossJoin(above.filter("p_home is null").agg(*sums)).filter("n_convs > 0")
+    # The root is one row, whose numbers are sums over all.
+    least, n_convs = convs.agg(F.min("conv_id"), F.count(F.lit(1))).first()
+    kids, leaves, saved = above.filter("p_home is null").agg(*sums).first()
+    root = [(least, n_convs, kids, leaves or 1, saved or 0, 0)] if n_convs else []
+    root = turns.sparkSession.createDataFrame(
+        root, "conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, zero long"
+    )
     places = None
     for more in nodes[1:]:
         some = more.select(F.col("home").alias("_ph"), F.col("top").alias("_pt"), F.col("depth").alias("_pp"), F.col("conv_id").alias("_parent"))
@@ -384,7 +389,7 @@ def conversation_trie(turns: DataFrame, limit: int = BURST) -> DataFrame:
     inside = every.filter(F.col("depth") > F.col("top"))
     start = above.select(*every.columns, "p_home", "p_top", "p_place")
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "end_seq"]
-    under_root = start.filter("p_home is null").drop("parent_conv_id").crossJoin(F.broadcast(root.select(F.col("conv_id").alias("parent_conv_id"))))
+    under_root = start.filter("p_home is null").withColumn("parent_conv_id", F.lit(least).cast("long"))
     out = inside.select(columns).unionByName(under_root.select(columns))
     if places is not None:
         on = (F.col("p_home") == F.col("_ph")) & (F.col("p_top") == F.col("_pt")) & (F.col("p_place") == F.col("_pp"))
@@ -393,11 +398,7 @@ def conversation_trie(turns: DataFrame, limit: int = BURST) -> DataFrame:
     nothing = hashlib.sha256(b"").hexdigest()
     out = out.join(hashes, F.col("end_seq") == F.col("key"), "left").withColumn("ends_sha256", F.coalesce("sha", F.lit(nothing)))
     turnless = id_hashes(convs.filter("length = 0").select(F.lit(0).cast("long").alias("key"), "conv_id"))
-    root = root.select(
-        "conv_id", F.lit(0).cast("long").alias("depth"), none.alias("parent_conv_id"), "n_convs", F.col("kids").alias("n_children"),
-        F.coalesce("leaves", F.lit(1)).cast("long").alias("n_leaves"), F.coalesce("saved", F.lit(0)).cast("long").alias("saved_tokens"),
-        F.lit(0).cast("long").alias("zero"),
-    )
+    root = root.withColumns({"depth": F.lit(0).cast("long"), "parent_conv_id": none})
     root = root.join(turnless, F.col("zero") == F.col("key"), "left").withColumn("ends_sha256", F.coalesce("sha", F.lit(nothing)))
     columns = columns[:-1] + ["ends_sha256"]
     return out.select(columns).unionByName(root.select(columns))

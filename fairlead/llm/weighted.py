@@ -187,7 +187,9 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     shuffle of the texts; the next document is the next row. The last row of a partition meets
     the first of the next one that has rows in a join of one row per partition. Null text is
     empty; an empty text's fingerprint is empty, alike to another empty one (1) and to no other
-    (0). The first document follows the last, so a lone document follows itself.
+    (0). The first document follows the last, so a lone document follows itself; an empty table
+    gives one. Rows that repeat an id follow each other by a hash of their texts. Columns other
+    than doc_id and text are ignored. A text of any length is a portion of its own.
     """
     spark = docs.sparkSession
     given = docs.select(

@@ -33,6 +33,18 @@ def test_short_items_ties_and_repeats(llm_spark, odd):
     assert digest(decontaminate(documents(llm_spark, docs), bench)) == sorted(decontaminated(docs, items))
 
 
+def test_items_without_id_and_long_texts(llm_spark):
+    """An item without an id hits words and is in no list; a text of 200,000 words is judged whole."""
+    many = " ".join(f"x{i}" for i in range(200_000))
+    passage = " ".join(f"x{i}" for i in range(199_000, 199_030))
+    docs = [(1, many), (2, "start " + passage), (3, "q r s t u v w")]
+    items = [(None, "q r s"), (7, passage), (8, many)]
+    bench = llm_spark.createDataFrame(items, "item_id long, text string")
+    want = decontaminated(docs, items[1:])
+    want[2] = (3, 7, 3, 0, sha(""), True)
+    assert digest(decontaminate(documents(llm_spark, docs), bench)) == want
+
+
 def test_empty_tables_and_clashing_columns(llm_spark):
     docs = documents(llm_spark, [(1, "a b c"), (None, "a b c"), (3, None)])
     bench = llm_spark.createDataFrame([(1, "b")], "item_id long, text string")

@@ -48,6 +48,17 @@ def test_mix_of_odd_rows(llm_spark):
     assert mixed.count() == copies
 
 
+def test_an_id_in_two_sources(llm_spark):
+    """Each row is taken by the rate of its own source."""
+    rows = [(1000, "a b", None, "a"), (1000, "c d", None, "b"), *((n, "x y z", None, "a") for n in range(40))]
+    rows += [(50 + n, "x", None, "b") for n in range(3)]
+    docs = documents(llm_spark, rows)
+    rates = {(r["doc_id"], r["source"]): r["copies"] for r in mixture.mix_rates(docs).collect()}
+    assert rates[1000, "a"] != rates[1000, "b"]
+    mixed = Counter((r["doc_id"], r["source"]) for r in mixture.mix_documents(docs).collect())
+    assert mixed == {k: n for k, n in rates.items() if n}
+
+
 def test_mean_meets_the_target(llm_spark):
     docs = documents(llm_spark, [(i, "w " * 10, None, f"s{i % 7}") for i in range(7000)])
     rows = mixture.mix_rates(docs).groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("t"), F.first("target").alias("aim")).collect()

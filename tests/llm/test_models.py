@@ -36,6 +36,17 @@ def test_quality_of_odd_texts(llm_spark, odd):
     assert quality.keep_good(docs, scored).columns == docs.columns
 
 
+def test_quality_of_long_texts_and_clashing_columns(llm_spark):
+    """A text of 300,000 words is scored whole: what its end says counts."""
+    good, bad = "fine prose here ", "$$$ !!! buy 999 "
+    docs = [(n, (good if n % 2 else bad) + f"w{n}") for n in range(400)]
+    docs += [(1000, good * 100_000), (1001, bad * 75_000), (1002, "x " * 200_000 + bad * 20_000)]
+    labels = llm_spark.createDataFrame([(n, n % 2) for n in range(400)], "doc_id long, quality long")
+    wide = documents(llm_spark, docs).withColumns({c: F.lit("x") for c in ("score", "held_out", "features", "quality", "predicted")})
+    scored = {r["doc_id"]: r["predicted"] for r in quality.score_quality(wide, labels).collect()}
+    assert (scored[1000], scored[1001], scored[1002]) == (1, 0, 0)
+
+
 def test_quality_has_the_shares_of_all_labels(llm_spark):
     """One word tells nothing, so the score is the share of label 1: 0.9, also of a small sample."""
     draw = np.random.default_rng(5)

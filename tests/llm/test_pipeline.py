@@ -42,11 +42,9 @@ def plain_mix(spark, docs):
     aims = dict(zip(names, water([sizes[n] for n in names], weights)))
     draws = spark.createDataFrame([(r[0],) for r in docs] or [(0,)], "doc_id long").distinct()
     draws = {r[0]: r[1] for r in draws.select("doc_id", mixture.hash_draw(F.col("doc_id"))).collect()}
-    most = defaultdict(int)
-    for doc, _, _, source in docs:
-        rate = aims[source] / sizes[source] if sizes[source] else 0
-        most[doc] = max(most[doc], int(rate) + (draws[doc] < rate - int(rate)))
-    return [r for r in docs for _ in range(most[r[0]])]
+    rates = {name: aims[name] / sizes[name] if sizes[name] else 0 for name in names}
+    times = lambda doc, source: int(rates[source]) + (draws[doc] < rates[source] - int(rates[source]))
+    return [r for r in docs for _ in range(times(r[0], r[3]))]
 
 
 @pytest.fixture(scope="module")
@@ -66,6 +64,7 @@ def sf(llm_spark, tmp_path_factory):
     rows += [(200 + i, rows[3 * i + 1][1] + " tail", "en", "b") for i in range(10)]
     rows += [rows[7], rows[7], rows[8], (300, None, None, None), (301, "", None, "a"), (301, "", None, "a")]
     rows += [(None, "no id at all but fine prose here", "en", "c")]
+    rows += [(400 + i % 3, text(30) + " fine prose here", "en", "abc"[i // 3]) for i in range(9)]
     folder = str(tmp_path_factory.mktemp("sf"))
     documents(llm_spark, rows).write.parquet(f"{folder}/documents.parquet")
     labels = [(i, int(i % 3 > 0)) for i in range(100)] + [(7, 1), (None, 0), (40, None), (999, 0)]

@@ -44,6 +44,15 @@ def test_tangled_texts_over_many_packs(llm_spark, odd, monkeypatch):
         assert digest(recompress.drop_repeats(frame)) == sorted(without_repeats(docs))
 
 
+def test_texts_longer_than_a_pack(llm_spark, monkeypatch):
+    monkeypatch.setattr("fairlead.llm.packs.PACK", 20_000)
+    draw = random.Random(5)
+    long = [f"w{draw.randrange(9000)}" for _ in range(12_000)]
+    docs = [(1, " ".join(long)), (2, " ".join(long[5000:5100])), (3, " ".join(long[7000:7034])), (4, "x " * 9000), (5, " ".join(long[11_000:]))]
+    frame = documents(llm_spark, docs).withColumns({"keys": F.lit(1), "bits": F.lit(2), "size": F.lit(3)})
+    assert digest(recompress.drop_repeats(frame.repartition(3))) == sorted(without_repeats(docs))
+
+
 def test_no_rows_and_null_ids(llm_spark):
     docs = documents(llm_spark, [(None, "a " * 40), (None, None)])
     assert digest(recompress.drop_repeats(docs)) == [(0, 0, 0, sha("")), (0, 40, 40, sha(""))]
