@@ -21,7 +21,7 @@ from fairlead.operators.increment import (
 )
 from fairlead.operators.keys import Sized, lookup, number_rows
 from fairlead.operators.slices import plan_slices
-from fairlead.session import stored
+from fairlead.session import scratch, stored
 from fairlead.sources.tables import FINDING, Run, Warehouse, new_id
 
 MODES = (*FINDING, "export")
@@ -47,7 +47,7 @@ def run_voyages(
     such report on and finds them anew, also where a repeated load took reports away. The run
     tells how many there were (late) and how many stored voyages it took back.
     """
-    with warehouse.snapshot():
+    with warehouse.snapshot(), scratch(warehouse.spark):
         return _run(warehouse, mode, ship_range, increment, max_points, gap_seconds, active)
 
 

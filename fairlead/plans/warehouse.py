@@ -13,6 +13,7 @@ from fairlead.functions.columns import utc_now
 from fairlead.operators.dimensions import update_dimensions
 from fairlead.operators.positions import build_positions, id_range
 from fairlead.operators.quality import reject_reason, reject_rows
+from fairlead.session import scratch
 from fairlead.sources.csv import judged, read_typed
 from fairlead.sources.tables import SCHEMAS, Warehouse
 
@@ -30,10 +31,11 @@ def load_csv(
     Every call is a load of its own, also with a load_date that was used before. A given
     load_id repeats that load in place of what it had.
     """
-    rows = read_typed(warehouse.spark, path, **options)
     load_date = load_date or utc_now()
     load_id = load_id or f"{load_date:%Y%m%dT%H%M%S.%f}-{uuid.uuid4().hex[:12]}"
-    return store_lines(warehouse, load_id, load_date, rows, mode)
+    with scratch(warehouse.spark):
+        rows = read_typed(warehouse.spark, path, **options)
+        return store_lines(warehouse, load_id, load_date, rows, mode)
 
 
 def store_lines(warehouse: Warehouse, load_id: str, load_date: datetime, rows: DataFrame, mode: str) -> int:
@@ -84,7 +86,7 @@ def update_warehouse(warehouse: Warehouse, strict: bool = False) -> tuple[int, i
     Rows that break a rule of the tables are set aside as refused; strict mode fails on them.
     Returns the smallest and largest staging id of those loads, or None without new rows.
     """
-    with warehouse.snapshot():
+    with warehouse.snapshot(), scratch(warehouse.spark):
         return _update(warehouse, strict)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,9 +45,29 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+# Paths made within each `scratch` block that is open, the innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """For a job whose result is written when it ends: its own scratch tables go with it."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        for path in _SCOPES.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def stored(rows: DataFrame, name: str) -> DataFrame:

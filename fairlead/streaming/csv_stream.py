@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fairlead.functions.columns import utc_now
 from fairlead.plans.warehouse import store_lines
 from fairlead.schemas import CSV_COLUMNS
+from fairlead.session import scratch
 from fairlead.sources.csv import RAW_LINE, _options, configure, file_headers, parse_lines, text_lines, typed
 from fairlead.sources.tables import Warehouse
 
@@ -44,8 +45,9 @@ def stream_csv(
         load_id = f"{stream}-batch-{number:012d}"
         if warehouse.load(load_id) is not None:
             return
-        rows = batch if columns else parse_lines(batch, file_headers(batch))
-        store_lines(warehouse, load_id, utc_now(), typed(rows, timestamp_format), mode)
+        with scratch(spark):
+            rows = batch if columns else parse_lines(batch, file_headers(batch))
+            store_lines(warehouse, load_id, utc_now(), typed(rows, timestamp_format), mode)
 
     return (
         lines.writeStream.foreachBatch(store)

@@ -14,6 +14,7 @@ from fairlead.plans.queries import Tables
 from fairlead.plans.voyages import run_voyages
 from fairlead.plans.warehouse import load_csv, store_load, update_warehouse
 from fairlead.schemas import CSV_COLUMNS, STAGING
+from fairlead.session import shared_dir
 from fairlead.sources.csv import ingest_csv
 from fairlead.sources.tables import BLOCK, Warehouse
 from fairlead.streaming.csv_stream import stream_csv
@@ -77,6 +78,15 @@ def test_a_full_run_mends_what_carry_left_out(spark, tmp_path):
         run_voyages(warehouse, increment="full", ship_range=(1, 2))
 
 
+def test_a_job_takes_its_scratch_tables_with_it(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    folder = shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    load(warehouse, "1", random_reports(1, late=False, ships=3)[0])
+    run_voyages(warehouse, "find_export")
+    assert set(os.listdir(folder)) == before and warehouse.limits().count()
+
+
 def test_an_increment_reads_new_reports_only(spark, tmp_path, monkeypatch):
     """Ships without late reports are resumed: neither their old reports nor their voyages are read."""
     warehouse = Warehouse(spark, str(tmp_path))
