@@ -11,43 +11,32 @@ from fairlead.session import stored
 def components(links: DataFrame) -> DataFrame:
     """id and component (smallest id reachable) of every id in links (a, b) with a != b.
 
-    Alternates two rounds until nothing changes, each a grouping of the links and stored: every
-    id links its larger neighbours to the smallest neighbour or itself (large star), then its
-    smaller neighbours likewise (small star). The number of links never grows, and the rounds
-    grow with the logarithm of the longest chain. An id with a third of the links is handled by
-    a join on it that Spark may split, not by gathering its neighbours.
+    Alternates two rounds until only stars are left: every id links its larger neighbours to the
+    smallest neighbour or itself (large star), then its smaller neighbours likewise (small star).
+    The number of links never grows, and the rounds grow with the logarithm of the longest
+    chain. Minima are aggregated before the shuffle, and an id with a third of the links is
+    handled by a join on it that Spark may split, not by gathering its neighbours. Repeated
+    links and links in both directions count once; no links give no rows.
     """
-    edges = stored(_directed(links).distinct(), "links")
+    edges = stored(_directed(links), "links")
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        least = least.select(F.col("a").alias("i"), F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, F.col("a") == F.col("i")).select("m", "b")
-        large = stored(_directed(large.withColumnRenamed("m", "a")).distinct(), "large-star")
+        ends = both.groupBy(F.col("a").alias("i")).agg(F.min("b").alias("lo"), F.max("b").alias("hi"))
+        ends = stored(ends, "neighbours")
+        # In a star all but the smallest have one neighbour.
+        if ends.filter("lo < i and hi > lo").isEmpty():
+            return ends.select(F.col("i").alias("id"), F.least("i", "lo").alias("component"))
+        least = ends.select("i", F.least("i", "lo").alias("m"))
+        moved = both.filter("b > a").join(least, F.col("a") == F.col("i"))
+        large = stored(moved.select(F.col("m").alias("a"), "b"), "large-star")
         # Links now point from the larger (b) to smaller ids (a).
-        lows = large.groupBy("b").agg(F.min("a").alias("m")).withColumnRenamed("b", "i")
-        small = large.join(lows, F.col("b") == F.col("i"))
-        small = small.select(F.col("m").alias("a"), F.col("a").alias("x"), "b")
-        turned = small.select("a", F.col("x").alias("b")).unionByName(small.select("a", "b"))
-        following = stored(_directed(turned).distinct(), "small-star")
-        if _same(edges, following):
-            members = following.select(F.col("b").alias("id"), F.col("a").alias("component"))
-            roots = following.select(F.col("a").alias("id"), F.col("a").alias("component"))
-            return members.unionByName(roots).distinct()
-        edges = following
+        lows = stored(large.groupBy(F.col("b").alias("i")).agg(F.min("a").alias("m")), "lows")
+        turned = large.join(lows, F.col("b") == F.col("i")).filter("a > m").select(F.col("m").alias("x"), "a")
+        edges = stored(
+            lows.select(F.col("m").alias("a"), F.col("i").alias("b")).unionByName(turned.toDF("a", "b")), "small-star"
+        )
 
 
 def _directed(links: DataFrame) -> DataFrame:
     pairs = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.filter("a < b")
-
-
-def _same(left: DataFrame, right: DataFrame) -> bool:
-    def sums(edges: DataFrame) -> tuple:
-        return tuple(
-            edges.agg(
-                F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))
-            ).first()
-        )
-
-    return sums(left) == sums(right)

@@ -147,7 +147,7 @@ def full_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+    """Those of distinct pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +166,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     one = sets.select(F.col("doc_id").alias("_b"), F.col("hashes").alias("right"))
     two = sets.select(F.col("doc_id").alias("_a"), F.col("hashes").alias("left"))
     both = pairs.join(one, F.col("b") == F.col("_b")).join(two, F.col("a") == F.col("_a"))
-    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -236,7 +236,7 @@ def judged_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     pairs = best.select(F.least(center, "doc_id").alias("a"), F.greatest(center, "doc_id").alias("b")).distinct()
     tried = stored(pairs, "tried")
     links = links.unionByName(stored(confirmed(tried, sets, percent), "close"))
-    parts = stored(components(links), "components")
+    parts = components(links)
     for compare in (_stars, lambda rows: _rest(rows, sets, percent)):
         buckets = _open_buckets(buckets, parts)
         pairs = stored(compare(buckets).join(tried, ["a", "b"], "left_anti"), "pairs")
@@ -245,8 +245,9 @@ def judged_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
         close = stored(confirmed(pairs, sets, percent), "close")
         tried = tried.unionByName(pairs)
         if not close.isEmpty():
-            links = links.unionByName(close)
-            parts = stored(components(links), "components")
+            # What is joined already goes on as stars, which need fewer rounds than its links.
+            stars = parts.filter("component < id").select(F.col("component").alias("a"), F.col("id").alias("b"))
+            parts = components(stars.unionByName(close))
     out = sketched.join(parts, F.col("doc_id") == F.col("id"), "left")
     component, kept = F.coalesce("component", "doc_id"), F.col("given_id").eqNullSafe(F.col("component_id"))
     if several:
