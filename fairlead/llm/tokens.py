@@ -6,9 +6,9 @@ import json
 import os
 import unicodedata
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ END_ID = 2
 # Bytes of words and ids that a worker remembers; beyond, it starts anew. An entry takes about
 # OVERHEAD bytes besides.
 MEMORY = 96 << 20
-OVERHEAD = 180
+OVERHEAD = 160
 PORTION = 4 << 20
 # Without U+0130, which lower-cases to i and a mark that belongs to the punctuation after it.
 SEAM = r"([a-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}])([,.!|*%$&#?;:])"
@@ -73,8 +73,7 @@ class WordCoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.held = 0
+        self.forget()
         made = json.loads(self.tokenizer.to_str())
         steps = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         self.by_words = (
@@ -87,7 +86,10 @@ class WordCoder:
         )
 
     def forget(self) -> None:
-        self.known.clear()
+        """Start anew: `known` has the number of each word, whose ids are flat[at[number]:at[number + 1]]."""
+        self.known: dict[str, int] = {}
+        self.flat = np.zeros(1 << 12, np.uint32)
+        self.at = np.zeros(1 << 10, np.int64)
         self.held = 0
 
     def plain(self, word: str) -> str | None:
@@ -101,16 +103,24 @@ class WordCoder:
         return "".join(self.letters[b] for b in word.lower().encode())
 
     def learn(self, fresh: list[str]) -> None:
-        hard = []
-        for word in fresh:
+        hard, coded = [], []
+        for n, word in enumerate(fresh):
             shown = self.plain(word)
             if shown is None:
-                hard.append(word)
-            else:
-                self.known[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-        for word, coded in zip(hard, self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)):
-            self.known[word] = array("I", coded.ids).tobytes()
-        self.held += sum(len(word) + len(self.known[word]) + OVERHEAD for word in fresh)
+                hard.append(n)
+            coded.append([] if shown is None else [t.id for t in self.model.tokenize(shown)])
+        words = [fresh[n] for n in hard]
+        for n, whole in zip(hard, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            coded[n] = whole.ids
+        begin = len(self.known)
+        ends = self.at[begin] + np.cumsum([len(ids) for ids in coded])
+        self.at = longer(self.at, begin, len(fresh) + 1)
+        self.at[begin + 1 : begin + 1 + len(fresh)] = ends
+        first, last = int(self.at[begin]), int(ends[-1])
+        self.flat = longer(self.flat, first, last - first)
+        self.flat[first:last] = np.fromiter(chain.from_iterable(coded), np.uint32, last - first)
+        self.known.update(zip(fresh, range(begin, begin + len(fresh))))
+        self.held += sum(map(len, fresh)) + 4 * (last - first) + OVERHEAD * len(fresh)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of each text (null: none)."""
@@ -121,22 +131,34 @@ class WordCoder:
         seamed = pc.replace_substring_regex(pc.ascii_lower(texts), SEAM, r"\1 \2")
         lists = pc.ascii_split_whitespace(seamed)
         coded = lists.flatten().dictionary_encode()
-        vocabulary = coded.dictionary.to_pylist()
+        vocabulary = coded.dictionary.to_numpy(zero_copy_only=False)
         if self.held > MEMORY:
             self.forget()
-        fresh = [w for w in vocabulary if w not in self.known]
-        if fresh:
-            self.learn(fresh)
-        entries = [self.known[w] for w in vocabulary]
-        sizes = np.array([len(e) // 4 for e in entries], np.int64)
-        begins = np.cumsum(sizes) - sizes
-        flat = np.frombuffer(b"".join(entries), np.uint32)
-        which = coded.indices.to_numpy(zero_copy_only=False)
-        each = sizes[which]
-        after = np.cumsum(each)
-        spots = np.repeat(begins[which] - (after - each), each) + np.arange(after[-1] if len(after) else 0)
-        bounds = np.concatenate([[0], after])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-        return flat[spots], np.diff(bounds)
+        numbers = np.fromiter(map(self.known.get, vocabulary, repeat(-1)), np.int64, len(vocabulary))
+        fresh = np.flatnonzero(numbers < 0)
+        if len(fresh):
+            begin = len(self.known)
+            self.learn(vocabulary[fresh].tolist())
+            numbers[fresh] = np.arange(begin, begin + len(fresh))
+        if not len(coded):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        which = numbers[coded.indices.to_numpy(zero_copy_only=False)]
+        entries = [None, pa.py_buffer(self.at[: len(self.known) + 1] * 4), pa.py_buffer(self.flat)]
+        found = pa.Array.from_buffers(pa.large_binary(), len(self.known), entries).take(pa.array(which))
+        _, offsets, data = found.buffers()
+        after = np.frombuffer(offsets, np.int64)[: len(which) + 1] // 4
+        ids = np.frombuffer(data, np.uint32)[: after[-1]] if after[-1] else np.zeros(0, np.uint32)
+        bounds = after[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return ids, np.diff(bounds)
+
+
+def longer(values: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The array, or a copy of at least twice its size, with room for so many values after those used."""
+    if used + more <= len(values):
+        return values
+    grown = np.zeros(max(2 * len(values), used + more), values.dtype)
+    grown[: len(values)] = values
+    return grown
 
 
 @lru_cache(maxsize=2)
@@ -144,6 +166,12 @@ def coder(path: str) -> WordCoder:
     return WordCoder(path)
 
 
+def forget_words(path: str) -> None:
+    """Drop what this worker's coder, if it has one, remembers from task to task."""
+    if coder.cache_info().currsize:
+        coder(path).forget()
+
+
 def id_width(path: str) -> str:
     """How ids are held between the stages: 16 bits where the vocabulary allows it, else 32."""
     return "<u2" if coder(path).tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
@@ -169,17 +197,15 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                     n_tokens=sizes + 1,
                     ids=[data[a:b] for a, b in zip(at[:-1] * kind.itemsize, at[1:] * kind.itemsize)],
                 )
-        # The worker serves other tasks after this one.
-        words.forget()
-
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return slim.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
-def token_counts(tokens: DataFrame, kind: str) -> np.ndarray:
+def token_counts(tokens: DataFrame, kind: str, path: str) -> np.ndarray:
     """How often each id occurs; the table is as long as the vocabulary, whatever the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words(path)  # the texts are tokenized; the worker serves other tasks from now on
         total = np.zeros(0, np.int64)
         for batch in batches:
             for ids in batch.column(0):
@@ -214,7 +240,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = END_ID)
     spark = docs.sparkSession
     kind = id_width(path)
     tokens = stored(tokenize(docs, path, end_id), "tokens")
-    table = rans.Frequencies.of_counts(token_counts(tokens, kind))
+    table = rans.Frequencies.of_counts(token_counts(tokens, kind, path))
     spark.createDataFrame(
         pa.table({"id": np.arange(len(table.scaled)), "frequency": table.scaled.astype(np.int64)})
     ).coalesce(1).write.parquet(f"{folder}/frequencies")
