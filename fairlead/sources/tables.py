@@ -187,15 +187,19 @@ class Warehouse:
         finally:
             self._held = outer
 
-    def _once(self, key: tuple, make: Callable):
-        if self._held is None:
+    def _once(self, key: tuple | None, make: Callable):
+        if self._held is None or key is None:
             return make()
         if key not in self._held:
             self._held[key] = make()
         return self._held[key]
 
-    def _among(self, rows: DataFrame, column: str, key: tuple, names: DataFrame) -> DataFrame:
-        """The rows whose column is one of the names (one column): by a list, or a join if they are many."""
+    def _among(self, rows: DataFrame, column: str, key: tuple | None, names: DataFrame) -> DataFrame:
+        """The rows whose column is one of the names (one column): by a list, or a join if they are many.
+
+        Few names hold any share of the rows each, so rows are never dealt by name. A list also
+        tells which partitions need not be read.
+        """
 
         def listed() -> list | None:
             few = [row[0] for row in names.distinct().limit(NAMED + 1).collect()]
@@ -204,8 +208,8 @@ class Warehouse:
         few = self._once(key, listed)
         if few is not None:
             return rows.filter(F.col(column).isin(few))
-        named = names.distinct().toDF("_name")
-        return rows.join(named, F.col(column) == F.col("_name"), "left_semi")
+        named = names.distinct().toDF(column)
+        return lookup(rows, named, column, "left_semi", rows.columns[0]).select(*rows.columns)
 
     def path(self, table: str) -> str:
         """Staging rows and rejected lines lie side by side, so that one write brings both."""
@@ -335,9 +339,8 @@ class Warehouse:
 
     def attempts(self, names: DataFrame, table: str = "staging") -> DataFrame:
         """Rows of a table in the named attempts (a column `attempt`)."""
-        names = names.select(F.col("attempt").alias("_name")).distinct()
-        rows = self.read(table).join(names, F.col("load_id") == F.col("_name"), "left_semi")
-        return rows.select(*SCHEMAS[table].fieldNames())
+        rows = self.read(table).select(*SCHEMAS[table].fieldNames())
+        return self._among(rows, "load_id", None, names.select("attempt"))
 
     def staging(self, load_ids: list[str] | None = None) -> DataFrame:
         """Staging rows of the logged loads, or of some of them."""
@@ -410,10 +413,7 @@ class Warehouse:
         replaced = replaced.filter(F.col("last") > since).select("load_id")
         gone = self.read("updates").join(replaced, "load_id", "left_semi")
         gone = gone.join(self._current_loads().select("attempt"), "attempt", "left_anti")
-        gone = gone.select(F.col("attempt").alias("load_id")).distinct()
-        if gone.isEmpty():
-            return self.spark.createDataFrame([], SCHEMAS["positions"])
-        return self._positions().join(gone, "load_id", "left_semi")
+        return self._among(self._positions(), "load_id", ("withdrawn", since), gone.select("attempt"))
 
     def last_update(self) -> int:
         return self._once(("last_update",), lambda: self.read("updates").agg(F.max("update_id")).first()[0] or 0)
@@ -451,9 +451,8 @@ class Warehouse:
         if not upto:
             return None
         finding = self.read("runs").filter(F.col("mode").isin(*FINDING)).agg(F.max("run_id")).first()[0]
-        named = self._updates().select(F.col("attempt").alias("load_id")).distinct()
-        rows = self._positions()
-        kept = rows.join(named, "load_id", "left_semi").unionByName(self.withdrawn(finding or 0))
+        latest = self._among(self._positions(), "load_id", ("attempts", 0), self._updates().select("attempt"))
+        kept = latest.unionByName(self.withdrawn(finding or 0))
         number = self.next_update()
         self.write_positions(kept.drop("update_id", "gps_date"), number)
         self.log("compactions", [(number, upto)])

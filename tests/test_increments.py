@@ -16,10 +16,11 @@ from fairlead.plans.warehouse import load_csv, store_load, update_warehouse
 from fairlead.schemas import CSV_COLUMNS, STAGING
 from fairlead.session import shared_dir
 from fairlead.sources.csv import ingest_csv
+from fairlead.sources import tables
 from fairlead.sources.tables import BLOCK, Warehouse
 from fairlead.streaming.csv_stream import stream_csv
 from test_jobs import random_reports, rows
-from test_scale import crowd
+from test_scale import crowd, plan
 
 STAMP = datetime(2024, 1, 2)
 
@@ -158,6 +159,36 @@ def test_compaction(spark, tmp_path, sf_dir):
     assert Warehouse(spark, str(tmp_path / "none")).compact() is None
 
 
+def test_rows_are_not_dealt_by_load(spark, tmp_path, monkeypatch):
+    """A load may have any number of rows, so none of its rows meet in one task for its name."""
+    warehouse = Warehouse(spark, str(tmp_path))
+    loads = random_reports(5, late=False, ships=6)[:3]
+    for n, reports in enumerate(loads):
+        load(warehouse, str(n), reports)
+    run_voyages(warehouse, increment="full")
+    load(warehouse, "1", loads[1][::2])
+    written = []
+    write = Warehouse.write_positions
+    monkeypatch.setattr(Warehouse, "write_positions", lambda self, rows, number: written.append(rows) or write(self, rows, number))
+    names = spark.createDataFrame([("0",), ("2",)], "attempt string")
+    staged = warehouse.attempts(names)
+    assert "PartitionFilters: [load_id" in plan(staged)
+    gone = warehouse.withdrawn(warehouse.last_run(finding=True).run_id)
+    number = warehouse.compact()
+    for frame in (staged, gone, *written):
+        assert "Exchange" not in plan(frame)
+    kept = ["position_id", "ship_id"]
+    assert sorted(r[0] for r in staged.select("position_id").collect()) == sorted(r[0] for n in (0, 2) for r in loads[n])
+    compacted = spark.read.parquet(f"{warehouse.path('positions')}/update_id={number}")
+    assert compacted.count() == sum(map(len, loads)) + len(loads[1][::2])
+    # More names than are listed: the same rows, still without a shuffle.
+    few = rows(staged, ["position_id"]), rows(warehouse.positions(), kept), rows(gone, kept)
+    monkeypatch.setattr(tables, "NAMED", 1)
+    staged, gone = warehouse.attempts(names), warehouse.withdrawn(warehouse.last_run(finding=True).run_id)
+    assert (rows(staged, ["position_id"]), rows(warehouse.positions(), kept), rows(gone, kept)) == few
+    assert "Exchange hashpartitioning(load_id" not in plan(staged) and "BroadcastHashJoin" in plan(staged)
+
+
 def test_row_groups_know_their_ships(spark, tmp_path, sf_dir):
     warehouse = Warehouse(spark, str(tmp_path))
     store_load(warehouse, "1", STAMP, Tables(spark, sf_dir).staging, None)
