@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.llm.common import arrow_rows, portions
-from fairlead.llm.spans import aligner
+from fairlead.llm.spans import FIELDS, NOTHING, aligner
 from fairlead.session import scratch_path, stored
 
-PORTION = 2 << 20
+PORTION = 4 << 20
 # At most so many pairs of ids, the most frequent ones, are looked up without a shuffle: those
 # that make up more than one in COMMON of all links.
 COMMON = 2_000_000
@@ -44,24 +44,27 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 entries, which, counts = tool.align(batch.column(1))
                 ends = np.cumsum(counts)
                 bounds = np.concatenate([[0], ends]).tolist()
-                n_each = np.array([(e.n_a, e.n_b, e.n_groups) if e else (0, 0, 0) for e in entries], np.int64).reshape(-1, 3)
+                # Columns of the entries, each read once; a text only picks from them.
+                linked, groups, *n_each = zip(*[FIELDS(e or NOTHING) for e in entries]) if entries else [()] * 5
+                n_each = np.array(n_each, np.int64).T
                 summed = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(n_each[which], axis=0)])
                 sizes = summed[ends] - summed[ends - counts]
-                listed = which.tolist()
+                linked, groups = (np.array(column, object)[which].tolist() for column in (linked, groups))
+                odd = np.concatenate([[0], np.cumsum(np.array([e is None for e in entries], bool)[which])])
+                odd = (odd[ends] > odd[ends - counts]).tolist()
                 n_links, sha, packed, times = [], [], [], []
                 for k in range(batch.num_rows):
-                    parts = [entries[i] for i in listed[bounds[k] : bounds[k + 1]]]
-                    if None in parts:
+                    parts = slice(bounds[k], bounds[k + 1])
+                    joined, shown, found = b"".join(linked[parts]), ";".join(groups[parts]), bounds[k] < bounds[k + 1]
+                    if odd[k]:
                         entry = tool.whole(batch.column(1)[k].as_py())
-                        parts = [entry] if entry else []
-                        sizes[k] = (entry.n_a, entry.n_b, entry.n_groups) if entry else 0
-                    links = np.frombuffer(b"".join([e.links for e in parts]), tool.kind)
+                        (joined, shown, *sizes[k]), found = FIELDS(entry or NOTHING), entry is not None
+                    links = np.frombuffer(joined, tool.kind)
                     pairs, n = np.unique(links, return_counts=True)
                     packed.append(np.diff(pairs, prepend=pairs.dtype.type(0)).tobytes())
                     times.append(n.astype("<u4").tobytes())
                     n_links.append(len(links))
-                    shown = ";".join([e.shown for e in parts])
-                    sha.append(hashlib.sha256(shown.encode()).hexdigest() if parts else "")
+                    sha.append(hashlib.sha256(shown.encode()).hexdigest() if found else "")
                 yield arrow_rows(
                     schema, doc_id=batch.column(0), n_a=sizes[:, 0], n_b=sizes[:, 1], n_groups=sizes[:, 2],
                     n_links=n_links, groups_sha256=sha, pairs=packed, times=times,

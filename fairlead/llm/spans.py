@@ -10,6 +10,8 @@ import json
 import os
 import re
 from functools import lru_cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,7 @@ MEMORY = 112 << 20
 # Pieces are encoded together in runs of about so many characters.
 RUN = 1 << 16
 SPACE = 0x20
+SPAN = attrgetter("id", "begin", "end")
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -86,25 +89,25 @@ class Pair:
 
     def spans_a(self, text: str) -> Spans:
         coded = self.a.encode(text, add_special_tokens=False)
-        ids = np.array(coded.ids, np.int64)
-        spans = np.array(coded.offsets, np.int64).reshape(-1, 2)
+        listed = coded.ids
+        ids = np.array(listed, np.int64)
+        spans = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
         data = text.encode()
         if len(data) > len(text):
             starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
             spans = np.concatenate([starts, [len(data)]])[spans]
-        joined = b"".join(map(self.a_bytes.__getitem__, coded.ids))
+        joined = b"".join(map(self.a_bytes.__getitem__, listed))
         return Spans(ids, refined_ends(spans[:, 0], spans[:, 1], self.a_sizes[ids]), joined)
 
     def spans_b(self, text: str) -> Spans:
         """Spans in the text with its leading space, which the model adds by itself."""
         coded = self.b.encode(text[1:], return_type="proto").pieces
-        listed = [p.id for p in coded]
-        ids = np.array(listed, np.int64)
+        # Field by field: each piece is looked at once.
+        ids, begin, end = np.fromiter(chain.from_iterable(map(SPAN, coded)), np.int64, 3 * len(coded)).reshape(-1, 3).T.copy()
         # The added space has no place in the spans: all move by it but the first begin.
-        begin = np.array([p.begin for p in coded], np.int64) + 1
-        end = np.array([p.end for p in coded], np.int64) + 1
+        begin, end = begin + 1, end + 1
         begin[:1] = 0
-        joined = b"".join(map(self.b_bytes.__getitem__, listed))
+        joined = b"".join(map(self.b_bytes.__getitem__, ids.tolist()))
         return Spans(ids, refined_ends(begin, end, self.b_sizes[ids]), joined)
 
 
@@ -116,8 +119,9 @@ class Aligned:
     def __init__(self, links: bytes, shown: str, n_a: int, n_b: int, n_groups: int):
         self.links, self.shown, self.n_a, self.n_b, self.n_groups = links, shown, n_a, n_b, n_groups
 
-    def weight(self) -> int:
-        return len(self.links) + len(self.shown) + 300
+
+FIELDS = attrgetter(*Aligned.__slots__)
+NOTHING = Aligned(b"", "", 0, 0, 0)
 
 
 def meet(a: Spans, b: Spans, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -130,6 +134,11 @@ def meet(a: Spans, b: Spans, size: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return np.searchsorted(common, a.ends), np.searchsorted(common, b.ends), lowest, links, common
 
 
+def _texts(size: int, *ends: str) -> np.ndarray:
+    """The ids below size as text, a row for each end."""
+    return np.array([[f"{n}{end}" for n in range(size)] for end in ends], object)
+
+
 class Aligner:
     """Alignments of whole texts, by way of their distinct pieces between seams.
 
@@ -149,6 +158,9 @@ class Aligner:
         widest = max(len(self.pair.a_bytes), len(self.pair.b_bytes))
         self.shift = 16 if widest <= 1 << 16 else 32
         self.kind = np.dtype("<u4" if self.shift == 16 else "<u8")
+        # Every id as text, before another of its side and before what else may follow; a piece ends a line.
+        self.a_texts = _texts(len(self.pair.a_bytes), ",", "|")
+        self.b_texts = _texts(len(self.pair.b_bytes), ",", ";", "\n")
 
     def pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All pieces, each with the space before it, and the number of them in each text."""
@@ -193,25 +205,20 @@ class Aligner:
         a_more, b_more = np.zeros(len(a_group), bool), np.zeros(len(b_group), bool)
         a_more[:-1], b_more[:-1] = a_group[1:] == a_group[:-1], b_group[1:] == b_group[:-1]
         b_last = np.isin(b.ends, after)
-        a_shown = [f"{n}," if more else f"{n}|" for n, more in zip(a.ids.tolist(), a_more.tolist())]
-        b_shown = [
-            f"{n}," if more else str(n) if last else f"{n};"
-            for n, more, last in zip(b.ids.tolist(), b_more.tolist(), b_last.tolist())
-        ]
-        order = np.lexsort((np.repeat([0, 1], [len(a_shown), len(b_shown)]), np.concatenate([a_group, b_group])))
-        both = a_shown + b_shown
-        shown = [both[k] for k in order.tolist()]
+        shown = np.empty(len(a_group) + len(b_group), object)
+        a_at = np.arange(len(a_group)) + np.searchsorted(b_group, a_group, side="left")
+        b_at = np.arange(len(b_group)) + np.searchsorted(a_group, b_group, side="right")
+        shown[a_at] = self.a_texts[np.where(a_more, 0, 1), a.ids]
+        shown[b_at] = self.b_texts[np.where(b_more, 0, np.where(b_last, 2, 1)), b.ids]
+        shown = "".join(shown.tolist()).split("\n")
         k = len(run)
         n_a, n_b = np.bincount(a_piece, minlength=k), np.bincount(b_piece, minlength=k)
         n_groups = np.bincount(np.searchsorted(after, common), minlength=k)
         n_links = np.bincount(np.repeat(a_piece, links), minlength=k)
-        bounds = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
         packed = pairs.tobytes()
         ends = (np.concatenate([[0], np.cumsum(n_links)]) * self.kind.itemsize).tolist()
-        rows = zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), range(k))
-        return [
-            Aligned(packed[ends[j] : ends[j + 1]], "".join(shown[bounds[j] : bounds[j + 1]]), x, y, z) for x, y, z, j in rows
-        ]
+        rows = zip(ends, ends[1:], shown, n_a.tolist(), n_b.tolist(), n_groups.tolist())
+        return [Aligned(packed[i:j], groups, x, y, z) for i, j, groups, x, y, z in rows]
 
     def learn(self, fresh: list[str]) -> None:
         run: list[str] = []
@@ -232,7 +239,7 @@ class Aligner:
 
     def keep(self, piece: str, entry: Aligned | None) -> None:
         self.known[piece] = entry
-        self.held += 2 * len(piece) + (entry.weight() if entry else 100)
+        self.held += 2 * len(piece) + (len(entry.links) + len(entry.shown) + 300 if entry else 100)
 
     def align(self, texts: pa.Array) -> tuple[list[Aligned | None], np.ndarray, np.ndarray]:
         """Of each text the alignments of its pieces: entries, the entry of each piece, pieces a text."""
@@ -242,14 +249,15 @@ class Aligner:
         if self.held > MEMORY:
             self.older, self.known, self.held = self.known, {}, 0
         fresh = []
-        for piece in vocabulary:
-            if piece not in self.known:
-                if piece in self.older:
-                    self.keep(piece, self.older.pop(piece))
-                else:
-                    fresh.append(piece)
+        entries = list(map(self.known.get, vocabulary))
+        for piece in [piece for piece, entry in zip(vocabulary, entries) if entry is None]:
+            if piece in self.older:
+                self.keep(piece, self.older.pop(piece))
+            elif piece not in self.known:
+                fresh.append(piece)
         self.learn(fresh)
-        return [self.known[piece] for piece in vocabulary], coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts
+        entries = [self.known[piece] if entry is None else entry for piece, entry in zip(vocabulary, entries)]
+        return entries, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts
 
     def whole(self, text: str) -> Aligned | None:
         """The alignment of a text encoded at once; None if the tokens do not spell it."""
