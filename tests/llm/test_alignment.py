@@ -123,3 +123,36 @@ def test_spans_are_refined_by_bytes():
     tool.held = spans.MEMORY + 1
     tool.align(pa.array(["something else"]))
     assert len(tool.known) < 5 and len(tool.older) > 300
+
+
+def test_tokens_and_pieces_are_read_once():
+    """Getters of the libraries build new objects each time, so none is asked twice for a text."""
+    pair, asked = spans.Pair(A, B), Counter()
+
+    class Seen:
+        def __init__(self, inner, name):
+            self.inner, self.name = inner, name
+
+        def __getattr__(self, field):
+            asked[self.name, field] += 1
+            return getattr(self.inner, field)
+
+    class Pieces(list):
+        def __iter__(self):
+            asked["b", "pieces"] += 1
+            return super().__iter__()
+
+    class Coder:
+        def __init__(self, inner, wrap):
+            self.inner, self.wrap = inner, wrap
+
+        def encode(self, text, **options):
+            return self.wrap(self.inner.encode(text, **options))
+
+    text = " some wörds, of 日本"
+    want = [(side.ids.tolist(), side.ends.tolist(), side.joined) for side in (pair.spans_a(text), pair.spans_b(text))]
+    pair.a = Coder(pair.a, lambda coded: Seen(coded, "a"))
+    pair.b = Coder(pair.b, lambda coded: type("Coded", (), {"pieces": Pieces(coded.pieces)}))
+    sides = pair.spans_a(text), pair.spans_b(text)
+    assert [(side.ids.tolist(), side.ends.tolist(), side.joined) for side in sides] == want
+    assert asked == {("a", "ids"): 1, ("a", "offsets"): 1, ("b", "pieces"): 1}
