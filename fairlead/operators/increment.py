@@ -38,19 +38,23 @@ def _last_report(prefix: str = "") -> Column:
 
 def plan_reading(
     news: DataFrame,
-    closed: DataFrame,
+    closed: DataFrame | None,
     states: DataFrame | None = None,
     full: bool = False,
     withdrawn: DataFrame | None = None,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame | None]:
     """One row per ship with new reports, and with "full" per ship that lost reports.
 
     resumed: the new reports are all there is to read. Else read_from is the time to read from
     (NULL: everything), which is a closed stop; settled_until and fresh are what detection
-    takes. The state's columns follow, all NULL for a ship that has none.
+    takes; closed is None where no voyage was ever stored. n_new is the number of its new reports. The state's columns follow, all NULL for a
+    ship that has none.
+
+    With "full" the closed voyages (id, ship_id, datetime_stop) of the ships that are read again
+    come second, stored; None if there are no such ships.
     """
     ships = news.filter(F.col("ship_id").isNotNull()).groupBy("ship_id").agg(
-        F.min("gps_timestamp").alias("first_new"), _last_report("new_")
+        F.min("gps_timestamp").alias("first_new"), _last_report("new_"), F.count(F.lit(1)).alias("n_new")
     )
     if full and withdrawn is not None:
         lost = withdrawn.filter(F.col("ship_id").isNotNull()).groupBy("ship_id").agg(F.min("gps_timestamp").alias("first_lost"))
@@ -61,8 +65,11 @@ def plan_reading(
     if states is None:
         kinds = {"last_time": "timestamp_ntz", "open_start": "timestamp_ntz", "bounded": "boolean"}
         ships = ships.withColumns({c: F.lit(None).cast(kinds.get(c, "bigint")) for c in [*LAST, *OPEN, "bounded"]})
-        stops = last_stops(closed).withColumnRenamed("settled_until", "last_stop")
-        ships = ships.join(stops, "ship_id", "left")
+        if closed is None:
+            ships = ships.withColumn("last_stop", F.lit(None).cast("timestamp_ntz"))
+        else:
+            stops = last_stops(closed).withColumnRenamed("settled_until", "last_stop")
+            ships = ships.join(stops, "ship_id", "left")
         resumed = F.lit(False)
     else:
         # A ship without a state has no reports but the new ones.
@@ -70,43 +77,53 @@ def plan_reading(
         in_order = F.col("last_time").isNull() | (F.col("first_new") > F.col("last_time"))
         resumed = F.coalesce(F.col("first_lost").isNull() & in_order, F.lit(False))
     ships = ships.withColumns({"changed": changed, "resumed": resumed})
-    late = ~F.col("resumed")
+    late, doubtful = ~F.col("resumed"), None
+    read_from = F.lit(None).cast("timestamp_ntz") if full else F.col("last_stop")
     if full:
         ships = stored(ships, "changed-ships")
-        ships = ships.join(_stop_before(ships.filter(late), closed), "ship_id", "left")
-        read_from = F.col("stop_before")
-    else:
-        read_from = F.col("last_stop")
+        again = ships.filter(late).select("ship_id", "changed")
+        n_late = again.count()
+        if n_late and closed is not None:
+            doubtful = lookup(
+                closed.select("id", "ship_id", "datetime_stop"), Sized(again.select("ship_id"), n_late),
+                "ship_id", "left_semi", "datetime_stop",
+            )
+            doubtful = stored(doubtful, "doubtful")
+            ships = ships.join(_stop_before(Sized(again, n_late), doubtful), "ship_id", "left")
+            read_from = F.col("stop_before")
     ships = ships.withColumn("read_from", F.when(late, read_from))
     fresh = F.when(F.col("resumed"), ~F.coalesce("bounded", F.lit(False))).otherwise(F.col("read_from").isNull())
-    return ships.select(
+    plan = ships.select(
         *STATE,
         "new_last",
         "first_new",
+        F.coalesce("n_new", F.lit(0)).alias("n_new"),
         "resumed",
         "read_from",
         F.col("read_from").alias("settled_until"),
         fresh.alias("fresh"),
     )
+    return plan, doubtful
 
 
-def _stop_before(ships: DataFrame, closed: DataFrame) -> DataFrame:
+def _stop_before(ships: Sized, closed: DataFrame) -> DataFrame:
     """ship_id and stop_before: the closed stop before the last one ahead of the first change.
 
     A report that comes or goes alters what the reports beside it start or stop. The one before
     it is no earlier than the last stop ahead of it, so that stop is in doubt, and no earlier one.
     """
     stops = closed.select("ship_id", "datetime_stop")
-    ahead = lookup(stops, ships.select("ship_id", "changed"), "ship_id", "inner", "datetime_stop")
+    ahead = lookup(stops, ships, "ship_id", "inner", "datetime_stop")
     ahead = ahead.filter(F.col("datetime_stop") < F.col("changed"))
     last = ahead.groupBy("ship_id").agg(F.max("datetime_stop").alias("doubtful"))
+    last = Sized(last, ships.count)
     earlier = lookup(ahead, last, "ship_id", "inner", "datetime_stop").filter(F.col("datetime_stop") < F.col("doubtful"))
     return earlier.groupBy("ship_id").agg(F.max("datetime_stop").alias("stop_before"))
 
 
-def taken_back(plan: DataFrame, closed: DataFrame) -> DataFrame:
-    """id of the closed voyages that a "full" run finds anew."""
-    late = plan.filter(~F.col("resumed")).select("ship_id", "read_from")
+def taken_back(plan: DataFrame, closed: DataFrame, n_late: int) -> DataFrame:
+    """id of the closed voyages that a "full" run finds anew, as so many ships are read again."""
+    late = Sized(plan.filter(~F.col("resumed")).select("ship_id", "read_from"), n_late)
     rows = lookup(closed.select("id", "ship_id", "datetime_stop"), late, "ship_id", "inner", "datetime_stop")
     return rows.filter(F.col("read_from").isNull() | (F.col("datetime_stop") > F.col("read_from"))).select("id")
 
@@ -121,7 +138,7 @@ def reports_since(positions: DataFrame, needs: Sized, day: date | None) -> DataF
     at, since = F.col("gps_timestamp"), F.col("need_from")
     enough = since.isNull() | (at >= since)
     if day is None:
-        return lookup(positions, needs.rows, "ship_id", "inner").filter(enough).drop("need_from")
+        return lookup(positions, needs, "ship_id", "inner").filter(enough).drop("need_from")
     begin = F.lit(day.isoformat()).cast("date")
     recent = lookup(positions.filter(F.col("gps_date") >= begin), needs, "ship_id", "inner").filter(enough)
     far = needs.rows.filter(since.isNull() | (since < begin.cast("timestamp_ntz")))
@@ -135,6 +152,11 @@ def reports_since(positions: DataFrame, needs: Sized, day: date | None) -> DataF
     return recent.unionByName(before).drop("need_from")
 
 
+def last_reports(reread: DataFrame) -> DataFrame:
+    """Of the ships that were not resumed, how many reports were read again (n_again) and which is the last."""
+    return reread.groupBy("ship_id").agg(_last_report("again_"), F.count(F.lit(1)).alias("n_again"))
+
+
 def seeds(plan: DataFrame) -> DataFrame:
     """The last reports of resumed ships, as the predecessors of their new ones."""
     known = plan.filter(F.col("resumed") & F.col("last_time").isNotNull())
@@ -162,12 +184,12 @@ def openings(plan: DataFrame) -> DataFrame:
 
 
 def next_states(
-    plan: DataFrame, found: DataFrame, states: DataFrame | None = None, reread: DataFrame | None = None
+    plan: DataFrame, found: DataFrame, states: DataFrame | None = None, lasts: DataFrame | None = None
 ) -> DataFrame:
     """The states after a run: of the ships it read, and as they were of the others.
 
-    `reread` has the reports of ships that were not resumed: their last report is the last of
-    those, as the one of the state may be gone. A ship without reports has no state.
+    `lasts` has the last_reports of ships that were not resumed, as the one of the state may be
+    gone. A ship without reports has no state.
     """
     is_open, begun = F.col("is_open"), F.col("datetime_start").isNotNull()
     by_ship = found.groupBy(F.col("ship_id").alias("_ship")).agg(
@@ -176,8 +198,8 @@ def next_states(
         F.max(F.when(begun & ~is_open, F.col("datetime_stop"))).alias("stopped"),
     )
     read = plan.join(by_ship, F.col("ship_id") == F.col("_ship"), "left").drop("_ship")
-    if reread is not None:
-        again = reread.groupBy(F.col("ship_id").alias("_ship")).agg(_last_report("again_"))
+    if lasts is not None:
+        again = lasts.select(F.col("ship_id").alias("_ship"), "again_last")
         read = read.join(again, F.col("ship_id") == F.col("_ship"), "left").drop("_ship")
     else:
         read = read.withColumn("again_last", F.lit(None).cast(read.schema["new_last"].dataType))

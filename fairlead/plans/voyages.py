@@ -12,6 +12,7 @@ from fairlead.operators.detect import in_ship_range, last_stops, search, unsettl
 from fairlead.operators.export import MAX_POINTS, export_trajectories
 from fairlead.operators.increment import (
     SLIM,
+    last_reports,
     next_states,
     openings,
     plan_reading,
@@ -73,7 +74,7 @@ def _run(
     rules = f"{increment}, {gap_seconds} s, {active}"
     number = F.lit(run_id).cast("bigint").alias("run_id")
 
-    slicing, late, n_back = None, 0, 0
+    slicing, late, n_back, fullest, lasts = None, 0, 0, None, None
     if mode == "export":
         limits = in_ship_range(warehouse.limits(), ship_range)
         positions = in_ship_range(warehouse.positions(), ship_range)
@@ -89,15 +90,31 @@ def _run(
                 states = warehouse.read("states").filter(F.col("run_id") == last.run_id)
             news = warehouse.positions(after=last.update_id if last else 0)
             gone = warehouse.withdrawn(last.run_id) if last and increment == "full" else None
-            plan = stored(plan_reading(news, closed, states, increment == "full", gone), "reading")
-            n_ships, n_late = plan.agg(F.count(F.lit(1)), F.count(F.when(~F.col("resumed"), 1))).first()
-            stops = Sized(plan.select("ship_id", F.col("last_stop").alias("settled_until")), n_ships)
-            if increment == "full":
-                back = stored(taken_back(plan, closed), "taken-back")
-                n_back = back.count()
+            known = closed if found_before else None
+            plan, doubtful = plan_reading(news, known, states, increment == "full", gone)
+            plan = stored(plan, "reading")
+            resumed = F.col("resumed")
+            n_ships, n_late, most = plan.agg(
+                F.count(F.lit(1)), F.count(F.when(~resumed, 1)), F.max(F.when(resumed, F.col("n_new")))
+            ).first()
+            # A ship whose new reports all follow its last stop has none that came late.
+            behind = plan.filter(F.col("first_new") <= F.col("last_stop"))
+            stops = Sized(behind.select("ship_id", F.col("last_stop").alias("settled_until")), n_ships)
+            if doubtful is not None:
+                back = taken_back(plan, doubtful, n_late)
                 warehouse.replace_partitions("retracted", back.select("id", number), ["run_id"])
+                n_back = warehouse.read("retracted").filter(F.col("run_id") == run_id).count()
             again = _read_again(warehouse, plan, n_late, news if last else None)
             reports = _to_search(plan, n_ships, n_late, news, again)
+            # A resumed ship's last report stands before its new ones.
+            fullest = (most or 0) + 1
+            if n_late and not found_before:
+                # All there is is new.
+                lasts = plan.select("ship_id", F.col("new_last").alias("again_last"), F.col("n_new").alias("n_again"))
+            elif n_late:
+                lasts = stored(last_reports(again), "last-reports")
+            if n_late:
+                fullest = max(fullest, lasts.agg(F.max("n_again")).first()[0] or 0)
             going = openings(plan)
         else:
             positions = unsettled(warehouse.positions(), closed, ship_range, increment)
@@ -105,7 +122,7 @@ def _run(
             stops = last_stops(closed)
         if found_before:
             late = _late(warehouse.positions(after=found_before.update_id), stops, ship_range)
-        slicing = plan_slices(reports)
+        slicing = plan_slices(reports, fullest=fullest)
         found = stored(search(reports, statuses, slicing, gap_seconds, active, going), "found")
         limits = voyages_among(found)
         count = limits.count()
@@ -116,7 +133,7 @@ def _run(
             others = stored_limits.filter("is_open").drop("run_id")
             others = others.join(plan.select("ship_id"), "ship_id", "left_anti")
             limits = limits.unionByName(others)
-            after = next_states(plan, found, states, again if n_late else None)
+            after = next_states(plan, found, states, lasts)
             warehouse.replace_partitions("states", after.select("*", number), ["run_id"])
         limits = limits.sortWithinPartitions("is_open", "ship_id", "datetime_start")
         warehouse.replace_partitions("limits", limits.select("*", number), ["run_id", "is_open"])

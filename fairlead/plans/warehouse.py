@@ -8,12 +8,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fairlead.functions.columns import utc_now
 from fairlead.operators.dimensions import update_dimensions
 from fairlead.operators.positions import build_positions, id_range
 from fairlead.operators.quality import reject_reason, reject_rows
-from fairlead.session import scratch
+from fairlead.session import local_rows, no_rows, scratch
 from fairlead.sources.csv import judged, read_typed
 from fairlead.sources.tables import SCHEMAS, Warehouse
 
@@ -60,7 +61,7 @@ def store_load(
     """
     def write(attempt: str) -> tuple[int, int]:
         warehouse.replace_load("staging", attempt, staging)
-        none = warehouse.spark.createDataFrame([], SCHEMAS["rejects"]).drop("load_id")
+        none = no_rows(warehouse.spark, SCHEMAS["rejects"])
         warehouse.replace_load("rejects", attempt, none if rejects is None else rejects)
         written = warehouse.read("staging").filter(F.col("load_id") == attempt)
         return written.agg(F.count(F.lit(1)), F.coalesce(F.max("position_id"), F.lit(0))).first()
@@ -70,8 +71,9 @@ def store_load(
 
 def _replace(warehouse: Warehouse, load_id: str, load_date: datetime, write: Callable[[str], tuple[int, int]]) -> int:
     """Write an attempt at a load, log it, and only then delete what it replaces."""
-    before = warehouse.load(load_id)
-    attempt = warehouse.new_attempt(load_id)
+    with warehouse.snapshot():
+        before = warehouse.load(load_id)
+        attempt = warehouse.new_attempt(load_id)
     rows, max_id = write(attempt)
     warehouse.log_load(load_date, rows, max_id, attempt, load_id)
     if before is not None:
@@ -95,7 +97,8 @@ def _update(warehouse: Warehouse, strict: bool) -> tuple[int, int] | None:
     if not any(load["rows"] for load in pending):
         return None
     # Rows carry the names of the attempts, which their partitions have, too.
-    names = warehouse.spark.createDataFrame([(load["attempt"],) for load in pending], "attempt string")
+    attempts = [load["attempt"] for load in pending]
+    names = local_rows(warehouse.spark, {"attempt": attempts}, T.StructType().add("attempt", "string"))
     new = warehouse.attempts(names)
     number = warehouse.next_update()
     refused = reject_rows(new)

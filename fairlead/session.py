@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -70,6 +72,15 @@ def scratch(spark: SparkSession):
             place.getFileSystem(conf).delete(place, True)
 
 
+def local_rows(spark: SparkSession, columns: dict[str, list], schema: StructType) -> DataFrame:
+    """A few rows the driver holds, by column, without a job or a Python worker to bring them in."""
+    return spark.createDataFrame(pa.table({c: pa.array(v, None if v else pa.null()) for c, v in columns.items()}), schema)
+
+
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    return local_rows(spark, {c: [] for c in schema.fieldNames()}, schema)
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """The rows written to a table in the shared folder and read back.
 

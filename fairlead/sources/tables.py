@@ -29,15 +29,15 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
-import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fairlead.operators.keys import Sized, lookup
+from fairlead.operators.keys import BROADCAST_ROWS, Sized, lookup
 from fairlead.schemas import LIMITS, NAV_STATUSES, POSITIONS, SHIPS, STAGING
+from fairlead.session import local_rows, no_rows
 
 _LOAD = [T.StructField("load_id", T.StringType())]
 _RUN = [T.StructField("run_id", T.LongType())]
@@ -223,7 +223,11 @@ class Warehouse:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
+
+    def _log(self, table: str) -> DataFrame:
+        """The entries of a log: few beside the rows they tell of, so one task reads them without a shuffle."""
+        return self.read(table).coalesce(1)
 
     def append(self, table: str, rows: Sized) -> None:
         if rows.count:
@@ -296,7 +300,7 @@ class Warehouse:
         self._held = {} if self._held else self._held
         schema = SCHEMAS[table]
         columns = {field: list(values) for field, values in zip(schema.fieldNames(), zip(*entries))}
-        rows = self.spark.createDataFrame(pa.table(columns), schema).coalesce(1)
+        rows = local_rows(self.spark, columns, schema).coalesce(1)
         rows.write.mode("append").parquet(self.path(table))
 
     def _files(self):
@@ -316,14 +320,14 @@ class Warehouse:
         """The latest entry of each load in the log."""
         columns = [c for c in SCHEMAS["loads"].fieldNames() if c != "load_id"]
         latest = F.max_by(F.struct(*columns), "entry").alias("latest")
-        return self.read("loads").groupBy("load_id").agg(latest).select("load_id", "latest.*")
+        return self._log("loads").groupBy("load_id").agg(latest).select("load_id", "latest.*")
 
     def loads(self) -> list:
         return self._current_loads().orderBy("load_date", "load_id").collect()
 
     def load(self, load_id: str):
         """The latest entry of a load, or None."""
-        return self._current_loads().filter(F.col("load_id") == load_id).first()
+        return self._once(("load", load_id), self._current_loads().filter(F.col("load_id") == load_id).first)
 
     def new_attempt(self, load_id: str) -> str:
         """The name of the partitions of a load: its id, or one of their own for a repeat."""
@@ -331,11 +335,11 @@ class Warehouse:
         return load_id if self.load(load_id) is None else f"{load_id}{ATTEMPT}{uuid.uuid4().hex[:12]}"
 
     def log_load(self, load_date: datetime, rows: int, max_id: int, attempt: str, load_id: str) -> None:
-        last = self.read("loads").agg(F.max("entry")).first()[0]
+        last = self._log("loads").agg(F.max("entry")).first()[0]
         self.log("loads", [(load_date, rows, max_id, attempt, new_id(last or 0), load_id)])
 
     def next_position_id(self) -> int:
-        return (self.read("loads").agg(F.max("max_id")).first()[0] or 0) + 1
+        return (self._log("loads").agg(F.max("max_id")).first()[0] or 0) + 1
 
     def attempts(self, names: DataFrame, table: str = "staging") -> DataFrame:
         """Rows of a table in the named attempts (a column `attempt`)."""
@@ -351,24 +355,24 @@ class Warehouse:
 
     def pending_loads(self) -> list:
         """Logged loads whose latest attempt is not among the positions yet."""
-        done = self.read("updates").select("attempt").distinct()
+        done = self._log("updates").select("attempt").distinct()
         return self._current_loads().join(done, "attempt", "left_anti").orderBy("load_date", "load_id").collect()
 
     def load_mark(self) -> datetime | None:
-        return self.read("updates").agg(F.max("load_date")).first()[0]
+        return self._log("updates").agg(F.max("load_date")).first()[0]
 
     # Positions
 
     def _updates(self, after: int = 0) -> DataFrame:
         """Logged updates of attempts that are still the latest of their loads."""
         latest = self._current_loads().select("attempt")
-        return self.read("updates").filter(F.col("update_id") > after).join(latest, "attempt", "left_semi")
+        return self._log("updates").filter(F.col("update_id") > after).join(latest, "attempt", "left_semi")
 
     def _compaction(self) -> tuple[int, int]:
         """The folder of the last compaction and the update up to which it holds all rows."""
 
         def last() -> tuple[int, int]:
-            row = self.read("compactions").orderBy(F.col("update_id").desc()).first()
+            row = self._log("compactions").orderBy(F.col("update_id").desc()).first()
             return (row["update_id"], row["upto"]) if row else (0, 0)
 
         return self._once(("compaction",), last)
@@ -382,7 +386,7 @@ class Warehouse:
         One per update since the last compaction, whatever the number of reports.
         """
         compact, upto = self._compaction()
-        logged = self.read("updates").filter(F.col("update_id") > max(after, upto))
+        logged = self._log("updates").filter(F.col("update_id") > max(after, upto))
         names = [row[0] for row in logged.select("update_id").distinct().collect()]
         if after < upto:
             names.append(compact)
@@ -392,11 +396,16 @@ class Warehouse:
 
     def _positions(self, after: int = 0) -> DataFrame:
         """All rows in the folders of the updates after the given one, latest attempts or not."""
-        folders = self._folders(after)
-        if not folders:
-            return self.spark.createDataFrame([], SCHEMAS["positions"])
-        reader = self.spark.read.schema(SCHEMAS["positions"]).option("basePath", self.path("positions"))
-        return reader.parquet(*folders)
+
+        def rows() -> DataFrame:
+            folders = self._folders(after)
+            if not folders:
+                return no_rows(self.spark, SCHEMAS["positions"])
+            reader = self.spark.read.schema(SCHEMAS["positions"]).option("basePath", self.path("positions"))
+            return reader.parquet(*folders)
+
+        # The files in them stay the same, and are listed once in a snapshot.
+        return self._once(("positions", after), rows)
 
     def positions(self, after: int = 0) -> DataFrame:
         """Positions of the logged updates, or of those after the given one."""
@@ -409,14 +418,14 @@ class Warehouse:
 
         They are those of attempts which a repeat logged since then has replaced.
         """
-        replaced = self.read("loads").groupBy("load_id").agg(F.max("entry").alias("last"))
+        replaced = self._log("loads").groupBy("load_id").agg(F.max("entry").alias("last"))
         replaced = replaced.filter(F.col("last") > since).select("load_id")
-        gone = self.read("updates").join(replaced, "load_id", "left_semi")
+        gone = self._log("updates").join(replaced, "load_id", "left_semi")
         gone = gone.join(self._current_loads().select("attempt"), "attempt", "left_anti")
         return self._among(self._positions(), "load_id", ("withdrawn", since), gone.select("attempt"))
 
     def last_update(self) -> int:
-        return self._once(("last_update",), lambda: self.read("updates").agg(F.max("update_id")).first()[0] or 0)
+        return self._once(("last_update",), lambda: self._log("updates").agg(F.max("update_id")).first()[0] or 0)
 
     def next_update(self) -> int:
         return new_id(max(self.last_update(), self._compaction()[0]))
@@ -450,7 +459,7 @@ class Warehouse:
         upto = self.last_update()
         if not upto:
             return None
-        finding = self.read("runs").filter(F.col("mode").isin(*FINDING)).agg(F.max("run_id")).first()[0]
+        finding = self._log("runs").filter(F.col("mode").isin(*FINDING)).agg(F.max("run_id")).first()[0]
         latest = self._among(self._positions(), "load_id", ("attempts", 0), self._updates().select("attempt"))
         kept = latest.unionByName(self.withdrawn(finding or 0))
         number = self.next_update()
@@ -487,14 +496,11 @@ class Warehouse:
         ]
 
     def runs(self) -> list[Run]:
-        return self._runs(self.read("runs"))
+        return self._once(("run log",), lambda: self._runs(self._log("runs")))
 
     def last_run(self, finding: bool = False) -> Run | None:
-        logged = self.read("runs")
-        if finding:
-            logged = logged.filter(F.col("mode").isin(*FINDING))
-        found = self._runs(logged.orderBy(F.col("run_id").desc()).limit(1))
-        return found[0] if found else None
+        found = [run for run in self.runs() if not finding or run.mode in FINDING]
+        return found[-1] if found else None
 
     def log_run(self, run: Run) -> None:
         low, high = run.ship_range or (None, None)
@@ -503,30 +509,34 @@ class Warehouse:
 
     def _stored(self, table: str) -> DataFrame:
         """Rows of the logged runs; their numbers are the partitions' names, so others are not read."""
-        rows = self._among(self.read(table), "run_id", ("runs",), self.read("runs").select("run_id"))
+        rows = self._among(self.read(table), "run_id", ("runs",), self._log("runs").select("run_id"))
         return rows.select(*SCHEMAS[table].fieldNames())
 
     def _replaced(self, modes: tuple[str, ...]) -> Column:
         """What the last run of these modes over all ships, and those over some since, replaced."""
-        logged = self.read("runs").filter(F.col("mode").isin(*modes))
-        whole = logged.filter(F.col("ship_min").isNull()).agg(F.max("run_id")).first()[0] or 0
+        logged = [run for run in self.runs() if run.mode in modes]
+        whole = max((run.run_id for run in logged if run.ship_range is None), default=0)
         gone = F.lit(False)
-        for run in self._runs(logged.filter(F.col("run_id") >= whole)):
-            gone = gone | run.replaces()
+        for run in logged:
+            if run.run_id >= whole:
+                gone = gone | run.replaces()
         return gone
 
-    def _kept(self, rows: DataFrame, key: str) -> DataFrame:
-        """The rows of voyages that no run took back."""
-        taken_back = self.read("runs").agg(F.sum("taken_back")).first()[0]
+    def _kept(self, rows: DataFrame, key: str, unique: bool = False) -> DataFrame:
+        """The rows of closed voyages that no run took back; unique: one row a voyage, so that no key is oversized."""
+        taken_back = sum(run.taken_back for run in self.runs())
         if not taken_back:
             return rows
         gone = self._stored("retracted").select(F.col("id").alias(key))
+        if unique and taken_back > BROADCAST_ROWS:
+            return rows.join(gone, key, "left_anti").select(*rows.columns)
         return lookup(rows, Sized(gone, taken_back), key, "left_anti", "datetime_start").select(*rows.columns)
 
     def limits(self) -> DataFrame:
         """Closed voyages of all runs but those taken back, and the open ones no later run looked at again."""
-        found_again = F.col("is_open") & self._replaced(FINDING)
-        return self._kept(self._stored("limits").filter(~found_again), "id")
+        rows = self._stored("limits")
+        still_open = rows.filter(F.col("is_open") & ~self._replaced(FINDING))
+        return self._kept(rows.filter(~F.col("is_open")), "id", unique=True).unionByName(still_open)
 
     def exports(self) -> DataFrame:
         """Exported lines of the stored voyages, without those exported again later.

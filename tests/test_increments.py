@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from fairlead.operators import export
 from fairlead.operators.detect import find_voyages
+from fairlead.operators.dimensions import add_new_keys, update_dimensions
+from fairlead.operators.keys import oversized
 from fairlead.operators.slices import Slicing
 from fairlead.plans.queries import Tables
 from fairlead.plans.voyages import run_voyages
@@ -109,6 +111,38 @@ def test_an_increment_reads_new_reports_only(spark, tmp_path, monkeypatch):
     assert rows(warehouse.limits()) == anew(warehouse)
 
 
+@pytest.mark.parametrize("limit", [None, 5])
+def test_a_full_run_counts_its_reports_once(spark, tmp_path, monkeypatch, limit):
+    """How many reports each ship has comes with its last one; crowded ships are still counted and cut."""
+    counted = []
+    monkeypatch.setattr("fairlead.operators.slices.oversized", lambda *a: counted.append(a) or oversized(*a))
+    # Voyages taken back are too many to be broadcast.
+    monkeypatch.setattr(tables, "BROADCAST_ROWS", 0)
+    if limit:
+        monkeypatch.setattr("fairlead.operators.keys.MIN_GROUP_ROWS", limit)
+        monkeypatch.setattr("fairlead.operators.slices.MIN_GROUP_ROWS", limit)
+    warehouse = Warehouse(spark, str(tmp_path))
+    loads = random_reports(3, late=True, ships=6)
+    for reports in (loads[0], loads[1], loads[3], loads[2]):
+        load(warehouse, str(len(warehouse.runs())), reports)
+        run_voyages(warehouse, increment="full")
+        assert bool(counted) == bool(limit)
+        assert rows(warehouse.limits()) == anew(warehouse)
+        counted.clear()
+    assert any(run.taken_back for run in warehouse.runs())
+    assert "LeftAnti" in plan(warehouse.limits()) and "salt" not in plan(warehouse.limits())
+    assert "Exchange" not in plan(warehouse._current_loads())
+
+
+def test_dimensions_read_the_rows_once(spark, sf_dir):
+    staging = Tables(spark, sf_dir).staging
+    staging = staging.withColumn("mmsi", F.when(F.col("position_id") % 9 > 0, F.col("mmsi")))
+    for found, key in zip(update_dimensions(staging), ("mmsi", "nav_status")):
+        alone = add_new_keys(staging, None, key)
+        assert "dimension-keys" in plan(found.rows) and (found.count, found.fullest) == (alone.count, alone.fullest)
+        assert rows(found.rows, ["id", key]) == rows(alone.rows, ["id", key])
+
+
 def test_a_repeat_that_dies_leaves_all_as_it_was(spark, tmp_path, monkeypatch):
     warehouse = Warehouse(spark, str(tmp_path))
     loads = random_reports(5, late=False, ships=4)
